@@ -27,16 +27,16 @@ def _blank_to_null(c) -> Column:
 
 
 def yyyymmdd(c) -> Column:
-    return F.try_to_date(_blank_to_null(c), F.lit("yyyyMMdd"))
+    return F.try_to_date(_blank_to_null(c), "yyyyMMdd")
 
 
 def dmy(c) -> Column:
     """Day-first date; ``4/1/2021`` and ``04/01/2021`` both give 2021-01-04."""
-    return F.try_to_date(_blank_to_null(c), F.lit("d/M/yyyy"))
+    return F.try_to_date(_blank_to_null(c), "d/M/yyyy")
 
 
 def parse_with(c, fmt: str) -> Column:
-    return F.try_to_date(_blank_to_null(c), F.lit(fmt))
+    return F.try_to_date(_blank_to_null(c), fmt)
 
 
 def cutoff_agg(c, formats=CUTOFF_FORMATS) -> Column:
@@ -47,7 +47,7 @@ def cutoff_agg(c, formats=CUTOFF_FORMATS) -> Column:
     of the non-blank raw values; null when there are none.  One pass, usable in
     ``agg`` (global) or ``groupBy(...).agg`` (per group)."""
     v = _blank_to_null(c)
-    tries = [F.date_format(F.max(F.try_to_date(v, F.lit(f))), "yyyy-MM-dd") for f in formats]
+    tries = [F.date_format(F.max(F.try_to_date(v, f)), "yyyy-MM-dd") for f in formats]
     return F.coalesce(*tries, F.max(v))
 
 

@@ -1 +1,112 @@
-"""placeholder"""
+"""Territory family (JOB-12): label normalisation, semi/anti joins against the
+official territory set, year x department counts, merge-then-rank top-k."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from judicata.functions.text import fold_accents, merge_territory
+from judicata.operators import topk as T
+from judicata.plans import register
+from judicata.plans.common import dim
+from judicata.tables import Tables
+
+UNKNOWN = "#N/D"
+
+
+def _labelled_orders(spark, sf):
+    """Orders with the department label of their customer; customers with a
+    negative balance carry no department (``#N/D``), like geocoding misses."""
+    t = Tables(spark, sf)
+    o = t.orders("o_custkey", "o_orderdate")
+    c = t.customer("c_custkey", "c_nationkey", "c_acctbal")
+    n = dim(t.nation("n_nationkey", "n_name"))
+    x = o.join(c, o.o_custkey == c.c_custkey).join(n, F.col("c_nationkey") == n.n_nationkey, "left")
+    raw = F.when(F.col("c_acctbal") < 0, F.lit(UNKNOWN)).otherwise(F.lower(F.col("n_name")))
+    return x.select(F.year("o_orderdate").cast("int").alias("anio"), fold_accents(raw).alias("etiqueta"))
+
+
+def _official(spark, sf):
+    """Official territory set: normalised nation names (a fixed 25-row domain)."""
+    return dim(Tables(spark, sf).nation("n_name").select(fold_accents(F.col("n_name")).alias("etiqueta")))
+
+
+_LABELS_SQL = f"""
+lab AS (SELECT CAST(year(o.o_orderdate) AS INTEGER) AS anio,
+               upper(trim(strip_accents(CASE WHEN c.c_acctbal < 0 THEN '{UNKNOWN}' ELSE lower(n.n_name) END))) AS etiqueta
+        FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey),
+off AS (SELECT upper(trim(strip_accents(n_name))) AS etiqueta FROM nation)"""
+
+
+@register("territory_semi_anti", sql=f"""
+WITH {_LABELS_SQL},
+t AS (SELECT etiqueta, COUNT(*) AS n FROM lab GROUP BY etiqueta)
+SELECT etiqueta, n, etiqueta IN (SELECT etiqueta FROM off) AS valido FROM t
+""")
+def territory_semi_anti(spark, sf):
+    """Counts per normalised label (PRJ-8), split into labels inside the official
+    set (semi join, JN-3) and dropped labels (anti join, JN-4, SET-5)."""
+    t = _labelled_orders(spark, sf).groupBy("etiqueta").agg(F.count(F.lit(1)).alias("n"))
+    off = _official(spark, sf)
+    kept = t.join(off, "etiqueta", "left_semi").withColumn("valido", F.lit(True))
+    dropped = t.join(off, "etiqueta", "left_anti").withColumn("valido", F.lit(False))
+    return kept.unionByName(dropped)
+
+
+@register("dept_year_map", sql=f"""
+WITH {_LABELS_SQL}
+SELECT anio, etiqueta AS departamento, COUNT(*) AS n
+FROM lab WHERE etiqueta IN (SELECT etiqueta FROM off) GROUP BY anio, etiqueta
+""")
+def dept_year_map(spark, sf):
+    """Counts by year x department over geocoded labels only (AGG-3), long form;
+    :func:`judicata.sinks.to_year_map` turns it into year -> department -> n."""
+    x = _labelled_orders(spark, sf).join(_official(spark, sf), "etiqueta", "left_semi")
+    return x.groupBy("anio", F.col("etiqueta").alias("departamento")).agg(F.count(F.lit(1)).alias("n"))
+
+
+MERGE_PATTERN = r"^NATION_1[0-9]+$"
+MERGE_TO = "NATION_1"
+
+
+@register("top_departments", sql=f"""
+WITH {_LABELS_SQL},
+m AS (SELECT regexp_replace(etiqueta, '{MERGE_PATTERN}', '{MERGE_TO}') AS departamento FROM lab
+      WHERE etiqueta IN (SELECT etiqueta FROM off)),
+c AS (SELECT departamento, COUNT(*) AS n FROM m GROUP BY departamento)
+SELECT departamento, n, row_number() OVER (ORDER BY n DESC, departamento) AS puesto
+FROM c ORDER BY n DESC, departamento LIMIT 10
+""")
+def top_departments(spark, sf):
+    """Top 10 departments after merging label variants of one territory
+    (PRJ-25, TOP-1).  Variants are merged before ranking (TRAP-4), so no
+    department drops out of the top list because its volume was split."""
+    x = _labelled_orders(spark, sf).join(_official(spark, sf), "etiqueta", "left_semi")
+    m = x.select(merge_territory(F.col("etiqueta"), MERGE_PATTERN, MERGE_TO).alias("departamento"))
+    c = m.groupBy("departamento").agg(F.count(F.lit(1)).alias("n"))
+    top = T.top_k(c, [F.col("n").desc(), F.col("departamento").asc()], 10)
+    # the rank is computed over the (at most 10) rows that survived the top-k
+    from pyspark.sql import Window
+    return top.withColumn("puesto", F.row_number().over(Window.orderBy(F.col("n").desc(), F.col("departamento"))))
+
+
+@register("topk_by_group", sql="""
+WITH r AS (SELECT p.p_type, p.p_partkey, p.p_name, sum(l.l_extendedprice * (1 - l.l_discount)) AS revenue
+           FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey GROUP BY 1, 2, 3)
+SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY p_type ORDER BY revenue DESC, p_partkey) AS rank FROM r)
+WHERE rank <= 3
+""")
+def topk_by_group(spark, sf):
+    """Top 3 parts by revenue per type (TOP-2); rank 1 is the arg-max record (TOP-5).
+
+    Revenue is pre-aggregated per part; the per-type ranking runs in two
+    phases (salted sub-partitions, then the group), so a type holding a third
+    of all parts is not ranked in one task."""
+    t = Tables(spark, sf)
+    li = t.lineitem("l_partkey", "l_extendedprice", "l_discount")
+    p = t.part("p_partkey", "p_name", "p_type")
+    r = (li.join(p, li.l_partkey == p.p_partkey)
+         .groupBy("p_type", "p_partkey", "p_name")
+         .agg(F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("revenue")))
+    return T.top_k_per_group(r, "p_type", [F.col("revenue").desc(), F.col("p_partkey").asc()], 3,
+                             salt_cols=["p_partkey"])
