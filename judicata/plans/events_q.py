@@ -1 +1,153 @@
-"""placeholder"""
+"""Event-sequence family over ``events`` (user = magistrate / requester):
+stage durations (WIN-13), tenure intervals (WIN-4/5), interval and as-of
+assignment joins (JN-9/10), funnel (AGG-21), trailing rate (STR-2) and the
+request limiter (STR-1)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from judicata.operators import match as MT
+from judicata.operators import windows as WN
+from judicata.plans import register
+from judicata.streaming.limiter import limit_batch
+from judicata.tables import Tables
+
+HOUR = 3_600 * 1_000_000
+DAY = 24 * HOUR
+# Funnel stages in order.
+STAGES = ["view", "click", "signup", "purchase"]
+# Limiter thresholds scaled to the sparse test stream (the service's defaults
+# are 20 per 60 s and 40 per day); the rule itself is unchanged.
+LIMIT_WINDOW_S, LIMIT_MAX, LIMIT_DAY = 3_600, 3, 8
+
+
+def _events(spark, sf, *cols):
+    e = Tables(spark, sf).events("event_id", "user_id", "event_type", "ts", *cols)
+    return e.withColumn("t", WN.micros("ts"))
+
+
+@register("stage_durations", sql="""
+WITH e AS (SELECT event_type, ts, lead(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS nts FROM events),
+d AS (SELECT event_type, (epoch_us(nts) - epoch_us(ts)) // 1000000 AS dur_s FROM e WHERE nts IS NOT NULL)
+SELECT event_type AS etapa, COUNT(*) AS n, avg(dur_s) AS mean,
+       quantile_cont(dur_s, 0.5) AS median, quantile_cont(dur_s, 0.9) AS p90
+FROM d GROUP BY event_type
+""")
+def stage_durations(spark, sf):
+    """Time from each stage event to the user's next event, profiled per stage (WIN-13).
+
+    The "next event" is computed inside (user, hour) buckets with a one-row-per-
+    bucket carry, so a user with a third of all events is spread over many
+    tasks; quantiles come from a whole-second histogram."""
+    e = _events(spark, sf)
+    x = WN.next_in_sequence(e, "user_id", "t", "event_id", {"next_t": "t"}, bucket_micros=HOUR)
+    d = x.where(F.col("next_t").isNotNull()).select(
+        F.col("event_type").alias("etapa"), ((F.col("next_t") - F.col("t")) / 1_000_000).cast("long").alias("dur_s"))
+    h = d.groupBy("etapa", "dur_s").agg(F.count(F.lit(1)).alias("_w"))
+    return h.groupBy("etapa").agg(
+        F.sum("_w").cast("bigint").alias("n"),
+        (F.sum(F.col("dur_s") * F.col("_w")) / F.sum("_w")).alias("mean"),
+        F.percentile("dur_s", F.lit(0.5), F.col("_w")).cast("double").alias("median"),
+        F.percentile("dur_s", F.lit(0.9), F.col("_w")).cast("double").alias("p90"))
+
+
+def _signup_intervals(spark, sf):
+    s = _events(spark, sf).where(F.col("event_type") == "signup")
+    x = WN.next_in_sequence(s, "user_id", "t", "event_id", {"hasta_t": "t", "hasta": "ts"}, bucket_micros=DAY)
+    return x.select("user_id", F.col("event_id").alias("signup_id"), F.col("ts").alias("desde"),
+                    F.col("t").alias("desde_t"), "hasta", "hasta_t")
+
+
+_INTERVALS_SQL = """
+s AS (SELECT user_id, event_id AS signup_id, ts AS desde,
+             lead(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS hasta
+      FROM events WHERE event_type = 'signup')"""
+
+
+@register("tenure_intervals", sql=f"""
+WITH {_INTERVALS_SQL}
+SELECT user_id, signup_id, desde, hasta, (epoch_us(hasta) - epoch_us(desde)) // 1000000 AS tenure_s,
+       hasta IS NULL AS vigente
+FROM s
+""")
+def tenure_intervals(spark, sf):
+    """Sequential assignment intervals: each starts where the previous ends
+    (``hasta`` = next start), tenure, and the current (open) one (WIN-4/5)."""
+    x = _signup_intervals(spark, sf)
+    return x.select("user_id", "signup_id", "desde", "hasta",
+                    ((F.col("hasta_t") - F.col("desde_t")) / 1_000_000).cast("long").alias("tenure_s"),
+                    F.col("hasta").isNull().alias("vigente"))
+
+
+@register("interval_join", sql=f"""
+WITH {_INTERVALS_SQL},
+p AS (SELECT event_id, user_id, ts FROM events WHERE event_type = 'purchase')
+SELECT p.event_id, p.user_id, p.ts, s.signup_id
+FROM p LEFT JOIN s ON p.user_id = s.user_id AND s.desde <= p.ts AND (s.hasta IS NULL OR p.ts < s.hasta)
+""")
+def interval_join(spark, sf):
+    """Which assignment interval [desde, hasta) held each purchase (JN-9)."""
+    iv = _signup_intervals(spark, sf)
+    p = _events(spark, sf).where(F.col("event_type") == "purchase").select("event_id", "user_id", "ts", "t")
+    m = MT.interval_join(p, iv, "user_id", "t", "desde_t", "hasta_t", "signup_id",
+                         {"signup_id": "signup_id"}, bucket=DAY)
+    return m.select("event_id", "user_id", "ts", "signup_id")
+
+
+@register("asof_assignment", sql="""
+WITH s AS (SELECT user_id, event_id AS signup_id, ts AS desde FROM events WHERE event_type = 'signup'),
+e AS (SELECT event_id, user_id, ts FROM events)
+SELECT e.event_id, e.user_id, e.ts, s.signup_id, s.desde
+FROM e ASOF LEFT JOIN s ON e.user_id = s.user_id AND e.ts >= s.desde
+""")
+def asof_assignment(spark, sf):
+    """Assignment in force at each event's time: latest signup at or before it (JN-10)."""
+    e = _events(spark, sf).select("event_id", "user_id", "ts", "t")
+    s = (_events(spark, sf).where(F.col("event_type") == "signup")
+         .select("user_id", F.col("event_id").alias("signup_id"), F.col("ts").alias("desde"), "t"))
+    m = MT.asof_join(e, s, "user_id", "t", "t", "signup_id", {"signup_id": "signup_id", "desde": "desde"}, bucket=DAY)
+    return m.select("event_id", "user_id", "ts", "signup_id", "desde")
+
+
+_STAGE_VALUES = ", ".join(f"({i + 1}, '{s}')" for i, s in enumerate(STAGES))
+
+
+@register("funnel", sql=f"""
+WITH st AS (SELECT * FROM (VALUES {_STAGE_VALUES}) v(orden, etapa)),
+u AS (SELECT event_type AS etapa, COUNT(DISTINCT user_id) AS usuarios FROM events GROUP BY event_type)
+SELECT st.orden, st.etapa, COALESCE(u.usuarios, 0) AS usuarios,
+       COALESCE(u.usuarios, 0)::DOUBLE / NULLIF((SELECT usuarios FROM u WHERE etapa = '{STAGES[0]}'), 0)::DOUBLE AS conversion
+FROM st LEFT JOIN u ON st.etapa = u.etapa
+""")
+def funnel(spark, sf):
+    """Stage volumes (distinct users per stage) and conversion from the first stage (AGG-21)."""
+    e = Tables(spark, sf).events("user_id", "event_type").where(F.col("event_type").isin(*STAGES))
+    u = e.groupBy(F.col("event_type").alias("etapa")).agg(F.count_distinct("user_id").alias("usuarios"))
+    st = spark.createDataFrame([(i + 1, s) for i, s in enumerate(STAGES)], "orden int, etapa string")
+    x = st.join(u, "etapa", "left").select("orden", "etapa", F.coalesce("usuarios", F.lit(0)).alias("usuarios"))
+    first = x.where(F.col("orden") == 1).select(F.max("usuarios")).scalar()
+    return x.withColumn("conversion", F.try_divide(F.col("usuarios").cast("double"), first.cast("double")))
+
+
+@register("trailing_rate", sql=f"""
+SELECT event_id, user_id, ts,
+       COUNT(*) OVER (PARTITION BY user_id ORDER BY ts RANGE BETWEEN INTERVAL {LIMIT_WINDOW_S} SECOND PRECEDING
+                      AND CURRENT ROW) AS n_trailing,
+       COUNT(*) OVER (PARTITION BY user_id ORDER BY ts RANGE BETWEEN INTERVAL {LIMIT_WINDOW_S} SECOND PRECEDING
+                      AND CURRENT ROW) > {LIMIT_MAX} AS excede
+FROM events
+""")
+def trailing_rate(spark, sf):
+    """Events of the same user in the trailing window, inclusive (STR-2): the
+    plain-SQL upper bound of the limiter.  Halo buckets keep a hot user split."""
+    e = _events(spark, sf).select("event_id", "user_id", "ts", "t")
+    x = WN.trailing_count(e, "user_id", "t", LIMIT_WINDOW_S * 1_000_000, DAY)
+    return x.select("event_id", "user_id", "ts", "n_trailing", (F.col("n_trailing") > LIMIT_MAX).alias("excede"))
+
+
+@register("limiter_batch")
+def limiter_batch(spark, sf):
+    """Accept/reject per request under the sliding-window + daily-cap rule (STR-1)."""
+    e = _events(spark, sf).select("event_id", "user_id", "t")
+    return limit_batch(e, window_s=LIMIT_WINDOW_S, max_hits=LIMIT_MAX, day_max=LIMIT_DAY)
