@@ -1 +1,101 @@
-"""placeholder"""
+"""Model family: delay model metrics (ML-1..6), drift (ML-11), priority index (ML-12)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from judicata.functions.dates import month_of_yyyymm
+from judicata.ml import delay_model as DM
+from judicata.operators import windows as WN
+from judicata.plans import register
+from judicata.plans.common import CASE_LINES_SQL, case_lines, cases, flow_aggs
+from judicata.tables import Tables
+
+CAT = ["tipo", "especialidad", "corte", "l_returnflag", "l_linestatus"]
+NUM = ["mes_anio"]
+
+
+@register("delay_model_metrics")
+def delay_model_metrics(spark, sf):
+    """Hold-out metrics of the gradient-boosted delay model (ML-2..5)."""
+    df = _features(spark, sf)
+    _, _, m = DM.fit_and_score(df, ["o_orderkey", "l_linenumber"], CAT, NUM, "dias")
+    return m
+
+
+def _features(spark, sf):
+    t = Tables(spark, sf)
+    c = cases(spark, sf)
+    li = t.lineitem("l_orderkey", "l_linenumber", "l_shipdate", "l_returnflag", "l_linestatus")
+    x = c.join(li, c.o_orderkey == li.l_orderkey)
+    x = x.withColumn("dias", F.datediff(F.to_date("l_shipdate"), F.to_date("o_orderdate")))
+    x = x.where(F.col("dias").between(1, 998))
+    yyyymm = F.year("o_orderdate") * 100 + F.month("o_orderdate")
+    x = x.withColumn("mes_anio", month_of_yyyymm(yyyymm).cast("double"))
+    return x.select("o_orderkey", "l_linenumber", *CAT, *NUM, F.col("dias").cast("double").alias("dias"))
+
+
+BUCKET_WIDTH = 50_000.0
+N_BUCKETS = 10
+SPLIT_YEAR = 1998
+
+
+@register("drift_psi", sql=f"""
+WITH b AS (SELECT CAST(least(floor(o_totalprice / {BUCKET_WIDTH}), {N_BUCKETS - 1}) AS INTEGER) AS bucket,
+                  year(o_orderdate) < {SPLIT_YEAR} AS antes FROM orders),
+c AS (SELECT bucket, COUNT(*) FILTER (WHERE antes) AS n_a, COUNT(*) FILTER (WHERE NOT antes) AS n_b FROM b GROUP BY bucket),
+s AS (SELECT *, n_a::DOUBLE / (SELECT sum(n_a) FROM c)::DOUBLE AS share_a,
+                n_b::DOUBLE / (SELECT sum(n_b) FROM c)::DOUBLE AS share_b FROM c),
+p AS (SELECT *, CASE WHEN share_a > 0 AND share_b > 0 THEN (share_a - share_b) * ln(share_a / share_b) END AS psi_i FROM s)
+SELECT *, (SELECT sum(psi_i) FROM p) AS psi_total FROM p
+""")
+def drift_psi(spark, sf):
+    """Population stability of the case-value distribution before vs. after a year (ML-11)."""
+    o = Tables(spark, sf).orders("o_totalprice", "o_orderdate")
+    b = o.select(F.least(F.floor(F.col("o_totalprice") / BUCKET_WIDTH), F.lit(N_BUCKETS - 1)).cast("int").alias("bucket"),
+                 (F.year("o_orderdate") < SPLIT_YEAR).alias("antes"))
+    c = b.groupBy("bucket").agg(F.count_if(F.col("antes")).alias("n_a"), F.count_if(~F.col("antes")).alias("n_b"))
+    return DM.psi(c, "bucket", "n_a", "n_b")
+
+
+# Weights of the priority index components.
+WEIGHTS = {"carga": 0.4, "atraso": 0.3, "demora": 0.3}
+
+
+@register("priority_index", sql=f"""
+WITH {CASE_LINES_SQL},
+f AS (SELECT corte, COUNT(*) AS ingresos, COUNT(*) FILTER (WHERE estado IN ('O', 'P')) AS pendientes FROM cases GROUP BY corte),
+j AS (SELECT n.n_name AS corte, COUNT(*) AS jueces FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey GROUP BY 1),
+d AS (SELECT corte, avg(dias) AS demora FROM case_lines WHERE dias >= 0 GROUP BY corte),
+m AS (SELECT f.corte, f.ingresos::DOUBLE / NULLIF(j.jueces, 0)::DOUBLE AS carga,
+             f.pendientes::DOUBLE / NULLIF(f.ingresos, 0)::DOUBLE AS atraso, d.demora
+      FROM f JOIN j ON f.corte = j.corte JOIN d ON f.corte = d.corte),
+s AS (SELECT min(carga) a0, max(carga) a1, min(atraso) b0, max(atraso) b1, min(demora) c0, max(demora) c1 FROM m),
+x AS (SELECT m.*,
+        {WEIGHTS['carga']} * (carga - a0) / CASE WHEN a1 - a0 = 0 THEN 1.0 ELSE a1 - a0 END
+      + {WEIGHTS['atraso']} * (atraso - b0) / CASE WHEN b1 - b0 = 0 THEN 1.0 ELSE b1 - b0 END
+      + {WEIGHTS['demora']} * (demora - c0) / CASE WHEN c1 - c0 = 0 THEN 1.0 ELSE c1 - c0 END AS indice
+      FROM m, s)
+SELECT corte, carga, atraso, demora, indice, row_number() OVER (ORDER BY indice DESC, corte) AS prioridad FROM x
+""")
+def priority_index(spark, sf):
+    """Investment-priority index per court: min-max scaled load per judge,
+    pending share and mean delay, weighted and ranked (ML-12).  Inputs are
+    one row per court (a fixed domain), so the final ordering is bounded."""
+    t = Tables(spark, sf)
+    f = cases(spark, sf).groupBy("corte").agg(*flow_aggs())
+    n = t.nation("n_nationkey", "n_name")
+    j = (t.supplier("s_nationkey").join(F.broadcast(n), F.col("s_nationkey") == n.n_nationkey)
+         .groupBy(F.col("n_name").alias("corte")).agg(F.count(F.lit(1)).alias("jueces")))
+    d = case_lines(spark, sf).where(F.col("dias") >= 0).groupBy("corte").agg(F.avg("dias").alias("demora"))
+    m = f.join(j, "corte").join(d, "corte").select(
+        "corte", F.try_divide(F.col("ingresos").cast("double"), F.col("jueces").cast("double")).alias("carga"),
+        F.try_divide(F.col("pendientes").cast("double"), F.col("ingresos").cast("double")).alias("atraso"), "demora")
+    idx = None
+    for col, w in WEIGHTS.items():
+        lo, hi = m.select(F.min(col)).scalar(), m.select(F.max(col)).scalar()
+        rng = hi - lo
+        term = F.lit(w) * (F.col(col) - lo) / F.when(rng == 0, F.lit(1.0)).otherwise(rng)
+        idx = term if idx is None else idx + term
+    m = m.withColumn("indice", idx)
+    return WN.rank_desc(m, "indice", "corte", out="prioridad")
