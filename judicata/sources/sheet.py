@@ -55,6 +55,10 @@ def _norm(h: Column) -> Column:
     return F.lower(F.trim(F.regexp_replace(h, r"\s+", " ")))
 
 
+def _contains(s: str):
+    return lambda h: _norm(h).contains(s)
+
+
 def profile_headers(headers: DataFrame, col: str = "header", synonyms=SYNONYMS, min_hits: int = MIN_HITS) -> DataFrame:
     """Per (file, sheet) row with an array of header names: which canonical
     columns are found (substring synonyms, first synonym wins), hit count and a
@@ -65,7 +69,7 @@ def profile_headers(headers: DataFrame, col: str = "header", synonyms=SYNONYMS,
     for canon, syns in synonyms.items():
         pick = None
         for s in syns:
-            hit = F.filter(col, lambda h, s=s: _norm(h).contains(s))
+            hit = F.filter(col, _contains(s))
             cand = F.element_at(hit, 1)
             pick = F.when(F.size(hit) > 0, cand) if pick is None else pick.when(F.size(hit) > 0, cand)
         out = out.withColumn(f"col_{canon}", pick)
