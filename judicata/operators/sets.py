@@ -20,6 +20,8 @@ def dedup_first(df: DataFrame, key, order, count_col: str | None = "n_copies") -
     key = _cols(key)
     order = _cols(order)
     rest = [c for c in df.columns if c not in key and c not in order]
+    if not order + rest:
+        return df.groupBy(*key).agg(F.count(F.lit(1)).alias(count_col)) if count_col else df.select(*key).distinct()
     rec = F.struct(*[F.col(c) for c in order + rest])
     aggs = [F.min(rec).alias("_r")]
     if count_col:
