@@ -108,3 +108,34 @@ def psi(a_counts: DataFrame, bucket: str, n_a: str, n_b: str) -> DataFrame:
                                      (F.col("share_a") - F.col("share_b")) * F.ln(F.col("share_a") / F.col("share_b"))))
     total = x.select(F.sum("psi_i")).scalar()
     return x.withColumn("psi_total", total)
+
+
+def risk_classifier(df: DataFrame, key_cols, cat_cols, num_cols, target: str, q: float = 0.75, **gbt):
+    """ML-8: label = target above its training p75; GBT classifier; hold-out AUC."""
+    from pyspark.ml.classification import GBTClassifier
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator
+    train, test = split(df, key_cols)
+    thr = train.select(F.percentile(F.col(target).cast("double"), q)).scalar()
+    train = train.withColumn("riesgo", (F.col(target) > thr).cast("double"))
+    test = test.withColumn("riesgo", (F.col(target) > thr).cast("double"))
+    keep = cap_categories(train, cat_cols)
+    train, test = apply_caps(train, keep), apply_caps(test, keep)
+    pipe = build_pipeline(cat_cols, num_cols, "riesgo", **gbt)
+    stages = pipe.getStages()[:-1]
+    params = dict(GBT_PARAMS)
+    params.update(gbt)
+    clf = GBTClassifier(featuresCol="features", labelCol="riesgo", seed=42, **params)
+    model = Pipeline(stages=[*stages, clf]).fit(train)
+    pred = model.transform(test)
+    auc = BinaryClassificationEvaluator(labelCol="riesgo", rawPredictionCol="rawPrediction").evaluate(pred)
+    return model, pred, auc
+
+
+def appeal_model(df: DataFrame, cat_cols, num_cols, label: str):
+    """ML-10: appeal / archive probability with logistic regression."""
+    from pyspark.ml.classification import LogisticRegression
+    idx = [StringIndexer(inputCol=c, outputCol=f"{c}_i", handleInvalid="keep") for c in cat_cols]
+    ohe = OneHotEncoder(inputCols=[f"{c}_i" for c in cat_cols], outputCols=[f"{c}_v" for c in cat_cols],
+                        handleInvalid="keep")
+    asm = VectorAssembler(inputCols=[f"{c}_v" for c in cat_cols] + list(num_cols), outputCol="features")
+    return Pipeline(stages=[*idx, ohe, asm, LogisticRegression(featuresCol="features", labelCol=label)]).fit(df)

@@ -135,11 +135,20 @@ def interval_join(points: DataFrame, intervals: DataFrame, key, point_t: str, st
     return m.select(*points.columns, *[F.when(ok, F.col(k)).alias(k) for k in payload])
 
 
-def interval_audit(intervals: DataFrame, key, start: str, end: str, tie: str) -> DataFrame:
-    """Per key: intervals, open intervals, overlaps with the next interval and gaps."""
+def interval_audit(intervals: DataFrame, key, start: str, end: str, tie: str, bucket: int | None = None) -> DataFrame:
+    """Per key: intervals, open intervals (more than one open interval means the
+    history disagrees with a single current assignment, JN-11), overlaps with
+    the next interval and gaps before it.
+
+    With ``bucket`` (``start``/``end`` as longs) the next interval is found by the
+    skew-safe :func:`judicata.operators.windows.next_in_sequence`."""
     key = _cols(key)
-    w = Window.partitionBy(*key).orderBy(start, tie)
-    x = intervals.withColumn("_next", F.lead(start).over(w))
+    if bucket is not None:
+        from judicata.operators.windows import next_in_sequence
+        x = next_in_sequence(intervals, key, start, tie, {"_next": start}, bucket)
+    else:
+        w = Window.partitionBy(*key).orderBy(start, tie)
+        x = intervals.withColumn("_next", F.lead(start).over(w))
     return x.groupBy(*key).agg(
         F.count(F.lit(1)).alias("n_intervals"),
         F.count_if(F.col(end).isNull()).alias("n_open"),

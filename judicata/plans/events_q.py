@@ -151,3 +151,30 @@ def limiter_batch(spark, sf):
     """Accept/reject per request under the sliding-window + daily-cap rule (STR-1)."""
     e = _events(spark, sf).select("event_id", "user_id", "t")
     return limit_batch(e, window_s=LIMIT_WINDOW_S, max_hits=LIMIT_MAX, day_max=LIMIT_DAY)
+
+
+OPEN_FROM_HOURS = 450.0
+
+
+@register("assignment_audit", sql=f"""
+WITH s AS (SELECT user_id, event_id, epoch_us(ts) AS desde_t,
+                  CASE WHEN value >= {OPEN_FROM_HOURS} THEN NULL
+                       ELSE epoch_us(ts) + CAST(floor(value * 3600000000.0) AS BIGINT) END AS hasta_t
+           FROM events WHERE event_type = 'signup'),
+n AS (SELECT *, lead(desde_t) OVER (PARTITION BY user_id ORDER BY desde_t, event_id) AS nxt FROM s)
+SELECT user_id, COUNT(*) AS n_intervals, COUNT(*) FILTER (WHERE hasta_t IS NULL) AS n_open,
+       COUNT(*) FILTER (WHERE nxt IS NOT NULL AND (hasta_t IS NULL OR hasta_t > nxt)) AS n_overlaps,
+       COUNT(*) FILTER (WHERE nxt IS NOT NULL AND hasta_t < nxt) AS n_gaps,
+       COUNT(*) FILTER (WHERE hasta_t IS NULL) > 1 AS inconsistente
+FROM n GROUP BY user_id
+""")
+def assignment_audit(spark, sf):
+    """Assignment intervals [start, start + duration) per person: overlaps with the
+    next assignment, gaps, open intervals, and the consistency rule that at most
+    one interval may be open (JN-11, WIN-5)."""
+    s = _events(spark, sf, "value").where(F.col("event_type") == "signup")
+    s = s.select("user_id", "event_id", F.col("t").alias("desde_t"),
+                 F.when(F.col("value") >= OPEN_FROM_HOURS, F.lit(None).cast("long"))
+                  .otherwise(F.col("t") + F.floor(F.col("value") * 3_600_000_000.0).cast("long")).alias("hasta_t"))
+    a = MT.interval_audit(s, "user_id", "desde_t", "hasta_t", "event_id", bucket=DAY)
+    return a.withColumn("inconsistente", F.col("n_open") > 1)

@@ -8,7 +8,7 @@ from judicata.functions.dates import month_of_yyyymm
 from judicata.ml import delay_model as DM
 from judicata.operators import windows as WN
 from judicata.plans import register
-from judicata.plans.common import CASE_LINES_SQL, case_lines, cases, flow_aggs
+from judicata.plans.common import CASE_LINES_SQL, CASES_SQL, case_lines, cases, flow_aggs
 from judicata.tables import Tables
 
 CAT = ["tipo", "especialidad", "corte", "l_returnflag", "l_linestatus"]
@@ -99,3 +99,75 @@ def priority_index(spark, sf):
         idx = term if idx is None else idx + term
     m = m.withColumn("indice", idx)
     return WN.rank_desc(m, "indice", "corte", out="prioridad")
+
+
+# ----------------------------------------------------------------- workload_forecast (ML-9)
+@register("workload_forecast", sql=f"""
+WITH {CASES_SQL},
+m AS (SELECT corte, anio, mes, COUNT(*) AS n FROM cases GROUP BY 1, 2, 3),
+full_years AS (SELECT anio FROM (SELECT anio, COUNT(DISTINCT mes) AS k FROM cases GROUP BY anio) WHERE k = 12),
+last AS (SELECT max(anio) AS l FROM full_years),
+y AS (SELECT corte, anio, sum(n) AS total FROM m WHERE anio IN (SELECT anio FROM full_years) GROUP BY 1, 2),
+s AS (SELECT corte, regr_slope(total::DOUBLE, anio::DOUBLE) AS pendiente FROM y GROUP BY corte)
+SELECT m.corte, m.mes, m.n AS base, s.pendiente, m.n + s.pendiente / 12.0 AS pronostico
+FROM m JOIN s ON m.corte = s.corte WHERE m.anio = (SELECT l FROM last)
+""")
+def workload_forecast(spark, sf):
+    """Next-year monthly filings per court: seasonal naive (same month of the last
+    complete year, FLT-14) plus a twelfth of the yearly linear trend (ML-9)."""
+    c = cases(spark, sf)
+    m = c.groupBy("corte", "anio", "mes").agg(F.count(F.lit(1)).alias("n"))
+    full = c.groupBy("anio").agg(F.count_distinct("mes").alias("k")).where(F.col("k") == 12).select("anio")
+    last = full.select(F.max("anio")).scalar()
+    y = m.join(full, "anio", "left_semi").groupBy("corte", "anio").agg(F.sum("n").alias("total"))
+    s = y.groupBy("corte").agg(F.regr_slope(F.col("total").cast("double"), F.col("anio").cast("double")).alias("pendiente"))
+    x = m.where(F.col("anio") == last).join(s, "corte", "inner")
+    return x.select("corte", "mes", F.col("n").alias("base"), "pendiente",
+                    (F.col("n") + F.col("pendiente") / 12.0).alias("pronostico"))
+
+
+# ----------------------------------------------------------------- weighted_rates (ML-13)
+@register("weighted_rates", sql="""
+SELECT r.r_name AS departamento, COUNT(*) AS n, sum(l.l_quantity) AS peso_total,
+       sum(l.l_quantity * CASE WHEN l.l_returnflag = 'R' THEN 1.0 ELSE 0.0 END) / sum(l.l_quantity) AS tasa_ponderada,
+       avg(CASE WHEN l.l_returnflag = 'R' THEN 1.0 ELSE 0.0 END) AS tasa_simple
+FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey
+JOIN nation n ON s.s_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey
+GROUP BY r.r_name
+""")
+def weighted_rates(spark, sf):
+    """Survey-style rates with expansion factors: sum(w*x)/sum(w) next to the
+    unweighted rate, per department (ML-13)."""
+    from judicata.operators.aggregate import weighted_mean
+    t = Tables(spark, sf)
+    n = t.nation("n_nationkey", "n_regionkey")
+    r = t.region("r_regionkey", "r_name")
+    terr = F.broadcast(n.join(r, n.n_regionkey == r.r_regionkey).select("n_nationkey", "r_name"))
+    li = t.lineitem("l_suppkey", "l_quantity", "l_returnflag")
+    s = t.supplier("s_suppkey", "s_nationkey")
+    x = li.join(s, li.l_suppkey == s.s_suppkey).join(terr, F.col("s_nationkey") == F.col("n_nationkey"))
+    flag = F.when(F.col("l_returnflag") == "R", F.lit(1.0)).otherwise(F.lit(0.0))
+    return x.groupBy(F.col("r_name").alias("departamento")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("l_quantity").alias("peso_total"),
+        weighted_mean(flag, "l_quantity").alias("tasa_ponderada"), F.avg(flag).alias("tasa_simple"))
+
+
+# ----------------------------------------------------------------- risk_labels (ML-8)
+@register("risk_labels", sql=f"""
+WITH {CASE_LINES_SQL},
+v AS (SELECT tipo, dias FROM case_lines WHERE dias BETWEEN 1 AND 998),
+q AS (SELECT quantile_cont(dias, 0.75) AS p75 FROM v)
+SELECT tipo, COUNT(*) AS n, COUNT(*) FILTER (WHERE dias > (SELECT p75 FROM q)) AS n_riesgo,
+       (COUNT(*) FILTER (WHERE dias > (SELECT p75 FROM q)))::DOUBLE / COUNT(*)::DOUBLE AS proporcion_riesgo,
+       (SELECT p75 FROM q) AS umbral
+FROM v GROUP BY tipo
+""")
+def risk_labels(spark, sf):
+    """Risk label = delay above the p75 of valid delays (ML-8): the threshold
+    is an exact percentile over the (days -> count) histogram."""
+    v = case_lines(spark, sf).where(F.col("dias").between(1, 998)).select("tipo", "dias")
+    h = v.groupBy("dias").agg(F.count(F.lit(1)).alias("_w"))
+    p75 = h.select(F.percentile("dias", F.lit(0.75), F.col("_w")).cast("double")).scalar()
+    return v.groupBy("tipo").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("dias") > p75).alias("n_riesgo")) \
+            .withColumn("proporcion_riesgo", F.col("n_riesgo").cast("double") / F.col("n").cast("double")) \
+            .withColumn("umbral", p75)

@@ -133,3 +133,32 @@ def duplicate_feed(spark, sf):
     for f in feeds[1:]:
         allf = allf.unionByName(f)
     return S.duplicate_feeds(allf, "dataset", "anio", "total").select("anio", "total", "dataset_a", "dataset_b")
+
+
+@register("coverage_summary", sql="""
+WITH d AS (SELECT 'ordenes' AS dataset, CAST(o_orderdate AS DATE) AS f FROM orders
+           UNION ALL SELECT 'lineas', CAST(l_shipdate AS DATE) FROM lineitem
+           UNION ALL SELECT 'eventos', CAST(ts AS DATE) FROM events),
+p AS (SELECT dataset, CAST(min(year(f)) AS INTEGER) AS anio_min, CAST(max(year(f)) AS INTEGER) AS anio_max,
+             COUNT(DISTINCT year(f)) AS n_anios, strftime(max(f), '%Y-%m-%d') AS fecha_corte FROM d GROUP BY dataset)
+SELECT dataset, anio_min, anio_max, n_anios, fecha_corte,
+       'Nacional, ' || anio_min || '-' || anio_max AS cobertura FROM p
+UNION ALL
+SELECT 'todos', CAST(min(year(f)) AS INTEGER), CAST(max(year(f)) AS INTEGER), COUNT(DISTINCT year(f)),
+       strftime(max(f), '%Y-%m-%d'), 'Nacional, ' || min(year(f)) || '-' || max(year(f)) FROM d
+""")
+def coverage_summary(spark, sf):
+    """Coverage per dataset (year range, distinct years, cut-off, coverage text)
+    and across datasets: global max cut-off and the union of years (AGG-18/20, SET-3, PRJ-23)."""
+    from judicata.functions.provenance import coverage_text
+    t = Tables(spark, sf)
+    d = (t.orders("o_orderdate").select(F.lit("ordenes").alias("dataset"), F.to_date("o_orderdate").alias("f"))
+         .unionByName(t.lineitem("l_shipdate").select(F.lit("lineas").alias("dataset"), F.to_date("l_shipdate").alias("f")))
+         .unionByName(t.events("ts").select(F.lit("eventos").alias("dataset"), F.to_date("ts").alias("f"))))
+    y = F.year("f")
+    aggs = [F.min(y).cast("int").alias("anio_min"), F.max(y).cast("int").alias("anio_max"),
+            F.count_distinct(y).alias("n_anios"), F.date_format(F.max("f"), "yyyy-MM-dd").alias("fecha_corte")]
+    per = d.groupBy("dataset").agg(*aggs)
+    allr = d.agg(F.lit("todos").alias("dataset"), *aggs)
+    out = per.unionByName(allr)
+    return out.withColumn("cobertura", coverage_text("anio_min", "anio_max"))
