@@ -119,3 +119,28 @@ def breakdown(df: DataFrame, dims, aggs, dim_name: str = "dimension", value_name
         value = F.when(cond, F.col(d).cast("string")) if value is None else value.when(cond, F.col(d).cast("string"))
     return g.select(name.alias(dim_name), value.alias(value_name),
                     *[c for c in g.columns if c not in dims and c != "_gid"])
+
+
+def exact_slope(y, x) -> Column:
+    """Least-squares slope of integer series from exact integer sums:
+    (n*Sxy - Sx*Sy) / (n*Sxx - Sx^2).  One final division, so a flat series
+    gives exactly 0 and the value does not depend on summation order (unlike
+    ``regr_slope``'s floating-point updates).  Usable as an aggregate or over a
+    window."""
+    yc = (F.col(y) if isinstance(y, str) else y).cast("bigint")
+    xc = (F.col(x) if isinstance(x, str) else x).cast("bigint")
+    n = F.count(F.lit(1))
+    num = n * F.sum(xc * yc) - F.sum(xc) * F.sum(yc)
+    den = n * F.sum(xc * xc) - F.sum(xc) * F.sum(xc)
+    return F.try_divide(num.cast("double"), den.cast("double"))
+
+
+def exact_slope_over(y, x, window) -> Column:
+    """:func:`exact_slope` evaluated over a window specification."""
+    yc = (F.col(y) if isinstance(y, str) else y).cast("bigint")
+    xc = (F.col(x) if isinstance(x, str) else x).cast("bigint")
+    n = F.count(F.lit(1)).over(window)
+    sx, sy = F.sum(xc).over(window), F.sum(yc).over(window)
+    num = n * F.sum(xc * yc).over(window) - sx * sy
+    den = n * F.sum(xc * xc).over(window) - sx * sx
+    return F.try_divide(num.cast("double"), den.cast("double"))

@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from judicata.operators.aggregate import exact_slope_over
+
 UNB = Window.unboundedPreceding
 
 
@@ -123,7 +125,7 @@ def year_over_year(df: DataFrame, key, year: str, value: str) -> DataFrame:
               .withColumn("delta", F.col(value) - F.col("prev"))
               .withColumn("pct_change", F.try_divide((F.col(value) - F.col("prev")).cast("double") * 100.0,
                                                      F.col("prev").cast("double")))
-              .withColumn("slope", F.regr_slope(F.col(value).cast("double"), F.col(year).cast("double")).over(wk)))
+              .withColumn("slope", exact_slope_over(value, year, wk)))
 
 
 def peer_benchmark(df: DataFrame, peer, metric: str) -> DataFrame:

@@ -108,7 +108,9 @@ m AS (SELECT corte, anio, mes, COUNT(*) AS n FROM cases GROUP BY 1, 2, 3),
 full_years AS (SELECT anio FROM (SELECT anio, COUNT(DISTINCT mes) AS k FROM cases GROUP BY anio) WHERE k = 12),
 last AS (SELECT max(anio) AS l FROM full_years),
 y AS (SELECT corte, anio, sum(n) AS total FROM m WHERE anio IN (SELECT anio FROM full_years) GROUP BY 1, 2),
-s AS (SELECT corte, regr_slope(total::DOUBLE, anio::DOUBLE) AS pendiente FROM y GROUP BY corte)
+s AS (SELECT corte, (COUNT(*) * sum(anio * total) - sum(anio) * sum(total))::DOUBLE
+                    / NULLIF(COUNT(*) * sum(anio * anio) - sum(anio) * sum(anio), 0)::DOUBLE AS pendiente
+      FROM y GROUP BY corte)
 SELECT m.corte, m.mes, m.n AS base, s.pendiente, m.n + s.pendiente / 12.0 AS pronostico
 FROM m JOIN s ON m.corte = s.corte WHERE m.anio = (SELECT l FROM last)
 """)
@@ -120,7 +122,8 @@ def workload_forecast(spark, sf):
     full = c.groupBy("anio").agg(F.count_distinct("mes").alias("k")).where(F.col("k") == 12).select("anio")
     last = full.select(F.max("anio")).scalar()
     y = m.join(full, "anio", "left_semi").groupBy("corte", "anio").agg(F.sum("n").alias("total"))
-    s = y.groupBy("corte").agg(F.regr_slope(F.col("total").cast("double"), F.col("anio").cast("double")).alias("pendiente"))
+    from judicata.operators.aggregate import exact_slope
+    s = y.groupBy("corte").agg(exact_slope("total", "anio").alias("pendiente"))
     x = m.where(F.col("anio") == last).join(s, "corte", "inner")
     return x.select("corte", "mes", F.col("n").alias("base"), "pendiente",
                     (F.col("n") + F.col("pendiente") / 12.0).alias("pronostico"))

@@ -70,8 +70,9 @@ SELECT corte, anio, ingresos,
        ingresos - lag(ingresos) OVER (PARTITION BY corte ORDER BY anio) AS delta,
        (ingresos - lag(ingresos) OVER (PARTITION BY corte ORDER BY anio))::DOUBLE * 100.0
          / NULLIF(lag(ingresos) OVER (PARTITION BY corte ORDER BY anio), 0)::DOUBLE AS pct_change,
-       regr_slope(ingresos::DOUBLE, anio::DOUBLE) OVER (PARTITION BY corte) AS slope
-FROM y
+       (COUNT(*) OVER w * sum(anio * ingresos) OVER w - sum(anio) OVER w * sum(ingresos) OVER w)::DOUBLE
+         / NULLIF(COUNT(*) OVER w * sum(anio * anio) OVER w - sum(anio) OVER w * sum(anio) OVER w, 0)::DOUBLE AS slope
+FROM y WINDOW w AS (PARTITION BY corte)
 """)
 def yoy_trend(spark, sf):
     """Year-over-year change and linear trend per court (WIN-9)."""
