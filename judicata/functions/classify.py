@@ -39,6 +39,7 @@ def first_non_null_upper(*cols, default: str = "NA", width: int = 40) -> Column:
 
 
 def court_type(c) -> Column:
+    """Court-type class, first hit wins in the fixed order (PRJ-17)."""
     s = F.upper(F.coalesce(_c(c).cast("string"), F.lit("NA")))
     out = None
     for needles, label in COURT_TYPES:
@@ -59,12 +60,13 @@ def alert_level(age) -> Column:
 
 
 def speciality_flag(c) -> Column:
+    """red for Crimen/Anticorrup (regex), amber for exactly Penal (PRJ-19)."""
     s = _c(c).cast("string")
     return F.when(s.rlike("Crimen|Anticorrup"), "red").when(s == "Penal", "amber")
 
 
 def threshold_flag(c, limit: float) -> Column:
-    """Strict ``>`` threshold flag (congestion > 3 or 2.5, share > 0.40, delay > 365)."""
+    """Strict ``>`` threshold flag (congestion > 3 or 2.5, share > 0.40, delay > 365) (PRJ-20)."""
     return _c(c) > F.lit(limit)
 
 

@@ -73,7 +73,7 @@ def days_between(end, start) -> Column:
 
 
 def month_number(c) -> Column:
-    """Month name -> 1..12; unknown -> 0."""
+    """Month name -> 1..12; unknown -> 0 (PRJ-13)."""
     pairs = []
     for i, m in enumerate(MONTHS, start=1):
         pairs += [F.lit(m), F.lit(i)]
@@ -84,7 +84,7 @@ def month_number(c) -> Column:
 
 
 def month_of_yyyymm(c) -> Column:
-    """Month of an ``AAAAMM`` number: mod 100, null -> 0, clipped to 0..12."""
+    """Month of an ``AAAAMM`` number: mod 100, null -> 0, clipped to 0..12 (PRJ-14)."""
     m = F.pmod(F.trim(_c(c).cast("string")).try_cast("bigint"), F.lit(100))
     return F.least(F.greatest(F.coalesce(m, F.lit(0)), F.lit(0)), F.lit(12)).cast("int")
 

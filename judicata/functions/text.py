@@ -53,3 +53,23 @@ def search_match(cols, query: str) -> Column:
     """Case-insensitive substring search over the concatenation of ``cols``."""
     blob = F.lower(F.concat_ws("", *[_c(c).cast("string") for c in cols]))
     return blob.contains(query.lower())
+
+
+def label(*parts) -> Column:
+    """Label composition, e.g. ``label(lit("CSJ "), col("nombre"))`` (PRJ-27)."""
+    return F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
+
+
+def code_in_range(c, lo: str, hi: str, width: int = 3) -> Column:
+    """Cause-code range on the first ``width`` characters, e.g. ICD-10 X85..Y09 (FLT-16)."""
+    return F.substring(F.upper(F.trim(_c(c))), 1, width).between(lo, hi)
+
+
+def newest_first(arr) -> Column:
+    """Timeline newest first: the array of a bounded history, reversed (WIN-6)."""
+    return F.reverse(_c(arr))
+
+
+def current_of(arr) -> Column:
+    """Current element of a history = its last element (WIN-4)."""
+    return F.element_at(_c(arr), -1)

@@ -178,7 +178,7 @@ EVENT_KEY = ["EXPEDIENTE", "instancia", "FECHA_INGRESO", "FECHA_SENTENCIA", "DIA
 
 def case_delay(processes: dict[str, tuple[DataFrame, str]], edges=DELAY_EDGES,
                fuente: str = "Poder Judicial (microdatos por expediente)") -> dict[str, DataFrame]:
-    """Case-level delay for several processes: drop personal columns first,
+    """Case-level delay (IND-14) for several processes: drop personal columns first,
     collapse per-party duplicates to one ruling event, keep delays >= 0, profile
     (n, mean, min, max, median, p90) and a fixed-bucket histogram per process."""
     parts = []
@@ -212,7 +212,7 @@ def constitutional_court(ing: DataFrame, pub: DataFrame, years=C.YEAR_RANGES["co
     """Filed and published cases per year (full outer merge), filings per type,
     real delay = publication - filing per type (n >= 30) and global."""
     i = C.drop_private(ing).select(yyyymmdd("FEC_INGRESO").alias("fec_ing"), F.trim("CDES_TIPOPROCESO").alias("tipo"))
-    i = i.withColumn("anio", F.year("fec_ing")).where(F.col("anio").between(*years))
+    i = i.withColumn("anio", F.year("fec_ing")).where(F.col("anio").between(*years))     # FLT-3
     p = C.drop_private(pub).select(yyyymmdd("FEC_INGRESO").alias("fec_ing"), yyyymmdd("PUB_PAGWEB").alias("fec_pub"),
                                    F.trim("CDES_TIPOPROCESO").alias("tipo"),
                                    *([yyyymmdd("FEC_DEVPJ_1").alias("fec_dev")] if "FEC_DEVPJ_1" in pub.columns else []))
@@ -301,7 +301,7 @@ def police_lines(lines: DataFrame, year: str = "anio", titles=CRIME_TITLES, top:
     per_year = per_year.withColumn("perdida", F.lit(1.0) - F.try_divide(F.col("con_generico").cast("double"),
                                                                          F.col("lineas").cast("double")))
     by_type = x.where(F.col("tipo").isNotNull()).groupBy("anio", "tipo").agg(F.count(F.lit(1)).alias("cantidad"))
-    totals = by_type.groupBy("tipo").agg(F.sum("cantidad").cast("bigint").alias("cantidad"))
+    totals = by_type.groupBy("tipo").agg(F.sum("cantidad").cast("bigint").alias("cantidad"))   # AGG-17
     checks = per_year.agg(F.count_if(F.col("con_generico") < 0).alias("negativos"))
     return {"por_anio": per_year, "por_anio_tipo": by_type,
             "top_tipos": T.top_k(totals, [F.col("cantidad").desc(), F.col("tipo")], top),
@@ -317,7 +317,7 @@ def crimes_by_department(raw: DataFrame, official: DataFrame, years=C.YEAR_RANGE
                          "departamento": fold_accents(F.col("dpto_pjfs"))})
     off = F.broadcast(official.select(fold_accents(F.col(official.columns[0])).alias("departamento")).distinct())
     bad = C.bad_row_mask(["cantidad_n"], "anio", *years)
-    ok = x.where(~bad).join(off, "departamento", "left_semi")
+    ok = x.where(~bad).join(off, "departamento", "left_semi")       # FLT-6 / JN-3
     g = ok.groupBy("anio", "departamento").agg(F.sum("cantidad_n").cast("bigint").alias("cantidad"))
     from judicata.sinks.writers import to_year_map
     return {"por_anio_departamento": g, "mapa": to_year_map(g, "anio", "departamento", "cantidad"),
@@ -343,7 +343,7 @@ def delay_model_features(micro: DataFrame) -> DataFrame:
         court_type(F.coalesce(*col("INSTANCIA", "instancia"))).alias("instancia_tipo"),
         F.coalesce(*col("proceso"), F.lit("NA")).alias("proceso"),
         month_of_yyyymm(F.coalesce(*col("MES"))).alias("mes_anio"))
-    return x.where(F.col("dias").between(1, 998))
+    return x.where(F.col("dias").between(1, 998))     # FLT-5: drops the 999 sentinel and 0
 
 
 # ------------------------------------------------------------------ JOB-15
@@ -375,5 +375,5 @@ def court_rollups(cortes: DataFrame, departamentos: DataFrame | None = None) ->
 
 # ------------------------------------------------------------------ JOB-16
 def sources_quality(manifest: DataFrame, magnitudes: DataFrame) -> DataFrame:
-    """Manifest rows with their magnitude (sum over yearly records, meaning per dataset)."""
+    """Manifest rows with their magnitude (AGG-19: sum over yearly records; its meaning differs per dataset)."""
     return manifest.join(magnitudes.groupBy("id").agg(F.sum("valor").alias("magnitud")), "id", "left")

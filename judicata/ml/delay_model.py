@@ -33,7 +33,7 @@ def split(df: DataFrame, key_cols, test_pct: int = 20, seed: int = 42):
 
 
 def cap_categories(train: DataFrame, cols, max_categories: int = 40):
-    """Per column, the (max_categories - 1) most frequent levels of the training
+    """ML-3: per column, the (max_categories - 1) most frequent levels of the training
     data; the lookup is one small aggregate per column (levels, not rows)."""
     keep = {}
     for c in cols:
@@ -50,6 +50,7 @@ def apply_caps(df: DataFrame, keep: dict) -> DataFrame:
     return df
 
 
+# ML-3 / ML-4: indexers, one-hot with unknown kept, assembler, gradient-boosted trees
 def build_pipeline(cat_cols, num_cols, target: str, seed: int = 42, validation_col: str | None = None, **gbt):
     params = dict(GBT_PARAMS)
     params.update(gbt)

@@ -27,7 +27,8 @@ def value_histogram(df: DataFrame, group, value: str) -> DataFrame:
 
 
 def quantile_aggs(value: str, probs=(0.5, 0.9), names=("median", "p90"), weight: str = W) -> list[Column]:
-    """n, mean, min, max and exact linear-interpolated quantiles over a histogram."""
+    """n, mean, min, max (AGG-7) and exact linear-interpolated quantiles, median and p90
+    (AGG-5, AGG-6), over a histogram."""
     v, w = F.col(value), F.col(weight)
     out = [F.sum(w).alias("n"),
            F.try_divide(F.sum(v * w).cast("double"), F.sum(w).cast("double")).alias("mean"),
@@ -39,7 +40,7 @@ def quantile_aggs(value: str, probs=(0.5, 0.9), names=("median", "p90"), weight:
 
 def quantile_profile(df: DataFrame, group: str, value: str, probs=(0.5, 0.9), names=("median", "p90"),
                      min_n: int = 0, global_label: str | None = None) -> DataFrame:
-    """Per-group and global delay profile in one result (AGG-5..8, FLT-11).
+    """Per-group and global delay profile in one result (AGG-8; FLT-11).
 
     ``min_n`` applies to groups only; the global row (``group`` null, or
     ``global_label``) always appears."""

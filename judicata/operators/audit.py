@@ -39,3 +39,30 @@ def conservation(rollups: dict[str, DataFrame], measure: str, reference: str) ->
         out = out.unionByName(p)
     ref = rollups[reference].select(F.sum(measure).cast("bigint")).scalar()
     return out.withColumn("cuadra", F.col("total") == ref)
+
+
+def identity_violations(df: DataFrame, checks: dict[str, tuple]) -> DataFrame:
+    """Arithmetic identities (AUD-2), e.g. ``{"ingresos": (sin + con, t + e)}``:
+    rows where |lhs - rhs| > 0, per identity, in one pass."""
+    aggs = [F.count_if(F.abs(lhs - rhs) > 0).alias(name) for name, (lhs, rhs) in checks.items()]
+    return df.agg(*aggs).unpivot([], list(checks), "identidad", "violaciones")
+
+
+def magnitude_check(actual: DataFrame, reference: DataFrame, key: str, value: str, band: float = 10.0) -> DataFrame:
+    """Order-of-magnitude check against reference values (AUD-4): flagged when the
+    ratio actual/reference falls outside [1/band, band]."""
+    x = actual.join(reference.withColumnRenamed(value, "_ref"), key, "left")
+    r = F.try_divide(F.col(value).cast("double"), F.col("_ref").cast("double"))
+    return x.withColumn("ratio", r).withColumn("fuera_de_banda", (r > band) | (r < 1.0 / band))
+
+
+def standard_gap(df: DataFrame, standards: DataFrame, key: str, measure: str, standard: str = "estandar") -> DataFrame:
+    """Resolved minus the standard of the organ type (JN-14); organs without a standard keep null."""
+    return df.join(standards, key, "left").withColumn("brecha", F.col(measure) - F.col(standard))
+
+
+def crosswalk(df: DataFrame, xwalk: DataFrame, code: str, to: str) -> tuple[DataFrame, DataFrame]:
+    """Territory code crosswalk (JN-15): (mapped rows via left join, uncovered codes via anti join)."""
+    mapped = df.join(xwalk.select(code, to), code, "left")
+    uncovered = df.select(code).distinct().join(xwalk.select(code), code, "left_anti")
+    return mapped, uncovered

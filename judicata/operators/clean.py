@@ -61,7 +61,7 @@ def find_col(columns, *needles: str) -> str | None:
 
 
 def resolve_year(df: DataFrame, aliases=YEAR_ALIASES) -> Column:
-    """Year as int from the first alias present (tolerant parse)."""
+    """Year as int from the first alias present (tolerant parse) (PRJ-11)."""
     lower = {c.strip().lower(): c for c in df.columns}
     for a in aliases:
         if a.lower() in lower:
@@ -91,7 +91,7 @@ def split_valid(df: DataFrame, mask: Column, name: str = "_bad"):
 
 
 def rule_counts(df: DataFrame, rules: dict[str, Column], total: str = "read") -> DataFrame:
-    """Audit table (rule, n) from one aggregation pass over ``df``."""
+    """Audit table (rule, n) from one aggregation pass over ``df`` (FLT-2)."""
     aggs = [F.count(F.lit(1)).alias(total)] + [F.count_if(F.coalesce(c, F.lit(False))).alias(r)
                                                 for r, c in rules.items()]
     wide = df.agg(*aggs)
@@ -116,7 +116,7 @@ def latest_only(df: DataFrame, col: str) -> DataFrame:
 
 
 def drop_totals(df: DataFrame, label: str, totals=("NACIONAL", "", "NAN")) -> DataFrame:
-    """Drop total/blank rows of a sheet by their normalised label."""
+    """Drop total/blank rows of a sheet by their normalised label (FLT-10)."""
     t = F.upper(F.trim(F.coalesce(F.col(label).cast("string"), F.lit(""))))
     return df.where(~t.isin(*totals))
 

@@ -154,3 +154,14 @@ def interval_audit(intervals: DataFrame, key, start: str, end: str, tie: str, bu
         F.count_if(F.col(end).isNull()).alias("n_open"),
         F.count_if(F.col("_next").isNotNull() & (F.col(end).isNull() | (F.col(end) > F.col("_next")))).alias("n_overlaps"),
         F.count_if(F.col("_next").isNotNull() & (F.col(end) < F.col("_next"))).alias("n_gaps"))
+
+
+def dictionary_lookup(df: DataFrame, col: str, dictionary: DataFrame, key: str, value: str, out: str,
+                      default: str | None = None) -> DataFrame:
+    """Standardise a coded column through a dictionary (crime type -> security
+    theme, service type, court-name standardisation) by a left join on the
+    letters-only key (PRJ-29).  Dictionaries are reference tables; AQE decides
+    from their measured size whether to broadcast."""
+    d = dictionary.select(letters_key(F.col(key)).alias("_k"), F.col(value).alias(out)).dropDuplicates(["_k"])
+    x = df.withColumn("_k", letters_key(F.col(col))).join(d, "_k", "left").drop("_k")
+    return x.withColumn(out, F.coalesce(F.col(out), F.lit(default))) if default is not None else x

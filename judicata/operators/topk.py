@@ -42,3 +42,15 @@ def arg_max(df: DataFrame, group, metric: str, tie: str, payload) -> DataFrame:
     best = F.min_by(rec, F.struct((-F.col(metric)).alias("_m"), F.col(tie).alias("_t")))
     out = df.groupBy(*group).agg(best.alias("_b")) if group else df.agg(best.alias("_b"))
     return out.select(*group, "_b.*")
+
+
+def sort_by(df: DataFrame, col: str, ascending: bool = True, tie: str | None = None) -> DataFrame:
+    """Sort by any column in either direction with nulls always last, plus a
+    key tie-break for a stable order (TOP-3)."""
+    c = F.col(col).asc_nulls_last() if ascending else F.col(col).desc_nulls_last()
+    return df.orderBy(c, *([F.col(tie).asc()] if tie else []))
+
+
+def count_by(df: DataFrame, key: str, out: str = "n") -> DataFrame:
+    """Count by key, descending, key as tie-break (AGG-15)."""
+    return df.groupBy(key).agg(F.count(F.lit(1)).alias(out)).orderBy(F.col(out).desc(), F.col(key))

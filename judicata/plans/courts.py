@@ -24,7 +24,7 @@ f AS (SELECT corte, anio, {FLOW_SQL} FROM cases GROUP BY corte, anio)
 SELECT corte, anio, ingresos, resueltos, pendientes, {IND_SQL} FROM f
 """)
 def workload_by_court(spark, sf):
-    """Flows and IND-1/2/3/6 per court and year (AGG-2, JN-1)."""
+    """Flows and IND-1/2/3/6 per court and year (AGG-2, JN-1); pendientes is the backlog stock (IND-16)."""
     return with_indicators(cases(spark, sf).groupBy("corte", "anio").agg(*flow_aggs()))
 
 

@@ -23,7 +23,7 @@ SELECT COALESCE(i.anio, p.anio) AS anio, COALESCE(ingresados, 0) AS ingresados,
 FROM i FULL OUTER JOIN p ON i.anio = p.anio
 """)
 def yearly_in_out(spark, sf):
-    """Cases filed and resolutions published per year, full outer merge with zeros (JN-5, PRJ-12)."""
+    """Cases filed and resolutions published per year (AGG-4), full outer merge with zeros (JN-5, PRJ-12)."""
     t = Tables(spark, sf)
     i = t.orders("o_orderdate").groupBy(F.year("o_orderdate").cast("int").alias("anio")).agg(
         F.count(F.lit(1)).alias("ingresados"))

@@ -149,7 +149,7 @@ SELECT 'todos', CAST(min(year(f)) AS INTEGER), CAST(max(year(f)) AS INTEGER), CO
 """)
 def coverage_summary(spark, sf):
     """Coverage per dataset (year range, distinct years, cut-off, coverage text)
-    and across datasets: global max cut-off and the union of years (AGG-18/20, SET-3, PRJ-23)."""
+    and across datasets: global max cut-off and the union of years (AGG-18, AGG-20, SET-3, PRJ-23)."""
     from judicata.functions.provenance import coverage_text
     t = Tables(spark, sf)
     d = (t.orders("o_orderdate").select(F.lit("ordenes").alias("dataset"), F.to_date("o_orderdate").alias("f"))

@@ -84,7 +84,7 @@ def top_departments(spark, sf):
     x = _labelled_orders(spark, sf).join(_official(spark, sf), "etiqueta", "left_semi")
     m = x.select(merge_territory(F.col("etiqueta"), MERGE_PATTERN, MERGE_TO).alias("departamento"))
     c = m.groupBy("departamento").agg(F.count(F.lit(1)).alias("n"))
-    top = T.top_k(c, [F.col("n").desc(), F.col("departamento").asc()], 10)
+    top = T.top_k(c, [F.col("n").desc(), F.col("departamento").asc()], 10)     # TOP-1, TOP-6 order at the sink
     # the rank is computed over the (at most 10) rows that survived the top-k
     from pyspark.sql import Window
     return top.withColumn("puesto", F.row_number().over(Window.orderBy(F.col("n").desc(), F.col("departamento"))))

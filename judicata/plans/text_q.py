@@ -173,8 +173,8 @@ WITH m AS (SELECT c_custkey, c_name, c_mktsegment, c_acctbal FROM customer
 SELECT *, (SELECT COUNT(*) FROM m) AS n_total FROM m ORDER BY c_custkey LIMIT 250
 """)
 def search_facets(spark, sf):
-    """Case-insensitive search over concatenated columns with facet filters
-    (FLT-12/13); the first 250 by key are shown with the total match count (TOP-4)."""
+    """Case-insensitive search over concatenated columns (FLT-12) with facet filters
+    (FLT-13); the first 250 by key are shown with the total match count (TOP-4)."""
     c = Tables(spark, sf).customer("c_custkey", "c_name", "c_mktsegment", "c_acctbal")
     m = c.where(search_match(["c_name", "c_mktsegment"], SEARCH_Q)
                 & F.col("c_mktsegment").isin(*FACET_SEGMENTS) & (F.col("c_acctbal") > 0))

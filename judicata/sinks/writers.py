@@ -71,3 +71,37 @@ def to_year_map(long: DataFrame, year: str, key: str, value: str) -> DataFrame:
     """Long (year, key, value) -> one row per year with a key -> value map."""
     return long.groupBy(year).agg(
         F.map_from_entries(F.collect_list(F.struct(F.col(key), F.col(value)))).alias("valores"))
+
+
+# Presentation decimals per measure family (rates 1, congestion 2,
+# prototype ratios 3); counts and money are truncated to integers.
+PRESENTATION = {"clearance": 1, "congestion": 2, "ratio": 3}
+
+
+def present(df: DataFrame, decimals: dict[str, int], truncate: tuple[str, ...] = ()) -> DataFrame:
+    """Gold-layer rounding only (PRJ-24): HALF_UP ``round`` for the given columns,
+    truncation toward zero for counts/money; compute layers stay unrounded."""
+    out = df.withColumns({c: F.round(F.col(c), n) for c, n in decimals.items()})
+    return out.withColumns({c: F.col(c).cast("bigint") for c in truncate})
+
+
+def formatted(c, decimals: int = 1, percent: bool = False):
+    """Locale-style number text for reports (PRJ-26)."""
+    col = F.col(c) if isinstance(c, str) else c
+    txt = F.format_number(col, decimals)
+    return F.concat(txt, F.lit(" %")) if percent else txt
+
+
+def write_jdbc(df: DataFrame, url: str, table: str, properties: dict, mode: str = "overwrite") -> None:
+    """Load a normalised table into a relational database (SNK-9).  Needs a
+    reachable database server; not exercised by the tests here."""
+    df.write.jdbc(url=url, table=table, mode=mode, properties=properties)
+
+
+def olap_load(spark: SparkSession, datasets: dict[str, DataFrame]) -> DataFrame:
+    """JOB-13: create-or-replace one catalog table per dataset and return the row counts."""
+    out = None
+    for name, df in datasets.items():
+        c = load_table(spark, df, name)
+        out = c if out is None else out.unionByName(c)
+    return out

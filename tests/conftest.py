@@ -12,7 +12,10 @@ SF01 = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark():
+    import tempfile
     from judicata.session import get_session
-    s = get_session("local[*]", app="judicata-tests", shuffle_partitions=8)
+    wh = tempfile.mkdtemp(prefix="judicata-wh-")
+    s = get_session("local[*]", app="judicata-tests", shuffle_partitions=8,
+                    extra={"spark.sql.warehouse.dir": wh})
     yield s
     s.stop()
