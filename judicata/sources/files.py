@@ -27,5 +27,6 @@ def read_parquet_merged(spark: SparkSession, paths, unify: dict[str, list[str]]
         typ = (cast or {}).get(out, "string")
         if present:
             val = F.coalesce(*[F.col(f"`{c}`").cast("string").try_cast(typ) for c in present])
-            df = df.drop(*present).withColumn(out, val)
+            keep = [F.col(f"`{c}`") for c in df.columns if c not in present]
+            df = df.select(*keep, val.alias(out))     # one typed column; never both spellings
     return df

@@ -37,7 +37,7 @@ def apply_snapshot_batch(batch: DataFrame, target: str, manifest_path: str, batc
 
 def start_snapshot_stream(spark, source_dir: str, schema, target: str, manifest_path: str, checkpoint: str,
                           fmt: str = "parquet", trigger_once: bool = True):
-    stream = spark.readStream.schema(schema).format(fmt).load(source_dir)
+    stream = spark.readStream.schema(schema).format(fmt).option("recursiveFileLookup", True).load(source_dir)
     w = (stream.writeStream.option("checkpointLocation", checkpoint)
                .foreachBatch(lambda df, bid: apply_snapshot_batch(df, target, manifest_path, bid)))
     w = w.trigger(availableNow=True) if trigger_once else w

@@ -14,6 +14,7 @@ def col1(spark, values, typ="string"):
 
 
 def test_tolerant_numbers(spark):
+    # covers: PRJ-1 PRJ-2 PRJ-21
     df = col1(spark, ["12", " 12.5 ", "x", "", None, "1,234"])
     plain = [r[0] for r in df.select(N.tolerant_number("v")).collect()]
     commas = [r[0] for r in df.select(N.tolerant_number_commas("v")).collect()]
@@ -23,11 +24,13 @@ def test_tolerant_numbers(spark):
 
 
 def test_text_key_blank(spark):
+    # covers: PRJ-3
     out = [r[0] for r in col1(spark, [None, "", "  PIURA "]).select(X.text_key("v")).collect()]
     assert out == ["SIN DATO", "SIN DATO", "PIURA"]
 
 
 def test_accent_fold_composed_and_decomposed(spark):
+    # covers: PRJ-8
     import unicodedata
     vals = ["Áncash", "HUÁNUCO ", "cañete", unicodedata.normalize("NFD", "cañete"), unicodedata.normalize("NFD", "Áncash")]
     out = [r[0] for r in col1(spark, vals).select(X.fold_accents("v")).collect()]
@@ -36,11 +39,13 @@ def test_accent_fold_composed_and_decomposed(spark):
 
 
 def test_letters_key(spark):
+    # covers: PRJ-9
     out = col1(spark, ["Delitos contra la F|e Pública."]).select(X.letters_key("v")).first()[0]
     assert out == "DELITOSCONTRALAFEPUBLICA"
 
 
 def test_cutoff_formats(spark):
+    # covers: PRJ-6
     cases = {
         ("23/06/2026", "bad"): "2026-06-23",
         ("20260623",): "2026-06-23",
@@ -54,11 +59,13 @@ def test_cutoff_formats(spark):
 
 
 def test_day_first_without_zero(spark):
+    # covers: PRJ-5 PRJ-4
     got = col1(spark, ["4/1/2021"]).select(D.dmy("v")).first()[0]
     assert str(got) == "2021-01-04"
 
 
 def test_month_names_and_yyyymm(spark):
+    # covers: PRJ-13 PRJ-14
     out = [r[0] for r in col1(spark, ["Enero", "Setiembre", "Septiembre", "??"]).select(D.month_number("v")).collect()]
     assert out == [1, 9, 9, 0]
     out = [r[0] for r in col1(spark, [202107, None, 202199], "bigint").select(D.month_of_yyyymm("v")).collect()]
@@ -66,28 +73,33 @@ def test_month_names_and_yyyymm(spark):
 
 
 def test_days_between(spark):
+    # covers: PRJ-15
     df = spark.createDataFrame([("2021-01-04", "2021-09-23")], "a string, b string")
     assert df.select(D.days_between(F.to_date("b"), F.to_date("a"))).first()[0] == 262
 
 
 def test_court_type_first_hit(spark):
+    # covers: PRJ-17 PRJ-16
     vals = ["1° JUZGADO DE PAZ LETRADO LABORAL", "SALA CIVIL", "JUZGADO DE INVESTIGACION", "X"]
     out = [r[0] for r in col1(spark, vals).select(K.court_type("v")).collect()]
     assert out == ["JUZGADO DE PAZ LETRADO", "SALA SUPERIOR", "JUZ. INVESTIGACION PREPARATORIA", "OTRO"]
 
 
 def test_alert_levels_strict(spark):
+    # covers: PRJ-18 PRJ-20
     out = [r[0] for r in col1(spark, [1001, 1000, 501, 500], "int").select(K.alert_level("v")).collect()]
     assert out == ["Critico", "Riesgo", "Riesgo", "Normal"]
 
 
 def test_zero_denominators(spark):
+    # covers: IND-1 IND-2 IND-3
     df = spark.createDataFrame([(0, 0, 5)], "ing long, res long, pend long")
     r = df.select(M.clearance_pct("res", "ing").alias("c"), M.congestion("pend", "ing", "res").alias("g")).first()
     assert r.c is None and r.g is None
 
 
 def test_recover_tail_cut_before_pipes(spark):
+    # covers: PRJ-9 JN-7
     raw = "xx DELITOS CONTRA LA FE P|UBLICA" + "|" * 60 + "TAIL"
     got = col1(spark, [raw, "nothing here"]).select(X.recover_tail("v")).collect()
     tail = raw[raw.index("DELITOS"):][:70].replace("|", "")

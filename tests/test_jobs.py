@@ -12,6 +12,7 @@ def frame(spark, cols, rows):
 
 
 def test_court_workload(spark):
+    # covers: JOB-1 AGG-1 AGG-2 IND-1 IND-2 PRJ-13 PRJ-21 SNK-1 FLT-1 FLT-2
     cols = ["ANIO", "MES", "DISTRITO_JUDICIAL", "ESPEC_EXP", "INGRESO_SIN", "INGRESO_CON", "RESUELTO", "PENDIENTE", "SENTENCIA"]
     rows = [(2024, "Enero", " LIMA ", "CIVIL", 10, 5, 12, 100, 1), (2024, "Febrero", "LIMA", "PENAL", 20, None, 10, 0, 2),
             (2024, "Marzo", "PIURA", "CIVIL", 5, 5, 0, 0, 0), (2024, "Abril", "PIURA", "CIVIL", -1, 0, 0, 0, 0),
@@ -30,6 +31,7 @@ def test_court_workload(spark):
 
 
 def test_prosecutor_snapshot_and_breakdown(spark):
+    # covers: JOB-2 FLT-8 AGG-10 FLT-7 PRJ-6
     cols = ["anio", "mes", "distrito_fiscal", "cargo", "total", "fecha_corte"]
     rows = [(2024, 1, "LIMA", "Fiscal", 10, "01/02/2024"), (2024, 2, "LIMA", "Fiscal", 11, "01/03/2024"),
             (2024, 2, "PIURA", "Adjunto", 4, "01/03/2024"), (2023, 12, "LIMA", "Fiscal", 9, "01/01/2024")]
@@ -43,6 +45,7 @@ def test_prosecutor_snapshot_and_breakdown(spark):
 
 
 def test_case_delay_dedup_privacy_histogram(spark):
+    # covers: JOB-5 SET-4 PRJ-7 FLT-4 AGG-9 IND-14
     cols = ["EXPEDIENTE", "INSTANCIA", "FECHA_INGRESO", "FECHA_SENTENCIA", "DIAS", "DNI", "FECHA_NACIMIENTO", "FECHA_CORTE"]
     civil = [("E1", "SALA", "20210104", "20210923", 262, "111", "x", "20260623")] * 3 + \
             [("E2", "SALA", "20210101", "20201201", -31, "222", "y", "20260623"),
@@ -58,6 +61,7 @@ def test_case_delay_dedup_privacy_histogram(spark):
 
 
 def test_constitutional_court(spark):
+    # covers: JOB-6 PRJ-4 PRJ-12 PRJ-15 JN-5 AGG-8 FLT-3 FLT-11
     ing = frame(spark, ["FEC_INGRESO", "CDES_TIPOPROCESO"], [("20200105", "AMPARO")] * 31 + [("19910101", "HC")])
     pub_rows = [("20200105", "20200205", "AMPARO", "20260504")] * 31 + [("20200301", "20200201", "HC", "20260504")]
     pub = frame(spark, ["FEC_INGRESO", "PUB_PAGWEB", "CDES_TIPOPROCESO", "FEC_DEVPJ_1"], pub_rows)
@@ -70,6 +74,7 @@ def test_constitutional_court(spark):
 
 
 def test_violence_columns_and_lima_merge(spark):
+    # covers: JOB-10 PRJ-10 AGG-11 PRJ-25 PRJ-2 TOP-1
     cols = ["AÑO", "DEPARTAMENTO", "N° DE CASOS DE FEMINICIDIO MUJERES", "VINCULO RELACIONAL DESCONOCIDO",
             "VINCULO RELACIONAL CONOCIDO", "VINCULO RELACIONAL EX PAREJA", "VINCULO RELACIONAL PAREJA",
             "FEMINICIDIO 30_59 MUJERES", "FEMINICIDIO 0_5 MUJERES", "DNI"]
@@ -86,6 +91,7 @@ def test_violence_columns_and_lima_merge(spark):
 
 
 def test_police_lines(spark):
+    # covers: JOB-11 JN-7 AGG-16 AGG-17 AUD-1
     lines = [(2016, "x|DELITOS CONTRA LA FE P|UBLICA|..."), (2016, "DELITOS CONTRA EL PATRIMONIO"),
              (2016, "DELITO X"), (2016, "basura"), (2017, "DELITOS CONTRA EL ORDEN ECONOMICO")]
     df = spark.createDataFrame(lines, "anio int, line string")
@@ -96,6 +102,7 @@ def test_police_lines(spark):
 
 
 def test_crimes_by_department(spark):
+    # covers: JOB-12 PRJ-8 JN-3 JN-4 FLT-6 AGG-3 SET-5
     raw = frame(spark, ["anio_denuncia", "dpto_pjfs", "cantidad"],
                 [(2020, "Áncash", 5), (2020, "ANCASH", 2), (2020, "#N/D", 9), (2021, "Piura", 1)])
     off = spark.createDataFrame([("ANCASH",), ("PIURA",)], "n string")
@@ -108,6 +115,7 @@ def test_crimes_by_department(spark):
 
 
 def test_court_rollups(spark):
+    # covers: JOB-15 AGG-13 AGG-14 WIN-2 IND-4
     cortes = spark.createDataFrame([("CSJ A", "D1", 100, 80, 50, 2, 400), ("CSJ B", "D1", 300, 200, 100, 3, 800),
                                     ("CSJ C", "D2", 50, 0, 10, 1, 100)],
                                    "corte string, departamento string, ingresados long, resueltos long, pendientes long, "
@@ -122,6 +130,7 @@ def test_court_rollups(spark):
 
 
 def test_failure_isolation(spark):
+    # covers: JOB-17 SNK-5
     def broken():
         raise IOError("unreadable file")
     m = {r.id: r for r in run_jobs(spark, {"ok": lambda: spark.range(3), "roto": broken}).collect()}

@@ -15,6 +15,7 @@ from judicata.sinks.manifest import upsert
 
 
 def test_bad_mask_three_valued(spark):
+    # covers: FLT-1 FLT-2 TRAP-2
     rows = [(-1.0, 2020), (0.0, 2020), (None, 2020), (5.0, 2020), (1.0, 2014), (1.0, 2015), (1.0, 2026),
             (1.0, 2027), (1.0, None)]
     df = spark.createDataFrame(rows, "m double, anio int")
@@ -25,11 +26,13 @@ def test_bad_mask_three_valued(spark):
 
 
 def test_drop_private(spark):
+    # covers: PRJ-7
     df = spark.createDataFrame([(1, "a", "b", "c", "d")], "id int, DNI string, `dni ` string, Fecha_Nacimiento string, NOMBRES string")
     assert C.drop_private(df).columns == ["id"]
 
 
 def test_find_col_token_boundaries():
+    # covers: PRJ-10 TRAP-3
     cols = ["VINCULO RELACIONAL DESCONOCIDO", "VINCULO RELACIONAL CONOCIDO", "VINCULO RELACIONAL EX PAREJA",
             "VINCULO RELACIONAL PAREJA", "FEMINICIDIO 30_59 MUJERES", "FEMINICIDIO 0_5 MUJERES"]
     assert C.find_col(cols, "CONOCIDO") == "VINCULO RELACIONAL CONOCIDO"
@@ -39,6 +42,7 @@ def test_find_col_token_boundaries():
 
 
 def test_drifting_union(spark):
+    # covers: SRC-2 SET-1
     a = spark.createDataFrame([(2020, 5)], "anio int, total int")
     b = spark.createDataFrame([(2021, 3, 7)], "anio int, mes int, total int")
     u = a.unionByName(b, allowMissingColumns=True)
@@ -47,6 +51,7 @@ def test_drifting_union(spark):
 
 
 def test_dedup_deterministic(spark):
+    # covers: SET-4
     rows = [(1, "2021-01-01", "z", 3), (1, "2021-01-01", "a", 9), (1, "2021-01-01", "m", 1), (2, "2020-01-01", "q", 0)]
     df = spark.createDataFrame(rows, "k int, d string, attr string, x int")
     for parts in (1, 8):
@@ -55,6 +60,7 @@ def test_dedup_deterministic(spark):
 
 
 def test_quantile_profile_and_min_n(spark):
+    # covers: AGG-5 AGG-6 AGG-7 AGG-8 FLT-11
     df = spark.createDataFrame([("a", v) for v in (1, 2, 4, 10)], "g string, v int")
     p = A.quantile_profile(df, "g", "v").where("is_global = 0").first()
     assert p.median == 3.0 and abs(p.p90 - 8.2) < 1e-9
@@ -65,12 +71,14 @@ def test_quantile_profile_and_min_n(spark):
 
 
 def test_bucket_histogram_keeps_empty(spark):
+    # covers: JN-6 AGG-9
     df = spark.createDataFrame([("c", v) for v in (0, 29, 30, 729, 730)], "g string, d int")
     out = {r.rango: r.n for r in A.bucket_counts(df, "g", "d", MT.DELAY_EDGES).collect()}
     assert out == {"0-30": 2, "30-90": 1, "90-180": 0, "180-365": 0, "365-730": 1, "730+": 1}
 
 
 def test_snapshot_last_month(spark):
+    # covers: FLT-8 WIN-1
     rows = [(2026, m, 1) for m in range(1, 5)] + [(2025, m, 1) for m in range(1, 13)]
     out = C.keep_latest_within(spark.createDataFrame(rows, "anio int, mes int, v int"), "anio", "mes")
     assert sorted((r.anio, r.mes) for r in out.collect()) == [(2025, 12), (2026, 4)]
@@ -85,6 +93,7 @@ def _stock_loop(p0, flows):
 
 
 def test_clamped_stock_fixture_and_random(spark):
+    # covers: WIN-3
     flows = [(5, 9), (3, 20), (8, 2), (1, 3)]
     df = spark.createDataFrame([("k", t, i, r) for t, (i, r) in enumerate(flows)], "k string, t int, i int, r int")
     got = [r.stock for r in WN.clamped_stock(df, "k", "t", "i", "r", p0=2).orderBy("t").collect()]
@@ -99,6 +108,7 @@ def test_clamped_stock_fixture_and_random(spark):
 
 
 def test_prefix_taxonomy(spark):
+    # covers: JN-7
     vals = ["DELITOS CONTRA LA FE P|UBLICA y mas", "DELITOS CONTRA EL ORDEN ECONOMICO", "DELITO X", "foo"]
     df = spark.createDataFrame([(v,) for v in vals], "v string")
     out = [r[0] for r in df.select(MT.prefix_classify("v", MT.CRIME_TITLES)).collect()]
@@ -106,6 +116,7 @@ def test_prefix_taxonomy(spark):
 
 
 def test_merge_then_topk(spark):
+    # covers: PRJ-25 TOP-1 TRAP-4
     from judicata.functions.text import merge_territory
     labels = [("LIMA", 10), ("LIMA METROPOLITANA", 50), ("LIMA PROVINCIAS", 5)] + [(f"D{i:02d}", 20 - i // 2) for i in range(24)]
     df = spark.createDataFrame(labels, "dep string, n int")
@@ -115,6 +126,7 @@ def test_merge_then_topk(spark):
 
 
 def test_upsert_idempotent(spark):
+    # covers: SNK-3
     old = spark.createDataFrame([("a", 1, 0), ("b", 2, 0)], "id string, v int, seq int")
     new = spark.createDataFrame([("b", 3, 1), ("c", 4, 2), ("c", 5, 3)], "id string, v int, seq int")
     once = upsert(old, new)
@@ -132,6 +144,7 @@ def _events(spark, n=400, users=3, span=10 * 3600, seed=3):
 
 
 def test_next_in_sequence_matches_lead(spark):
+    # covers: WIN-5 WIN-13
     e = _events(spark)
     w = Window.partitionBy("user_id").orderBy("t", "event_id")
     naive = {r.event_id: r.nt for r in e.withColumn("nt", F.lead("t").over(w)).collect()}
@@ -141,6 +154,7 @@ def test_next_in_sequence_matches_lead(spark):
 
 
 def test_trailing_count_matches_range_window(spark):
+    # covers: STR-2
     e = _events(spark)
     width = 900 * 1_000_000
     w = Window.partitionBy("user_id").orderBy("t").rangeBetween(-width, 0)
@@ -151,6 +165,7 @@ def test_trailing_count_matches_range_window(spark):
 
 
 def test_asof_and_interval_join_match_naive(spark):
+    # covers: JN-9 JN-10
     e = _events(spark, seed=11)
     pts = e.where("event_id % 3 <> 0")
     starts = e.where("event_id % 3 = 0").select("user_id", F.col("event_id").alias("sid"), F.col("t").alias("st"))
@@ -171,6 +186,7 @@ def test_asof_and_interval_join_match_naive(spark):
 
 
 def test_interval_audit_flags_open(spark):
+    # covers: JN-11 WIN-5
     iv = spark.createDataFrame([(1, 2010, 2015, 1), (1, 2015, None, 2), (2, 2012, None, 3), (2, 2014, None, 4)],
                                "k int, desde int, hasta int, id int")
     out = {r.k: (r.n_open, r.n_overlaps) for r in MT.interval_audit(iv, "k", "desde", "hasta", "id").collect()}
@@ -178,6 +194,7 @@ def test_interval_audit_flags_open(spark):
 
 
 def test_top_k_per_group_matches_naive(spark):
+    # covers: TOP-2
     rnd = random.Random(5)
     rows = [("hot" if i % 3 else f"g{i % 7}", i, float(rnd.randint(0, 50))) for i in range(600)]
     df = spark.createDataFrame(rows, "g string, id int, v double")
@@ -188,11 +205,13 @@ def test_top_k_per_group_matches_naive(spark):
 
 
 def test_arg_max(spark):
+    # covers: TOP-5
     df = spark.createDataFrame([("a", 1, 5.0), ("a", 2, 5.0), ("a", 3, 1.0)], "g string, id int, v double")
     assert T.arg_max(df, "g", "v", "id", ["id"]).first().id == 1
 
 
 def test_partition_count_independence(spark):
+    # covers: AGG-5 AGG-8
     from judicata.plans.delay import delay_profile
     a = sorted(map(tuple, delay_profile(spark, "/root/testdata/sf0.001").collect()))
     spark.conf.set("spark.sql.shuffle.partitions", "1")

@@ -20,6 +20,7 @@ def con():
 
 
 def test_entry(spark):
+    # covers: JOB-1
     df = E.entry(spark)
     assert df.count() > 0 and "congestion" in df.columns
 
@@ -32,6 +33,7 @@ def test_every_query_has_oracle_or_is_declared():
 
 @pytest.mark.parametrize("name", sorted(set(E.oracle_sql())))
 def test_query_matches_oracle(spark, con, name):
+    # covers: every registered query
     sdf = E.queries()[name](spark, SF)
     srows = [tuple(r) for r in sdf.collect()]
     cur = con.execute(E.oracle_sql()[name])
@@ -49,6 +51,7 @@ def test_limiter_query_rows(spark):
 
 
 def test_delay_model_small(spark):
+    # covers: ML-1 ML-2 ML-3 ML-4 ML-5 ML-6 ML-7
     from judicata.ml import delay_model as DM
     from judicata.plans.model_q import CAT, NUM, _features
     df = _features(spark, SF)

@@ -13,6 +13,7 @@ from judicata.operators.topk import count_by, sort_by
 
 
 def test_tidy_roundtrip_and_latest_snapshot(spark, tmp_path):
+    # covers: SNK-1 SNK-8 FLT-15
     df = spark.createDataFrame([(2023, 5), (2024, 7)], "anio int, n int")
     sinks.write_tidy(df, str(tmp_path / "t"), "fuente X", "2024-06", "agregado")
     back = spark.read.parquet(str(tmp_path / "t"))
@@ -27,23 +28,27 @@ def test_tidy_roundtrip_and_latest_snapshot(spark, tmp_path):
 
 
 def test_contract_document(spark):
+    # covers: SNK-2
     a = spark.createDataFrame([("LIMA", 3), ("PIURA", 1)], "d string, n int")
     doc = json.loads(sinks.contract_document({"fuente": "x", "granularidad": "agregado"}, {"por_dep": a}).first()[0])
     assert doc["_meta"]["fuente"] == "x" and sorted(r["d"] for r in doc["por_dep"]) == ["LIMA", "PIURA"]
 
 
 def test_present_rounding(spark):
+    # covers: PRJ-24
     df = spark.createDataFrame([(44.55555, 3.914, 12.9)], "clearance double, congestion double, ingresos double")
     r = sinks.present(df, {"clearance": 1, "congestion": 2}, truncate=("ingresos",)).first()
     assert r.clearance == 44.6 and r.congestion == 3.91 and r.ingresos == 12
 
 
 def test_olap_load(spark):
+    # covers: SNK-4 JOB-13
     out = sinks.olap_load(spark, {"t_a": spark.range(3), "t_b": spark.range(5)})
     assert {r.tabla: r.n for r in out.collect()} == {"t_a": 3, "t_b": 5}
 
 
 def test_small_helpers(spark):
+    # covers: FLT-16 WIN-6 WIN-4 PRJ-27
     df = spark.createDataFrame([("X86", ["a", "b", "c"]), ("Y10", ["z"]), ("x99", [])], "code string, h array<string>")
     assert [r[0] for r in df.select(code_in_range("code", "X85", "Y09")).collect()] == [True, False, True]
     r = df.select(newest_first("h").alias("n"), current_of("h").alias("c"), label("CSJ ", F.col("code")).alias("l")).first()
@@ -51,6 +56,7 @@ def test_small_helpers(spark):
 
 
 def test_sort_and_count(spark):
+    # covers: TOP-3 AGG-15
     df = spark.createDataFrame([(1, None), (2, 5.0), (3, 1.0)], "id int, v double")
     assert [r.id for r in sort_by(df, "v", ascending=False, tie="id").collect()] == [2, 3, 1]
     assert [r.id for r in sort_by(df, "v", ascending=True, tie="id").collect()] == [3, 2, 1]
@@ -59,6 +65,7 @@ def test_sort_and_count(spark):
 
 
 def test_audits(spark):
+    # covers: AUD-2 AUD-4 JN-15
     df = spark.createDataFrame([(1, 2, 2, 1), (1, 1, 1, 0)], "sin int, con int, t int, e int")
     v = {r.identidad: r.violaciones for r in AU.identity_violations(
         df, {"ingresos": (F.col("sin") + F.col("con"), F.col("t") + F.col("e"))}).collect()}
@@ -73,6 +80,7 @@ def test_audits(spark):
 
 
 def test_dictionary_lookup(spark):
+    # covers: PRJ-29
     df = spark.createDataFrame([("Robo agravado",), ("HURTO",), ("otro",)], "delito string")
     d = spark.createDataFrame([("ROBO AGRAVADO", "Patrimonio"), ("Hurto", "Patrimonio")], "k string, tema string")
     got = [r.tema for r in dictionary_lookup(df, "delito", d, "k", "tema", "tema", default="OTROS").collect()]
@@ -80,6 +88,7 @@ def test_dictionary_lookup(spark):
 
 
 def test_identity_resolution(spark):
+    # covers: SET-7
     df = spark.createDataFrame([(1, "Juan Pérez Soto"), (2, "JUAN PEREZ SOTTO"), (3, "Juana Díaz"), (4, "Pedro Ruiz")],
                                "id int, nombre string")
     got = {r.id: r.cluster_id for r in resolve_identities(df, "id", "nombre").collect()}

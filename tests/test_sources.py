@@ -15,6 +15,7 @@ from judicata.sources import xlsx as XL
 
 
 def test_csv_smart_encodings_separators_drift(spark, tmp_path):
+    # covers: SRC-1 SRC-2
     (tmp_path / "a.csv").write_bytes("﻿ANIO,TOTAL,DEP\n2020,5,Áncash\n".encode("utf-8"))
     (tmp_path / "b.csv").write_bytes("ANIO;MES;TOTAL;DEP\n2021;3;7;Huánuco\n".encode("latin-1"))
     (tmp_path / "c.csv").write_bytes(b"")
@@ -27,6 +28,7 @@ def test_csv_smart_encodings_separators_drift(spark, tmp_path):
 
 
 def test_latin1_lines_keep_cr_and_bytes(spark, tmp_path):
+    # covers: SRC-6
     p = tmp_path / "dump.txt"
     p.write_bytes(b"HEADER|A|B\nDELITOS CONTRA LA FE P|UBLICA\r x\nPER\xdaN\n")
     out = [r.line for r in TXT.read_latin1_lines(spark, str(p), header_prefix="HEADER").collect()]
@@ -35,6 +37,7 @@ def test_latin1_lines_keep_cr_and_bytes(spark, tmp_path):
 
 
 def test_zip_member_lines(spark, tmp_path):
+    # covers: SRC-7 SRC-8
     p = tmp_path / "2016.zip"
     with zipfile.ZipFile(p, "w") as z:
         z.writestr("CAP_200.csv", b"h\nline1\nl\xednea2\n")
@@ -78,6 +81,7 @@ def _xlsx_bytes(rows):
 
 
 def test_xlsx_wide_sheet_to_long(spark, tmp_path):
+    # covers: SRC-3 SRC-12 AGG-12 FLT-10
     rows = [["Cuadro 1"], [None], ["Distrito Fiscal", "2019", "2020", "2021"],
             ["Lima", 5, None, -1], ["Piura", "x", 3, 2], ["NACIONAL", 100, 100, 100]]
     p = tmp_path / "trata.xlsx"
@@ -89,11 +93,13 @@ def test_xlsx_wide_sheet_to_long(spark, tmp_path):
 
 
 def test_sheet_without_header_gives_nothing(spark):
+    # covers: SRC-12
     rows = spark.createDataFrame([(0, ["a", "b"]), (1, ["c", "d"])], "row_idx long, cells array<string>")
     assert SH.sheet_to_long(rows).count() == 0
 
 
 def test_profile_headers(spark):
+    # covers: SRC-13
     df = spark.createDataFrame([("f1", "Hoja1", ["Distrito Judicial", "Especialidad", "Año", "Ingresos"]),
                                 ("f1", "Notas", ["texto", "otro"])], "file string, sheet string, header array<string>")
     out = {r.sheet: r for r in SH.profile_headers(df).collect()}
@@ -102,6 +108,7 @@ def test_profile_headers(spark):
 
 
 def test_catalogue_resources(spark):
+    # covers: SRC-9 SRC-4
     docs = [json.dumps({"result": {"name": "ds1", "resources": [{"name": "a", "url": "http://x/A.CSV ", "format": "CSV"},
                                                                {"name": "b", "url": "http://x/b.xlsx"}]}}),
             json.dumps({"result": [{"name": "ds2", "resources": [{"name": "c", "url": "http://x/c.csv"}]}]})]
@@ -111,6 +118,7 @@ def test_catalogue_resources(spark):
 
 
 def test_latest_snapshots(spark):
+    # covers: SRC-11
     df = spark.createDataFrame([("casos", "2025-06", "p1"), ("casos", "2025-12", "p2"), ("fem", "2024-01", "p3")],
                                "dataset string, snapshot string, path string")
     assert sorted(r.path for r in CAT.latest_snapshots(df).collect()) == ["p2", "p3"]

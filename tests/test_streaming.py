@@ -11,6 +11,7 @@ S = 1_000_000
 
 
 def test_limiter_fixture_rules(spark):
+    # covers: STR-1
     base = 1_700_000_000 * S - (1_700_000_000 * S) % (86_400 * S)     # midnight
     rows = [(i, 1, base + i * S) for i in range(21)]                    # 21 in 21 s
     rows += [(100, 2, base), (101, 2, base + 60 * S)]                   # exactly 60 s apart
@@ -28,6 +29,7 @@ def test_limiter_fixture_rules(spark):
 
 
 def test_limiter_batch_equals_loop_on_events(spark):
+    # covers: STR-1
     e = spark.read.parquet("/root/testdata/sf0.001/events.parquet").select(
         "event_id", "user_id", micros("ts").alias("t"))
     rows = [tuple(r) for r in e.collect()]
@@ -37,6 +39,7 @@ def test_limiter_batch_equals_loop_on_events(spark):
 
 
 def test_limiter_stream_equals_batch(spark, tmp_path):
+    # covers: STR-1
     e = spark.read.parquet("/root/testdata/sf0.001/events.parquet").select(
         "event_id", "user_id", micros("ts").alias("t")).orderBy("t")
     src = tmp_path / "src"
