@@ -131,3 +131,26 @@ def test_risk_and_appeal_models(spark):
     lab = df.withColumn("apelado", (F.col("dias") > 250).cast("double"))
     m = DM.appeal_model(lab, ["cat"], ["x"], "apelado")
     assert m.transform(lab).where("probability IS NULL").count() == 0
+
+
+def test_features_quality_and_format(spark):
+    # covers: JOB-14 FLT-5 PRJ-16 PRJ-17 JN-14 AGG-19 JOB-16 PRJ-22 PRJ-26 TOP-6
+    from judicata.functions.provenance import with_provenance
+    from judicata.operators.audit import standard_gap
+    micro = frame(spark, ["DIAS", "MATERIA", "GENERICO", "PROVINCIA", "INSTANCIA", "MES", "DNI"],
+                  [(999, None, "ROBO", "PIURA", "SALA PENAL", 202107, "1"), (0, "X", None, None, None, None, "2"),
+                   (120, None, None, "SULLANA", "JUZGADO DE PAZ", 202113, "3")])
+    f = J.delay_model_features(micro).collect()
+    assert len(f) == 1 and f[0].instancia_tipo == "JUZGADO DE PAZ LETRADO" and f[0].mes_anio == 12 \
+        and f[0].materia_f == "NA"
+    org = spark.createDataFrame([("SALA", 90)], "tipo string, resueltos int")
+    std = spark.createDataFrame([("SALA", 100)], "tipo string, estandar int")
+    assert standard_gap(org, std, "tipo", "resueltos").first().brecha == -10
+    man = spark.createDataFrame([("a", "x")], "id string, titulo string")
+    mag = spark.createDataFrame([("a", 2020, 5.0), ("a", 2021, 7.0)], "id string, anio int, valor double")
+    assert J.sources_quality(man, mag).first().magnitud == 12.0
+    p = with_provenance(spark.range(1), "F", "2024-01", "expediente").first()
+    assert (p.fuente, p.fecha_corte, p.granularidad) == ("F", "2024-01", "expediente")
+    assert spark.range(1).select(sinks.formatted(F.lit(1234.5), 1, percent=True)).first()[0] == "1,234.5 %"
+    years = spark.createDataFrame([(2021, 3), (2020, 9)], "anio int, n int")
+    assert [r.anio for r in years.orderBy("anio").collect()] == [2020, 2021]
