@@ -40,11 +40,15 @@ def merge_territory(c, pattern: str = r"^LIMA .*", to: str = "LIMA") -> Column:
     return F.regexp_replace(_c(c), pattern, to)
 
 
-def recover_tail(c, anchor: str = r"DELITOS?\s", width: int = 70) -> Column:
+def recover_tail(c, anchor: str = r"DELITOS?\s", width: int = 70, must_contain: str | None = "DELITO") -> Column:
     """Recover a label split by spurious delimiters: from the anchor on, cut
     ``width`` characters, then remove pipes (cut first, pipes second).
-    Returns null when the anchor is absent."""
-    tail = F.regexp_extract(_c(c), f"({anchor}[\\s\\S]*)", 1)
+    Returns null when the anchor is absent.  ``must_contain`` is a literal every
+    anchor match contains; lines without it skip the regex (a cheap substring test)."""
+    src = _c(c)
+    if must_contain:
+        src = F.when(src.contains(must_contain), src)
+    tail = F.regexp_extract(src, f"({anchor}[\\s\\S]*)", 1)
     cut = F.replace(F.substring(tail, 1, width), F.lit("|"), F.lit(""))
     return F.when(tail != "", cut)
 

@@ -97,13 +97,19 @@ def rank_desc(df: DataFrame, metric: str, tie: str, out: str = "ranking", partit
     return df.withColumn(out, F.row_number().over(w))
 
 
+def scalars(df: DataFrame, **aggs: Column) -> Column:
+    """Several aggregates of ``df`` as ONE struct-valued scalar subquery (one
+    extra job instead of one per value); read fields with ``.getField(name)``."""
+    return df.select(F.struct(*[a.alias(k) for k, a in aggs.items()])).scalar()
+
+
 def minmax_class(df: DataFrame, metric: str, out: str = "clase",
                  labels=("bajo", "medio", "alto"), cuts=(0.33, 0.66)) -> DataFrame:
     """Equal-width tercile class of a min-max scaled metric (WIN-7), not ``ntile``.
 
-    min and max are scalar subqueries: no single-partition window, no cross join."""
-    mn = df.select(F.min(metric)).scalar()
-    mx = df.select(F.max(metric)).scalar()
+    min and max come from one scalar subquery: no single-partition window, no cross join."""
+    s = scalars(df, mn=F.min(metric), mx=F.max(metric))
+    mn, mx = s.getField("mn"), s.getField("mx")
     rng = mx - mn
     t = (F.col(metric) - mn) / F.when(rng == 0, F.lit(1.0)).otherwise(rng)
     return df.withColumn(out, F.when(t < cuts[0], labels[0]).when(t < cuts[1], labels[1]).otherwise(labels[2]))

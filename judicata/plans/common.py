@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from judicata.functions import metrics as M
-from judicata.tables import Tables
+from judicata.tables import Tables, memo
 
 AS_OF = "2001-12-31"          # fixed as-of date for ages (never current_date)
 
@@ -25,6 +25,10 @@ def dim(df: DataFrame) -> DataFrame:
 
 
 def cases(spark: SparkSession, sf: str) -> DataFrame:
+    return memo(spark, ("cases", sf), lambda: _cases(spark, sf))
+
+
+def _cases(spark: SparkSession, sf: str) -> DataFrame:
     t = Tables(spark, sf)
     o = t.orders("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority")
     c = t.customer("c_custkey", "c_nationkey", "c_mktsegment")
@@ -63,6 +67,10 @@ def with_indicators(df: DataFrame) -> DataFrame:
 
 def case_lines(spark: SparkSession, sf: str) -> DataFrame:
     """Case x resolution line with the delay in days (may be negative)."""
+    return memo(spark, ("case_lines", sf), lambda: _case_lines(spark, sf))
+
+
+def _case_lines(spark: SparkSession, sf: str) -> DataFrame:
     t = Tables(spark, sf)
     l = t.lineitem("l_orderkey", "l_linenumber", "l_shipdate")
     c = cases(spark, sf)

@@ -40,13 +40,13 @@ SELECT ingresos, resueltos, pendientes, {IND_SQL}, w.demora_ponderada, w.demora_
 """)
 def workload_national(spark, sf):
     """National KPIs (AGG-1) with the ingresos-weighted and plain mean court delay (AGG-13/14)."""
-    c = cases(spark, sf)
-    nat = with_indicators(c.agg(*flow_aggs()))
+    # one pass over the cases: national totals are sums of the per-court flows
+    per_court = cases(spark, sf).groupBy("corte").agg(*flow_aggs())
+    nat = with_indicators(per_court.agg(*flow_sums()))
     d = (case_lines(spark, sf).where(F.col("dias") >= 0)
          .groupBy("corte").agg(F.avg("dias").alias("demora")))
-    i = c.groupBy("corte").agg(F.count(F.lit(1)).alias("ing"))
-    w = d.join(i, "corte").agg(A.weighted_mean("demora", "ing").alias("demora_ponderada"),
-                               F.avg("demora").alias("demora_simple"))
+    w = d.join(per_court.select("corte", F.col("ingresos").alias("ing")), "corte").agg(
+        A.weighted_mean("demora", "ing").alias("demora_ponderada"), F.avg("demora").alias("demora_simple"))
     # both sides are single-row aggregates: a one-row x one-row product
     return nat.join(w, how="inner")
 

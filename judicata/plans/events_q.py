@@ -124,7 +124,8 @@ def funnel(spark, sf):
     """Stage volumes (distinct users per stage) and conversion from the first stage (AGG-21)."""
     e = Tables(spark, sf).events("user_id", "event_type").where(F.col("event_type").isin(*STAGES))
     u = e.groupBy(F.col("event_type").alias("etapa")).agg(F.count_distinct("user_id").alias("usuarios"))
-    st = spark.createDataFrame([(i + 1, s) for i, s in enumerate(STAGES)], "orden int, etapa string")
+    st = spark.range(1).select(F.inline(F.array(*[F.struct(F.lit(i + 1).alias("orden"), F.lit(s).alias("etapa"))
+                                                   for i, s in enumerate(STAGES)])))
     x = st.join(u, "etapa", "left").select("orden", "etapa", F.coalesce("usuarios", F.lit(0)).alias("usuarios"))
     first = x.where(F.col("orden") == 1).select(F.max("usuarios")).scalar()
     return x.withColumn("conversion", F.try_divide(F.col("usuarios").cast("double"), first.cast("double")))

@@ -92,8 +92,9 @@ def priority_index(spark, sf):
         "corte", F.try_divide(F.col("ingresos").cast("double"), F.col("jueces").cast("double")).alias("carga"),
         F.try_divide(F.col("pendientes").cast("double"), F.col("ingresos").cast("double")).alias("atraso"), "demora")
     idx = None
+    st = WN.scalars(m, **{f"{c}_{k}": f(c) for c in WEIGHTS for k, f in (("lo", F.min), ("hi", F.max))})
     for col, w in WEIGHTS.items():
-        lo, hi = m.select(F.min(col)).scalar(), m.select(F.max(col)).scalar()
+        lo, hi = st.getField(f"{col}_lo"), st.getField(f"{col}_hi")
         rng = hi - lo
         term = F.lit(w) * (F.col(col) - lo) / F.when(rng == 0, F.lit(1.0)).otherwise(rng)
         idx = term if idx is None else idx + term

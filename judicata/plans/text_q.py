@@ -94,13 +94,17 @@ def crime_lines_taxonomy(spark, sf):
     d = Tables(spark, sf).documents("text")
     lines = d.select(F.explode(F.split(F.col("text"), "\n")).alias("line"))
     rec = recover_tail(F.col("line"))
-    x = lines.select(rec.alias("rec")).withColumn("tipo", prefix_classify(F.col("rec"), CRIME_TITLES))
-    summary = x.agg(F.count(F.lit(1)).alias("lineas"),
-                    F.count_if(F.col("rec").isNotNull()).alias("con_delito"),
-                    F.count_if(F.col("rec").isNotNull() & F.col("tipo").isNull()).alias("sin_clasificar"))
+    x = lines.select(rec.alias("rec")).select(F.col("rec").isNotNull().alias("has"),
+                                              prefix_classify(F.col("rec"), CRIME_TITLES).alias("tipo"))
+    # one pass over the text: both outputs below read this small aggregate
+    g = x.groupBy("has", "tipo").agg(F.count(F.lit(1)).alias("n"))
+    summary = g.agg(F.sum("n").cast("bigint").alias("lineas"),
+                    F.coalesce(F.sum(F.when(F.col("has"), F.col("n"))), F.lit(0)).cast("bigint").alias("con_delito"),
+                    F.coalesce(F.sum(F.when(F.col("has") & F.col("tipo").isNull(), F.col("n"))), F.lit(0))
+                    .cast("bigint").alias("sin_clasificar"))
     summary = summary.unpivot([], ["lineas", "con_delito", "sin_clasificar"], "medida", "n")
-    per_type = x.where(F.col("tipo").isNotNull()).groupBy(F.col("tipo").alias("medida")).agg(
-        F.count(F.lit(1)).alias("n"))
+    per_type = g.where(F.col("tipo").isNotNull()).groupBy(F.col("tipo").alias("medida")).agg(
+        F.sum("n").cast("bigint").alias("n"))
     return summary.unionByName(per_type)
 
 

@@ -13,10 +13,25 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
+_SCANS: dict[tuple, DataFrame] = {}
+
+
+def memo(spark: SparkSession, key: tuple, build):
+    """Per-session memo of *plans* (lazy DataFrames), never of data: every
+    execution still reads and computes from the files.  It saves the driver-side
+    listing, footer reads and analysis when one query uses a frame twice."""
+    k = (id(spark._jsparkSession),) + key
+    df = _SCANS.get(k)
+    if df is None:
+        df = _SCANS[k] = build()
+    return df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
     if name not in TABLES:
         raise KeyError(name)
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    df = memo(spark, ("scan", path), lambda: spark.read.parquet(path))
     return df.select(*columns) if columns else df
 
 
