@@ -87,15 +87,27 @@ def fit_and_score(df: DataFrame, key_cols, cat_cols, num_cols, target: str, earl
     return model, pred, metrics(train, pred, target)
 
 
+# Continuous quantiles (errors, predictions) use a bounded-memory sketch with this
+# accuracy (rank error about 1/ACCURACY); integer targets use exact histograms.
+ACCURACY = 100_000
+
+
+def exact_median_int(df: DataFrame, col: str):
+    """Exact median of an integer-valued column as a scalar subquery, through a
+    (value -> count) histogram, so memory is bounded by distinct values."""
+    h = df.groupBy(F.col(col).cast("long").alias("_v")).agg(F.count(F.lit(1)).alias("_w"))
+    return h.select(F.percentile("_v", F.lit(0.5), F.col("_w")).cast("double")).scalar()
+
+
 def metrics(train: DataFrame, pred: DataFrame, target: str) -> DataFrame:
     """MAE, median absolute error, R², MAE of the training median, lift (ML-5, IND-17)."""
     y, p = F.col(target).cast("double"), F.col("prediction")
-    med_train = train.select(F.percentile(F.col(target).cast("double"), 0.5)).scalar()
+    med_train = exact_median_int(train, target)
     ev = RegressionEvaluator(labelCol=target, predictionCol="prediction")
     mae = ev.evaluate(pred, {ev.metricName: "mae"})
     r2 = ev.evaluate(pred, {ev.metricName: "r2"})
     m = pred.agg(F.count(F.lit(1)).alias("n_test"),
-                 F.percentile(F.abs(y - p), 0.5).alias("medae"),
+                 F.percentile_approx(F.abs(y - p), 0.5, ACCURACY).cast("double").alias("medae"),
                  F.avg(F.abs(y - med_train)).alias("baseline_mae"))
     n_train = train.select(F.count(F.lit(1))).scalar()
     return (m.withColumn("n_train", n_train).withColumn("mae", F.lit(mae)).withColumn("r2", F.lit(r2))
@@ -105,9 +117,11 @@ def metrics(train: DataFrame, pred: DataFrame, target: str) -> DataFrame:
 
 def median_by_group(pred: DataFrame, group: str, target: str) -> DataFrame:
     """Real vs predicted median per process type over hold-out rows (ML-6, TRAP-8)."""
-    return pred.groupBy(group).agg(F.count(F.lit(1)).alias("n"),
-                                   F.percentile(F.col(target).cast("double"), 0.5).alias("real_mediana"),
-                                   F.percentile("prediction", 0.5).alias("pred_mediana"))
+    real = (pred.groupBy(group, F.col(target).cast("long").alias("_v")).agg(F.count(F.lit(1)).alias("_w"))
+            .groupBy(group).agg(F.sum("_w").alias("n"),
+                                F.percentile("_v", F.lit(0.5), F.col("_w")).cast("double").alias("real_mediana")))
+    predm = pred.groupBy(group).agg(F.percentile_approx("prediction", 0.5, ACCURACY).cast("double").alias("pred_mediana"))
+    return real.join(predm, group)
 
 
 def score_with_fallback(model, rows: DataFrame, fallback: DataFrame, group: str) -> DataFrame:
@@ -135,7 +149,8 @@ def risk_classifier(df: DataFrame, key_cols, cat_cols, num_cols, target: str, q:
     from pyspark.ml.classification import GBTClassifier
     from pyspark.ml.evaluation import BinaryClassificationEvaluator
     train, test = split(df, key_cols)
-    thr = train.select(F.percentile(F.col(target).cast("double"), q)).scalar()
+    h = train.groupBy(F.col(target).cast("long").alias("_v")).agg(F.count(F.lit(1)).alias("_w"))
+    thr = h.select(F.percentile("_v", F.lit(q), F.col("_w")).cast("double")).scalar()
     train = train.withColumn("riesgo", (F.col(target) > thr).cast("double"))
     test = test.withColumn("riesgo", (F.col(target) > thr).cast("double"))
     keep = cap_categories(train, cat_cols)

@@ -14,7 +14,7 @@ from judicata.operators import clean as C
 from judicata.operators import sets as S
 from judicata.operators.match import CRIME_TITLES, prefix_classify
 from judicata.plans import register
-from judicata.tables import Tables
+from judicata.tables import Tables, balance
 
 # Analogue taxonomy of part descriptions; keys share prefixes on
 # purpose so that the longest key must win.
@@ -91,7 +91,7 @@ def crime_lines_taxonomy(spark, sf):
     line is searched for the crime anchor, the label is recovered (70 chars,
     pipes out) and matched to the fixed crime-title taxonomy, longest first.
     Counts: lines, lines with the anchor, unclassified, and one row per title."""
-    d = Tables(spark, sf).documents("text")
+    d = balance(Tables(spark, sf).documents("text"))
     lines = d.select(F.explode(F.split(F.col("text"), "\n")).alias("line"))
     rec = recover_tail(F.col("line"))
     x = lines.select(rec.alias("rec")).select(F.col("rec").isNotNull().alias("has"),

@@ -73,14 +73,24 @@ def read_csv_smart(spark: SparkSession, paths, with_path: bool = True):
     files = _hadoop_paths(spark, [paths] if isinstance(paths, str) else paths)
     groups: dict[tuple, list[str]] = {}
     errors = []
-    for f in files:
+
+    def probe(f):
         try:
             enc, sep, header = sniff(read_head(spark, f))
             if not header:
                 raise ValueError("empty file")
-            groups.setdefault((enc, sep, tuple(header)), []).append(f)
+            return f, (enc, sep, tuple(header)), None
         except Exception as e:  # noqa: BLE001  (an unreadable file is skipped, not fatal)
-            errors.append((f, f"{type(e).__name__}: {e}"[:200]))
+            return f, None, f"{type(e).__name__}: {e}"[:200]
+
+    # heads are small, independent reads: issue them concurrently (I/O bound)
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(max_workers=min(32, max(1, len(files)))) as pool:
+        for f, key, err in pool.map(probe, files):
+            if err is None:
+                groups.setdefault(key, []).append(f)
+            else:
+                errors.append((f, err))
     out = None
     for (enc, sep, header), fs in sorted(groups.items()):
         schema = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(len(header))])

@@ -45,3 +45,15 @@ class Tables:
         if name in TABLES:
             return lambda *cols: table(self.spark, self.sf_dir, name, *cols)
         raise AttributeError(name)
+
+
+def balance(df: DataFrame, min_parts: int | None = None) -> DataFrame:
+    """Spread heavy per-row work over the cluster when the input arrives in fewer
+    partitions than there are cores (a file with one row group is one task).
+
+    Decided at plan time from the scan's split count: on a large input with
+    many splits this is a no-op (no extra shuffle); on a narrow one it adds a
+    round-robin repartition so regex / parsing / Python work runs in parallel."""
+    spark = df.sparkSession
+    target = min_parts or spark.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
