@@ -134,10 +134,10 @@ def score_with_fallback(model, rows: DataFrame, fallback: DataFrame, group: str)
 def psi(a_counts: DataFrame, bucket: str, n_a: str, n_b: str) -> DataFrame:
     """Population stability index per bucket and in total (ML-11):
     sum((a - b) * ln(a / b)) over buckets where both shares are positive."""
-    ta = a_counts.select(F.sum(n_a)).scalar()
-    tb = a_counts.select(F.sum(n_b)).scalar()
-    x = a_counts.withColumn("share_a", F.col(n_a).cast("double") / ta.cast("double")) \
-                .withColumn("share_b", F.col(n_b).cast("double") / tb.cast("double"))
+    from judicata.operators.windows import with_scalars
+    x = with_scalars(a_counts, "_t", ta=F.sum(n_a), tb=F.sum(n_b))
+    x = x.withColumn("share_a", F.col(n_a).cast("double") / F.col("_t.ta").cast("double")) \
+         .withColumn("share_b", F.col(n_b).cast("double") / F.col("_t.tb").cast("double")).drop("_t")
     x = x.withColumn("psi_i", F.when((F.col("share_a") > 0) & (F.col("share_b") > 0),
                                      (F.col("share_a") - F.col("share_b")) * F.ln(F.col("share_a") / F.col("share_b"))))
     total = x.select(F.sum("psi_i")).scalar()

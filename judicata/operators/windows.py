@@ -99,20 +99,28 @@ def rank_desc(df: DataFrame, metric: str, tie: str, out: str = "ranking", partit
 
 def scalars(df: DataFrame, **aggs: Column) -> Column:
     """Several aggregates of ``df`` as ONE struct-valued scalar subquery (one
-    extra job instead of one per value); read fields with ``.getField(name)``."""
+    extra job instead of one per value).  Attach it once with
+    :func:`with_scalars` and read fields from that column: every direct reuse of
+    the returned expression would be planned as a separate subquery."""
     return df.select(F.struct(*[a.alias(k) for k, a in aggs.items()])).scalar()
 
 
+def with_scalars(df: DataFrame, name: str, source: DataFrame | None = None, **aggs: Column) -> DataFrame:
+    """``df`` plus a struct column ``name`` holding aggregates of ``source``
+    (default ``df``) computed by a single scalar subquery."""
+    return df.withColumn(name, scalars(source if source is not None else df, **aggs))
+
+
 def minmax_class(df: DataFrame, metric: str, out: str = "clase",
                  labels=("bajo", "medio", "alto"), cuts=(0.33, 0.66)) -> DataFrame:
     """Equal-width tercile class of a min-max scaled metric (WIN-7), not ``ntile``.
 
     min and max come from one scalar subquery: no single-partition window, no cross join."""
-    s = scalars(df, mn=F.min(metric), mx=F.max(metric))
-    mn, mx = s.getField("mn"), s.getField("mx")
+    x = with_scalars(df, "_mm", mn=F.min(metric), mx=F.max(metric))
+    mn, mx = F.col("_mm.mn"), F.col("_mm.mx")
     rng = mx - mn
     t = (F.col(metric) - mn) / F.when(rng == 0, F.lit(1.0)).otherwise(rng)
-    return df.withColumn(out, F.when(t < cuts[0], labels[0]).when(t < cuts[1], labels[1]).otherwise(labels[2]))
+    return x.withColumn(out, F.when(t < cuts[0], labels[0]).when(t < cuts[1], labels[1]).otherwise(labels[2])).drop("_mm")
 
 
 def share_of_max(df: DataFrame, metric: str, out: str) -> DataFrame:

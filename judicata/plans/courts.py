@@ -45,10 +45,11 @@ def workload_national(spark, sf):
     nat = with_indicators(per_court.agg(*flow_sums()))
     d = (case_lines(spark, sf).where(F.col("dias") >= 0)
          .groupBy("corte").agg(F.avg("dias").alias("demora")))
-    w = d.join(per_court.select("corte", F.col("ingresos").alias("ing")), "corte").agg(
-        A.weighted_mean("demora", "ing").alias("demora_ponderada"), F.avg("demora").alias("demora_simple"))
-    # both sides are single-row aggregates: a one-row x one-row product
-    return nat.join(w, how="inner")
+    dw = d.join(per_court.select("corte", F.col("ingresos").alias("ing")), "corte")
+    # the delay figures are one scalar subquery attached to the one-row national frame (no join)
+    nat = WN.with_scalars(nat, "_w", source=dw, demora_ponderada=A.weighted_mean("demora", "ing"),
+                          demora_simple=F.avg("demora"))
+    return nat.select(*[c for c in nat.columns if c != "_w"], "_w.demora_ponderada", "_w.demora_simple")
 
 
 # ----------------------------------------------------------------- court_ranking

@@ -92,13 +92,13 @@ def priority_index(spark, sf):
         "corte", F.try_divide(F.col("ingresos").cast("double"), F.col("jueces").cast("double")).alias("carga"),
         F.try_divide(F.col("pendientes").cast("double"), F.col("ingresos").cast("double")).alias("atraso"), "demora")
     idx = None
-    st = WN.scalars(m, **{f"{c}_{k}": f(c) for c in WEIGHTS for k, f in (("lo", F.min), ("hi", F.max))})
+    m = WN.with_scalars(m, "_mm", **{f"{c}_{k}": f(c) for c in WEIGHTS for k, f in (("lo", F.min), ("hi", F.max))})
     for col, w in WEIGHTS.items():
-        lo, hi = st.getField(f"{col}_lo"), st.getField(f"{col}_hi")
+        lo, hi = F.col(f"_mm.{col}_lo"), F.col(f"_mm.{col}_hi")
         rng = hi - lo
         term = F.lit(w) * (F.col(col) - lo) / F.when(rng == 0, F.lit(1.0)).otherwise(rng)
         idx = term if idx is None else idx + term
-    m = m.withColumn("indice", idx)
+    m = m.withColumn("indice", idx).drop("_mm")
     return WN.rank_desc(m, "indice", "corte", out="prioridad")
 
 
@@ -171,7 +171,8 @@ def risk_labels(spark, sf):
     is an exact percentile over the (days -> count) histogram."""
     v = case_lines(spark, sf).where(F.col("dias").between(1, 998)).select("tipo", "dias")
     h = v.groupBy("dias").agg(F.count(F.lit(1)).alias("_w"))
-    p75 = h.select(F.percentile("dias", F.lit(0.75), F.col("_w")).cast("double")).scalar()
-    return v.groupBy("tipo").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("dias") > p75).alias("n_riesgo")) \
-            .withColumn("proporcion_riesgo", F.col("n_riesgo").cast("double") / F.col("n").cast("double")) \
-            .withColumn("umbral", p75)
+    x = WN.with_scalars(v, "_q", source=h, p75=F.percentile("dias", F.lit(0.75), F.col("_w")).cast("double"))
+    return x.groupBy("tipo").agg(F.count(F.lit(1)).alias("n"),
+                                 F.count_if(F.col("dias") > F.col("_q.p75")).alias("n_riesgo"),
+                                 F.first("_q.p75").alias("umbral")) \
+            .withColumn("proporcion_riesgo", F.col("n_riesgo").cast("double") / F.col("n").cast("double"))

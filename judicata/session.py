@@ -21,6 +21,12 @@ _DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
+    # Static (plan-time) broadcast decisions rest on compressed file sizes, a
+    # guess that can be 5-10x below the in-memory size.  Keep that guess for tiny
+    # inputs only, and let AQE broadcast data-derived sides after measuring them
+    # (runtime shuffle statistics), falling back to sort-merge join when large.
+    "spark.sql.autoBroadcastJoinThreshold": str(1 << 20),
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": str(10 << 20),
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
