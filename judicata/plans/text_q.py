@@ -123,7 +123,7 @@ FROM x GROUP BY 1, 2
 def tolerant_number(spark, sf):
     """Numbers arriving as text (PRJ-1/2): junk gives null, never an exception;
     thousand separators defeat the plain parser and are removed by the comma parser."""
-    li = Tables(spark, sf).lineitem("l_returnflag", "l_linestatus", "l_quantity", "l_extendedprice")
+    li = balance(Tables(spark, sf).lineitem("l_returnflag", "l_linestatus", "l_quantity", "l_extendedprice"))
     x = li.select("l_returnflag", "l_linestatus",
                   F.when((F.col("l_returnflag") == "N") & (F.col("l_linestatus") == "O"), F.lit("n/a"))
                   .otherwise(F.col("l_quantity").cast("string")).alias("txt_plain"),
@@ -155,7 +155,7 @@ FROM x GROUP BY tipo
 def mixed_date_cutoff(spark, sf):
     """Cut-off date of a text column in mixed formats (PRJ-6): the first format
     under which any value parses gives the max; none parses -> lexical max."""
-    o = Tables(spark, sf).orders("o_orderpriority", "o_orderdate")
+    o = balance(Tables(spark, sf).orders("o_orderpriority", "o_orderdate"))
     d = F.col("o_orderdate")
     txt = (F.when(F.col("o_orderpriority") == "1-URGENT", F.date_format(d, "dd/MM/yyyy"))
            .when(F.col("o_orderpriority") == "2-HIGH", F.date_format(d, "yyyyMMdd"))
