@@ -60,7 +60,7 @@ def build_pipeline(cat_cols, num_cols, target: str, seed: int = 42, validation_c
     ohe = OneHotEncoder(inputCols=[f"{c}_i" for c in cat_cols], outputCols=[f"{c}_v" for c in cat_cols],
                         handleInvalid="keep")
     asm = VectorAssembler(inputCols=[f"{c}_v" for c in cat_cols] + list(num_cols), outputCol="features")
-    gbr = GBTRegressor(featuresCol="features", labelCol=target, seed=seed, **params)
+    gbr = GBTRegressor(featuresCol="features", labelCol=target, seed=seed, checkpointInterval=10, **params)
     return Pipeline(stages=[*idx, ohe, asm, gbr])
 
 
@@ -71,6 +71,8 @@ def fit_and_score(df: DataFrame, key_cols, cat_cols, num_cols, target: str, earl
     ``early_stopping="auto"`` turns early stopping on when the training set has
     more than 10,000 rows: a hashed 10 % of the training rows becomes the
     validation set and boosting stops once the validation error stops improving."""
+    from judicata.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)     # boosting checkpoints its error RDD every 10 rounds
     train, test = split(df, key_cols)
     keep = cap_categories(train, cat_cols)
     train, test = apply_caps(train, keep), apply_caps(test, keep)
