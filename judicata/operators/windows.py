@@ -23,9 +23,10 @@ def _cols(x):
 
 
 def micros(ts) -> Column:
-    """Microseconds since epoch of a timestamp or timestamp_ntz column (UTC session)."""
+    """Microseconds since 1970-01-01 00:00 of a timestamp_ntz column, independent
+    of the session time zone (a wall-clock difference, no zone conversion)."""
     c = F.col(ts) if isinstance(ts, str) else ts
-    return F.unix_micros(c.cast("timestamp"))
+    return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), c)
 
 
 # ---------------------------------------------------------------- sequences
