@@ -220,3 +220,24 @@ def test_partition_count_independence(spark):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "8")
     assert a == b
+
+
+def test_interval_fixture_year_2015(spark):
+    # covers: JN-9 (FIXTURES: [2010,2015), [2015,null); year 2015 -> the second only)
+    iv = spark.createDataFrame([(1, 2010, 2015, 10), (1, 2015, None, 11)], "k long, desde long, hasta long, id long")
+    pts = spark.createDataFrame([(1, 100, 2015), (1, 101, 2014), (1, 102, 2030), (1, 103, 2009)], "k long, pid long, y long")
+    got = {r.pid: r.id for r in MT.interval_join(pts, iv, "k", "y", "desde", "hasta", "id", {"id": "id"}, 10).collect()}
+    assert got == {100: 11, 101: 10, 102: 11, 103: None}
+
+
+def test_histogram_sums_to_n(spark):
+    # covers: AGG-9 (property: every valid value lands in exactly one bucket)
+    rnd = random.Random(1)
+    rows = [(f"g{rnd.randint(0, 3)}", rnd.randint(0, 2000)) for _ in range(500)]
+    df = spark.createDataFrame(rows, "g string, d int")
+    h = A.bucket_counts(df, "g", "d", MT.DELAY_EDGES)
+    sums = {r.g: r.n for r in h.groupBy("g").agg(F.sum("n").alias("n")).collect()}
+    want = {}
+    for g, _ in rows:
+        want[g] = want.get(g, 0) + 1
+    assert sums == want and h.count() == 6 * len(want)
