@@ -16,7 +16,7 @@ from judicata.functions import metrics as M
 from judicata.functions.dates import cutoff_agg, first_parsing_column, month_number, yyyymmdd
 from judicata.functions.numbers import filled, tolerant_number, tolerant_number_commas
 from judicata.functions.provenance import coverage_text, with_provenance
-from judicata.functions.text import fold_accents, letters_key, merge_territory, recover_tail, text_key
+from judicata.functions.text import fold_accents, merge_territory, recover_tail, text_key
 from judicata.operators import aggregate as A
 from judicata.operators import clean as C
 from judicata.operators import sets as S

@@ -10,7 +10,7 @@ from judicata.operators import clean as C
 from judicata.operators import sets as S
 from judicata.operators.match import DELAY_EDGES
 from judicata.plans import register
-from judicata.plans.common import CASE_LINES_SQL, CASES_SQL, case_lines
+from judicata.plans.common import CASE_LINES_SQL, case_lines
 from judicata.tables import Tables
 
 

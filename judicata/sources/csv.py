@@ -13,7 +13,7 @@ from __future__ import annotations
 import csv as _csv
 import io
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
