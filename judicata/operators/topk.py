@@ -30,7 +30,7 @@ def top_k_per_group(df: DataFrame, group, order, k: int, salt_cols=None, salt: i
     w1 = Window.partitionBy(*group, "_salt").orderBy(*order)
     x = x.withColumn("_r1", F.row_number().over(w1)).where(F.col("_r1") <= k).drop("_r1", "_salt")
     w2 = Window.partitionBy(*group).orderBy(*order)
-    return x.withColumn(rank_col, F.row_number().over(w2)).where(F.col(rank_col) <= k)
+    return x.withColumn(rank_col, F.row_number().over(w2).cast("bigint")).where(F.col(rank_col) <= k)
 
 
 def arg_max(df: DataFrame, group, metric: str, tie: str, payload) -> DataFrame:

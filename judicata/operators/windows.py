@@ -95,7 +95,7 @@ def rank_desc(df: DataFrame, metric: str, tie: str, out: str = "ranking", partit
     w = Window.orderBy(F.col(metric).desc_nulls_last(), F.col(tie).asc())
     if partition:
         w = Window.partitionBy(*_cols(partition)).orderBy(F.col(metric).desc_nulls_last(), F.col(tie).asc())
-    return df.withColumn(out, F.row_number().over(w))
+    return df.withColumn(out, F.row_number().over(w).cast("bigint"))
 
 
 def scalars(df: DataFrame, **aggs: Column) -> Column:

@@ -35,8 +35,8 @@ WITH i AS (SELECT r.r_name AS departamento, CAST(date_trunc('month', o.o_orderda
      k AS (SELECT *, sum(ingresos - resueltos) OVER (PARTITION BY departamento ORDER BY mes
                       ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS s FROM m)
 SELECT departamento, mes, ingresos, resueltos,
-       s - least(0, min(s) OVER (PARTITION BY departamento ORDER BY mes
-                                 ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)) AS stock
+       CAST(s - least(0, min(s) OVER (PARTITION BY departamento ORDER BY mes
+                                      ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)) AS BIGINT) AS stock
 FROM k
 """)
 def clamped_stock(spark, sf):

@@ -87,7 +87,8 @@ def top_departments(spark, sf):
     top = T.top_k(c, [F.col("n").desc(), F.col("departamento").asc()], 10)     # TOP-1, TOP-6 order at the sink
     # the rank is computed over the (at most 10) rows that survived the top-k
     from pyspark.sql import Window
-    return top.withColumn("puesto", F.row_number().over(Window.orderBy(F.col("n").desc(), F.col("departamento"))))
+    return top.withColumn("puesto", F.row_number().over(Window.orderBy(F.col("n").desc(), F.col("departamento")))
+                          .cast("bigint"))
 
 
 @register("topk_by_group", sql="""
