@@ -90,19 +90,31 @@ STATE_SCHEMA = T.StructType([
 ])
 
 
-def limit_stream(events: DataFrame, key: str = "user_id", t: str = "t", tie: str = "event_id",
-                 window_s: int = 60, max_hits: int = 20, day_max: int = 40) -> DataFrame:
+def limit_stream(events: DataFrame, key: str = "user_id", ts: str = "ts", tie: str = "event_id",
+                 window_s: int = 60, max_hits: int = 20, day_max: int = 40, watermark: str = "10 minutes") -> DataFrame:
     """Stream twin over a streaming DataFrame: ``applyInPandasWithState`` per key.
 
     Events inside a micro-batch are ordered by (t, tie); an event older than the
-    key's last processed event is rejected explicitly as late ("tarde")."""
+    key's last processed event is rejected explicitly as late ("tarde"); events
+    behind the watermark never reach the operator.  State is bounded per key
+    (at most ``max_hits`` timestamps) and is dropped by an event-time timeout
+    once the watermark passes both the end of the key's current day and its last
+    hit plus the window: from then on the key's state cannot affect any decision."""
     from pyspark.sql.streaming.state import GroupStateTimeout
 
+    from judicata.operators.windows import micros
+
     window = window_s * 1_000_000
-    src = events.select(F.col(tie).cast("long").alias("event_id"), F.col(key).cast("long").alias("user_id"),
-                        F.col(t).cast("long").alias("t"))
+    is_ltz = isinstance(events.schema[ts].dataType, T.TimestampType)
+    t_col = F.unix_micros(F.col(ts)) if is_ltz else micros(F.col(ts))    # true epoch for zoned timestamps
+    src = (events.withWatermark(ts, watermark)
+                 .select(F.col(tie).cast("long").alias("event_id"), F.col(key).cast("long").alias("user_id"),
+                         t_col.alias("t"), F.col(ts)))
 
     def fn(k, pdfs, state):
+        if state.hasTimedOut:
+            state.remove()
+            return
         if state.exists:
             d, c, h, lt = state.get
             st = _KeyState(d, c, h or (), lt)
@@ -117,11 +129,14 @@ def limit_stream(events: DataFrame, key: str = "user_id", t: str = "t", tie: str
             why.append(m)
         state.update((int(st.day), int(st.day_count), [int(x) for x in st.hits],
                       None if st.last_t is None else int(st.last_t)))
+        if st.last_t is not None:
+            until = max((st.day + 1) * DAY_MICROS, (st.hits[-1] if st.hits else st.last_t) + window)
+            state.setTimeoutTimestamp(until // 1000)          # epoch milliseconds
         yield pd.DataFrame({"event_id": pdf["event_id"].astype("int64"), "user_id": pdf["user_id"].astype("int64"),
                             "t": pdf["t"].astype("int64"), "aceptado": acc, "motivo": why})
 
     return src.groupBy("user_id").applyInPandasWithState(
-        fn, OUT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout)
+        fn, OUT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.EventTimeTimeout)
 
 
 def brute_force(rows, window_s=60, max_hits=20, day_max=40):

@@ -41,7 +41,7 @@ def test_limiter_batch_equals_loop_on_events(spark):
 def test_limiter_stream_equals_batch(spark, tmp_path):
     # covers: STR-1
     e = spark.read.parquet("/root/testdata/sf0.001/events.parquet").select(
-        "event_id", "user_id", micros("ts").alias("t")).orderBy("t")
+        "event_id", "user_id", micros("ts").alias("t"), F.col("ts").cast("timestamp").alias("ts")).orderBy("t")
     src = tmp_path / "src"
     # land the events in three time-ordered files so the stream sees three micro-batches
     ts = [r.t for r in e.select("t").collect()]
@@ -55,7 +55,7 @@ def test_limiter_stream_equals_batch(spark, tmp_path):
          .option("checkpointLocation", str(tmp_path / "ckpt")).trigger(availableNow=True).start())
     q.awaitTermination(600)
     got = {r.event_id: (r.aceptado, r.motivo) for r in spark.table("lim_out").collect()}
-    want = brute_force([tuple(r) for r in e.collect()], 3600, 2, 4)
+    want = brute_force([(r.event_id, r.user_id, r.t) for r in e.collect()], 3600, 2, 4)
     assert got == want
 
 
