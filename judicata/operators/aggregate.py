@@ -39,11 +39,23 @@ def quantile_aggs(value: str, probs=(0.5, 0.9), names=("median", "p90"), weight:
 
 
 def quantile_profile(df: DataFrame, group: str, value: str, probs=(0.5, 0.9), names=("median", "p90"),
-                     min_n: int = 0, global_label: str | None = None) -> DataFrame:
+                     min_n: int = 0, global_label: str | None = None, approx_accuracy: int | None = None) -> DataFrame:
     """Per-group and global delay profile in one result (AGG-8; FLT-11).
 
     ``min_n`` applies to groups only; the global row (``group`` null, or
-    ``global_label``) always appears."""
+    ``global_label``) always appears.  Exact by default (histogram + weighted
+    percentile).  ``approx_accuracy`` opts into ``percentile_approx`` over the raw
+    values for continuous measures with very many distinct values: bounded
+    memory per group, rank error at most about 1/accuracy of n."""
+    if approx_accuracy:
+        v = F.col(value)
+        aggs = [F.count(v).alias("n"), F.avg(v.cast("double")).alias("mean"), F.min(v).alias("min"), F.max(v).alias("max")]
+        aggs += [F.percentile_approx(v, p, approx_accuracy).cast("double").alias(nm) for p, nm in zip(probs, names)]
+        prof = df.rollup(group).agg(*aggs, F.grouping(group).alias("is_global"))
+        prof = prof.where((F.col("is_global") == 1) | (F.col("n") >= min_n))
+        if global_label is not None:
+            prof = prof.withColumn(group, F.when(F.col("is_global") == 1, F.lit(global_label)).otherwise(F.col(group)))
+        return prof
     hist = value_histogram(df, group, value)
     prof = hist.rollup(group).agg(*quantile_aggs(value, probs, names), F.grouping(group).alias("is_global"))
     prof = prof.where((F.col("is_global") == 1) | (F.col("n") >= min_n))

@@ -241,3 +241,53 @@ def test_histogram_sums_to_n(spark):
     for g, _ in rows:
         want[g] = want.get(g, 0) + 1
     assert sums == want and h.count() == 6 * len(want)
+
+
+def test_quantile_approx_opt_in(spark):
+    # covers: AGG-6 (approximate opt-in within its stated rank error)
+    rnd = random.Random(3)
+    rows = [("g", rnd.random() * 1000.0) for _ in range(5000)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    ex = A.quantile_profile(df, "g", "v").where("is_global = 0").first()
+    ap = A.quantile_profile(df, "g", "v", approx_accuracy=10_000).where("is_global = 0").first()
+    vals = sorted(v for _, v in rows)
+    rank = lambda x: sum(1 for y in vals if y <= x)
+    assert abs(rank(ap.median) - rank(ex.median)) <= 5000 / 10_000 + 1
+    assert ap.n == ex.n == 5000
+
+
+def _partition_spread(spark, df, used: str):
+    """Largest share of rows held by one partition of ``df`` (as produced by its last
+    shuffle).  ``used`` is an output column of the operator, consumed so that the
+    optimiser cannot prune the operator away."""
+    counts = [r.c for r in df.groupBy(F.spark_partition_id().alias("p"))
+              .agg(F.count(F.lit(1)).alias("c"), F.max(used).alias("m")).collect()]
+    return max(counts) / sum(counts)
+
+
+def test_hot_key_is_spread_across_tasks(spark):
+    # covers: WIN-13 STR-2 JN-10 (a key with a third of all rows is not processed by one task)
+    rnd = random.Random(9)
+    hot = [(i, 0, rnd.randrange(30 * 24 * 3600) * 1_000_000) for i in range(6000)]
+    cold = [(6000 + i, 1 + i % 200, rnd.randrange(30 * 24 * 3600) * 1_000_000) for i in range(12000)]
+    e = spark.createDataFrame(hot + cold, "event_id long, user_id long, t long")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        hour = 3600 * 1_000_000
+        nxt = WN.next_in_sequence(e.where("user_id = 0"), "user_id", "t", "event_id", {"nt": "t"}, hour)
+        assert _partition_spread(spark, nxt, "nt") < 0.3          # one hot key, many (key, hour) partitions
+        trl = WN.trailing_count(e.where("user_id = 0"), "user_id", "t", 600 * 1_000_000, hour)
+        assert _partition_spread(spark, trl, "n_trailing") < 0.3
+        hot_e = e.where("user_id = 0")
+        starts = hot_e.where("event_id % 5 = 0").select("user_id", F.col("event_id").alias("sid"), F.col("t").alias("st"))
+        asof = MT.asof_join(hot_e, starts, "user_id", "t", "st", "sid", {"sid": "sid"}, hour)
+        assert _partition_spread(spark, asof, "sid") < 0.3
+        w = Window.partitionBy("user_id").orderBy("t")
+        naive = e.where("user_id = 0").withColumn("nt", F.lead("t").over(w))
+        assert _partition_spread(spark, naive, "nt") == 1.0        # the plain window puts the whole key in one task
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(1 << 20))
+        spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", str(10 << 20))
