@@ -98,10 +98,12 @@ def weighted_mean(value, weight) -> Column:
     return F.try_divide(F.sum(v.cast("double") * w), F.sum(w).cast("double"))
 
 
-def column_totals_long(df: DataFrame, by, cols, name: str = "medida", value: str = "valor") -> DataFrame:
-    """Column-wise totals turned into rows (AGG-11): one aggregate pass, then unpivot."""
+def column_totals_long(df: DataFrame, by, cols, name: str = "medida", value: str = "valor",
+                       cast: str | None = None) -> DataFrame:
+    """Column-wise totals turned into rows (AGG-11): one aggregate pass, then unpivot.
+    ``cast`` gives all totals one type (unpivot needs a common type)."""
     by = _cols(by)
-    wide = df.groupBy(*by).agg(*[F.sum(c).alias(c) for c in cols])
+    wide = df.groupBy(*by).agg(*[(F.sum(c).cast(cast) if cast else F.sum(c)).alias(c) for c in cols])
     return wide.unpivot(by, list(cols), name, value)
 
 

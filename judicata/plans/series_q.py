@@ -146,12 +146,16 @@ def outliers_iqr(spark, sf):
 # ----------------------------------------------------------------- wide_to_long
 @register("wide_to_long", sql="""
 WITH w AS (SELECT CAST(year(l_shipdate) AS INTEGER) AS anio, sum(l_quantity) AS l_quantity,
-                  sum(l_extendedprice) AS l_extendedprice, sum(l_tax) AS l_tax
+                  CAST(sum(CAST(l_extendedprice AS DECIMAL(8, 2))) AS DOUBLE) AS l_extendedprice,
+                  CAST(sum(CAST(l_tax AS DECIMAL(3, 2))) AS DOUBLE) AS l_tax
            FROM lineitem GROUP BY 1)
 SELECT anio, medida, valor FROM w UNPIVOT (valor FOR medida IN (l_quantity, l_extendedprice, l_tax))
 """)
 def wide_to_long(spark, sf):
     """Column-wise yearly totals turned into rows (AGG-11): one pass, then unpivot."""
     li = Tables(spark, sf).lineitem("l_shipdate", "l_quantity", "l_extendedprice", "l_tax")
-    li = li.withColumn("anio", F.year("l_shipdate").cast("int"))
-    return A.column_totals_long(li, "anio", ["l_quantity", "l_extendedprice", "l_tax"])
+    li = li.withColumns({"anio": F.year("l_shipdate").cast("int"),
+                         "l_extendedprice": F.col("l_extendedprice").cast("decimal(8,2)"),   # exact cents
+                         "l_tax": F.col("l_tax").cast("decimal(3,2)")})
+    long = A.column_totals_long(li, "anio", ["l_quantity", "l_extendedprice", "l_tax"], cast="double")
+    return long

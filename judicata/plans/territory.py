@@ -92,7 +92,9 @@ def top_departments(spark, sf):
 
 
 @register("topk_by_group", sql="""
-WITH r AS (SELECT p.p_type, p.p_partkey, p.p_name, sum(l.l_extendedprice * (1 - l.l_discount)) AS revenue
+WITH r AS (SELECT p.p_type, p.p_partkey, p.p_name,
+                  CAST(sum(CAST(l.l_extendedprice AS DECIMAL(8, 2)) * CAST(1 - l.l_discount AS DECIMAL(3, 2))) AS DOUBLE)
+                    AS revenue
            FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey GROUP BY 1, 2, 3)
 SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY p_type ORDER BY revenue DESC, p_partkey) AS rank FROM r)
 WHERE rank <= 3
@@ -108,6 +110,7 @@ def topk_by_group(spark, sf):
     p = t.part("p_partkey", "p_name", "p_type")
     r = (li.join(p, li.l_partkey == p.p_partkey)
          .groupBy("p_type", "p_partkey", "p_name")
-         .agg(F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("revenue")))
+         .agg(F.sum(F.col("l_extendedprice").cast("decimal(8,2)") * (F.lit(1) - F.col("l_discount")).cast("decimal(3,2)"))
+              .cast("double").alias("revenue")))   # exact cents: ranking ties do not depend on summation order
     return T.top_k_per_group(r, "p_type", [F.col("revenue").desc(), F.col("p_partkey").asc()], 3,
                              salt_cols=["p_partkey"])

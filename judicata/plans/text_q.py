@@ -37,7 +37,8 @@ m AS (SELECT p.p_partkey, p.p_retailprice, k.label,
              row_number() OVER (PARTITION BY p.p_partkey ORDER BY length(k.key) DESC) AS rn
       FROM p LEFT JOIN k ON starts_with(p.t, k.key)),
 b AS (SELECT p_partkey, p_retailprice, COALESCE(label, '{UNCLASSIFIED}') AS categoria FROM m WHERE rn = 1)
-SELECT categoria, COUNT(*) AS n, sum(p_retailprice) AS precio_total FROM b GROUP BY categoria
+SELECT categoria, COUNT(*) AS n, CAST(sum(CAST(p_retailprice AS DECIMAL(8, 2))) AS DOUBLE) AS precio_total
+FROM b GROUP BY categoria
 """)
 def prefix_taxonomy(spark, sf):
     """Longest-prefix taxonomy match of part descriptions, letters-only (JN-7, PRJ-9).
@@ -47,7 +48,8 @@ def prefix_taxonomy(spark, sf):
     p = Tables(spark, sf).part("p_partkey", "p_type", "p_name", "p_retailprice")
     cat = prefix_classify(F.concat_ws(" ", "p_type", "p_name"), PART_TAXONOMY)
     b = p.select(F.coalesce(cat, F.lit(UNCLASSIFIED)).alias("categoria"), "p_retailprice")
-    return b.groupBy("categoria").agg(F.count(F.lit(1)).alias("n"), F.sum("p_retailprice").alias("precio_total"))
+    return b.groupBy("categoria").agg(F.count(F.lit(1)).alias("n"),
+                                      F.sum(F.col("p_retailprice").cast("decimal(8,2)")).cast("double").alias("precio_total"))
 
 
 _RAW_PART = ("concat('X', p_brand, ' DELITO ', p_type, ' ', replace(upper(p_name), ' ', '|'), ' ', "
