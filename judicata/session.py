@@ -29,6 +29,9 @@ _DEFAULTS = {
     "spark.sql.adaptive.autoBroadcastJoinThreshold": str(10 << 20),
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # streaming state off-heap in RocksDB (large keyed state; required by transformWithState)
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }

@@ -147,3 +147,75 @@ def brute_force(rows, window_s=60, max_hits=20, day_max=40):
         st = states.setdefault(uid, _KeyState())
         out[eid] = st.step(tt, window, max_hits, day_max)
     return out
+
+
+def _processor_class():
+    """StatefulProcessor for ``transformWithStateInPandas`` (built lazily: the
+    streaming API is imported only when used)."""
+    from pyspark.sql.streaming import StatefulProcessor
+
+    hits_schema = T.StructType([T.StructField("t", T.LongType())])
+    meta_schema = T.StructType([T.StructField("day", T.LongType()), T.StructField("day_count", T.LongType()),
+                                T.StructField("last_t", T.LongType()), T.StructField("timer_ms", T.LongType())])
+
+    class LimiterProcessor(StatefulProcessor):
+        """ListState: accepted hits inside the window; ValueState: (day, count, last event, timer).
+        An event-time timer clears both once they can no longer affect a decision."""
+
+        def __init__(self, window: int, max_hits: int, day_max: int):
+            self.window, self.max_hits, self.day_max = window, max_hits, day_max
+
+        def init(self, handle):
+            self.handle = handle
+            self.hits = handle.getListState("hits", hits_schema)
+            self.meta = handle.getValueState("meta", meta_schema)
+
+        def handleInputRows(self, key, rows, timerValues):
+            m = self.meta.get() if self.meta.exists() else None
+            hits = [h[0] for h in self.hits.get()] if self.hits.exists() else []
+            st = _KeyState(m[0], m[1], hits, m[2]) if m else _KeyState()
+            parts = list(rows)
+            pdf = pd.concat(parts).sort_values(["t", "event_id"])
+            acc, why = [], []
+            for tt in pdf["t"].to_numpy():
+                a, r = st.step(int(tt), self.window, self.max_hits, self.day_max)
+                acc.append(a)
+                why.append(r)
+            if st.hits:
+                self.hits.put([(int(h),) for h in st.hits])
+            else:
+                self.hits.clear()
+            until = max((st.day + 1) * DAY_MICROS, (st.hits[-1] if st.hits else st.last_t) + self.window) // 1000
+            if m and m[3] is not None and m[3] != until:
+                self.handle.deleteTimer(int(m[3]))
+            self.handle.registerTimer(int(until))
+            self.meta.update((int(st.day), int(st.day_count), int(st.last_t), int(until)))
+            yield pd.DataFrame({"event_id": pdf["event_id"].astype("int64"), "user_id": pdf["user_id"].astype("int64"),
+                                "t": pdf["t"].astype("int64"), "aceptado": acc, "motivo": why})
+
+        def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+            self.hits.clear()
+            self.meta.clear()
+            return iter([])
+
+        def close(self):
+            pass
+
+    return LimiterProcessor
+
+
+def limit_stream_tws(events: DataFrame, key: str = "user_id", ts: str = "ts", tie: str = "event_id",
+                     window_s: int = 60, max_hits: int = 20, day_max: int = 40,
+                     watermark: str = "10 minutes") -> DataFrame:
+    """The limiter on ``transformWithStateInPandas`` (event time, RocksDB state
+    store): the same rule and outputs as :func:`limit_stream`."""
+    from judicata.operators.windows import micros
+
+    is_ltz = isinstance(events.schema[ts].dataType, T.TimestampType)
+    t_col = F.unix_micros(F.col(ts)) if is_ltz else micros(F.col(ts))
+    src = (events.withWatermark(ts, watermark)
+                 .select(F.col(tie).cast("long").alias("event_id"), F.col(key).cast("long").alias("user_id"),
+                         t_col.alias("t"), F.col(ts)))
+    proc = _processor_class()(window_s * 1_000_000, max_hits, day_max)
+    return src.groupBy("user_id").transformWithStateInPandas(
+        statefulProcessor=proc, outputStructType=OUT_SCHEMA, outputMode="Append", timeMode="EventTime")

@@ -2,6 +2,8 @@
 
 import os
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from judicata.operators.windows import micros
@@ -38,7 +40,8 @@ def test_limiter_batch_equals_loop_on_events(spark):
     assert got == want
 
 
-def test_limiter_stream_equals_batch(spark, tmp_path):
+@pytest.mark.parametrize("twin", ["applyInPandasWithState", "transformWithStateInPandas"])
+def test_limiter_stream_equals_batch(spark, tmp_path, twin):
     # covers: STR-1
     e = spark.read.parquet("/root/testdata/sf0.001/events.parquet").select(
         "event_id", "user_id", micros("ts").alias("t"), F.col("ts").cast("timestamp").alias("ts")).orderBy("t")
@@ -50,11 +53,14 @@ def test_limiter_stream_equals_batch(spark, tmp_path):
         e.where(cond).coalesce(1).write.parquet(str(src / f"part{i}"))
     stream = (spark.readStream.schema(e.schema).option("maxFilesPerTrigger", 1)
               .option("recursiveFileLookup", True).parquet(str(src)))
-    out = limit_stream(stream, window_s=3600, max_hits=2, day_max=4)
-    q = (out.writeStream.format("memory").queryName("lim_out").outputMode("append")
+    from judicata.streaming.limiter import limit_stream_tws
+    fn = limit_stream if twin == "applyInPandasWithState" else limit_stream_tws
+    out = fn(stream, window_s=3600, max_hits=2, day_max=4)
+    qname = f"lim_out_{twin}"
+    q = (out.writeStream.format("memory").queryName(qname).outputMode("append")
          .option("checkpointLocation", str(tmp_path / "ckpt")).trigger(availableNow=True).start())
     q.awaitTermination(600)
-    got = {r.event_id: (r.aceptado, r.motivo) for r in spark.table("lim_out").collect()}
+    got = {r.event_id: (r.aceptado, r.motivo) for r in spark.table(qname).collect()}
     want = brute_force([(r.event_id, r.user_id, r.t) for r in e.collect()], 3600, 2, 4)
     assert got == want
 
