@@ -106,28 +106,38 @@ def scalars(df: DataFrame, **aggs: Column) -> Column:
     return df.select(F.struct(*[a.alias(k) for k, a in aggs.items()])).scalar()
 
 
-def with_scalars(df: DataFrame, name: str, source: DataFrame | None = None, **aggs: Column) -> DataFrame:
+def with_scalars(df: DataFrame, name: str, source: DataFrame | None = None, bounded: bool = False,
+                 **aggs: Column) -> DataFrame:
     """``df`` plus a struct column ``name`` holding aggregates of ``source``
-    (default ``df``) computed by a single scalar subquery."""
+    (default ``df``) computed by a single scalar subquery.
+
+    ``bounded=True`` is for dimension-sized inputs only (one row per court or
+    department, a fixed territorial domain): the aggregates are then a window
+    over the whole (tiny) frame, which avoids re-running the frame's upstream
+    joins for the subquery."""
+    if bounded and source is None:
+        w = Window.partitionBy()
+        return df.withColumn(name, F.struct(*[a.over(w).alias(k) for k, a in aggs.items()]))
     return df.withColumn(name, scalars(source if source is not None else df, **aggs))
 
 
 def minmax_class(df: DataFrame, metric: str, out: str = "clase",
-                 labels=("bajo", "medio", "alto"), cuts=(0.33, 0.66)) -> DataFrame:
+                 labels=("bajo", "medio", "alto"), cuts=(0.33, 0.66), bounded: bool = False) -> DataFrame:
     """Equal-width tercile class of a min-max scaled metric (WIN-7), not ``ntile``.
 
     min and max come from one scalar subquery: no single-partition window, no cross join."""
-    x = with_scalars(df, "_mm", mn=F.min(metric), mx=F.max(metric))
+    x = with_scalars(df, "_mm", bounded=bounded, mn=F.min(metric), mx=F.max(metric))
     mn, mx = F.col("_mm.mn"), F.col("_mm.mx")
     rng = mx - mn
     t = (F.col(metric) - mn) / F.when(rng == 0, F.lit(1.0)).otherwise(rng)
     return x.withColumn(out, F.when(t < cuts[0], labels[0]).when(t < cuts[1], labels[1]).otherwise(labels[2])).drop("_mm")
 
 
-def share_of_max(df: DataFrame, metric: str, out: str) -> DataFrame:
-    """metric / max(metric) over all rows (WIN-8), max as a scalar subquery."""
-    mx = df.select(F.max(metric)).scalar()
-    return df.withColumn(out, F.try_divide(F.col(metric).cast("double"), mx.cast("double")))
+def share_of_max(df: DataFrame, metric: str, out: str, bounded: bool = False) -> DataFrame:
+    """metric / max(metric) over all rows (WIN-8), max as a scalar subquery
+    (or a whole-frame window for dimension-sized inputs, see :func:`with_scalars`)."""
+    x = with_scalars(df, "_mx", bounded=bounded, mx=F.max(metric))
+    return x.withColumn(out, F.try_divide(F.col(metric).cast("double"), F.col("_mx.mx").cast("double"))).drop("_mx")
 
 
 def year_over_year(df: DataFrame, key, year: str, value: str) -> DataFrame:

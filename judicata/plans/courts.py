@@ -74,8 +74,8 @@ def court_ranking(spark, sf):
     c = cases(spark, sf).groupBy("corte").agg(*flow_aggs())
     c = c.withColumn("congestion", M.congestion("pendientes", "ingresos", "resueltos"))
     c = WN.rank_desc(c, "congestion", "corte", out="ranking")
-    c = WN.minmax_class(c, "congestion", out="clase")
-    return WN.share_of_max(c, "ingresos", out="barra")
+    c = WN.minmax_class(c, "congestion", out="clase", bounded=True)      # one row per court
+    return WN.share_of_max(c, "ingresos", out="barra", bounded=True)
 
 
 # ----------------------------------------------------------------- department_rollup

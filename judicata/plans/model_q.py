@@ -92,7 +92,8 @@ def priority_index(spark, sf):
         "corte", F.try_divide(F.col("ingresos").cast("double"), F.col("jueces").cast("double")).alias("carga"),
         F.try_divide(F.col("pendientes").cast("double"), F.col("ingresos").cast("double")).alias("atraso"), "demora")
     idx = None
-    m = WN.with_scalars(m, "_mm", **{f"{c}_{k}": f(c) for c in WEIGHTS for k, f in (("lo", F.min), ("hi", F.max))})
+    m = WN.with_scalars(m, "_mm", bounded=True,       # one row per court
+                        **{f"{c}_{k}": f(c) for c in WEIGHTS for k, f in (("lo", F.min), ("hi", F.max))})
     for col, w in WEIGHTS.items():
         lo, hi = F.col(f"_mm.{col}_lo"), F.col(f"_mm.{col}_hi")
         rng = hi - lo
