@@ -100,17 +100,15 @@ def write_outputs(name: str, outputs: dict[str, DataFrame], out: str) -> DataFra
             w = w.option("partitionOverwriteMode", "dynamic").partitionBy("anio")
         w.parquet(os.path.join(out, name, part))
     spark = next(iter(outputs.values())).sparkSession
-    doc = spark.range(1).select(F.lit(1).alias("_k"))
     fields = []
     for part, df in outputs.items():
         if part == "tidy":
             continue
         small = spark.read.parquet(os.path.join(out, name, part)).limit(GOLD_ROW_LIMIT + 1)
-        packed = small.agg(F.collect_list(F.struct(*small.columns)).alias(part)).withColumn("_k", F.lit(1))
-        doc = doc.join(packed, "_k")
-        fields.append(F.when(F.size(part) <= GOLD_ROW_LIMIT, F.col(part)).alias(part) if part != "meta"
-                      else F.element_at(part, 1).alias("_meta"))
-    doc.select(F.to_json(F.struct(*fields)).alias("value")).coalesce(1).write.mode("overwrite").text(
+        arr = small.select(F.collect_list(F.struct(*small.columns))).scalar()      # one scalar subquery per array
+        fields.append(F.when(F.size(arr) <= GOLD_ROW_LIMIT, arr).alias(part) if part != "meta"
+                      else F.element_at(arr, 1).alias("_meta"))
+    spark.range(1).select(F.to_json(F.struct(*fields)).alias("value")).coalesce(1).write.mode("overwrite").text(
         os.path.join(out, f"{name}.json"))
     return spark.read.parquet(os.path.join(out, name, "tidy" if "tidy" in outputs else next(iter(outputs))))
 

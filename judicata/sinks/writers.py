@@ -28,11 +28,10 @@ def contract_document(meta: dict, arrays: dict[str, DataFrame]) -> DataFrame:
     The arrays are gold aggregates (small by construction); each is folded
     with ``collect_list(struct(*))`` on the executors, never on the driver."""
     spark = next(iter(arrays.values())).sparkSession
-    doc = spark.range(1).select(F.struct(*[F.lit(v).alias(k) for k, v in meta.items()]).alias("_meta"))
-    for name, df in arrays.items():
-        arr = df.agg(F.collect_list(F.struct(*df.columns)).alias(name))
-        doc = doc.join(arr, how="inner")            # one row x one row
-    return doc.select(F.to_json(F.struct(*doc.columns)).alias("value"))
+    parts = [F.struct(*[F.lit(v).alias(k) for k, v in meta.items()]).alias("_meta")]
+    for name, df in arrays.items():       # each array is one scalar subquery: no joins between one-row frames
+        parts.append(df.select(F.collect_list(F.struct(*df.columns))).scalar().alias(name))
+    return spark.range(1).select(F.to_json(F.struct(*parts)).alias("value"))
 
 
 def write_document(doc: DataFrame, path: str) -> None:

@@ -38,8 +38,9 @@ def sheet_to_long(rows: DataFrame, first_cell: str = "distrito fiscal", label: s
     record.  Cells that are blank, junk or negative are ignored one by one and
     total rows (NACIONAL / blank) are excluded."""
     hdr_idx = find_header_row(rows, first_cell)
-    hdr = rows.where(F.col("row_idx") == hdr_idx).select(F.col("cells").alias("h"))
-    body = rows.where(F.col("row_idx") > hdr_idx).join(hdr, how="inner")    # header is one row
+    # the header row's cells, as a scalar subquery (one row; no join with the body)
+    hdr = rows.where(F.col("row_idx") == hdr_idx).select(F.first("cells")).scalar()
+    body = rows.where(F.col("row_idx") > hdr_idx).withColumn("h", hdr)
     cells = F.arrays_zip(F.col("h").alias("k"), F.col("cells").alias("v"))
     x = body.select(F.element_at("cells", 1).alias(label), F.posexplode(cells).alias("pos", "kv"))
     x = x.where(F.col("pos") > 0).select(label, F.trim(F.col("kv.k")).alias("k"), F.col("kv.v").alias("v"))
