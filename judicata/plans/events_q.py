@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from judicata.operators import match as MT
 from judicata.operators import windows as WN
 from judicata.plans import register
-from judicata.streaming.limiter import limit_batch
+from judicata.streaming.limiter import limit_batch_by_day
 from judicata.tables import Tables
 
 HOUR = 3_600 * 1_000_000
@@ -149,9 +149,10 @@ def trailing_rate(spark, sf):
 
 @register("limiter_batch")
 def limiter_batch(spark, sf):
-    """Accept/reject per request under the sliding-window + daily-cap rule (STR-1)."""
+    """Accept/reject per request under the sliding-window + daily-cap rule (STR-1),
+    exact, with (user, day) groups in parallel (a hot user is split by day)."""
     e = _events(spark, sf).select("event_id", "user_id", "t")
-    return limit_batch(e, window_s=LIMIT_WINDOW_S, max_hits=LIMIT_MAX, day_max=LIMIT_DAY)
+    return limit_batch_by_day(e, window_s=LIMIT_WINDOW_S, max_hits=LIMIT_MAX, day_max=LIMIT_DAY)
 
 
 OPEN_FROM_HOURS = 450.0

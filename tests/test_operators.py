@@ -266,7 +266,7 @@ def _partition_spread(spark, df, used: str):
 
 
 def test_hot_key_is_spread_across_tasks(spark):
-    # covers: WIN-13 STR-2 JN-10 (a key with a third of all rows is not processed by one task)
+    # covers: WIN-13 STR-2 JN-10 STR-1 (a key with a third of all rows is not processed by one task)
     rnd = random.Random(9)
     hot = [(i, 0, rnd.randrange(30 * 24 * 3600) * 1_000_000) for i in range(6000)]
     cold = [(6000 + i, 1 + i % 200, rnd.randrange(30 * 24 * 3600) * 1_000_000) for i in range(12000)]
@@ -284,6 +284,9 @@ def test_hot_key_is_spread_across_tasks(spark):
         starts = hot_e.where("event_id % 5 = 0").select("user_id", F.col("event_id").alias("sid"), F.col("t").alias("st"))
         asof = MT.asof_join(hot_e, starts, "user_id", "t", "st", "sid", {"sid": "sid"}, hour)
         assert _partition_spread(spark, asof, "sid") < 0.3
+        from judicata.streaming.limiter import limit_batch_by_day
+        lim = limit_batch_by_day(hot_e, window_s=60, max_hits=5, day_max=50)
+        assert _partition_spread(spark, lim, "aceptado") < 0.3        # the hot user is split by day
         w = Window.partitionBy("user_id").orderBy("t")
         naive = e.where("user_id = 0").withColumn("nt", F.lead("t").over(w))
         assert _partition_spread(spark, naive, "nt") == 1.0        # the plain window puts the whole key in one task
