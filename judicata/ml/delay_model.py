@@ -14,7 +14,7 @@ from pyspark.ml import Pipeline
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 OTHER = "OTROS"
@@ -38,8 +38,8 @@ def cap_categories(train: DataFrame, cols, max_categories: int = 40):
     keep = {}
     for c in cols:
         freq = train.groupBy(c).agg(F.count(F.lit(1)).alias("_n"))
-        w = Window.orderBy(F.col("_n").desc(), F.col(c).asc())
-        keep[c] = freq.withColumn("_r", F.row_number().over(w)).where(F.col("_r") < max_categories).select(c)
+        # distributed top-k (each task keeps k rows), also for features with millions of levels
+        keep[c] = freq.orderBy(F.col("_n").desc(), F.col(c).asc_nulls_last()).limit(max_categories - 1).select(c)
     return keep
 
 
