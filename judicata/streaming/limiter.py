@@ -278,8 +278,10 @@ def limit_batch_by_day(events: DataFrame, key: str = "user_id", t: str = "t", ti
     groups whose carry-in (the previous day's carry-out) changed are processed
     again with the new carry-in, until nothing changes.  Round r fixes at least
     the first r days of every key, so the loop ends within the number of days
-    and its result equals the sequential rule.  Each round's state is
-    checkpointed to the shared checkpoint folder, cutting lineage."""
+    and its result equals the sequential rule.  Each round's carry tables are
+    checkpointed to the shared checkpoint folder, cutting lineage; round 0's
+    output stays cached (memory and disk) for the returned plan, release it with
+    ``spark.catalog.clearCache()`` after writing the result."""
     if window_s >= 86_400:
         raise ValueError("the window must be shorter than a day")
     from judicata.session import cut_lineage
@@ -312,6 +314,7 @@ def limit_batch_by_day(events: DataFrame, key: str = "user_id", t: str = "t", ti
         redo = src.join(changed, ["user_id", "day"], "inner")
         carry_outs = cut_lineage(_run_days(redo, window, max_hits, day_max)
                                  .where(F.col("kind") == "c").select("user_id", "day", "carry_out"))
+        changed.unpersist()                  # its successors are checkpointed
     else:
         raise RuntimeError("limiter carry-in did not converge")
     redo_keys = known.where(F.size("carry_in") > 0)
