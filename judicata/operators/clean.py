@@ -124,3 +124,11 @@ def drop_totals(df: DataFrame, label: str, totals=("NACIONAL", "", "NAN")) -> Da
 def expectations(df: DataFrame, checks: dict[str, Column]) -> DataFrame:
     """Expectation table (check, violations): each check is a *violation* predicate."""
     return rule_counts(df, checks, total="rows").where(F.col("rule") != "rows").select("rule", "n")
+
+
+def tag_violations(df: DataFrame, rules: dict[str, Column], out: str = "reglas") -> DataFrame:
+    """Quarantine rows with the names of the rules each one breaks (FLT-2):
+    ``out`` is an array of rule names; rows breaking none are not returned."""
+    names = F.array(*[F.when(F.coalesce(c, F.lit(False)), F.lit(r)) for r, c in rules.items()])
+    tagged = df.withColumn(out, F.filter(names, lambda x: x.isNotNull()))
+    return tagged.where(F.size(out) > 0)

@@ -295,3 +295,11 @@ def test_hot_key_is_spread_across_tasks(spark):
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(1 << 20))
         spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", str(10 << 20))
+
+
+def test_quarantine_tags(spark):
+    # covers: FLT-2 (quarantine rows carry the rules they break)
+    df = spark.createDataFrame([(-1.0, 2020), (5.0, None), (-2.0, 2030), (1.0, 2020)], "m double, anio int")
+    rules = {"negativo": F.col("m") < 0, "anio_invalido": F.col("anio").isNull() | ~F.col("anio").between(2015, 2026)}
+    got = sorted((r.m, tuple(r.reglas)) for r in C.tag_violations(df, rules).collect())
+    assert got == [(-2.0, ("negativo", "anio_invalido")), (-1.0, ("negativo",)), (5.0, ("anio_invalido",))]
