@@ -1,7 +1,7 @@
 """Indicator formulas (IND-*), each defined once.
 
 Every ratio is a ``try_divide`` so a zero denominator gives null (the
-reference's None rule), never an exception under ANSI mode and never the
+source's None rule), never an exception under ANSI mode and never the
 prototype's ``max(den, 1)``.  Inputs are cast to double before dividing so
 the arithmetic is identical to an independent SQL engine's.
 """

@@ -1,7 +1,7 @@
 """Tolerant numeric parsing (PRJ-1, PRJ-2, PRJ-21).
 
 Spark 4 runs in ANSI mode, where ``cast('x' as double)`` raises; the
-reference's "bad text becomes NaN" rule is ``try_cast``.
+source's "bad text becomes NaN" rule is ``try_cast``.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ def tolerant_number_commas(c) -> Column:
 
 
 def filled(c, default: float = 0.0) -> Column:
-    """Measure coerced and missing values set to ``default`` (the reference's fillna(0))."""
+    """Measure coerced and missing values set to ``default`` (the source's fillna(0))."""
     return F.coalesce(tolerant_number(c), F.lit(default))
 
 

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 OTHER = "OTROS"
-# The reference model's hyper-parameters, and its automatic
+# The source model's hyper-parameters, and its automatic
 # early stopping (on above 10,000 training rows, 10 % held out for validation).
 GBT_PARAMS = {"maxIter": 400, "stepSize": 0.06, "maxDepth": 6}
 EARLY_STOP_MIN_ROWS = 10_000
