@@ -56,8 +56,10 @@ def build(spark: SparkSession, job: str, paths: list[str]) -> dict[str, DataFram
         return J.court_workload(_csv(spark, paths))
     if job == "prosecutors":
         return J.prosecutor_headcount(_csv(spark, paths))
-    if job in ("flows", "flagrancy", "violence_flow", "prosecution_cases"):
+    if job in ("flows", "flagrancy", "violence_flow"):
         return J.flow_by_year(_csv(spark, paths))
+    if job == "prosecution_cases":
+        return J.flow_by_year(_csv(spark, paths), cutoff="fecha_corte")
     if job in ("reports", "cybercrime"):
         return J.counted_reports(_csv(spark, paths))
     if job == "case_delay":                      # paths: name:INSTANCE_COLUMN:glob

@@ -120,19 +120,24 @@ def prosecutor_headcount(raw: DataFrame, years=C.YEAR_RANGES["territory"],
 
 
 # ------------------------------------------------------------------ JOB-3 / JOB-7
-def flow_by_year(raw: DataFrame, years=C.YEAR_RANGES["territory"], top: int = 15,
+def flow_by_year(raw: DataFrame, years=C.YEAR_RANGES["territory"], top: int = 15, cutoff: str = "first_dmy",
                  fuente: str = "Ministerio Publico (datos abiertos)") -> dict[str, DataFrame]:
     """Prosecution flow (ingresado / atendido): per year with clearance, latest
-    year by subject and district, top districts; cut-off from the first date
-    column where any day-first date parses (PRJ-5)."""
+    year by subject and district, top districts.  Cut-off: ``first_dmy`` (flagrancy
+    and violence flows) takes the first date column where any day-first date
+    parses (PRJ-5); ``fecha_corte`` (prosecution cases) applies the multi-format
+    rule to the latest year's ``fecha_corte`` column (PRJ-6)."""
     x = raw.withColumns({"anio": _year(raw, "anio"), "ingresado_n": filled("ingresado"),
                          "atendido_n": filled("atendido")})
     bad = C.bad_row_mask(["ingresado_n", "atendido_n"], "anio", *years)
     valid = x.where(~bad)
     sums = [F.sum("ingresado_n").cast("bigint").alias("ingresado"), F.sum("atendido_n").cast("bigint").alias("atendido")]
     latest = C.latest_only(valid, "anio")
-    fc = first_parsing_column(valid, ["fecha_descarga", "Fecha_descarga", "fecha_publicacion", "fecha_corte"])
-    fcorte = valid.select(F.date_format(F.max(fc), "yyyy-MM-dd")).scalar()
+    if cutoff == "fecha_corte" and "fecha_corte" in raw.columns:
+        fcorte = latest.select(cutoff_agg("fecha_corte")).scalar()
+    else:
+        fc = first_parsing_column(valid, ["fecha_descarga", "Fecha_descarga", "fecha_publicacion", "fecha_corte"])
+        fcorte = valid.select(F.date_format(F.max(fc), "yyyy-MM-dd")).scalar()
     out = {
         "tidy": with_provenance(valid, fuente, fcorte, "agregado"),
         "por_anio": valid.groupBy("anio").agg(*sums).withColumn("clearance", M.clearance_pct("atendido", "ingresado")),
@@ -268,9 +273,12 @@ def violence_cases(raw: DataFrame, total_needles=(("CASOS ATENDIDOS", "TOTAL"),
                        "total_n": F.coalesce(tolerant_number_commas(F.col(f"`{tcol}`")), F.lit(0.0))})
     bad = C.bad_row_mask(["total_n"], "anio", *years)
     valid = x.where(~bad)
+    fcols = [c for c in (C.find_col(d.columns, "FECHA", "REPORTE"), C.find_col(d.columns, "FECHA", "ENVIO")) if c]
+    fcorte = (valid.select(F.date_format(F.max(first_parsing_column(valid, fcols)), "yyyy-MM-dd")).scalar()
+              if fcols else None)
     out = {"por_anio": valid.groupBy("anio").agg(F.sum("total_n").cast("bigint").alias("cantidad")),
            "total": valid.agg(F.sum("total_n").cast("bigint").alias("total")),
-           "audit": _audit(x, bad, {}), "meta": _meta(valid, fuente, "agregado")}
+           "audit": _audit(x, bad, {}), "meta": _meta(valid, fuente, "agregado", fcorte)}
     if dcol:
         dep = merge_territory(fold_accents(F.col(f"`{dcol}`")))
         g = valid.groupBy(dep.alias("departamento")).agg(F.sum("total_n").cast("bigint").alias("cantidad"))

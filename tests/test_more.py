@@ -154,3 +154,14 @@ def test_features_quality_and_format(spark):
     assert spark.range(1).select(sinks.formatted(F.lit(1234.5), 1, percent=True)).first()[0] == "1,234.5 %"
     years = spark.createDataFrame([(2021, 3), (2020, 9)], "anio int, n int")
     assert [r.anio for r in years.orderBy("anio").collect()] == [2020, 2021]
+
+
+def test_cutoff_rules_per_source(spark):
+    # covers: JOB-3 JOB-10 PRJ-5 PRJ-6
+    cols = ["anio", "materia", "ingresado", "atendido", "fecha_corte"]
+    rows = [(2023, "PENAL", 1, 1, "31/12/2023"), (2024, "PENAL", 2, 1, "20250131"), (2024, "CIVIL", 2, 1, "x")]
+    out = J.flow_by_year(frame(spark, cols, rows), cutoff="fecha_corte")
+    assert out["meta"].first().fecha_corte == "2025-01-31"          # latest year only; compact format
+    vcols = ["AÑO", "DEPARTAMENTO", "CASOS ATENDIDOS TOTAL", "FECHA DE REPORTE"]
+    v = J.violence_cases(frame(spark, vcols, [(2024, "LIMA", 3, "5/2/2025"), (2024, "PIURA", 1, "bad")]))
+    assert v["meta"].first().fecha_corte == "2025-02-05"
