@@ -161,13 +161,13 @@ def counted_reports(raw: DataFrame, years=C.YEAR_RANGES["territory"], top: int =
     bad = C.bad_row_mask(["cantidad_n"], "anio", *years)
     valid = x.where(~bad)
     tcol = next((c for c in type_cols if c in raw.columns), None)
+    fcorte = valid.select(cutoff_agg("fecha_corte")).scalar() if "fecha_corte" in raw.columns else None
     out = {
-        "tidy": with_provenance(valid, fuente, valid.select(cutoff_agg("fecha_corte")).scalar()
-                                if "fecha_corte" in raw.columns else F.lit(None), "agregado"),
+        "tidy": with_provenance(valid, fuente, fcorte if fcorte is not None else F.lit(None), "agregado"),
         "total": valid.agg(F.sum("cantidad_n").cast("bigint").alias("total")),
         "por_anio": valid.groupBy("anio").agg(F.sum("cantidad_n").cast("bigint").alias("cantidad")),
         "audit": _audit(x, bad, {}),
-        "meta": _meta(valid, fuente, "agregado"),
+        "meta": _meta(valid, fuente, "agregado", fcorte),
     }
     if "dpto_pjfs" in raw.columns:
         out["por_departamento"] = valid.groupBy(text_key(F.col("dpto_pjfs")).alias("departamento")).agg(

@@ -165,3 +165,9 @@ def test_cutoff_rules_per_source(spark):
     vcols = ["AÑO", "DEPARTAMENTO", "CASOS ATENDIDOS TOTAL", "FECHA DE REPORTE"]
     v = J.violence_cases(frame(spark, vcols, [(2024, "LIMA", 3, "5/2/2025"), (2024, "PIURA", 1, "bad")]))
     assert v["meta"].first().fecha_corte == "2025-02-05"
+
+
+def test_reports_meta_cutoff(spark):
+    # covers: JOB-4 PRJ-6
+    out = J.counted_reports(frame(spark, ["anio", "cantidad", "fecha_corte"], [(2020, 1, "01/02/2024"), (2021, 2, "03/04/2025")]))
+    assert out["meta"].first().fecha_corte == "2025-04-03"
