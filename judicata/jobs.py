@@ -269,6 +269,8 @@ def violence_cases(raw: DataFrame, total_needles=(("CASOS ATENDIDOS", "TOTAL"),
     tcol = next((c for n in total_needles if (c := C.find_col(d.columns, *n))), None)
     ycol = C.find_col(d.columns, "AÑO") or C.find_col(d.columns, "ANIO")
     dcol = C.find_col(d.columns, "DEPARTAMENTO")
+    if tcol is None:
+        raise ValueError(f"no total column among {d.columns}")
     x = d.withColumns({"anio": tolerant_number(F.col(f"`{ycol}`")).cast("int") if ycol else F.lit(None).cast("int"),
                        "total_n": F.coalesce(tolerant_number_commas(F.col(f"`{tcol}`")), F.lit(0.0))})
     bad = C.bad_row_mask(["total_n"], "anio", *years)
