@@ -1,8 +1,8 @@
 """Manifest upsert by ``id`` (SNK-3): new entries win, others are kept.
 
-Duplicate ids inside one batch resolve to the last entry (largest ``order``)
-through an aggregate (``max_by``), not a window, so a batch of any size with a
-hot id stays partial-aggregated.  Writing goes to a fresh version folder,
+Both batches are unioned and reduced by one aggregate per id (``max_by`` on
+batch priority, then ``order``), so duplicate ids inside a batch resolve to the
+last entry, there is no join, and a hot id stays partial-aggregated.  Writing goes to a fresh version folder,
 never in place, so a failed run leaves the previous manifest intact.
 """
 
@@ -19,8 +19,13 @@ def latest_per_key(df: DataFrame, key: str, order: str) -> DataFrame:
 
 
 def upsert(old: DataFrame, new: DataFrame, key: str = "id", order: str = "seq") -> DataFrame:
-    nd = latest_per_key(new, key, order)
-    return old.join(nd.select(key), key, "left_anti").unionByName(nd, allowMissingColumns=True)
+    """Union of both batches, then one aggregate per id keeping the entry with the
+    largest (batch priority, ``order``): new beats old, the last new entry beats
+    earlier ones, untouched old entries stay.  No join, partial-aggregated."""
+    u = old.withColumn("_p", F.lit(0)).unionByName(new.withColumn("_p", F.lit(1)), allowMissingColumns=True)
+    rest = [c for c in u.columns if c not in (key, "_p")]
+    best = F.max_by(F.struct(*[F.col(c) for c in rest]), F.struct(F.col("_p"), F.col(order)))
+    return u.groupBy(key).agg(best.alias("_r")).select(key, *[F.col(f"_r.{c}").alias(c) for c in rest])
 
 
 def write_version(df: DataFrame, base: str, version: str) -> str:
