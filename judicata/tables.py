@@ -27,6 +27,17 @@ def memo(spark: SparkSession, key: tuple, build):
     return df
 
 
+def refresh(spark: SparkSession | None = None) -> None:
+    """Forget memoised plans (all sessions, or one): needed in a long-running
+    session when tables receive new files, since a plan keeps its file listing."""
+    if spark is None:
+        _SCANS.clear()
+        return
+    sid = id(spark._jsparkSession)
+    for k in [k for k in _SCANS if k[0] == sid]:
+        del _SCANS[k]
+
+
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
     if name not in TABLES:
         raise KeyError(name)

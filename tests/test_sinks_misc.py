@@ -93,3 +93,14 @@ def test_identity_resolution(spark):
                                "id int, nombre string")
     got = {r.id: r.cluster_id for r in resolve_identities(df, "id", "nombre").collect()}
     assert got[2] == 1 and got[1] == 1 and got[4] == 4
+
+
+def test_tables_refresh_sees_new_files(spark, tmp_path):
+    # covers: SRC-5 (memoised plans can be refreshed)
+    from judicata.tables import refresh, table
+    d = tmp_path / "sf"
+    spark.range(3).withColumnRenamed("id", "r_regionkey").write.parquet(str(d / "region.parquet"))
+    assert table(spark, str(d), "region").count() == 3
+    spark.range(2).withColumnRenamed("id", "r_regionkey").write.mode("append").parquet(str(d / "region.parquet"))
+    refresh(spark)
+    assert table(spark, str(d), "region").count() == 5
