@@ -45,8 +45,10 @@ def next_in_sequence(df: DataFrame, key, t: str, tie: str, carry: dict[str, str]
     w = Window.partitionBy(*key, "_b").orderBy(t, tie)
     x = x.withColumns({k: F.lead(v).over(w) for k, v in carry.items()})
     x = x.withColumn("_has_next", F.lead(F.lit(True)).over(w))
-    head = F.min(F.struct(F.col(t).alias("_t"), F.col(tie).alias("_tie"),
-                          *[F.col(v).alias(f"_h_{k}") for k, v in carry.items()]))
+    # first row of each bucket; (t, tie) is unique, so min_by is deterministic
+    head = F.min_by(F.struct(F.col(t).alias("_t"), F.col(tie).alias("_tie"),
+                             *[F.col(v).alias(f"_h_{k}") for k, v in carry.items()]),
+                    F.struct(F.col(t), F.col(tie)))
     heads = x.groupBy(*key, "_b").agg(head.alias("_head"))
     wb = Window.partitionBy(*key).orderBy("_b")
     heads = heads.select(*key, "_b", F.lead("_head").over(wb).alias("_nh"))
