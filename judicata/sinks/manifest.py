@@ -12,12 +12,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def latest_per_key(df: DataFrame, key: str, order: str) -> DataFrame:
-    rest = [c for c in df.columns if c != key]
-    best = F.max_by(F.struct(*[F.col(c) for c in rest]), F.col(order))
-    return df.groupBy(key).agg(best.alias("_r")).select(key, *[F.col(f"_r.{c}").alias(c) for c in rest])
-
-
 def upsert(old: DataFrame, new: DataFrame, key: str = "id", order: str = "seq") -> DataFrame:
     """Union of both batches, then one aggregate per id keeping the entry with the
     largest (batch priority, ``order``): new beats old, the last new entry beats

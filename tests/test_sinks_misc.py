@@ -104,3 +104,21 @@ def test_tables_refresh_sees_new_files(spark, tmp_path):
     spark.range(2).withColumnRenamed("id", "r_regionkey").write.mode("append").parquet(str(d / "region.parquet"))
     refresh(spark)
     assert table(spark, str(d), "region").count() == 5
+
+
+def test_small_api_helpers(spark, tmp_path):
+    # covers: JN-6 SRC-12 SNK-2 SNK-3
+    from judicata.operators.match import DELAY_EDGES, bucket_index
+    from judicata.sinks.manifest import upsert, write_version
+    from judicata.sinks.writers import contract_document, write_document
+    from judicata.sources.sheet import year_columns
+    df = spark.createDataFrame([(v,) for v in (-1, 0, 29, 30, 730, 5000, None)], "d int")
+    assert [r[0] for r in df.select(bucket_index("d", DELAY_EDGES)).collect()] == [None, 0, 0, 1, 5, 5, None]
+    assert year_columns(["Distrito Fiscal", "2019", "2020.0", "Total", None]) == ["2019", "2020.0"]
+    m = upsert(spark.createDataFrame([("a", 1, 0)], "id string, n int, seq int"),
+               spark.createDataFrame([("b", 2, 1)], "id string, n int, seq int"))
+    p1 = write_version(m, str(tmp_path / "manifest"), "1")
+    assert sorted(r.id for r in spark.read.parquet(p1).collect()) == ["a", "b"]
+    doc = contract_document({"fuente": "x"}, {"filas": spark.range(2)})
+    write_document(doc, str(tmp_path / "doc"))
+    assert json.loads(spark.read.text(str(tmp_path / "doc")).first()[0])["filas"] == [{"id": 0}, {"id": 1}]
