@@ -15,12 +15,24 @@ CAT = ["tipo", "especialidad", "corte", "l_returnflag", "l_linestatus"]
 NUM = ["mes_anio"]
 
 
+def _fitted(spark, sf):
+    """(model, hold-out predictions, metrics), fitted once per session and scale factor."""
+    from judicata.tables import memo
+    return memo(spark, ("delay_model", sf),
+                lambda: DM.fit_and_score(_features(spark, sf), ["o_orderkey", "l_linenumber"], CAT, NUM, "dias"))
+
+
 @register("delay_model_metrics")
 def delay_model_metrics(spark, sf):
     """Hold-out metrics of the gradient-boosted delay model (ML-2..5)."""
-    df = _features(spark, sf)
-    _, _, m = DM.fit_and_score(df, ["o_orderkey", "l_linenumber"], CAT, NUM, "dias")
-    return m
+    return _fitted(spark, sf)[2]
+
+
+@register("delay_model_by_type")
+def delay_model_by_type(spark, sf):
+    """Real vs. predicted median delay per process type on hold-out rows only
+    (ML-6; training rows are excluded on purpose, TRAP-8)."""
+    return DM.median_by_group(_fitted(spark, sf)[1], "tipo", "dias")
 
 
 def _features(spark, sf):

@@ -15,7 +15,7 @@ SF = "/root/testdata/sf0.001"
 NESTED_LOOP_OK: set[str] = set()
 PYTHON_OK = {"limiter_batch"}
 GLOBAL_WINDOW_OK = {"court_ranking", "priority_index"}
-SKIP = {"delay_model_metrics"}           # an ML fit: plans live inside the estimator
+SKIP = {"delay_model_metrics", "delay_model_by_type"}      # an ML fit: plans live inside the estimator
 
 
 def _global_windows(plan: str) -> int:

@@ -8,7 +8,7 @@ import __spark_entry__ as E
 from tools.oracle_check import TABLES, digest
 
 SF = "/root/testdata/sf0.001"
-SLOW = {"delay_model_metrics"}
+SLOW = {"delay_model_metrics", "delay_model_by_type"}
 
 
 @pytest.fixture(scope="module")
@@ -28,7 +28,7 @@ def test_entry(spark):
 def test_every_query_has_oracle_or_is_declared():
     q, o = E.queries(), E.oracle_sql()
     assert set(o) <= set(q)
-    assert set(q) - set(o) == {"limiter_batch", "delay_model_metrics"}
+    assert set(q) - set(o) == {"limiter_batch", "delay_model_metrics", "delay_model_by_type"}
 
 
 @pytest.mark.parametrize("name", sorted(set(E.oracle_sql())))
