@@ -161,7 +161,11 @@ def risk_classifier(df: DataFrame, key_cols, cat_cols, num_cols, target: str, q:
     stages = pipe.getStages()[:-1]
     params = dict(GBT_PARAMS)
     params.update(gbt)
-    clf = GBTClassifier(featuresCol="features", labelCol="riesgo", seed=42, **params)
+    if train.count() > EARLY_STOP_MIN_ROWS:          # same automatic early stopping as the regressor
+        h = F.pmod(F.xxhash64(F.lit(7), *[F.col(c) for c in key_cols]), F.lit(100))
+        train = train.withColumn("_es_val", h < VALIDATION_PCT)
+        params.update(validationIndicatorCol="_es_val", validationTol=VALIDATION_TOL)
+    clf = GBTClassifier(featuresCol="features", labelCol="riesgo", seed=42, checkpointInterval=10, **params)
     model = Pipeline(stages=[*stages, clf]).fit(train)
     pred = model.transform(test)
     auc = BinaryClassificationEvaluator(labelCol="riesgo", rawPredictionCol="rawPrediction").evaluate(pred)
