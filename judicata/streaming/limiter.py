@@ -278,7 +278,10 @@ def limit_batch_by_day(events: DataFrame, key: str = "user_id", t: str = "t", ti
     groups whose carry-in (the previous day's carry-out) changed are processed
     again with the new carry-in, until nothing changes.  Round r fixes at least
     the first r days of every key, so the loop ends within the number of days
-    and its result equals the sequential rule.  Each round's carry tables are
+    and its result equals the sequential rule.  In practice the number of rounds
+    is the longest chain of consecutive days of one key linked by accepted hits
+    within ``window`` before midnight and events within ``window`` after it; each
+    round touches only the groups whose carry changed.  Each round's carry tables are
     checkpointed to the shared checkpoint folder, cutting lineage; round 0's
     output stays cached (memory and disk) for the returned plan, release it with
     ``spark.catalog.clearCache()`` after writing the result."""
