@@ -12,3 +12,14 @@ plans/       named queries over the driver tables (the registry behind __spark_e
 """
 
 __all__ = ["session"]
+
+# Functions of this package that run in Python workers travel with the task, so
+# that executors need no copy of the package on their path.
+try:
+    import sys as _sys
+
+    from pyspark import cloudpickle as _cloudpickle
+
+    _cloudpickle.register_pickle_by_value(_sys.modules[__name__])
+except ImportError:      # a worker without PySpark's cloudpickle cannot get here through Spark
+    pass

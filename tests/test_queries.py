@@ -5,6 +5,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from judicata.plans import load_all
 from tools.oracle_check import TABLES, digest
 
 SF = "/root/testdata/sf0.001"
@@ -26,12 +27,13 @@ def test_entry(spark):
 
 
 def test_every_query_has_oracle_or_is_declared():
-    q, o = E.queries(), E.oracle_sql()
+    q, o = load_all()
+    assert set(q) <= set(E.queries()) and set(o) <= set(E.oracle_sql())
     assert set(o) <= set(q)
     assert set(q) - set(o) == {"limiter_batch", "delay_model_metrics", "delay_model_by_type"}
 
 
-@pytest.mark.parametrize("name", sorted(set(E.oracle_sql())))
+@pytest.mark.parametrize("name", sorted(load_all()[1]))
 def test_query_matches_oracle(spark, con, name):
     # covers: every registered query
     sdf = E.queries()[name](spark, SF)
