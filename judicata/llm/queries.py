@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from judicata.llm import line_dedup, mixing, packing, repetition, sharding
+from judicata.llm import chat, line_dedup, mixing, packing, repetition, sharding
 from judicata.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -55,6 +55,45 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition.quality_rules(rows).drop("longest_repeat")
 
 
+NORMAL = (r"trim(regexp_replace(translate(regexp_replace(line, '^(?:[ \t]*>)+', ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
+          r"'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+', ' ', 'g'))")
+ATTRIBUTED = r"(?i)^.*\b(?:wrote|schrieb|écrit|escribió)[ \t]*:[ \t]*$"
+
+
+@query(rf"""
+WITH l AS (SELECT conv_id, turn, role, text IS NULL AS none, i, string_split(coalesce(text, ''), chr(10))[i] AS line,
+           string_split(coalesce(text, ''), chr(10))[i + 1] AS nxt
+           FROM (SELECT *, unnest(range(1, len(string_split(coalesce(text, ''), chr(10))) + 1)) AS i FROM conversations)),
+n AS (SELECT *, length(regexp_replace(regexp_extract(line, '^(?:[ \t]*>)+', 0), '[^>]', '', 'g')) AS lvl, {NORMAL} AS unit,
+      line ~ '^(?:[ \t]*>)+.*' AS q, coalesce(nxt ~ '^(?:[ \t]*>)+.*', false) AS qn,
+      regexp_matches(line, '{ATTRIBUTED}') AS att FROM l),
+r AS (SELECT *, CASE WHEN lvl > 0 THEN i - row_number() OVER (PARTITION BY conv_id, turn, lvl ORDER BY i) END AS run FROM n),
+u AS (SELECT conv_id, turn, lvl, unit, 0 AS kind FROM n UNION ALL
+      SELECT conv_id, turn, lvl, string_agg(unit, ' ' ORDER BY i), 1 FROM r WHERE unit <> '' GROUP BY conv_id, turn, lvl, run),
+v AS (SELECT * FROM u WHERE length(unit) >= 8),
+o AS (SELECT a.conv_id, a.turn, a.lvl, a.unit, a.kind, max(b.turn) AS orig FROM (SELECT * FROM v WHERE lvl > 0) a
+      JOIN (SELECT DISTINCT conv_id, turn, unit, kind FROM v WHERE lvl = 0) b
+      ON a.conv_id = b.conv_id AND a.unit = b.unit AND a.kind = b.kind AND b.turn < a.turn
+      GROUP BY ALL),
+w AS (SELECT a.conv_id, a.turn, a.lvl, o.orig, sum(length(a.unit)) AS chars FROM (SELECT * FROM v WHERE lvl > 0) a
+      JOIN o USING (conv_id, turn, lvl, unit, kind) GROUP BY ALL),
+p AS (SELECT conv_id, turn, arg_max(orig, row(-lvl, chars, orig)) AS parent_turn FROM w GROUP BY ALL),
+t AS (SELECT conv_id, turn, role, none, bool_or(q) AS anyq, sum(q::INT)::BIGINT AS n_quoted,
+      string_agg(line, chr(10) ORDER BY i) AS whole,
+      coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT q AND NOT (att AND qn)), '') AS own
+      FROM n GROUP BY conv_id, turn, role, none)
+SELECT t.conv_id, t.turn, t.role,
+       CASE WHEN NOT none THEN CASE WHEN anyq THEN trim(own, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))
+            ELSE whole END END AS text,
+       p.parent_turn, n_quoted,
+       row_number() OVER (PARTITION BY t.conv_id ORDER BY coalesce(p.parent_turn, t.turn), t.turn) - 1 AS position
+FROM t LEFT JOIN p USING (conv_id, turn)
+""")
+def op3_quotation_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    messages = spark.read.parquet(f"{sf_dir.rstrip('/')}/conversations.parquet")
+    return chat.reply_ordered(messages.select("conv_id", "turn", "role", "text"))
+
+
 @query(r"""
 WITH l AS (SELECT doc_id, i, string_split(coalesce(text, ''), chr(10))[i] AS line
            FROM (SELECT doc_id, text, unnest(range(1, len(string_split(coalesce(text, ''), chr(10))) + 1)) AS i FROM documents)),
