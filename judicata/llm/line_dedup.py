@@ -35,9 +35,10 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
              .withColumn("line", lower_ascii(F.col("line"))))
     lines = materialise(lines.select("doc", "txt", "pos", F.xxhash64("line").alias("k1"),
                                      F.xxhash64(F.lit(1), "line").alias("k2")))
-    common = (lines.groupBy("k1", "k2")
-              .agg(F.count_distinct("doc").alias("n"), F.max("doc").alias("keeper"))
-              .where(F.col("n") >= min_docs).select("k1", "k2", "keeper"))
+    # written, so that both sides of the join are plain shuffles: the rows of a very common line can then be split
+    common = materialise(lines.groupBy("k1", "k2")
+                         .agg(F.count_distinct("doc").alias("n"), F.max("doc").alias("keeper"))
+                         .where(F.col("n") >= min_docs).select("k1", "k2", "keeper"))
     return (lines.join(common, ["k1", "k2"]).where(F.col("doc") != F.col("keeper"))
             .groupBy("doc", "txt").agg(F.collect_set("pos").alias("drop")))
 
