@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from judicata.llm import chat, line_dedup, mixing, packing, repetition, sharding
+from judicata.llm import chat, embeddings, line_dedup, mixing, packing, repetition, sharding, toxicity
 from judicata.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -94,6 +94,12 @@ def op3_quotation_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.reply_ordered(messages.select("conv_id", "turn", "role", "text"))
 
 
+@query()
+def op5_projection_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir.rstrip('/')}/embeddings.parquet")
+    return embeddings.near_duplicates(vectors.select("vec_id", "embedding", "label"))
+
+
 @query(r"""
 WITH l AS (SELECT doc_id, i, string_split(coalesce(text, ''), chr(10))[i] AS line
            FROM (SELECT doc_id, text, unnest(range(1, len(string_split(coalesce(text, ''), chr(10))) + 1)) AS i FROM documents)),
@@ -111,6 +117,14 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2(text.cast("binary"), 256).alias("kept_sha256"))
 
 
+@query()
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir, "doc_id", "text")
+    labels = spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet")
+    scored = toxicity.fit(docs, labels.select("doc_id", "toxic")).score(docs, ["doc_id"])
+    return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
 @query()
 def op8_rendezvous_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(documents(spark, sf_dir, "doc_id", "text"), [1.0] * 40)
