@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from judicata.llm import chat, embeddings, line_dedup, mixing, packing, repetition, sharding, toxicity
+from judicata.llm import chat, embeddings, line_dedup, mixing, packing, repetition, sharding, substring_dedup, toxicity
 from judicata.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -26,6 +26,25 @@ def query(sql: str | None = None):
 SPLIT_WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
 
+@query(rf"""
+WITH w AS (SELECT doc_id, {SPLIT_WORDS} AS ws FROM documents),
+win AS (SELECT doc_id, p, array_to_string(ws[p:p + 19], ' ') AS s
+        FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 18)) AS p FROM w WHERE len(ws) >= 20)),
+rep AS (SELECT doc_id, p FROM (SELECT doc_id, p, row_number() OVER (PARTITION BY s ORDER BY doc_id, p) AS k FROM win) WHERE k > 1),
+gone AS (SELECT DISTINCT doc_id, q FROM (SELECT doc_id, unnest(range(p, p + 20)) AS q FROM rep)),
+ww AS (SELECT doc_id, q, ws[q] AS word FROM (SELECT doc_id, ws, unnest(range(1, len(ws) + 1)) AS q FROM w)),
+kept AS (SELECT ww.doc_id, count(g.q) AS n_removed, string_agg(word, ' ' ORDER BY ww.q) FILTER (g.q IS NULL) AS t
+         FROM ww LEFT JOIN gone g ON ww.doc_id = g.doc_id AND ww.q = g.q GROUP BY ww.doc_id)
+SELECT w.doc_id, len(ws)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM w LEFT JOIN kept ON w.doc_id = kept.doc_id
+""")
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    whole, cut = substring_dedup.substring_dedup(documents(spark, sf_dir, "doc_id", "text"))
+    whole = whole.select(F.col("id").alias("doc_id"), "n_words", F.lit(0).cast("long").alias("n_removed"), "kept_sha256")
+    return whole.unionByName(cut.select(F.col("id").alias("doc_id"), "n_words", "n_removed",
+                                        F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256")))
+
+
 @query(rf"""
 WITH w AS (SELECT doc_id, coalesce(text, '') AS text, {SPLIT_WORDS} AS ws FROM documents),
 g AS (SELECT doc_id, ws, unnest(range(1, len(ws) + 1)) AS p FROM w),
