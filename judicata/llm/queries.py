@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from judicata.llm import chat, embeddings, line_dedup, mixing, packing, repetition, sharding, substring_dedup, toxicity
+from judicata.llm import chat, embeddings, line_dedup, mixing, ngram_join, packing, repetition, sharding, substring_dedup, toxicity
 from judicata.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -113,6 +113,23 @@ def op3_quotation_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.reply_ordered(messages.select("conv_id", "turn", "role", "text"))
 
 
+@query(r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+           'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(ws[p:p + 4], ' ') AS g FROM
+      (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 3, 2))) AS p FROM w WHERE len(ws) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+c AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+e AS (SELECT x, y FROM c JOIN n p ON p.doc_id = x JOIN n q ON q.doc_id = y WHERE 100 * k >= 75 * (p.n + q.n - k)),
+r AS (SELECT doc_id AS x, doc_id AS y FROM w UNION SELECT r.x, e.y FROM r JOIN e ON r.y = e.x)
+SELECT w.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, m.component_id FROM w LEFT JOIN n USING (doc_id)
+JOIN (SELECT x, min(y) AS component_id FROM r GROUP BY x) m ON m.x = w.doc_id
+""")
+def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = ngram_join.ngram_jaccard_join(documents(spark, sf_dir, "doc_id", "text"))
+    return out.withColumnRenamed("id", "doc_id")
+
+
 @query()
 def op5_projection_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = spark.read.parquet(f"{sf_dir.rstrip('/')}/embeddings.parquet")
