@@ -93,7 +93,7 @@ _NO_CAPS = {c: None for c in range(ord("A"), ord("Z") + 1)} | {ord(c): None for
 
 
 def features(rows: DataFrame, keep: list[str], lexicons: dict[int, frozenset[str]]) -> DataFrame:
-    """``keep`` and the features of ``text``; column ``half`` picks the lexicon (-1: all)."""
+    """``keep`` and the features of ``_scored_text``; column ``half`` picks the lexicon (-1: all)."""
     n_keep = len(keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -105,7 +105,7 @@ def features(rows: DataFrame, keep: list[str], lexicons: dict[int, frozenset[str
 
     schema = rows.select(*keep).schema
     out = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in schema), *(f"{f} double" for f in FEATURES)])
-    return rows.select(*keep, "text", "half").mapInArrow(run, out)
+    return rows.select(*keep, "_scored_text", "half").mapInArrow(run, out)
 
 
 def learn_lexicon(sample: DataFrame, min_docs: int, min_ratio: float, most: int) -> dict[int, frozenset[str]]:
@@ -150,9 +150,7 @@ class ToxicityModel:
 
     def score(self, docs: DataFrame, keep: list[str], text_col: str = "text", threshold: float = 0.3) -> DataFrame:
         """``keep`` plus score and predicted for every row."""
-        rows = docs.select(*keep, F.col(text_col).alias("text"), F.lit(-1).alias("half"))
-        if text_col in keep:
-            raise ValueError("join the scores to the texts by id instead")
+        rows = docs.select(*keep, F.col(text_col).alias("_scored_text"), F.lit(-1).alias("half"))
         df = features(rows, keep, self.lexicons)
         if self.trees is None:
             s = 1 - F.exp(-20.0 * F.col("seed"))
@@ -186,7 +184,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     lexicons = learn_lexicon(sample, min_docs, min_ratio, max_terms)
     crossed = {0: lexicons[1], 1: lexicons[0]}
     # a bounded table, ordered and in one file, so that a rerun fits the same trees
-    x = materialise(features(sample, [id_col, "toxic", "quarter"], crossed).orderBy(id_col).coalesce(1))
+    x = materialise(features(sample.withColumnRenamed("text", "_scored_text"), [id_col, "toxic", "quarter"], crossed).orderBy(id_col).coalesce(1))
     model = ToxicityModel(lexicons, None, None)
     train = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(x.where("quarter <> 0"))
     model.trees = GBTClassifier(labelCol="toxic", featuresCol="features", maxIter=rounds, maxDepth=depth, stepSize=0.3,
