@@ -9,7 +9,8 @@ candidate cost) lengthens its prefix until p others are in it, and the hot ones
 are not needed as candidates: a linked partner shares l + 1 of that prefix, one
 of them not hot.  The lengthening is bounded by what any partner's zone can
 answer (``margin`` of the smallest partner size); a document that is hot beyond
-that keeps its whole zone.
+that keeps its whole zone.  A document whose zone shares fewer n-grams with the
+rest of the corpus than any link needs there has no partner and drops out.
 
 Equal sets are one class before the join.  Candidates come in two rounds, so no
 group emits all its pairs: first every set with a pivot of its token group,
@@ -130,8 +131,8 @@ def _zones(rows: DataFrame, n: int, percent: int, buckets: int) -> DataFrame:
                 seen.add(c)
                 zone = s[:prefix_length(len(s), percent) + margin(len(s), percent)]
                 hs.append(zone)
-                refs.append(np.full(len(zone), len(cls), dtype=np.int64))
-                ranks.append(np.arange(len(zone)))
+                refs.append(np.full(len(zone), len(cls), dtype=np.uint32))
+                ranks.append(np.arange(len(zone), dtype=np.uint32))
                 cls.append(c)
                 sizes.append(len(s))
                 held += len(zone)
@@ -211,11 +212,14 @@ def _prefixes(shared: DataFrame, percent: int) -> DataFrame:
             tokens, ns, cs = [], [], []
             for c, n, blobs in zip(*(b.column(k).to_pylist() for k in range(3))):
                 e = np.frombuffer(b"".join(blobs), dtype=entry)
+                least = margin(-(-percent * n // 100), percent)
+                if len(e) <= least:         # a partner shares least + 1 or more of this zone
+                    continue
                 p = prefix_length(n, percent)
                 ranks = np.sort(e["rank"][e["hot"] == 1].astype(np.int64))
                 # with l hot entries before it, place p + l holds the p-th other entry
                 dropped = int(np.searchsorted(ranks - np.arange(len(ranks)), p, side="left"))
-                if dropped <= margin(-(-percent * n // 100), percent):
+                if dropped <= least:
                     e = e[(e["hot"] == 0) & (e["rank"] < p + dropped)]
                 tokens.append(e["h"].view(np.int64) if e["h"].flags.c_contiguous else np.ascontiguousarray(e["h"]).view(np.int64))
                 ns.append(np.full(len(e), n))
