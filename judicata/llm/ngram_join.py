@@ -9,7 +9,9 @@ candidate cost) lengthens its prefix until p others are in it, and the hot ones
 are not needed as candidates: a linked partner shares l + 1 of that prefix, one
 of them not hot.  The lengthening is bounded by what any partner's zone can
 answer (``margin`` of the smallest partner size); a document that is hot beyond
-that keeps its whole zone.  A document whose zone shares fewer n-grams with the
+that keeps the others of its zone and the hot ones of its plain prefix (both
+partners of that kind share one there; a partner of the first kind shares one
+that is not hot).  A document whose zone shares fewer n-grams with the
 rest of the corpus than any link needs there has no partner and drops out.
 
 Equal sets are one class before the join.  Candidates come in two rounds, so no
@@ -146,9 +148,8 @@ def _zones(rows: DataFrame, n: int, percent: int, buckets: int) -> DataFrame:
 
 
 def _shared(zones: DataFrame, hot: int, parts: int) -> DataFrame:
-    """(cls, n, tokens): per bucket and class the hashes found in several classes,
-    packed as (hash, rank, hot)."""
-    entry = np.dtype([("h", "<u8"), ("rank", "<u4"), ("hot", "<u4")])
+    """Entries of hashes found in several classes, as blocks by class bucket."""
+    names, types = ["cb", "cls", "n", "h", "rank", "hot"], (pa.int32(), *[pa.binary()] * 5)
 
     def bucket(part):
         hs, cs, ns, rs = [], [], [], []
@@ -157,12 +158,12 @@ def _shared(zones: DataFrame, hot: int, parts: int) -> DataFrame:
             hs.append(np.frombuffer(h, "<u8"))
             cs.append(np.frombuffer(cls, "<i8")[at])
             ns.append(np.frombuffer(n, "<i8")[at])
-            rs.append(np.frombuffer(rank, "<u2" if len(rank) == 2 * len(at) else "<u4").astype(np.uint32))
+            rs.append(np.frombuffer(rank, "<u2" if len(rank) == 2 * len(at) else "<u4").astype("<u4"))
         h, c, n, r = (np.concatenate(x) for x in (hs, cs, ns, rs))
         order = np.argsort(h, kind="stable")
         start = np.flatnonzero(np.concatenate(([True], h[order][1:] != h[order][:-1])))
-        several = np.repeat(np.diff(np.append(start, len(h))) > 1, np.diff(np.append(start, len(h))))
-        keep = order[several]
+        size = np.diff(np.append(start, len(h)))
+        keep = order[np.repeat(size > 1, size)]
         keep = keep[np.lexsort((c[keep], h[keep]))]
         h, c, n, r = h[keep], c[keep], n[keep], r[keep]
         if not len(h):
@@ -172,68 +173,82 @@ def _shared(zones: DataFrame, hot: int, parts: int) -> DataFrame:
         start = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1])))
         df = np.diff(np.append(start, len(h)))
         df = np.repeat(df, df)
-        keep = df > 1
-        h, c, n, r, df = h[keep], c[keep], n[keep], r[keep], df[keep]
-        order = np.argsort(c, kind="stable")
-        h, c, n, r, df = h[order], c[order], n[order], r[order], df[order]
-        if not len(h):
+        cb = c % parts
+        order = np.lexsort((c, cb))
+        order = order[df[order] > 1]
+        if not len(order):
             return None
-        e = np.empty(len(h), dtype=entry)
-        e["h"], e["rank"], e["hot"] = h, r, df > hot
-        cut = np.flatnonzero(np.concatenate(([True], c[1:] != c[:-1])))
-        blobs = [e[a:z].tobytes() for a, z in zip(cut, np.append(cut[1:], len(c)))]
-        return pa.record_batch([pa.array(c[cut]), pa.array(n[cut]), pa.array(blobs, pa.binary())], names=["cls", "n", "tokens"])
+        h, c, n, r, df, cb = h[order], c[order], n[order], r[order], df[order], cb[order]
+        cut = np.flatnonzero(np.concatenate(([True], cb[1:] != cb[:-1])))
+        rows = [(int(cb[a]), c[a:z].tobytes(), n[a:z].tobytes(), h[a:z].tobytes(), r[a:z].tobytes(), (df[a:z] > hot).tobytes())
+                for a, z in zip(cut, np.append(cut[1:], len(c)))]
+        return pa.record_batch([pa.array(x, t) for x, t in zip(zip(*rows), types)], names=names)
+
+    return _by_key(zones.repartition(parts, "bucket").sortWithinPartitions("bucket"), bucket,
+                   "cb int, cls binary, n binary, h binary, rank binary, hot binary")
+
 
+def _by_key(df: DataFrame, work, schema: str) -> DataFrame:
+    """``work`` on the rows of each value of the first column of a sorted frame."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, part = None, []
         for b in batches:
-            for r in zip(*(b.column(k).to_pylist() for k in range(6))):
+            for r in zip(*(b.column(k).to_pylist() for k in range(b.num_columns))):
                 if r[0] != now and part:
-                    out = bucket(part)
+                    out = work(part)
                     part = []
                     if out is not None:
                         yield out
                 now = r[0]
                 part.append(r[1:])
-        out = bucket(part) if part else None
+        out = work(part) if part else None
         if out is not None:
             yield out
 
-    return (zones.repartition(parts, "bucket").sortWithinPartitions("bucket")
-            .mapInArrow(run, "cls long, n long, tokens binary"))
+    return df.mapInArrow(run, schema)
 
 
-def _prefixes(shared: DataFrame, percent: int) -> DataFrame:
-    """(token, n, cls): the candidate tokens of every class."""
-    entry = np.dtype([("h", "<u8"), ("rank", "<u4"), ("hot", "<u4")])
+def _prefixes(shared: DataFrame, percent: int, parts: int) -> DataFrame:
+    """(token, n, cls, most): the candidate tokens of every class; ``most`` is the
+    largest intersection it can have, its size without the zone's hashes that no other class has."""
+    names = ["token", "n", "cls", "most"]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            tokens, ns, cs = [], [], []
-            for c, n, blobs in zip(*(b.column(k).to_pylist() for k in range(3))):
-                e = np.frombuffer(b"".join(blobs), dtype=entry)
-                least = margin(-(-percent * n // 100), percent)
-                if len(e) <= least:         # a partner shares least + 1 or more of this zone
-                    continue
-                p = prefix_length(n, percent)
-                ranks = np.sort(e["rank"][e["hot"] == 1].astype(np.int64))
-                # with l hot entries before it, place p + l holds the p-th other entry
-                dropped = int(np.searchsorted(ranks - np.arange(len(ranks)), p, side="left"))
-                if dropped <= least:
-                    e = e[(e["hot"] == 0) & (e["rank"] < p + dropped)]
-                tokens.append(e["h"].view(np.int64) if e["h"].flags.c_contiguous else np.ascontiguousarray(e["h"]).view(np.int64))
-                ns.append(np.full(len(e), n))
-                cs.append(np.full(len(e), c))
-            cols = [np.concatenate(x) if x else np.zeros(0, dtype=np.int64) for x in (tokens, ns, cs)]
-            yield pa.record_batch([pa.array(x.astype(np.int64)) for x in cols], names=["token", "n", "cls"])
-
-    by_class = shared.groupBy("cls", "n").agg(F.collect_list("tokens").alias("tokens"))
-    return by_class.select("cls", "n", "tokens").mapInArrow(run, "token long, n long, cls long")
+    def classes(part):
+        c, n, h, r, hot = (np.concatenate([np.frombuffer(x[k], d) for x in part])
+                           for k, d in enumerate(("<i8", "<i8", "<u8", "<u4", "?")))
+        order = np.lexsort((r, c))
+        c, n, h, r, hot = c[order], n[order], h[order], r[order].astype(np.int64), hot[order]
+        cut = np.flatnonzero(np.concatenate(([True], c[1:] != c[:-1])))
+        keep, bound = np.zeros(len(c), dtype=bool), np.zeros(len(c), dtype=np.int64)
+        for a, z in zip(cut.tolist(), np.append(cut[1:], len(c)).tolist()):
+            size = int(n[a])
+            least = margin(-(-percent * size // 100), percent)
+            if z - a <= least:              # a partner shares least + 1 or more of this zone
+                continue
+            p = prefix_length(size, percent)
+            bound[a:z] = size - (p + margin(size, percent) - (z - a))
+            ranks = r[a:z][hot[a:z]]
+            # with l hot entries before it, place p + l holds the p-th other entry
+            dropped = int(np.searchsorted(ranks - np.arange(len(ranks)), p, side="left"))
+            if dropped <= least:
+                keep[a:z] = ~hot[a:z] & (r[a:z] < p + dropped)
+            else:
+                keep[a:z] = ~hot[a:z] | (r[a:z] < p)
+        cols = (h.view(np.int64)[keep], n[keep], c[keep], bound[keep])
+        return pa.record_batch([pa.array(x) for x in cols], names=names)
+
+    return _by_key(shared.repartition(parts, "cb").sortWithinPartitions("cb"), classes,
+                   "token long, n long, cls long, most long")
 
 
 def _pairs(groups: DataFrame, percent: int, pivots: bool, parts: int) -> DataFrame:
-    """Candidate pairs (a, b) of token groups with compatible sizes: every class
-    with its group's pivot, or all that are in different components."""
+    """Candidate pairs (a, b) of token groups whose sizes and largest possible
+    intersection allow a link: every class with a pivot of its group, the class
+    with the fewest hashes of its own, or all that are in different components."""
+    def may(n, most, m, other_most):
+        both = min(most, other_most)
+        return 100 * min(n, m) >= percent * max(n, m) and 100 * both >= percent * (n + m - both)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: set[tuple[int, int]] = set()
         now, group, labels = None, [], set()
@@ -245,38 +260,41 @@ def _pairs(groups: DataFrame, percent: int, pivots: bool, parts: int) -> DataFra
 
         def cross():
             lo = 0
-            for k, (n, c, comp) in enumerate(group):
+            for k, (n, c, most, comp) in enumerate(group):
                 while 100 * group[lo][0] < percent * n:
                     lo += 1
-                for _, d, other in group[lo:k]:
-                    if other != comp:
+                for m, d, other_most, other in group[lo:k]:
+                    if other != comp and may(n, most, m, other_most):
                         found.add((min(c, d), max(c, d)))
-                if len(found) > 200_000:
+                if len(found) > 500_000:
                     yield out()
 
         for b in batches:
-            for token, n, c, comp in zip(*(b.column(k).to_pylist() for k in range(4))):
+            for token, n, c, most, comp in zip(*(b.column(k).to_pylist() for k in range(5))):
                 if token != now:
                     if not pivots and len(labels) > 1:
                         yield from cross()
                     now, group, labels = token, [], set()
-                if pivots:
-                    if not group or 100 * group[0][0] < percent * n:
-                        group = [(n, c)]
-                    elif group[0][1] != c:
-                        d = group[0][1]
-                        found.add((min(c, d), max(c, d)))
-                else:
-                    group.append((n, c, comp))
+                if not pivots:
+                    group.append((n, c, most, comp))
                     labels.add(comp)
-            if len(found) > 200_000:
+                    continue
+                for m, d, other_most in group:
+                    if 100 * min(n, m) >= percent * max(n, m):
+                        if d != c and may(n, most, m, other_most):
+                            found.add((min(c, d), max(c, d)))
+                        break
+                else:
+                    group.append((n, c, most))      # a pivot for its range of sizes
+            if len(found) > 500_000:
                 yield out()
         if not pivots and len(labels) > 1:
             yield from cross()
         yield out()
 
-    spread = groups.repartition(parts, "token").sortWithinPartitions("token", "n", "cls")
-    return spread.select("token", "n", "cls", "comp").mapInArrow(run, "a long, b long").distinct()
+    order = [F.desc("share"), "n", "cls"] if pivots else ["n", "cls"]
+    spread = groups.withColumn("share", F.col("most") / F.col("n")).repartition(parts, "token").sortWithinPartitions("token", *order)
+    return spread.select("token", "n", "cls", "most", "comp").mapInArrow(run, "a long, b long").distinct()
 
 
 def _class_sets(rows: DataFrame, members: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
@@ -324,7 +342,7 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     known = members.where("id IS NOT NULL AND cls IS NOT NULL")
     usable = rows.where("id IS NOT NULL AND text IS NOT NULL")
     shared = _shared(_zones(usable, n, percent, parts), hot, parts)
-    tokens = materialise(_prefixes(shared, percent))
+    tokens = materialise(_prefixes(shared, percent, parts))
     sets = _class_sets(usable, known, tokens.select("cls").distinct(), n)
     stars = _pairs(tokens.withColumn("comp", F.lit(0).cast("long")), percent, True, parts)
     edges = materialise(_verified(stars, sets, percent))
