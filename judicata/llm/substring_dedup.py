@@ -74,9 +74,11 @@ def _blocks(docs: DataFrame, width: int, gram: int, buckets: int) -> DataFrame:
         known = ~np.isin(np.arange(len(h)), start[count == 1])
         r, p = r[known], p[known]
         order = np.lexsort((p, r))
-        if len(order):
-            r, p = r[order], p[order]
-            rows.append((int(r[0]) % buckets, 1, b"", b"", ids[r].tobytes(), txts[r].tobytes(), p.astype("<i4").tobytes()))
+        r, p = r[order], p[order]
+        cut = np.flatnonzero(np.concatenate(([True], r[1:] >> 8 != r[:-1] >> 8)))[:len(r)]      # blocks of 256 documents
+        for a, z in zip(cut, np.append(cut[1:], len(r))):
+            i = r[a:z]
+            rows.append((int(txts[i[0]]) % buckets, 1, b"", b"", ids[i].tobytes(), txts[i].tobytes(), p[a:z].astype("<i4").tobytes()))
         return pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * 7, (
             pa.int32(), pa.int32(), *[pa.binary()] * 5))], names=["bucket", "kind", "h", "c", "id", "txt", "pos"])
 
