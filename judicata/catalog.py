@@ -27,7 +27,7 @@ def run_jobs(spark: SparkSession, jobs: dict[str, Callable[[], DataFrame]],
                 sink(name, df)
             rows.append((name, df.count(), None))
         except Exception as e:  # noqa: BLE001
-            rows.append((name, None, f"{type(e).__name__}: {e}"[:300]))
+            rows.append((name, None, f"{type(e).__name__}: {e}"))
     return spark.createDataFrame(rows, MANIFEST_SCHEMA)
 
 

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from judicata import jobs as J
 from judicata.catalog import run_jobs
+from judicata.operators.clean import YEAR_RANGES
 from judicata.session import get_session
 from judicata.sinks.manifest import upsert
 from judicata.sources.csv import read_csv_smart
@@ -28,8 +29,6 @@ from judicata.sources.sheet import sheet_to_long
 from judicata.sources.text import read_latin1_lines, read_zip_lines
 from judicata.sources.xlsx import read_xlsx_rows
 
-GOLD_ROW_LIMIT = 10_000      # contract documents embed gold arrays; larger parts stay parquet-only
-
 
 def _csv(spark, paths):
     df, errors = read_csv_smart(spark, paths)
@@ -57,11 +56,12 @@ def build(spark: SparkSession, job: str, paths: list[str]) -> dict[str, DataFram
     if job == "prosecutors":
         return J.prosecutor_headcount(_csv(spark, paths))
     if job in ("flows", "flagrancy", "violence_flow"):
-        return J.flow_by_year(_csv(spark, paths))
+        return J.flow_by_year(_csv(spark, paths), years=YEAR_RANGES["constitutional"])
     if job == "prosecution_cases":
         return J.flow_by_year(_csv(spark, paths), cutoff="fecha_corte")
     if job in ("reports", "cybercrime"):
-        return J.counted_reports(_csv(spark, paths))
+        years = YEAR_RANGES["workload" if job == "reports" else "constitutional"]
+        return J.counted_reports(_csv(spark, paths), years=years)
     if job == "case_delay":                      # paths: name:INSTANCE_COLUMN:glob
         procs = {}
         for p in paths:
@@ -106,9 +106,9 @@ def write_outputs(name: str, outputs: dict[str, DataFrame], out: str) -> DataFra
     for part, df in outputs.items():
         if part == "tidy":
             continue
-        small = spark.read.parquet(os.path.join(out, name, part)).limit(GOLD_ROW_LIMIT + 1)
+        small = spark.read.parquet(os.path.join(out, name, part))       # every row is part of the contract
         arr = small.select(F.collect_list(F.struct(*small.columns))).scalar()      # one scalar subquery per array
-        fields.append(F.when(F.size(arr) <= GOLD_ROW_LIMIT, arr).alias(part) if part != "meta"
+        fields.append(arr.alias(part) if part != "meta"
                       else F.element_at(arr, 1).alias("_meta"))
     spark.range(1).select(F.to_json(F.struct(*fields)).alias("value")).coalesce(1).write.mode("overwrite").text(
         os.path.join(out, f"{name}.json"))
@@ -128,14 +128,20 @@ def main(argv=None, spark: SparkSession | None = None):
         todo[job] = (lambda j=job, pl=plist: write_outputs(j, build(spark, j, pl), a.out))
     manifest = run_jobs(spark, todo).withColumn("seq", F.lit(int(__import__("time").time())))
     mpath = os.path.join(a.out, "manifest")
-    try:
-        old = spark.read.parquet(mpath)
-        merged = upsert(old, manifest, "id", "seq")
-    except Exception:  # noqa: BLE001  (first run: no manifest yet)
-        merged = manifest
-    tmp = mpath + ".next"
+    # a failed read of an existing manifest stops the run; the new version is
+    # complete before it takes the old one's place
+    path_of = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path_of(mpath).getFileSystem(spark._jsc.hadoopConfiguration())
+    tmp, last = mpath + ".next", mpath + ".last"
+    if not fs.exists(path_of(mpath)) and fs.exists(path_of(last)):
+        fs.rename(path_of(last), path_of(mpath))        # a switch that was cut short
+    exists = fs.exists(path_of(mpath))
+    merged = upsert(spark.read.parquet(mpath), manifest, "id", "seq") if exists else manifest
     merged.write.mode("overwrite").parquet(tmp)
-    spark.read.parquet(tmp).write.mode("overwrite").parquet(mpath)
+    fs.delete(path_of(last), True)
+    if exists:
+        fs.rename(path_of(mpath), path_of(last))
+    fs.rename(path_of(tmp), path_of(mpath))
     return spark.read.parquet(mpath)
 
 

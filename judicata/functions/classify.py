@@ -33,9 +33,10 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def first_non_null_upper(*cols, default: str = "NA", width: int = 40) -> Column:
-    """Coalesce chain across equivalent columns, upper-cased, first ``width`` chars."""
-    return F.substring(F.upper(F.coalesce(*[_c(c).cast("string") for c in cols], F.lit(default))), 1, width)
+def first_non_null_upper(*cols, default: str = "NA", width: int | None = 40) -> Column:
+    """Coalesce chain across equivalent columns, upper-cased, first ``width`` chars (None: all)."""
+    whole = F.upper(F.coalesce(*[_c(c).cast("string") for c in cols], F.lit(default)))
+    return whole if width is None else F.substring(whole, 1, width)
 
 
 def court_type(c) -> Column:

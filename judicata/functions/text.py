@@ -40,7 +40,7 @@ def merge_territory(c, pattern: str = r"^LIMA .*", to: str = "LIMA") -> Column:
     return F.regexp_replace(_c(c), pattern, to)
 
 
-def recover_tail(c, anchor: str = r"DELITOS?\s", width: int = 70, must_contain: str | None = "DELITO") -> Column:
+def recover_tail(c, anchor: str = r"DELITOS?(?:(?U:\s)|$)", width: int = 70, must_contain: str | None = "DELITO") -> Column:
     """Recover a label split by spurious delimiters: from the anchor on, cut
     ``width`` characters, then remove pipes (cut first, pipes second).
     Returns null when the anchor is absent.  ``must_contain`` is a literal every

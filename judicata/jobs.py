@@ -92,7 +92,7 @@ def stock_outside_january(tidy: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------------ JOB-2
-def prosecutor_headcount(raw: DataFrame, years=C.YEAR_RANGES["territory"],
+def prosecutor_headcount(raw: DataFrame, years=C.YEAR_RANGES["workload"],
                          fuente: str = "Ministerio Publico (datos abiertos)") -> dict[str, DataFrame]:
     """Headcount: snapshot of the last month of each year (summing months would
     double count), latest-year breakdowns by the dimensions present (AGG-10)."""
@@ -120,7 +120,7 @@ def prosecutor_headcount(raw: DataFrame, years=C.YEAR_RANGES["territory"],
 
 
 # ------------------------------------------------------------------ JOB-3 / JOB-7
-def flow_by_year(raw: DataFrame, years=C.YEAR_RANGES["territory"], top: int = 15, cutoff: str = "first_dmy",
+def flow_by_year(raw: DataFrame, years=C.YEAR_RANGES["workload"], top: int = 15, cutoff: str = "first_dmy",
                  fuente: str = "Ministerio Publico (datos abiertos)") -> dict[str, DataFrame]:
     """Prosecution flow (ingresado / atendido): per year with clearance, latest
     year by subject and district, top districts.  Cut-off: ``first_dmy`` (flagrancy
@@ -153,7 +153,7 @@ def flow_by_year(raw: DataFrame, years=C.YEAR_RANGES["territory"], top: int = 15
 
 
 # ------------------------------------------------------------------ JOB-4 / JOB-8
-def counted_reports(raw: DataFrame, years=C.YEAR_RANGES["territory"], top: int = 20,
+def counted_reports(raw: DataFrame, years=C.YEAR_RANGES["workload"], top: int = 20,
                     type_cols=("generico", "des_articulo", "subgenerico"),
                     fuente: str = "Ministerio Publico (datos abiertos)") -> dict[str, DataFrame]:
     """Reported crimes / cybercrime: totals, per year, per department, top types."""
@@ -348,8 +348,8 @@ def delay_model_features(micro: DataFrame) -> DataFrame:
     x = d.select(
         F.coalesce(*[tolerant_number(c) for c in col("dias", "DIAS")]).alias("dias"),
         first_non_null_upper(*col("MATERIA", "GENERICO", "materia")).alias("materia_f"),
-        first_non_null_upper(*col("PROVINCIA")).alias("provincia_f"),
-        first_non_null_upper(*col("TIPO_INGRESO")).alias("tipo_ingreso_f"),
+        first_non_null_upper(*col("PROVINCIA"), width=None).alias("provincia_f"),
+        first_non_null_upper(*col("TIPO_INGRESO"), width=None).alias("tipo_ingreso_f"),
         court_type(F.coalesce(*col("INSTANCIA", "instancia"))).alias("instancia_tipo"),
         F.coalesce(*col("proceso"), F.lit("NA")).alias("proceso"),
         month_of_yyyymm(F.coalesce(*col("MES"))).alias("mes_anio"))

@@ -21,7 +21,6 @@ OTHER = "OTROS"
 # The source model's hyper-parameters, and its automatic
 # early stopping (on above 10,000 training rows, 10 % held out for validation).
 GBT_PARAMS = {"maxIter": 400, "stepSize": 0.06, "maxDepth": 6}
-EARLY_STOP_MIN_ROWS = 10_000
 VALIDATION_PCT = 10
 VALIDATION_TOL = 1e-7
 
@@ -64,19 +63,19 @@ def build_pipeline(cat_cols, num_cols, target: str, seed: int = 42, validation_c
     return Pipeline(stages=[*idx, ohe, asm, gbr])
 
 
-def fit_and_score(df: DataFrame, key_cols, cat_cols, num_cols, target: str, early_stopping: str | bool = "auto",
+def fit_and_score(df: DataFrame, key_cols, cat_cols, num_cols, target: str, early_stopping: bool = True,
                   **gbt):
     """Returns (model, test predictions, one-row metrics DataFrame).
 
-    ``early_stopping="auto"`` turns early stopping on when the training set has
-    more than 10,000 rows: a hashed 10 % of the training rows becomes the
-    validation set and boosting stops once the validation error stops improving."""
+    With ``early_stopping`` (whatever the number of rows) a hashed 10 % of the
+    training rows is the validation set and boosting stops once the validation
+    error stops improving; without it all training rows are fitted."""
     from judicata.session import ensure_checkpoint_dir
     ensure_checkpoint_dir(df.sparkSession)     # boosting checkpoints its error RDD every 10 rounds
     train, test = split(df, key_cols)
     keep = cap_categories(train, cat_cols)
     train, test = apply_caps(train, keep), apply_caps(test, keep)
-    use_val = early_stopping is True or (early_stopping == "auto" and train.count() > EARLY_STOP_MIN_ROWS)
+    use_val = early_stopping
     vcol = None
     if use_val:
         vcol = "_es_val"
@@ -146,7 +145,7 @@ def psi(a_counts: DataFrame, bucket: str, n_a: str, n_b: str) -> DataFrame:
     return x.withColumn("psi_total", total)
 
 
-def risk_classifier(df: DataFrame, key_cols, cat_cols, num_cols, target: str, q: float = 0.75, **gbt):
+def risk_classifier(df: DataFrame, key_cols, cat_cols, num_cols, target: str, q: float = 0.75, early_stopping: bool = True, **gbt):
     """ML-8: label = target above its training p75; GBT classifier; hold-out AUC."""
     from pyspark.ml.classification import GBTClassifier
     from pyspark.ml.evaluation import BinaryClassificationEvaluator
@@ -161,7 +160,7 @@ def risk_classifier(df: DataFrame, key_cols, cat_cols, num_cols, target: str, q:
     stages = pipe.getStages()[:-1]
     params = dict(GBT_PARAMS)
     params.update(gbt)
-    if train.count() > EARLY_STOP_MIN_ROWS:          # same automatic early stopping as the regressor
+    if early_stopping:
         h = F.pmod(F.xxhash64(F.lit(7), *[F.col(c) for c in key_cols]), F.lit(100))
         train = train.withColumn("_es_val", h < VALIDATION_PCT)
         params.update(validationIndicatorCol="_es_val", validationTol=VALIDATION_TOL)

@@ -43,21 +43,33 @@ def _covers(tokens: list[str], needle: list[str]) -> bool:
     return any(tokens[i:i + n] == needle for i in range(len(tokens) - n + 1))
 
 
+def _covers_prefix(tokens: list[str], needle: list[str]) -> bool:
+    """As :func:`_covers`, but the needle's last token may be the beginning of one."""
+    n = len(needle)
+    return any(tokens[i:i + n - 1] == needle[:-1] and tokens[i + n - 1].startswith(needle[-1])
+               for i in range(len(tokens) - n + 1))
+
+
 def find_col(columns, *needles: str) -> str | None:
     """Column whose name holds every needle as a whole-token run.
 
     Token boundaries avoid substring traps (CONOCIDO vs DESCONOCIDO, 0_5 vs
     30_59); among several hits the one with the fewest extra tokens wins
-    (PAREJA vs EX PAREJA), then the first in column order."""
-    best, best_extra = None, None
+    (PAREJA vs EX PAREJA), then the first in column order.  Where no column
+    holds all needles as whole tokens, the last token of a needle may be the
+    beginning of a token (VIOLENCIA ECON finds VIOLENCIA ECONOMICA)."""
     nts = [_tokens(n) for n in needles]
-    for c in columns:
-        toks = _tokens(c)
-        if all(nt and _covers(toks, nt) for nt in nts):
-            extra = len(toks) - sum(len(nt) for nt in nts)
-            if best is None or extra < best_extra:
-                best, best_extra = c, extra
-    return best
+    for covers in (_covers, _covers_prefix):
+        best, best_extra = None, None
+        for c in columns:
+            toks = _tokens(c)
+            if all(nt and covers(toks, nt) for nt in nts):
+                extra = len(toks) - sum(len(nt) for nt in nts)
+                if best is None or extra < best_extra:
+                    best, best_extra = c, extra
+        if best is not None:
+            return best
+    return None
 
 
 def resolve_year(df: DataFrame, aliases=YEAR_ALIASES) -> Column:

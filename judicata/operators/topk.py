@@ -1,9 +1,8 @@
 """Sort / limit / top-k (TOP-*).
 
 Global top-k is ``orderBy().limit()`` (TakeOrderedAndProject: each task keeps
-k rows).  Top-k per group runs in two phases so that a hot group is first cut
-down inside ``salt`` sub-partitions and only ``salt * k`` rows per group reach
-the final window.  Every ordering carries a key tie-break, so results are
+k rows).  Top-k per group is a rank filter, which Spark plans with a group limit
+before the shuffle: every task sends at most k rows of a group.  Every ordering carries a key tie-break, so results are
 deterministic.
 """
 
@@ -21,16 +20,12 @@ def top_k(df: DataFrame, order, k: int) -> DataFrame:
     return df.orderBy(*order).limit(k)
 
 
-def top_k_per_group(df: DataFrame, group, order, k: int, salt_cols=None, salt: int = 16,
+def top_k_per_group(df: DataFrame, group, order, k: int,
                     rank_col: str = "rank") -> DataFrame:
     """Top ``k`` rows per group by ``order`` (list of Columns incl. a tie-break)."""
     group = _cols(group)
-    salt_cols = salt_cols or [c for c in df.columns if c not in group]
-    x = df.withColumn("_salt", F.pmod(F.xxhash64(*salt_cols), F.lit(salt)))
-    w1 = Window.partitionBy(*group, "_salt").orderBy(*order)
-    x = x.withColumn("_r1", F.row_number().over(w1)).where(F.col("_r1") <= k).drop("_r1", "_salt")
-    w2 = Window.partitionBy(*group).orderBy(*order)
-    return x.withColumn(rank_col, F.row_number().over(w2).cast("bigint")).where(F.col(rank_col) <= k)
+    w = Window.partitionBy(*group).orderBy(*order)
+    return df.withColumn(rank_col, F.row_number().over(w).cast("bigint")).where(F.col(rank_col) <= k)
 
 
 def arg_max(df: DataFrame, group, metric: str, tie: str, payload) -> DataFrame:

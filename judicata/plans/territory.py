@@ -112,5 +112,4 @@ def topk_by_group(spark, sf):
          .groupBy("p_type", "p_partkey", "p_name")
          .agg(F.sum(F.col("l_extendedprice").cast("decimal(8,2)") * (F.lit(1) - F.col("l_discount")).cast("decimal(3,2)"))
               .cast("double").alias("revenue")))   # exact cents: ranking ties do not depend on summation order
-    return T.top_k_per_group(r, "p_type", [F.col("revenue").desc(), F.col("p_partkey").asc()], 3,
-                             salt_cols=["p_partkey"])
+    return T.top_k_per_group(r, "p_type", [F.col("revenue").desc(), F.col("p_partkey").asc()], 3)

@@ -81,7 +81,7 @@ def read_csv_smart(spark: SparkSession, paths, with_path: bool = True):
                 raise ValueError("empty file")
             return f, (enc, sep, tuple(header)), None
         except Exception as e:  # noqa: BLE001  (an unreadable file is skipped, not fatal)
-            return f, None, f"{type(e).__name__}: {e}"[:200]
+            return f, None, f"{type(e).__name__}: {e}"
 
     # heads are small, independent reads: issue them concurrently (I/O bound)
     from concurrent.futures import ThreadPoolExecutor

@@ -268,7 +268,7 @@ def _run_days(ev: DataFrame, window: int, max_hits: int, day_max: int) -> DataFr
 
 
 def limit_batch_by_day(events: DataFrame, key: str = "user_id", t: str = "t", tie: str = "event_id",
-                       window_s: int = 60, max_hits: int = 20, day_max: int = 40, max_rounds: int = 10_000) -> DataFrame:
+                       window_s: int = 60, max_hits: int = 20, day_max: int = 40) -> DataFrame:
     """Exact limiter decisions with (key, day) groups processed in parallel.
 
     The daily cap resets every day and the window (shorter than a day) is the
@@ -303,7 +303,7 @@ def limit_batch_by_day(events: DataFrame, key: str = "user_id", t: str = "t", ti
         .persist(StorageLevel.MEMORY_AND_DISK)
     carry_outs = out0.where(F.col("kind") == "c").select("user_id", "day", "carry_out")
     known = groups.limit(0).withColumn("carry_in", empty)                     # current non-default carry-ins
-    for _ in range(max_rounds):
+    while True:          # ends: a change moves on to the next day in every round
         proposed = (carry_outs.select("user_id", (F.col("day") + 1).alias("day"), F.col("carry_out").alias("carry_in"))
                     .join(groups, ["user_id", "day"], "left_semi"))
         cmp = proposed.join(known.withColumnRenamed("carry_in", "_old"), ["user_id", "day"], "left")
@@ -318,8 +318,6 @@ def limit_batch_by_day(events: DataFrame, key: str = "user_id", t: str = "t", ti
         carry_outs = cut_lineage(_run_days(redo, window, max_hits, day_max)
                                  .where(F.col("kind") == "c").select("user_id", "day", "carry_out"))
         changed.unpersist()                  # its successors are checkpointed
-    else:
-        raise RuntimeError("limiter carry-in did not converge")
     redo_keys = known.where(F.size("carry_in") > 0)
     final = _run_days(src.join(redo_keys, ["user_id", "day"], "inner"), window, max_hits, day_max)
     keep0 = out0.where(F.col("kind") == "e").join(redo_keys.select("user_id", "day"), ["user_id", "day"], "left_anti")

@@ -200,7 +200,7 @@ def test_top_k_per_group_matches_naive(spark):
     df = spark.createDataFrame(rows, "g string, id int, v double")
     w = Window.partitionBy("g").orderBy(F.col("v").desc(), F.col("id"))
     naive = sorted((r.g, r.id) for r in df.withColumn("r", F.row_number().over(w)).where("r <= 4").collect())
-    got = sorted((r.g, r.id) for r in T.top_k_per_group(df, "g", [F.col("v").desc(), F.col("id")], 4, ["id"], 8).collect())
+    got = sorted((r.g, r.id) for r in T.top_k_per_group(df, "g", [F.col("v").desc(), F.col("id")], 4).collect())
     assert got == naive
 
 
