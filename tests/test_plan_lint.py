@@ -9,7 +9,7 @@
 
 import pytest
 
-import __spark_entry__ as E
+from judicata.plans import load_all
 
 SF = "/root/testdata/sf0.001"
 NESTED_LOOP_OK: set[str] = set()
@@ -31,10 +31,10 @@ def _global_windows(plan: str) -> int:
     return n
 
 
-@pytest.mark.parametrize("name", sorted(set(E.queries()) - SKIP))
+@pytest.mark.parametrize("name", sorted(set(load_all()[0]) - SKIP))
 def test_plan_rules(spark, name):
     # covers: every registered query (scale rules in the physical plan)
-    plan = E.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    plan = load_all()[0][name](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan
     if name not in NESTED_LOOP_OK:
         assert "BroadcastNestedLoopJoin" not in plan
