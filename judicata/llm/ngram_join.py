@@ -14,11 +14,14 @@ partners of that kind share one there; a partner of the first kind shares one
 that is not hot).  A document whose zone shares fewer n-grams with the
 rest of the corpus than any link needs there has no partner and drops out.
 
-Equal sets are one class before the join.  Candidates come in two rounds, so no
-group emits all its pairs: first every set with a pivot of its token group,
-verified and united; then only pairs of a group that are still in different
-components.  Every link between sets of different components is thereby tried,
-and the components are exact.
+Equal sets are one class before the join.  The classes of a token group that can
+still link with one another go to the group's leader, counted by shared tokens.
+First every class is verified with the leader it shares the most tokens with and
+united; then families of leaders that still hold several components are cut into
+blocks of bounded size, and every pair of blocks compares the sets of different
+components in one task.  A pair is so met once per family instead of once per
+token, and sets are shipped once per block and not per pair.  Every link between
+sets of different components is tried, and the components are exact.
 
 Hashes of n-grams have 64 bits; the exact check compares 48 of them within a
 pair of sets, classes are told apart by 64 bits of a digest of the set.
@@ -47,6 +50,8 @@ CHUNK_BYTES = 1 << 20
 SHORT = 300
 #: Candidate classes up to this many are sent to all executors to pick their texts (about 16 bytes each).
 BROADCAST_CLASSES = 500_000
+#: N-grams in one block of a family; two blocks are compared in one task.
+BLOCK_GRAMS = 2_000_000
 
 
 def prefix_length(n: int, percent: int) -> int:
@@ -241,60 +246,153 @@ def _prefixes(shared: DataFrame, percent: int, parts: int) -> DataFrame:
                    "token long, n long, cls long, most long")
 
 
-def _pairs(groups: DataFrame, percent: int, pivots: bool, parts: int) -> DataFrame:
-    """Candidate pairs (a, b) of token groups whose sizes and largest possible
-    intersection allow a link: every class with a pivot of its group, the class
-    with the fewest hashes of its own, or all that are in different components."""
-    def may(n, most, m, other_most):
-        both = min(most, other_most)
-        return 100 * min(n, m) >= percent * max(n, m) and 100 * both >= percent * (n + m - both)
+def _families(tokens: DataFrame, percent: int, parts: int) -> DataFrame:
+    """(leader, ln, lmost, cls, n, most, hits): the classes of every token group that
+    sizes and largest possible intersections leave a partner in, under the group's
+    leader, the class with the fewest hashes of its own; ``hits`` counts their tokens."""
+    def leave(n, most):
+        """Which of a group, sorted by n, can link with the smallest partner their size allows."""
+        least = n[np.searchsorted(n, -(-percent * n // 100))]
+        return 100 * most >= percent * (n + least - most)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: set[tuple[int, int]] = set()
-        now, group, labels = None, [], set()
+        found: dict[tuple, int] = {}
+        rest = [np.zeros(0, dtype=np.int64)] * 4
 
         def out():
             rows = list(found)
+            hits = list(found.values())
             found.clear()
-            return pa.record_batch([pa.array([r[k] for r in rows], pa.int64()) for k in (0, 1)], names=["a", "b"])
-
-        def cross():
-            lo = 0
-            for k, (n, c, most, comp) in enumerate(group):
-                while 100 * group[lo][0] < percent * n:
-                    lo += 1
-                for m, d, other_most, other in group[lo:k]:
-                    if other != comp and may(n, most, m, other_most):
-                        found.add((min(c, d), max(c, d)))
-                if len(found) > 500_000:
-                    yield out()
+            cols = [pa.array([r[k] for r in rows], pa.int64()) for k in range(6)]
+            return pa.record_batch([*cols, pa.array(hits, pa.int64())], names=["leader", "ln", "lmost", "cls", "n", "most", "hits"])
 
-        for b in batches:
-            for token, n, c, most, comp in zip(*(b.column(k).to_pylist() for k in range(5))):
-                if token != now:
-                    if not pivots and len(labels) > 1:
-                        yield from cross()
-                    now, group, labels = token, [], set()
-                if not pivots:
-                    group.append((n, c, most, comp))
-                    labels.add(comp)
+        def groups(token, n, cls, most):
+            first = np.flatnonzero(np.concatenate(([True], token[1:] != token[:-1])))
+            for a, z in zip(first.tolist(), np.append(first[1:], len(token)).tolist()):
+                if z - a < 2:
                     continue
-                for m, d, other_most in group:
-                    if 100 * min(n, m) >= percent * max(n, m):
-                        if d != c and may(n, most, m, other_most):
-                            found.add((min(c, d), max(c, d)))
+                gn, gc, gm = n[a:z], cls[a:z], most[a:z]
+                while len(gn) > 1:
+                    ok = leave(gn, gm)
+                    if ok.all():
                         break
-                else:
-                    group.append((n, c, most))      # a pivot for its range of sizes
-            if len(found) > 500_000:
-                yield out()
-        if not pivots and len(labels) > 1:
-            yield from cross()
+                    gn, gc, gm = gn[ok], gc[ok], gm[ok]
+                if len(gn) < 2:
+                    continue
+                head = int(np.lexsort((gc, gn, -(gm / gn)))[0])
+                lead = (int(gc[head]), int(gn[head]), int(gm[head]))
+                for x in zip(gc.tolist(), gn.tolist(), gm.tolist()):
+                    k = lead + x
+                    found[k] = found.get(k, 0) + 1
+                if len(found) > 300_000:
+                    yield out()
+
+        for b in batches:
+            cols = [np.concatenate((r, b.column(k).to_numpy(zero_copy_only=False))) for k, r in enumerate(rest)]
+            cut = int(np.searchsorted(cols[0], cols[0][-1])) if len(cols[0]) else 0
+            rest = [c[cut:] for c in cols]              # the last group may go on in the next batch
+            if cut:
+                yield from groups(*(c[:cut] for c in cols))
+        if len(rest[0]):
+            yield from groups(*rest)
         yield out()
 
-    order = [F.desc("share"), "n", "cls"] if pivots else ["n", "cls"]
-    spread = groups.withColumn("share", F.col("most") / F.col("n")).repartition(parts, "token").sortWithinPartitions("token", *order)
-    return spread.select("token", "n", "cls", "most", "comp").mapInArrow(run, "a long, b long").distinct()
+    spread = tokens.repartition(parts, "token").sortWithinPartitions("token", "n", "cls")
+    found = spread.select("token", "n", "cls", "most").mapInArrow(
+        run, "leader long, ln long, lmost long, cls long, n long, most long, hits long")
+    return found.groupBy("leader", "ln", "lmost", "cls", "n", "most").agg(F.sum("hits").alias("hits"))
+
+
+def _stars(families: DataFrame, percent: int) -> DataFrame:
+    """(a, b): every class with the leader it shares the most tokens with, where that pair can link."""
+    both = F.least("most", "lmost")
+    able = families.where("cls <> leader").where(
+        (100 * F.least("n", "ln") >= percent * F.greatest("n", "ln")) & (100 * both >= percent * (F.col("n") + F.col("ln") - both)))
+    return able.groupBy("cls").agg(F.max_by("leader", F.struct("hits", "leader")).alias("b")).select(F.col("cls").alias("a"), "b")
+
+
+def _crossing(families: DataFrame, comp: DataFrame) -> DataFrame:
+    """(family, cls, n, comp): families that still hold several components.  Leaders
+    that share classes become one family by one step to the smallest leader."""
+    rows = families.select("leader", "cls", "n").join(comp.select(F.col("node").alias("cls"), "component"), "cls", "left")
+    rows = materialise(rows.select("leader", "cls", "n", F.coalesce("component", "cls").alias("comp")))
+    open_ = rows.groupBy("leader").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x < y").select("leader")
+    rows = materialise(rows.join(open_, "leader", "left_semi"))
+    least = rows.groupBy("cls").agg(F.min("leader").alias("least"))
+    step = rows.join(least, "cls").groupBy("leader").agg(F.min("least").alias("family"))
+    return rows.join(step, "leader").select("family", "cls", "n", "comp").distinct()
+
+
+def _blocks(crossing: DataFrame, most: int, parts: int) -> DataFrame:
+    """The classes of a family, ordered by component and size, in blocks of bounded total size."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, block, held = None, 0, 0
+        for b in batches:
+            number = []
+            for family, n in zip(b.column(0).to_pylist(), b.column(2).to_pylist()):
+                if family != now:
+                    now, block, held = family, 0, 0
+                elif held + n > most:
+                    block, held = block + 1, 0
+                held += n
+                number.append(block)
+            yield pa.record_batch([*b.columns, pa.array(number, pa.int64())], names=["family", "cls", "n", "comp", "block"])
+
+    order = crossing.repartition(parts, "family").sortWithinPartitions("family", "comp", "n", "cls")
+    return materialise(order.mapInArrow(run, "family long, cls long, n long, comp long, block long"))
+
+
+def _cross_links(blocks: DataFrame, sets: DataFrame, percent: int, parts: int) -> DataFrame:
+    """(a, b): links that join different components of a family, from pairs of its
+    blocks; a pair that earlier links of the same task connect is not compared."""
+    stat = blocks.groupBy("family", "block").agg(
+        F.min("comp").alias("c0"), F.max("comp").alias("c1"), F.min("n").alias("n0"), F.max("n").alias("n1"))
+    i, j = stat.alias("i"), stat.alias("j")
+    tasks = i.join(j, (F.col("i.family") == F.col("j.family")) & (F.col("i.block") <= F.col("j.block")))
+    tasks = tasks.where((F.least("i.c0", "j.c0") < F.greatest("i.c1", "j.c1"))
+                        & (100 * F.col("i.n1") >= percent * F.col("j.n0")) & (100 * F.col("j.n1") >= percent * F.col("i.n0")))
+    tasks = materialise(tasks.select(F.col("i.family").alias("family"), F.col("i.block").alias("bi"), F.col("j.block").alias("bj")))
+    sides = tasks.select("family", "bi", "bj", F.explode(F.array_distinct(F.array("bi", "bj"))).alias("block"))
+    wanted = blocks.join(sides, ["family", "block"]).select("family", "bi", "bj", "block", "cls", "comp")
+    rows = wanted.join(sets, "cls").select(
+        F.struct("family", "bi", "bj").alias("task"), (F.col("block") > F.col("bi")).alias("right"), "cls", "comp", "grams")
+
+    def work(part):
+        part.sort(key=lambda r: (r[0], r[2], r[1]))
+        cls = [r[1] for r in part]
+        right = np.array([r[0] for r in part])
+        roots = np.array([r[2] for r in part], dtype=np.int64)
+        raw = np.zeros((sum(len(r[3]) for r in part) // 6, 8), dtype=np.uint8)
+        raw[:, :6] = np.frombuffer(b"".join(r[3] for r in part), dtype=np.uint8).reshape(-1, 6)
+        size = np.array([len(r[3]) // 6 for r in part], dtype=np.int64)
+        part.clear()
+        seen, grams = np.unique(raw.view(np.uint64).ravel(), return_inverse=True)
+        del raw
+        first = np.concatenate(([0], np.cumsum(size)))
+        mark = np.zeros(len(seen), dtype=bool)
+        others = np.flatnonzero(right) if right.any() else None
+        found = []
+        for k in range(len(cls)):
+            if others is not None and right[k]:
+                break
+            rest = others if others is not None else np.arange(k + 1, len(cls))
+            rest = rest[(roots[rest] != roots[k]) & (100 * np.minimum(size[rest], size[k]) >= percent * np.maximum(size[rest], size[k]))]
+            if not len(rest):
+                continue
+            mark[grams[first[k]:first[k + 1]]] = True
+            for lo in range(0, len(rest), 4096):
+                some = rest[lo:lo + 4096]
+                at = np.concatenate(([0], np.cumsum(size[some])[:-1]))
+                both = np.add.reduceat(mark[np.concatenate([grams[first[x]:first[x + 1]] for x in some])].astype(np.int32), at)
+                for x in some[100 * both >= percent * (size[some] + size[k] - both)].tolist():
+                    if roots[x] != roots[k]:
+                        found.append((cls[k], cls[x]))
+                        roots[roots == roots[x]] = roots[k]
+            mark[grams[first[k]:first[k + 1]]] = False
+        return pa.record_batch([pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+    flat = rows.select(F.concat_ws(":", "task.family", "task.bi", "task.bj").alias("task"), "right", "cls", "comp", "grams")
+    return _by_key(flat.repartition(parts, "task").sortWithinPartitions("task"), work, "a long, b long")
 
 
 def _class_sets(rows: DataFrame, members: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
@@ -334,7 +432,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, percent: int = 75,
-                       hot: int = 64) -> DataFrame:
+                       hot: int = 64, block_grams: int = BLOCK_GRAMS) -> DataFrame:
     """(id, n_shingles, component_id) for every distinct id."""
     parts = n_partitions(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
@@ -343,13 +441,11 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     usable = rows.where("id IS NOT NULL AND text IS NOT NULL")
     shared = _shared(_zones(usable, n, percent, parts), hot, parts)
     tokens = materialise(_prefixes(shared, percent, parts))
-    sets = _class_sets(usable, known, tokens.select("cls").distinct(), n)
-    stars = _pairs(tokens.withColumn("comp", F.lit(0).cast("long")), percent, True, parts)
-    edges = materialise(_verified(stars, sets, percent))
-    comp = components(edges).withColumnRenamed("node", "cls")
-    labelled = tokens.join(comp, "cls", "left").withColumn("comp", F.coalesce("component", "cls"))
-    cross = _pairs(labelled, percent, False, parts)
-    more = materialise(edges.unionByName(_verified(cross, sets, percent)))
+    families = materialise(_families(tokens, percent, parts))
+    sets = _class_sets(usable, known, families.select("cls").distinct(), n)
+    edges = materialise(_verified(_stars(families, percent), sets, percent))
+    blocks = _blocks(_crossing(families, components(edges)), block_grams, parts)
+    more = materialise(edges.unionByName(_cross_links(blocks, sets, percent, parts)))
     comp = components(more)
     # components by class; the component's number is the smallest id of its documents
     owner = known.join(comp, known["cls"] == comp["node"], "left").withColumn("root", F.coalesce("component", "cls"))

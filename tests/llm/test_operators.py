@@ -115,6 +115,37 @@ def test_ngram_join(spark, docs):
     assert ngram_join.ngram_jaccard_join(empty(spark)).count() == 0
 
 
+def test_ngram_join_families_near_the_threshold(spark):
+    rng, rows, sets = random.Random(5), [], {}
+    for f in range(4):
+        base = [f"w{rng.randrange(4000)}" for _ in range(120)]
+        for k in range(45):
+            w = list(base)
+            for _ in range(rng.choice((0, 1, 1, 2, 2, 3))):
+                w[rng.randrange(len(w))] = f"x{rng.randrange(10 ** 6)}"
+            rows.append((len(rows), " ".join(w[:rng.choice((120, 120, 110, 95))])))
+    for i, t in rows:
+        w = t.split()
+        sets[i] = {tuple(w[p:p + 5]) for p in range(len(w) - 4)}
+    root = {i: i for i in sets}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+    for a in sets:
+        for b in range(a):
+            both = len(sets[a] & sets[b])
+            if 100 * both >= 75 * (len(sets[a]) + len(sets[b]) - both):
+                x, y = sorted((find(a), find(b)))
+                root[y] = x
+    assert 4 < len({find(i) for i in sets}) < len(sets)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for hot, block in ((64, 1000), (4, 10 ** 6)):
+        got = {r.id: r.component_id for r in ngram_join.ngram_jaccard_join(df, hot=hot, block_grams=block).collect()}
+        assert got == {i: find(i) for i in sets}
+
+
 def test_embeddings(spark):
     r = np.random.default_rng(3)
     base = r.standard_normal((40, 16))
