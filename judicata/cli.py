@@ -15,6 +15,7 @@ from __future__ import annotations
 import argparse
 import os
 import re
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,9 +24,9 @@ from judicata import jobs as J
 from judicata.catalog import run_jobs
 from judicata.operators.clean import YEAR_RANGES
 from judicata.session import get_session
-from judicata.sinks.manifest import upsert
+from judicata.sinks.manifest import manifest_exists, replace_manifest, upsert
 from judicata.sources.csv import read_csv_smart
-from judicata.sources.sheet import sheet_to_long
+from judicata.sources.sheet import find_header_row, sheet_to_long
 from judicata.sources.text import read_latin1_lines, read_zip_lines
 from judicata.sources.xlsx import read_xlsx_rows
 
@@ -39,13 +40,21 @@ def _csv(spark, paths):
 
 def xlsx_frame(spark: SparkSession, path: str) -> DataFrame:
     """First sheet of a workbook with its first row as header, all text."""
-    rows = read_xlsx_rows(spark, path)
+    rows = read_xlsx_rows(spark, path, first_sheet=True)
     first = rows.select(F.min("row_idx")).first()[0]          # one number: the header row index
     header = rows.where(F.col("row_idx") == first).select("cells").first()[0]    # one row of names
     body = rows.where(F.col("row_idx") > first)
     return body.select(*[F.element_at("cells", i + 1).alias((h or f"_c{i}").strip()) for i, h in enumerate(header)])
 
 
+def _wide_sheet(spark: SparkSession, path: str) -> DataFrame:
+    """First sheet of one workbook as (distrito, anio, valor); no header row is an error, never no rows."""
+    rows = read_xlsx_rows(spark, path, first_sheet=True)
+    if spark.range(1).select(find_header_row(rows)).first()[0] is None:
+        raise ValueError(f"{path}: no header row with 'Distrito Fiscal'")
+    return sheet_to_long(rows)
+
+
 def _year_from_path(col):
     return F.regexp_extract(col, r"(19|20)\d{2}", 0).try_cast("int")
 
@@ -71,7 +80,7 @@ def build(spark: SparkSession, job: str, paths: list[str]) -> dict[str, DataFram
     if job == "constitutional":                  # paths: filed.xlsx, published.xlsx
         return J.constitutional_court(xlsx_frame(spark, paths[0]), xlsx_frame(spark, paths[1]))
     if job == "trafficking":
-        return J.trafficking_sheet(sheet_to_long(read_xlsx_rows(spark, paths)))
+        return J.trafficking_sheet(reduce(DataFrame.unionByName, [_wide_sheet(spark, p) for p in paths]))
     if job in ("violence", "femicide", "attempts"):
         return J.violence_cases(_csv(spark, paths), categories={"por_tipo": J.VIOLENCE_TYPES,
                                                                 "por_vinculo": J.RELATIONS,
@@ -128,20 +137,9 @@ def main(argv=None, spark: SparkSession | None = None):
         todo[job] = (lambda j=job, pl=plist: write_outputs(j, build(spark, j, pl), a.out))
     manifest = run_jobs(spark, todo).withColumn("seq", F.lit(int(__import__("time").time())))
     mpath = os.path.join(a.out, "manifest")
-    # a failed read of an existing manifest stops the run; the new version is
-    # complete before it takes the old one's place
-    path_of = spark._jvm.org.apache.hadoop.fs.Path
-    fs = path_of(mpath).getFileSystem(spark._jsc.hadoopConfiguration())
-    tmp, last = mpath + ".next", mpath + ".last"
-    if not fs.exists(path_of(mpath)) and fs.exists(path_of(last)):
-        fs.rename(path_of(last), path_of(mpath))        # a switch that was cut short
-    exists = fs.exists(path_of(mpath))
-    merged = upsert(spark.read.parquet(mpath), manifest, "id", "seq") if exists else manifest
-    merged.write.mode("overwrite").parquet(tmp)
-    fs.delete(path_of(last), True)
-    if exists:
-        fs.rename(path_of(mpath), path_of(last))
-    fs.rename(path_of(tmp), path_of(mpath))
+    # a failed read of an existing manifest stops the run
+    exists = manifest_exists(spark, mpath)
+    replace_manifest(upsert(spark.read.parquet(mpath), manifest, "id", "seq") if exists else manifest, mpath)
     return spark.read.parquet(mpath)
 
 

@@ -8,7 +8,7 @@ never in place, so a failed run leaves the previous manifest intact.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -26,3 +26,27 @@ def write_version(df: DataFrame, base: str, version: str) -> str:
     path = f"{base.rstrip('/')}/v={version}"
     df.write.mode("errorifexists").parquet(path)
     return path
+
+
+def _files(spark: SparkSession, path: str):
+    path_of = spark._jvm.org.apache.hadoop.fs.Path
+    return path_of, path_of(path).getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def manifest_exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a manifest; one whose switch was cut short is put back first."""
+    path_of, fs = _files(spark, path)
+    if not fs.exists(path_of(path)) and fs.exists(path_of(path + ".last")):
+        fs.rename(path_of(path + ".last"), path_of(path))
+    return fs.exists(path_of(path))
+
+
+def replace_manifest(merged: DataFrame, path: str) -> None:
+    """The new version is complete before it takes the old one's place."""
+    spark = merged.sparkSession
+    path_of, fs = _files(spark, path)
+    merged.write.mode("overwrite").parquet(path + ".next")
+    fs.delete(path_of(path + ".last"), True)
+    if fs.exists(path_of(path)):
+        fs.rename(path_of(path), path_of(path + ".last"))
+    fs.rename(path_of(path + ".next"), path_of(path))

@@ -1,17 +1,22 @@
 """Tolerant CSV scan (SRC-1) with drifting columns across files (SRC-2).
 
-Per file, the first bytes decide the encoding (UTF-8 with or without BOM,
-else Latin-1, which never fails) and the separator (sniffed among ``, ; | tab``)
-and give the header.  Files are grouped by (encoding, separator, header) and
-each group is read once by Spark's CSV source as all-string columns; groups are
-combined with ``unionByName(allowMissingColumns=True)``.  A file whose head
-cannot be read is reported and skipped, not fatal.
+The whole of every file decides its encoding (UTF-8 with or without BOM where
+every line is valid, else Latin-1, which never fails) in one distributed pass
+over the raw lines; the same pass finds the files in which a quoted field holds
+a line break (a line with an odd number of quotes).  The first bytes give the
+header and the separator (sniffed among ``, ; | tab``).  Files are grouped by
+(encoding, separator, multi-line, header) and each group is read once by Spark's
+CSV source as all-string columns, doubled quotes being one quote; groups are
+combined with ``unionByName(allowMissingColumns=True)``.  Files with line breaks
+in fields are read one per task, all others are split.  A file whose head cannot
+be read is reported and skipped, not fatal.
 """
 
 from __future__ import annotations
 
 import csv as _csv
 import io
+from urllib.parse import unquote, urlparse
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
@@ -47,16 +52,19 @@ def read_head(spark: SparkSession, path: str, n: int = HEAD_BYTES) -> bytes:
         stream.close()
 
 
-def sniff(head: bytes) -> tuple[str, str, list[str]]:
-    """(encoding, separator, header) from a file head."""
-    if head.startswith(b"\xef\xbb\xbf"):
-        enc, text = "UTF-8", head[3:].decode("utf-8", errors="ignore")
-    else:
-        cut = head[: head.rfind(b"\n") + 1] or head
-        try:
-            text, enc = cut.decode("utf-8"), "UTF-8"
-        except UnicodeDecodeError:
-            text, enc = cut.decode("latin-1"), "ISO-8859-1"
+def scan_files(spark: SparkSession, files: list[str]) -> dict[str, tuple[str, bool]]:
+    """(encoding, has quoted line breaks) of every file with a line, from all its bytes."""
+    line = F.col("value")
+    quotes = F.octet_length(line) - F.octet_length(F.replace(line, F.lit('"')))
+    seen = (spark.read.text(files).groupBy(F.col("_metadata.file_path").alias("path"))
+            .agg(F.bool_and(F.is_valid_utf8(line)).alias("utf8"), F.bool_or(quotes % 2 == 1).alias("multi")))
+    return {r.path: ("UTF-8" if r.utf8 else "ISO-8859-1", r.multi) for r in seen.collect()}     # one row per file
+
+
+def sniff(head: bytes, enc: str) -> tuple[str, list[str]]:
+    """(separator, header) from a file head."""
+    head = head.removeprefix(b"\xef\xbb\xbf")
+    text = head.decode("utf-8" if enc == "UTF-8" else "latin-1", errors="ignore")
     lines = [ln for ln in text.splitlines() if ln.strip()][:20]
     sample = "\n".join(lines)
     try:
@@ -65,7 +73,7 @@ def sniff(head: bytes) -> tuple[str, str, list[str]]:
         counts = {s: lines[0].count(s) for s in SEPARATORS} if lines else {",": 0}
         sep = max(counts, key=counts.get) if any(counts.values()) else ","
     header = next(_csv.reader(io.StringIO(lines[0]), delimiter=sep)) if lines else []
-    return enc, sep, [h.strip() for h in header]
+    return sep, [h.strip() for h in header]
 
 
 def read_csv_smart(spark: SparkSession, paths, with_path: bool = True):
@@ -73,13 +81,15 @@ def read_csv_smart(spark: SparkSession, paths, with_path: bool = True):
     files = _hadoop_paths(spark, [paths] if isinstance(paths, str) else paths)
     groups: dict[tuple, list[str]] = {}
     errors = []
+    scanned = {unquote(urlparse(p).path): v for p, v in scan_files(spark, files).items()} if files else {}
 
     def probe(f):
         try:
-            enc, sep, header = sniff(read_head(spark, f))
+            enc, multi = scanned.get(urlparse(f).path, ("UTF-8", False))
+            sep, header = sniff(read_head(spark, f), enc)
             if not header:
                 raise ValueError("empty file")
-            return f, (enc, sep, tuple(header)), None
+            return f, (enc, sep, multi, tuple(header)), None
         except Exception as e:  # noqa: BLE001  (an unreadable file is skipped, not fatal)
             return f, None, f"{type(e).__name__}: {e}"
 
@@ -92,11 +102,11 @@ def read_csv_smart(spark: SparkSession, paths, with_path: bool = True):
             else:
                 errors.append((f, err))
     out = None
-    for (enc, sep, header), fs in sorted(groups.items()):
+    for (enc, sep, multi, header), fs in sorted(groups.items()):
         schema = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(len(header))])
         df = (spark.read.schema(schema).option("header", True).option("encoding", enc).option("sep", sep)
-              .option("mode", "PERMISSIVE").csv(fs))
-        cols = [F.col(f"_c{i}").alias(h.replace("﻿", "").strip() or f"_c{i}") for i, h in enumerate(header)]
+              .option("escape", '"').option("multiLine", multi).option("mode", "PERMISSIVE").csv(fs))
+        cols = [F.col(f"_c{i}").alias(h.strip() or f"_c{i}") for i, h in enumerate(header)]
         if with_path:
             cols.append(F.col("_metadata.file_path").alias("_source_file"))
         df = df.select(*cols)

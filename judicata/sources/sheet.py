@@ -22,28 +22,32 @@ SYNONYMS = {
 MIN_HITS = 3
 
 
+def _plain(cells) -> Column:
+    return F.transform(cells, lambda c: F.lower(F.trim(F.regexp_replace(c, r"\s+", " "))))
+
+
 def find_header_row(rows: DataFrame, first_cell: str = "distrito fiscal") -> Column:
-    """Scalar subquery: index of the first row whose first cell is ``first_cell``
-    (case/space-insensitive); null when absent."""
-    c0 = F.lower(F.trim(F.regexp_replace(F.element_at("cells", 1), r"\s+", " ")))
-    return rows.where(c0 == first_cell).select(F.min("row_idx")).scalar()
+    """Scalar subquery: index of the first row in which a cell is ``first_cell``
+    (case/space-insensitive), whichever column it stands in; null when absent."""
+    return rows.where(F.array_contains(_plain("cells"), first_cell)).select(F.min("row_idx")).scalar()
 
 
 def sheet_to_long(rows: DataFrame, first_cell: str = "distrito fiscal", label: str = "distrito",
                   totals=("NACIONAL", "", "NAN")) -> DataFrame:
     """Rows (row_idx, cells) of one wide sheet -> (distrito, anio, valor).
 
-    The header row is located by its first cell, the year columns by their
-    4-digit labels in that row; every cell below is one (label, year, value)
-    record.  Cells that are blank, junk or negative are ignored one by one and
+    The header row is located by its label cell, the label column by that cell's
+    place, the year columns by their 4-digit labels after it; every cell below is
+    one (label, year, value) record.  Cells that are blank, junk or negative are ignored one by one and
     total rows (NACIONAL / blank) are excluded."""
     hdr_idx = find_header_row(rows, first_cell)
     # the header row's cells, as a scalar subquery (one row; no join with the body)
     hdr = rows.where(F.col("row_idx") == hdr_idx).select(F.first("cells")).scalar()
     body = rows.where(F.col("row_idx") > hdr_idx).withColumn("h", hdr)
     cells = F.arrays_zip(F.col("h").alias("k"), F.col("cells").alias("v"))
-    x = body.select(F.element_at("cells", 1).alias(label), F.posexplode(cells).alias("pos", "kv"))
-    x = x.where(F.col("pos") > 0).select(label, F.trim(F.col("kv.k")).alias("k"), F.col("kv.v").alias("v"))
+    at = F.array_position(_plain("h"), first_cell).cast("int")
+    x = body.select(F.get("cells", at - 1).alias(label), at.alias("at"), F.posexplode(cells).alias("pos", "kv"))
+    x = x.where(F.col("pos") >= F.col("at")).select(label, F.trim(F.col("kv.k")).alias("k"), F.col("kv.v").alias("v"))
     x = x.where(F.col("k").rlike(r"^\d{4}(\.0)?$"))
     x = x.select(F.trim(F.col(label)).alias(label), F.substring("k", 1, 4).cast("int").alias("anio"),
                  F.trim(F.col("v")).try_cast("double").alias("valor"))

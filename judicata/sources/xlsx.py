@@ -31,8 +31,8 @@ def _col_index(ref: str) -> int:
     return n - 1
 
 
-def parse_workbook(content: bytes):
-    """Yields (sheet name, row index, cells) for every non-empty row."""
+def parse_workbook(content: bytes, first_sheet: bool = False):
+    """Yields (sheet name, row index, cells) for every non-empty row, of all sheets or the first."""
     with zipfile.ZipFile(io.BytesIO(content)) as zf:
         shared = []
         if "xl/sharedStrings.xml" in zf.namelist():
@@ -42,7 +42,7 @@ def parse_workbook(content: bytes):
         wb = ET.fromstring(zf.read("xl/workbook.xml"))
         rels = ET.fromstring(zf.read("xl/_rels/workbook.xml.rels"))
         target = {r.get("Id"): r.get("Target") for r in rels}
-        for sh in wb.find("m:sheets", NS):
+        for sh in wb.find("m:sheets", NS)[:1 if first_sheet else None]:
             rid = sh.get(f"{{{NS['r']}}}id")
             part = target[rid].lstrip("/")
             part = part if part.startswith("xl/") else "xl/" + part
@@ -66,13 +66,13 @@ def parse_workbook(content: bytes):
                     yield sh.get("name"), int(row.get("r")) - 1, [cells.get(i) for i in range(width)]
 
 
-def read_xlsx_rows(spark: SparkSession, paths) -> DataFrame:
+def read_xlsx_rows(spark: SparkSession, paths, first_sheet: bool = False) -> DataFrame:
     bins = spark.read.format("binaryFile").load(paths).select("path", "content")
 
     def expand(batches):
         for pdf in batches:
             for path, content in zip(pdf["path"], pdf["content"]):
-                rows = [(path, s, r, cells) for s, r, cells in parse_workbook(bytes(content))]
+                rows = [(path, s, r, cells) for s, r, cells in parse_workbook(bytes(content), first_sheet)]
                 if rows:
                     yield pd.DataFrame(rows, columns=ROWS.names)
 

@@ -3,8 +3,9 @@
 Datasets publish cumulative snapshots; a newer snapshot replaces the
 dataset's slice, it is never appended.  A file stream feeds ``foreachBatch``:
 per micro-batch, the newest snapshot of each dataset overwrites that
-dataset's partition (dynamic partition overwrite) and the manifest is upserted
-into a new version.  The stream's checkpoint records processed files, so a
+dataset's partition (dynamic partition overwrite), unless the manifest already
+holds a later cut-off, and the manifest is upserted into a new version that then
+takes the old one's place.  The stream's checkpoint records processed files, so a
 restarted query does not process a file twice.
 """
 
@@ -13,26 +14,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from judicata.sinks.manifest import upsert
+from judicata.sinks.manifest import manifest_exists, replace_manifest, upsert
 
 
 def apply_snapshot_batch(batch: DataFrame, target: str, manifest_path: str, batch_id: int,
                          dataset: str = "dataset", snapshot: str = "snapshot") -> None:
     spark = batch.sparkSession
+    old = spark.read.parquet(manifest_path) if manifest_exists(spark, manifest_path) else None
     newest = batch.groupBy(dataset).agg(F.max(snapshot).alias(snapshot))
+    if old is not None:                     # an older snapshot that arrives late replaces nothing
+        later = newest[snapshot] < old["fecha_corte"]
+        newest = newest.join(old, (newest[dataset] == old["id"]) & later, "left_anti")
     rows = batch.join(newest, [dataset, snapshot], "left_semi")
     (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(dataset).parquet(target))
     entries = rows.groupBy(dataset).agg(F.max(snapshot).alias("fecha_corte"), F.count(F.lit(1)).alias("n_registros"))
     entries = entries.select(F.col(dataset).alias("id"), "fecha_corte", "n_registros",
                              F.lit(batch_id).cast("long").alias("seq"))
-    try:
-        old = spark.read.parquet(manifest_path)
-    except Exception:  # noqa: BLE001  (first batch: no manifest yet)
-        old = entries.limit(0)
-    merged = upsert(old, entries, "id", "seq")
-    merged.write.mode("overwrite").parquet(f"{manifest_path}.v{batch_id}")
-    spark.read.parquet(f"{manifest_path}.v{batch_id}").write.mode("overwrite").parquet(manifest_path)
+    replace_manifest(upsert(old, entries, "id", "seq") if old is not None else entries, manifest_path)
 
 
 def start_snapshot_stream(spark, source_dir: str, schema, target: str, manifest_path: str, checkpoint: str,

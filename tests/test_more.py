@@ -119,6 +119,16 @@ def test_snapshot_stream(spark, tmp_path):
     assert {(r.dataset, r.snapshot) for r in out.collect()} == {("casos", "2025-12"), ("fem", "2025-01")}
     man = {r.id: r.n_registros for r in spark.read.parquet(str(tmp_path / "manifest")).collect()}
     assert man == {"casos": 1, "fem": 1}
+    # an older snapshot that arrives late replaces nothing, a newer one does
+    spark.createDataFrame([("casos", "2025-03", 2024, 7), ("fem", "2025-02", 2024, 4)],
+                          schema).coalesce(1).write.parquet(str(src / "batch2"))
+    start_snapshot_stream(spark, str(src), schema, str(tmp_path / "out"), str(tmp_path / "manifest"),
+                          str(tmp_path / "ckpt")).awaitTermination(300)
+    spark.catalog.refreshByPath(str(tmp_path / "out"))
+    out = spark.read.parquet(str(tmp_path / "out"))
+    assert {(r.dataset, r.snapshot) for r in out.collect()} == {("casos", "2025-12"), ("fem", "2025-02")}
+    man = {r.id: r.fecha_corte for r in spark.read.parquet(str(tmp_path / "manifest")).collect()}
+    assert man == {"casos": "2025-12", "fem": "2025-02"}
 
 
 def test_risk_and_appeal_models(spark):

@@ -27,6 +27,17 @@ def test_csv_smart_encodings_separators_drift(spark, tmp_path):
     assert len(errors) == 1 and errors[0][0].endswith("c.csv")
 
 
+def test_csv_whole_records_and_late_bytes(spark, tmp_path):
+    # covers: SRC-1 SRC-2
+    (tmp_path / "late.csv").write_bytes(b"A,B\n" + b"x,y\n" * 40_000 + "ÁNCASH,z\n".encode("latin-1"))
+    (tmp_path / "breaks.csv").write_bytes('A;B\n"line one\nline two";"say ""yes"" now"\nñ;2\n'.encode())
+    (tmp_path / "tab name.csv").write_bytes(b'A\tB\n"it is ""so"""\t3\n')
+    df, errors = CSV.read_csv_smart(spark, str(tmp_path / "*.csv"))
+    assert errors == [] and df.count() == 40_004
+    got = {(r.A, r.B) for r in df.collect()}
+    assert got == {("x", "y"), ("ÁNCASH", "z"), ("line one\nline two", 'say "yes" now'), ("ñ", "2"), ('it is "so"', "3")}
+
+
 def test_latin1_lines_keep_cr_and_bytes(spark, tmp_path):
     # covers: SRC-6
     p = tmp_path / "dump.txt"
@@ -92,6 +103,15 @@ def test_xlsx_wide_sheet_to_long(spark, tmp_path):
     assert got == [("Lima", 2019, 5.0), ("Piura", 2020, 3.0), ("Piura", 2021, 2.0)]
 
 
+def test_wide_sheet_label_in_second_column(spark):
+    # covers: SRC-12
+    rows = spark.createDataFrame([(0, [None, "Cuadro"]), (1, [None, " Distrito  Fiscal", "2019", "Total", "2020"]),
+                                  (2, ["1", "Lima", "5", "9", "4"]), (3, [None, "Nacional", "5", "9", "4"]), (4, ["2"])],
+                                 "row_idx long, cells array<string>")
+    got = sorted((r.distrito, r.anio, r.valor) for r in SH.sheet_to_long(rows).collect())
+    assert got == [("Lima", 2019, 5.0), ("Lima", 2020, 4.0)]
+
+
 def test_sheet_without_header_gives_nothing(spark):
     # covers: SRC-12
     rows = spark.createDataFrame([(0, ["a", "b"]), (1, ["c", "d"])], "row_idx long, cells array<string>")
