@@ -178,6 +178,7 @@ def counted_reports(raw: DataFrame, years=C.YEAR_RANGES["workload"], top: int =
 
 
 # ------------------------------------------------------------------ JOB-5
+# The columns that identify one ruling event.
 EVENT_KEY = ["EXPEDIENTE", "instancia", "FECHA_INGRESO", "FECHA_SENTENCIA", "DIAS"]
 
 
@@ -185,7 +186,9 @@ def case_delay(processes: dict[str, tuple[DataFrame, str]], edges=DELAY_EDGES,
                fuente: str = "Poder Judicial (microdatos por expediente)") -> dict[str, DataFrame]:
     """Case-level delay (IND-14) for several processes: drop personal columns first,
     collapse per-party duplicates to one ruling event, keep delays >= 0, profile
-    (n, mean, min, max, median, p90) and a fixed-bucket histogram per process."""
+    (n, mean, min, max, median, p90; only min and max in whole days) and a
+    fixed-bucket histogram per process.  The cut-off is judged within each
+    process and the latest of them is taken."""
     parts = []
     for proceso, (raw, inst_col) in processes.items():
         d = C.drop_private(raw)
@@ -198,11 +201,15 @@ def case_delay(processes: dict[str, tuple[DataFrame, str]], edges=DELAY_EDGES,
     ev = S.dedup_first(u, key, [c for c in u.columns if c not in key], count_col="n_partes")
     ev = ev.withColumn("dias", tolerant_number(F.col("DIAS")))
     ok = F.col("dias").isNotNull() & (F.col("dias") >= 0)
-    valid = ev.where(ok).withColumn("dias", F.col("dias").cast("long"))
+    valid = ev.where(ok)
     prof = A.value_histogram(valid, "proceso", "dias").groupBy("proceso").agg(*A.quantile_aggs("dias"))
-    fc = cutoff_agg("FECHA_CORTE") if "FECHA_CORTE" in u.columns else F.lit(None).cast("string")
+    prof = prof.withColumns({c: F.col(c).cast("long") for c in ("min", "max")})
+    if "FECHA_CORTE" in u.columns:
+        fcorte = u.groupBy("proceso").agg(cutoff_agg("FECHA_CORTE").alias("fc")).select(F.max("fc")).scalar()
+    else:
+        fcorte = F.lit(None).cast("string")
     return {
-        "tidy": with_provenance(valid, fuente, u.select(fc).scalar(), "expediente"),
+        "tidy": with_provenance(valid, fuente, fcorte, "expediente"),
         "por_proceso": prof,
         "histograma": A.bucket_counts(valid, "proceso", "dias", edges),
         "audit": ev.groupBy("proceso").agg(F.count(F.lit(1)).alias("eventos"), F.count_if(ok).alias("validos"),
@@ -249,6 +256,7 @@ def trafficking_sheet(long: DataFrame, top: int = 15) -> dict[str, DataFrame]:
 
 
 # ------------------------------------------------------------------ JOB-10
+# Violence types, relations and age groups with the words of their columns.
 VIOLENCE_TYPES = {"Psicologica": ("VIOLENCIA PSICOLOGICA",), "Fisica": ("VIOLENCIA FISICA",),
                   "Sexual": ("VIOLENCIA SEXUAL",), "Economica o patrimonial": ("VIOLENCIA ECON",)}
 RELATIONS = {"Pareja": ("VINCULO RELACIONAL", "PAREJA"), "Ex pareja": ("VINCULO RELACIONAL", "EX PAREJA"),
@@ -322,18 +330,22 @@ def police_lines(lines: DataFrame, year: str = "anio", titles=CRIME_TITLES, top:
 def crimes_by_department(raw: DataFrame, official: DataFrame, years=C.YEAR_RANGES["territory"],
                          fuente: str = "Ministerio Publico (datos abiertos)") -> dict[str, DataFrame]:
     """Year x department counts over labels in the official territory set
-    (accent-folded); dropped labels are listed (anti join)."""
+    (accent-folded); dropped labels are listed (anti join) and dropped rows
+    counted by reason.  The cut-off is that of the kept rows."""
     x = raw.withColumns({"anio": _year(raw, "anio_denuncia", "anio"), "cantidad_n": filled("cantidad"),
                          "departamento": fold_accents(F.col("dpto_pjfs"))})
-    off = F.broadcast(official.select(fold_accents(F.col(official.columns[0])).alias("departamento")).distinct())
+    off = official.select(fold_accents(F.col(official.columns[0])).alias("departamento")).distinct()
     bad = C.bad_row_mask(["cantidad_n"], "anio", *years)
     ok = x.where(~bad).join(off, "departamento", "left_semi")       # FLT-6 / JN-3
     g = ok.groupBy("anio", "departamento").agg(F.sum("cantidad_n").cast("bigint").alias("cantidad"))
+    marked = (x.join(off.withColumn("_in", F.lit(True)), "departamento", "left")
+              .withColumn("_oficial", F.col("_in").isNotNull()))
     from judicata.sinks.writers import to_year_map
     return {"por_anio_departamento": g, "mapa": to_year_map(g, "anio", "departamento", "cantidad"),
             "total_por_anio": g.groupBy("anio").agg(F.sum("cantidad").cast("bigint").alias("cantidad")),
             "descartados": x.join(off, "departamento", "left_anti").select("departamento").distinct(),
-            "meta": _meta(g, fuente, "agregado", x.select(cutoff_agg("fecha_corte")).scalar()
+            "audit": _audit(marked, bad | ~F.col("_oficial"), {"fila_invalida": bad, "territorio_no_oficial": ~F.col("_oficial")}),
+            "meta": _meta(g, fuente, "agregado", ok.select(cutoff_agg("fecha_corte")).scalar()
                           if "fecha_corte" in raw.columns else None, scope="Nacional por departamento")}
 
 

@@ -60,6 +60,17 @@ def test_case_delay_dedup_privacy_histogram(spark):
     assert (a.eventos, a.validos, a.descartados, a.filas_brutas) == (3, 2, 1, 5)
 
 
+def test_case_delay_fractions_and_cutoff_by_process(spark):
+    # covers: JOB-5 AGG-5 AGG-7 PRJ-6
+    cols = ["EXPEDIENTE", "INSTANCIA", "DIAS", "FECHA_CORTE"]
+    a = frame(spark, cols, [("E1", "S", "20.9", "01/02/2020"), ("E2", "S", "10.2", "01/02/2020")])
+    b = frame(spark, cols, [("E3", "S", "7", "20260601")])
+    out = J.case_delay({"A": (a, "INSTANCIA"), "B": (b, "INSTANCIA")})
+    p = {r.proceso: r for r in out["por_proceso"].collect()}["A"]
+    assert abs(p.mean - 15.55) < 1e-9 and abs(p.median - 15.55) < 1e-9 and (p.min, p.max) == (10, 20)
+    assert {r.fecha_corte for r in out["tidy"].collect()} == {"2026-06-01"}
+
+
 def test_constitutional_court(spark):
     # covers: JOB-6 PRJ-4 PRJ-12 PRJ-15 JN-5 AGG-8 FLT-3 FLT-11
     ing = frame(spark, ["FEC_INGRESO", "CDES_TIPOPROCESO"], [("20200105", "AMPARO")] * 31 + [("19910101", "HC")])
@@ -110,6 +121,8 @@ def test_crimes_by_department(spark):
     assert {(r.anio, r.departamento): r.cantidad for r in out["por_anio_departamento"].collect()} == \
         {(2020, "ANCASH"): 7, (2021, "PIURA"): 1}
     assert [r.departamento for r in out["descartados"].collect()] == ["#N/D"]
+    assert {r.rule: r.n for r in out["audit"].collect()} == {
+        "leidas": 4, "fila_invalida": 0, "territorio_no_oficial": 1, "descartadas": 1, "validas": 3}
     m = {r.anio: r.valores for r in out["mapa"].collect()}
     assert m[2020] == {"ANCASH": 7}
 
