@@ -318,7 +318,8 @@ def police_lines(lines: DataFrame, year: str = "anio", titles=CRIME_TITLES, top:
         F.count_if(F.col("rec").isNotNull() & F.col("tipo").isNull()).alias("sin_clasificar"))
     per_year = per_year.withColumn("perdida", F.lit(1.0) - F.try_divide(F.col("con_generico").cast("double"),
                                                                          F.col("lineas").cast("double")))
-    by_type = x.where(F.col("tipo").isNotNull()).groupBy("anio", "tipo").agg(F.count(F.lit(1)).alias("cantidad"))
+    # lines without a title form a group that counts nothing: a filter on the count is not pushed below the match
+    by_type = x.groupBy("anio", "tipo").agg(F.count("tipo").alias("cantidad")).where("cantidad > 0")
     totals = by_type.groupBy("tipo").agg(F.sum("cantidad").cast("bigint").alias("cantidad"))   # AGG-17
     checks = per_year.agg(F.count_if(F.col("con_generico") < 0).alias("negativos"))
     return {"por_anio": per_year, "por_anio_tipo": by_type,
