@@ -22,12 +22,14 @@ def pk_profile(df: DataFrame, pk, name: str) -> DataFrame:
 
 
 def fk_orphans(child: DataFrame, fk, parent: DataFrame, pk, name: str) -> DataFrame:
-    """(fk, n_child, n_orphans): child rows whose key has no parent (left anti join)."""
+    """(fk, n_child, n_orphans): child rows whose key has no parent.  Children are
+    counted by key before the join, so a hot key is one row of it."""
     fk, pk = _cols(fk), _cols(pk)
-    p = parent.select(*[F.col(a).alias(b) for a, b in zip(pk, fk)]).distinct()
-    orphans = child.select(*fk).join(p, on=fk, how="left_anti")
-    n_child = child.select(F.count(F.lit(1))).scalar()
-    return orphans.agg(F.lit(name).alias("fk"), n_child.alias("n_child"), F.count(F.lit(1)).alias("n_orphans"))
+    p = parent.select(*[F.col(a).alias(b) for a, b in zip(pk, fk)]).distinct().withColumn("_hit", F.lit(True))
+    keys = child.groupBy(*fk).agg(F.count(F.lit(1)).alias("_n")).join(p, on=fk, how="left")
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("bigint")
+    return keys.agg(F.lit(name).alias("fk"), total(F.col("_n")).alias("n_child"),
+                    total(F.when(F.col("_hit").isNull(), F.col("_n"))).alias("n_orphans"))
 
 
 def conservation(rollups: dict[str, DataFrame], measure: str, reference: str) -> DataFrame:

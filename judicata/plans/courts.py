@@ -303,11 +303,12 @@ def department_share(spark, sf):
 
 
 OVERLAY_YEAR = 1998
+OVERLAY_SILENT = "ASIA"        # a department that did not report that year
 
 
 @register("year_overlay", sql=f"""
 WITH {_DEPT_SQL},
-y AS (SELECT departamento, COUNT(*) AS n FROM dep WHERE anio = {OVERLAY_YEAR} GROUP BY departamento),
+y AS (SELECT departamento, COUNT(*) AS n FROM dep WHERE anio = {OVERLAY_YEAR} AND departamento <> '{OVERLAY_SILENT}' GROUP BY departamento),
 a AS (SELECT departamento, COUNT(*) AS n FROM dep GROUP BY departamento)
 SELECT r.r_name AS departamento, COALESCE(y.n, a.n) AS valor,
        CASE WHEN y.n IS NOT NULL THEN 'anio' WHEN a.n IS NOT NULL THEN 'todos' END AS base
@@ -317,7 +318,7 @@ def year_overlay(spark, sf):
     """Map overlay: each department's value for the selected year, falling back
     to its all-years total when the year is missing (JN-13)."""
     d = _dept_cases(spark, sf)
-    y = d.where(F.col("anio") == OVERLAY_YEAR).groupBy("departamento").agg(F.count(F.lit(1)).alias("n_y"))
+    y = d.where((F.col("anio") == OVERLAY_YEAR) & (F.col("departamento") != OVERLAY_SILENT)).groupBy("departamento").agg(F.count(F.lit(1)).alias("n_y"))
     a = d.groupBy("departamento").agg(F.count(F.lit(1)).alias("n_a"))
     r = dim(Tables(spark, sf).region("r_name")).select(F.col("r_name").alias("departamento"))
     x = r.join(y, "departamento", "left").join(a, "departamento", "left")

@@ -22,7 +22,8 @@ FKS = [("lineitem.l_orderkey", "lineitem", "l_orderkey", "orders", "o_orderkey")
        ("customer.c_nationkey", "customer", "c_nationkey", "nation", "n_nationkey"),
        ("supplier.s_nationkey", "supplier", "s_nationkey", "nation", "n_nationkey"),
        ("nation.n_regionkey", "nation", "n_regionkey", "region", "r_regionkey"),
-       ("labels.doc_id", "labels", "doc_id", "documents", "doc_id")]
+       ("labels.doc_id", "labels", "doc_id", "documents", "doc_id"),
+       ("part.p_partkey (as supplier)", "part", "p_partkey", "supplier", "s_suppkey")]     # orphans on purpose
 
 
 def _pk_sql(t, cols):
@@ -56,10 +57,7 @@ def fk_orphans(spark, sf):
     t = Tables(spark, sf)
     out = None
     for name, child, fk, parent, pk in FKS:
-        c = getattr(t, child)(fk)
-        p = getattr(t, parent)(pk).select(F.col(pk).alias(fk)).distinct().withColumn("_hit", F.lit(True))
-        j = c.join(p, fk, "left").agg(F.lit(name).alias("fk"), F.count(F.lit(1)).alias("n_child"),
-                                      F.count_if(F.col("_hit").isNull()).alias("n_orphans"))
+        j = AU.fk_orphans(getattr(t, child)(fk), fk, getattr(t, parent)(pk), pk, name)
         out = j if out is None else out.unionByName(j)
     return out
 
@@ -110,6 +108,9 @@ WITH f AS (SELECT 'ordenes' AS dataset, CAST(year(o_orderdate) AS INTEGER) AS an
            SELECT 'ordenes_resueltas', CAST(year(o_orderdate) AS INTEGER), COUNT(*) FROM orders
            WHERE o_orderstatus = 'F' GROUP BY 2
            UNION ALL
+           SELECT 'ordenes_republicadas', CAST(year(o_orderdate) AS INTEGER), COUNT(*) FROM orders
+           WHERE year(o_orderdate) % 2 = 0 OR o_orderkey % 2 = 0 GROUP BY 2
+           UNION ALL
            SELECT 'lineas_despachadas', CAST(year(l_shipdate) AS INTEGER), COUNT(*) FROM lineitem GROUP BY 2)
 SELECT a.anio, a.total, a.dataset AS dataset_a, b.dataset AS dataset_b
 FROM f a JOIN f b ON a.anio = b.anio AND a.total = b.total AND a.dataset < b.dataset
@@ -126,6 +127,9 @@ def duplicate_feed(spark, sf):
             F.lit("ordenes_con_lineas").alias("dataset"), F.count_distinct("l_orderkey").alias("total")),
         o.where(F.col("o_orderstatus") == "F").groupBy(yo).agg(
             F.lit("ordenes_resueltas").alias("dataset"), F.count(F.lit(1)).alias("total")),
+        # the even years of a feed published again
+        o.where((F.year("o_orderdate") % 2 == 0) | (F.col("o_orderkey") % 2 == 0)).groupBy(yo).agg(
+            F.lit("ordenes_republicadas").alias("dataset"), F.count(F.lit(1)).alias("total")),
         li.groupBy(F.year("l_shipdate").cast("int").alias("anio")).agg(
             F.lit("lineas_despachadas").alias("dataset"), F.count(F.lit(1)).alias("total")),
     ]

@@ -52,7 +52,7 @@ def prefix_taxonomy(spark, sf):
                                       F.sum(F.col("p_retailprice").cast("decimal(8,2)")).cast("double").alias("precio_total"))
 
 
-_RAW_PART = ("concat('X', p_brand, ' DELITO ', p_type, ' ', replace(upper(p_name), ' ', '|'), ' ', "
+_RAW_PART = ("concat('X', p_brand, CASE WHEN p_partkey % 10 = 0 THEN ' ' ELSE ' DELITO ' END, p_type, ' ', replace(upper(p_name), ' ', '|'), ' ', "
              "repeat('Z', CAST(p_size AS INTEGER)))")
 
 
@@ -67,7 +67,8 @@ def fuzzy_text_recover(spark, sf):
     """Recover a label from a corrupt line (spurious pipes, trailing junk): from
     the anchor ``DELITOS?\\s`` take 70 characters, then remove pipes, then key it."""
     p = Tables(spark, sf).part("p_partkey", "p_brand", "p_type", "p_name", "p_size")
-    raw = F.concat(F.lit("X"), F.col("p_brand"), F.lit(" DELITO "), F.col("p_type"), F.lit(" "),
+    anchor = F.when(F.col("p_partkey") % 10 == 0, F.lit(" ")).otherwise(F.lit(" DELITO "))
+    raw = F.concat(F.lit("X"), F.col("p_brand"), anchor, F.col("p_type"), F.lit(" "),
                    F.replace(F.upper("p_name"), F.lit(" "), F.lit("|")), F.lit(" "),
                    F.repeat(F.lit("Z"), F.col("p_size").cast("int")))
     rec = recover_tail(raw)

@@ -30,7 +30,7 @@ def test_every_query_has_oracle_or_is_declared():
     q, o = load_all()
     assert set(q) <= set(E.queries()) and set(o) <= set(E.oracle_sql())
     assert set(o) <= set(q)
-    assert set(q) - set(o) == {"limiter_batch", "delay_model_metrics", "delay_model_by_type"}
+    assert set(q) - set(o) == {"delay_model_metrics", "delay_model_by_type"}
 
 
 @pytest.mark.parametrize("name", sorted(load_all()[1]))
