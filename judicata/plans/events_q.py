@@ -113,16 +113,21 @@ def asof_assignment(spark, sf):
 _STAGE_VALUES = ", ".join(f"({i + 1}, '{s}')" for i, s in enumerate(STAGES))
 
 
+FUNNEL_MIN_VALUE = 150.0        # a stage counts with an event of at least this value
+
+
 @register("funnel", sql=f"""
 WITH st AS (SELECT * FROM (VALUES {_STAGE_VALUES}) v(orden, etapa)),
-u AS (SELECT event_type AS etapa, COUNT(DISTINCT user_id) AS usuarios FROM events GROUP BY event_type)
+u AS (SELECT event_type AS etapa, COUNT(DISTINCT user_id) AS usuarios FROM events
+      WHERE value >= {FUNNEL_MIN_VALUE} GROUP BY event_type)
 SELECT st.orden, st.etapa, COALESCE(u.usuarios, 0) AS usuarios,
        COALESCE(u.usuarios, 0)::DOUBLE / NULLIF((SELECT usuarios FROM u WHERE etapa = '{STAGES[0]}'), 0)::DOUBLE AS conversion
 FROM st LEFT JOIN u ON st.etapa = u.etapa
 """)
 def funnel(spark, sf):
     """Stage volumes (distinct users per stage) and conversion from the first stage (AGG-21)."""
-    e = Tables(spark, sf).events("user_id", "event_type").where(F.col("event_type").isin(*STAGES))
+    e = Tables(spark, sf).events("user_id", "event_type", "value")
+    e = e.where(F.col("event_type").isin(*STAGES) & (F.col("value") >= FUNNEL_MIN_VALUE))
     u = e.groupBy(F.col("event_type").alias("etapa")).agg(F.count_distinct("user_id").alias("usuarios"))
     st = spark.range(1).select(F.inline(F.array(*[F.struct(F.lit(i + 1).alias("orden"), F.lit(s).alias("etapa"))
                                                    for i, s in enumerate(STAGES)])))
