@@ -66,6 +66,12 @@ def margin(n: int, percent: int) -> int:
     return min(n - prefix_length(n, percent), max(s - prefix_length(s, percent), prefix_length(n, percent) // 2))
 
 
+def rests(n: np.ndarray, percent: int) -> np.ndarray:
+    """How many hashes of sets of these sizes lie beyond their zones."""
+    p, s = n - -(-percent * n // 100) + 1, np.minimum(n, SHORT)
+    return n - p - np.minimum(n - p, np.maximum(s - (s - -(-percent * s // 100) + 1), p // 2))
+
+
 def shingle_sets(texts: list[bytes], n: int) -> list[np.ndarray]:
     """Sorted distinct n-gram hashes of every text."""
     w = Words(texts, lower=True)
@@ -214,9 +220,9 @@ def _by_key(df: DataFrame, work, schema: str) -> DataFrame:
 
 
 def _prefixes(shared: DataFrame, percent: int, parts: int) -> DataFrame:
-    """(token, n, cls, most): the candidate tokens of every class; ``most`` is the
-    largest intersection it can have, its size without the zone's hashes that no other class has."""
-    names = ["token", "n", "cls", "most"]
+    """(token, n, cls, shared): the candidate tokens of every class; ``shared`` counts
+    its zone's hashes that lie in another class's zone too."""
+    names = ["token", "n", "cls", "shared"]
 
     def classes(part):
         c, n, h, r, hot = (np.concatenate([np.frombuffer(x[k], d) for x in part])
@@ -224,14 +230,14 @@ def _prefixes(shared: DataFrame, percent: int, parts: int) -> DataFrame:
         order = np.lexsort((r, c))
         c, n, h, r, hot = c[order], n[order], h[order], r[order].astype(np.int64), hot[order]
         cut = np.flatnonzero(np.concatenate(([True], c[1:] != c[:-1])))
-        keep, bound = np.zeros(len(c), dtype=bool), np.zeros(len(c), dtype=np.int64)
+        keep, shared = np.zeros(len(c), dtype=bool), np.zeros(len(c), dtype=np.int64)
         for a, z in zip(cut.tolist(), np.append(cut[1:], len(c)).tolist()):
             size = int(n[a])
             least = margin(-(-percent * size // 100), percent)
             if z - a <= least:              # a partner shares least + 1 or more of this zone
                 continue
             p = prefix_length(size, percent)
-            bound[a:z] = size - (p + margin(size, percent) - (z - a))
+            shared[a:z] = z - a
             ranks = r[a:z][hot[a:z]]
             # with l hot entries before it, place p + l holds the p-th other entry
             dropped = int(np.searchsorted(ranks - np.arange(len(ranks)), p, side="left"))
@@ -239,19 +245,27 @@ def _prefixes(shared: DataFrame, percent: int, parts: int) -> DataFrame:
                 keep[a:z] = ~hot[a:z] & (r[a:z] < p + dropped)
             else:
                 keep[a:z] = ~hot[a:z] | (r[a:z] < p)
-        cols = (h.view(np.int64)[keep], n[keep], c[keep], bound[keep])
+        cols = (h.view(np.int64)[keep], n[keep], c[keep], shared[keep])
         return pa.record_batch([pa.array(x) for x in cols], names=names)
 
     return _by_key(shared.repartition(parts, "cb").sortWithinPartitions("cb"), classes,
-                   "token long, n long, cls long, most long")
+                   "token long, n long, cls long, shared long")
 
 
 def _families(tokens: DataFrame, percent: int, parts: int) -> DataFrame:
-    """(leader, ln, lmost, cls, n, most, hits): the classes of every token group that
-    sizes and largest possible intersections leave a partner in, under the group's
-    leader, the class with the fewest hashes of its own; ``hits`` counts their tokens."""
-    def leave(n, most):
-        """Which of a group, sorted by n, can link with the smallest partner their size allows."""
+    """(leader, cls, n, able, hits): the classes of every token group that sizes and
+    largest possible intersections leave a partner in, under the group's leader, the
+    class with the fewest zone hashes of its own; ``able``: it can link with the leader;
+    ``hits`` counts their tokens.
+
+    Of two sets take the one whose zone ends at the smaller hash.  Common hashes up
+    to there lie in both zones, the others beyond its zone; so the intersection is at
+    most the smaller ``shared`` and the larger ``rests`` of the two together."""
+    def leave(n, shared, rest):
+        """Which of a group, sorted by n, can link with any partner their size allows:
+        the smallest one, with the largest rest of all."""
+        rest = np.maximum.accumulate(rest)[np.searchsorted(n, 100 * n // percent, side="right") - 1]
+        most = np.minimum(n, shared + rest)
         least = n[np.searchsorted(n, -(-percent * n // 100))]
         return 100 * most >= percent * (n + least - most)
 
@@ -260,28 +274,31 @@ def _families(tokens: DataFrame, percent: int, parts: int) -> DataFrame:
         rest = [np.zeros(0, dtype=np.int64)] * 4
 
         def out():
-            rows = list(found)
+            lead, ln, ls, cls, n, shared = np.array(list(found), dtype=np.int64).reshape(-1, 6).T
             hits = list(found.values())
             found.clear()
-            cols = [pa.array([r[k] for r in rows], pa.int64()) for k in range(6)]
-            return pa.record_batch([*cols, pa.array(hits, pa.int64())], names=["leader", "ln", "lmost", "cls", "n", "most", "hits"])
+            both = np.minimum(np.minimum(ls, shared) + np.maximum(rests(ln, percent), rests(n, percent)), np.minimum(ln, n))
+            able = (cls != lead) & (100 * both >= percent * (n + ln - both))
+            return pa.record_batch([pa.array(lead), pa.array(cls), pa.array(n), pa.array(able), pa.array(hits, pa.int64())],
+                                   names=["leader", "cls", "n", "able", "hits"])
 
-        def groups(token, n, cls, most):
+        def groups(token, n, cls, shared):
             first = np.flatnonzero(np.concatenate(([True], token[1:] != token[:-1])))
+            beyond = rests(n, percent)
             for a, z in zip(first.tolist(), np.append(first[1:], len(token)).tolist()):
                 if z - a < 2:
                     continue
-                gn, gc, gm = n[a:z], cls[a:z], most[a:z]
+                gn, gc, gs, gr = n[a:z], cls[a:z], shared[a:z], beyond[a:z]
                 while len(gn) > 1:
-                    ok = leave(gn, gm)
+                    ok = leave(gn, gs, gr)
                     if ok.all():
                         break
-                    gn, gc, gm = gn[ok], gc[ok], gm[ok]
+                    gn, gc, gs, gr = gn[ok], gc[ok], gs[ok], gr[ok]
                 if len(gn) < 2:
                     continue
-                head = int(np.lexsort((gc, gn, -(gm / gn)))[0])
-                lead = (int(gc[head]), int(gn[head]), int(gm[head]))
-                for x in zip(gc.tolist(), gn.tolist(), gm.tolist()):
+                head = int(np.lexsort((gc, gn, -((gs + gr) / gn)))[0])
+                lead = (int(gc[head]), int(gn[head]), int(gs[head]))
+                for x in zip(gc.tolist(), gn.tolist(), gs.tolist()):
                     k = lead + x
                     found[k] = found.get(k, 0) + 1
                 if len(found) > 300_000:
@@ -298,17 +315,13 @@ def _families(tokens: DataFrame, percent: int, parts: int) -> DataFrame:
         yield out()
 
     spread = tokens.repartition(parts, "token").sortWithinPartitions("token", "n", "cls")
-    found = spread.select("token", "n", "cls", "most").mapInArrow(
-        run, "leader long, ln long, lmost long, cls long, n long, most long, hits long")
-    return found.groupBy("leader", "ln", "lmost", "cls", "n", "most").agg(F.sum("hits").alias("hits"))
+    found = spread.select("token", "n", "cls", "shared").mapInArrow(run, "leader long, cls long, n long, able boolean, hits long")
+    return found.groupBy("leader", "cls", "n", "able").agg(F.sum("hits").alias("hits"))
 
 
-def _stars(families: DataFrame, percent: int) -> DataFrame:
+def _stars(families: DataFrame) -> DataFrame:
     """(a, b): every class with the leader it shares the most tokens with, where that pair can link."""
-    both = F.least("most", "lmost")
-    able = families.where("cls <> leader").where(
-        (100 * F.least("n", "ln") >= percent * F.greatest("n", "ln")) & (100 * both >= percent * (F.col("n") + F.col("ln") - both)))
-    return able.groupBy("cls").agg(F.max_by("leader", F.struct("hits", "leader")).alias("b")).select(F.col("cls").alias("a"), "b")
+    return families.where("able").groupBy("cls").agg(F.max_by("leader", F.struct("hits", "leader")).alias("b")).select(F.col("cls").alias("a"), "b")
 
 
 def _crossing(families: DataFrame, comp: DataFrame) -> DataFrame:
@@ -443,7 +456,7 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     tokens = materialise(_prefixes(shared, percent, parts))
     families = materialise(_families(tokens, percent, parts))
     sets = _class_sets(usable, known, families.select("cls").distinct(), n)
-    edges = materialise(_verified(_stars(families, percent), sets, percent))
+    edges = materialise(_verified(_stars(families), sets, percent))
     blocks = _blocks(_crossing(families, components(edges)), block_grams, parts)
     more = materialise(edges.unionByName(_cross_links(blocks, sets, percent, parts)))
     comp = components(more)

@@ -146,6 +146,21 @@ def test_ngram_join_families_near_the_threshold(spark):
         assert got == {i: find(i) for i in sets}
 
 
+def test_ngram_join_lone_pairs_where_one_holds_the_other(spark):
+    rng, rows, want = random.Random(9), [], {}
+    for n in [250, 300, 310, 350, 400, 450, 510, 600] * 3 + [1000, 1500, 2000, 2500, 3000]:
+        for share in (73, 75, 76, 78, 80, 85):
+            small = -(-share * n // 100)
+            w = [f"p{len(rows)}x{k}" for k in range(n + 4)]
+            at = rng.randrange(n - small + 1)
+            a = len(rows)
+            rows += [(a, " ".join(w)), (a + 1, " ".join(w[at:at + small + 4]))]
+            want |= {a: a, a + 1: a if 100 * small >= 75 * n else a + 1}
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.id: r.component_id for r in ngram_join.ngram_jaccard_join(df).collect()}
+    assert got == want
+
+
 def test_embeddings(spark):
     r = np.random.default_rng(3)
     base = r.standard_normal((40, 16))
