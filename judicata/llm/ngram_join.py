@@ -409,7 +409,8 @@ def _cross_links(blocks: DataFrame, sets: DataFrame, percent: int, parts: int) -
 
 
 def _class_sets(rows: DataFrame, members: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
-    """(cls, grams): the 48 low bits of the n-grams of every wanted class, from its first document."""
+    """(cls, grams): the 48 low bits of the n-grams of every wanted class, from its
+    first document; of the texts of a repeated id only the one with the class's digest counts."""
     chosen = materialise(members.groupBy("cls").agg(F.min("id").alias("id")).join(wanted, "cls", "left_semi").select("id", "cls"))
     if chosen.count() <= BROADCAST_CLASSES:
         chosen = F.broadcast(chosen)
@@ -417,8 +418,12 @@ def _class_sets(rows: DataFrame, members: DataFrame, wanted: DataFrame, n: int)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            blobs = [np.unique(s & np.uint64((1 << 48) - 1)).view(np.uint8).reshape(-1, 8)[:, :6].tobytes() for _, s in _sets(b, 1, n)]
-            yield pa.record_batch([b.column(0), pa.array(blobs, pa.binary())], names=["cls", "grams"])
+            cls, blobs = [], []
+            for c, (_, s) in zip(b.column(0).to_pylist(), _sets(b, 1, n)):
+                if len(s) and class_of(s) == c:
+                    cls.append(c)
+                    blobs.append(np.unique(s & np.uint64((1 << 48) - 1)).view(np.uint8).reshape(-1, 8)[:, :6].tobytes())
+            yield pa.record_batch([pa.array(cls, pa.int64()), pa.array(blobs, pa.binary())], names=["cls", "grams"])
 
     return materialise(picked.mapInArrow(run, "cls long, grams binary").dropDuplicates(["cls"]))
 

@@ -161,6 +161,19 @@ def test_ngram_join_lone_pairs_where_one_holds_the_other(spark):
     assert got == want
 
 
+def test_ngram_join_ids_that_hold_two_texts(spark):
+    rows, want = [], {}
+    for i in range(20):
+        for k in (1, 2):
+            w = [f"t{i}x{k}x{j}" for j in range(40 + i)]
+            rows += [(i, " ".join(w)), (100 * k + i, " ".join(w[1:]))]
+            want |= {i: i, 100 * k + i: i}
+    random.Random(4).shuffle(rows)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.id: r.component_id for r in ngram_join.ngram_jaccard_join(df).collect()}
+    assert got == want
+
+
 def test_embeddings(spark):
     r = np.random.default_rng(3)
     base = r.standard_normal((40, 16))
