@@ -1,24 +1,52 @@
 """Identity resolution of people by name (SET-7).
 
-Records are blocked on a normalised key; inside a block every record is
-compared with the block's representative only (the smallest id, chosen by an
-aggregate), never with every other record, so the work is linear in the
-input and a huge block costs one pass, not all pairs."""
+Equal keys are one node.  Two keys within d edits share a string that is left of
+each after at most d deleted letters, so nodes are joined on the hashes of these
+strings, verified by edit distance, and every connected group is one person.  No
+first letters and no representative are asked for, and a common surname is no
+block: the shared strings are nearly whole names.  A key of n letters has about
+n^d / d! such strings.
+
+Nodes are told apart by 64 bits of a digest of the key.  Records without a name
+stay on their own."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from judicata.functions.text import letters_key
 
 
-def resolve_identities(df: DataFrame, id_col: str, name_col: str, block_len: int = 6, max_dist: int = 2) -> DataFrame:
-    """(id, cluster_id): records within ``max_dist`` edits of their block's
-    representative join its cluster; others stay on their own."""
-    k = letters_key(F.col(name_col))
-    x = df.select(F.col(id_col).alias("id"), k.alias("clave"), F.substring(k, 1, block_len).alias("bloque"))
-    rep = x.groupBy("bloque").agg(F.min(F.struct("id", "clave")).alias("_rep"))
-    j = x.join(rep, "bloque", "left")
-    near = F.levenshtein(F.col("clave"), F.col("_rep.clave")) <= max_dist
-    return j.select("id", F.when(near, F.col("_rep.id")).otherwise(F.col("id")).alias("cluster_id"))
+def _deletions(key: Column, max_dist: int) -> Column:
+    """Hashes of the key and of all that is left of it after up to ``max_dist`` deleted letters."""
+    def shorter(left: Column) -> Column:
+        some = F.filter(left, lambda v: F.length(v) > 0)
+        return F.array_distinct(F.flatten(F.transform(some, lambda v: F.transform(
+            F.sequence(F.lit(1), F.length(v)), lambda i: F.overlay(v, F.lit(""), i, F.lit(1))))))
+
+    levels = [F.array(key)]
+    for _ in range(max_dist):
+        levels.append(shorter(levels[-1]))
+    return F.transform(F.concat(*levels), lambda v: F.xxhash64(v))
+
+
+def resolve_identities(df: DataFrame, id_col: str, name_col: str, max_dist: int = 2) -> DataFrame:
+    """(id, cluster_id): records whose names are linked by steps of at most
+    ``max_dist`` edits share the smallest id among them."""
+    from judicata.llm.common import materialise         # here, as the subpackage may be absent
+    from judicata.llm.components import components
+
+    x = df.select(F.col(id_col).alias("id"), letters_key(F.col(name_col)).alias("clave"))
+    nodes = materialise(x.where("clave IS NOT NULL").groupBy("clave").agg(F.min("id").alias("least"))
+                        .select(F.xxhash64("clave").alias("node"), "clave", "least"))
+    left = nodes.select("node", F.explode(_deletions(F.col("clave"), max_dist)).alias("v"))
+    pairs = (left.select(F.col("node").alias("a"), "v").join(left.select(F.col("node").alias("b"), "v"), "v")
+             .where("a < b").select("a", "b").distinct())
+    near = (pairs.join(nodes.select(F.col("node").alias("a"), F.col("clave").alias("ka")), "a")
+            .join(nodes.select(F.col("node").alias("b"), F.col("clave").alias("kb")), "b")
+            .where(F.levenshtein("ka", "kb") <= max_dist).select("a", "b"))
+    owner = nodes.join(components(near), "node", "left").withColumn("root", F.coalesce("component", "node"))
+    person = owner.groupBy("root").agg(F.min("least").alias("cluster_id"))
+    named = owner.join(person, "root").select("clave", "cluster_id")
+    return x.join(named, "clave", "left").select("id", F.coalesce("cluster_id", "id").alias("cluster_id"))

@@ -95,6 +95,39 @@ def test_identity_resolution(spark):
     assert got[2] == 1 and got[1] == 1 and got[4] == 4
 
 
+def test_identity_resolution_links_every_pair_within_two_edits(spark):
+    # covers: SET-7 (typos at any place, no representative; equals brute force)
+    import random
+    rng = random.Random(3)
+    names = ["GARCIA AAAAAA", "GARCIA LOPEZ JUAN", "GARCIA LOPES JUAN", "GRACIA LOPEZ JUAN", "", "AB", "Ñ", None, None]
+    for _ in range(25):
+        k = "".join(rng.choice("ABC") for _ in range(rng.randint(3, 12)))
+        for _ in range(4):
+            names.append(k)
+            at = rng.randrange(len(k))
+            k = rng.choice((k[:at] + k[at + 1:], k[:at] + "D" + k[at:], k[:at] + "E" + k[at + 1:]))
+
+    def edits(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            last, row = row, [i]
+            for j, y in enumerate(b, 1):
+                row.append(min(last[j] + 1, row[-1] + 1, last[j - 1] + (x != y)))
+        return row[-1]
+
+    key = [n if n is None else n.replace(" ", "").replace("Ñ", "N") for n in names]
+    want = list(range(len(key)))
+    for i, a in enumerate(key):
+        for j in range(i):
+            if a is not None and key[j] is not None and edits(a, key[j]) <= 2 and want[i] != want[j]:
+                x, y = sorted((want[i], want[j]))
+                want = [x if w == y else w for w in want]
+    assert want[1] == want[2] == want[3] == 1 and want[0] == 0 and want[7:9] == [7, 8]
+    df = spark.createDataFrame(list(enumerate(names)), "id int, nombre string")
+    got = {r.id: r.cluster_id for r in resolve_identities(df, "id", "nombre").collect()}
+    assert got == dict(enumerate(want))
+
+
 def test_tables_refresh_sees_new_files(spark, tmp_path):
     # covers: SRC-5 (memoised plans can be refreshed)
     from judicata.tables import refresh, table
