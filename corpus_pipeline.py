@@ -63,7 +63,7 @@ STAGES = [
     ("packing", pack_sequences),
 ]
 
-#: Classifier and tokenizer have no SQL; the tests compare with a plain version.
+#: Classifier and tokenizer have no SQL; the tests check the stages' columns and row counts, not their rows.
 ORACLE_SQL = None
 
 
