@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from judicata.functions.text import letters_key
+from judicata.operators.components import components
+from judicata.session import materialise
 
 
 def _deletions(key: Column, max_dist: int) -> Column:
@@ -34,9 +36,6 @@ def _deletions(key: Column, max_dist: int) -> Column:
 def resolve_identities(df: DataFrame, id_col: str, name_col: str, max_dist: int = 2) -> DataFrame:
     """(id, cluster_id): records whose names are linked by steps of at most
     ``max_dist`` edits share the smallest id among them."""
-    from judicata.llm.common import materialise         # here, as the subpackage may be absent
-    from judicata.llm.components import components
-
     x = df.select(F.col(id_col).alias("id"), letters_key(F.col(name_col)).alias("clave"))
     nodes = materialise(x.where("clave IS NOT NULL").groupBy("clave").agg(F.min("id").alias("least"))
                         .select(F.xxhash64("clave").alias("node"), "clave", "least"))

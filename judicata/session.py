@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -76,3 +77,20 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     """Reliable checkpoint into the shared checkpoint folder (survives executor loss)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=eager)
+
+
+def shared_folder(spark: SparkSession, prefix: str = "run") -> str:
+    """A new folder below the shared checkpoint folder of the session."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{prefix}-{uuid.uuid4().hex}"
+
+
+def materialise(df: DataFrame, *partition_by: str) -> DataFrame:
+    """Write ``df`` once to the shared folder and read it back.
+
+    Used where two consumers need the same costly rows, and to cut lineage: the
+    files survive a lost executor, and later stages reread them instead of
+    recomputing the work before them."""
+    path = shared_folder(df.sparkSession)
+    w = df.write.option("compression", "zstd")
+    (w.partitionBy(*partition_by) if partition_by else w).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
