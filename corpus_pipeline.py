@@ -34,11 +34,17 @@ def drop_common_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of every group of near copies stays, once;
-    rows without an id stay."""
+    """The document with the smallest id of every group of near copies stays.
+
+    An id may repeat: all different texts under a kept id stay, a text that
+    repeats under its id stays once, with the least values of the other columns.
+    Rows without an id stay."""
     kept = ngram_join.ngram_jaccard_join(docs).where("id = component_id").select("id")
-    known = docs.join(materialise(kept), docs["doc_id"] == F.col("id"), "left_semi").dropDuplicates(["doc_id"])
-    return known.unionByName(docs.where("doc_id IS NULL"))
+    known = docs.join(materialise(kept), docs["doc_id"] == F.col("id"), "left_semi")
+    rest = [c for c in docs.columns if c not in ("doc_id", "text")]
+    least = known.groupBy("doc_id", "text").agg(F.min(F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`") for c in rest])).alias("_rest"))
+    once = least.select(*[F.col(f"_rest.`{c}`").alias(c) if c in rest else F.col(c) for c in docs.columns])
+    return once.unionByName(docs.where("doc_id IS NULL"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

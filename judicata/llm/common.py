@@ -2,34 +2,15 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from judicata.session import ensure_checkpoint_dir
+from judicata.session import materialise, shared_folder  # noqa: F401
 
 #: The white space that separates words and is stripped from line keys.
 SPACES = " \t\n\x0b\x0c\r"
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """A new folder below the shared checkpoint folder of the session."""
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm-{uuid.uuid4().hex}"
-
-
-def materialise(df: DataFrame, *partition_by: str) -> DataFrame:
-    """Write ``df`` once to the shared folder and read it back.
-
-    Used where two consumers need the same costly rows, and to cut lineage: the
-    files survive a lost executor, and later stages reread them instead of
-    recomputing the Python or text work before them."""
-    path = shared_folder(df.sparkSession)
-    w = df.write.option("compression", "zstd")
-    (w.partitionBy(*partition_by) if partition_by else w).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def n_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -9,8 +9,9 @@ of a spanning forest per leaf.
 
 Equal vectors of a label are one class before the forest sees them.  The trees
 are fitted on at most ``max_sample`` classes; their depth follows the number of
-vectors, and below the depth that the sample resolves a node keeps its
-ancestor's sample and only takes a fresh direction.  A leaf above
+vectors, and below the depth that the sample resolves a split goes through the
+mean of the last node that it resolved.  Directions are a function of seed,
+tree and node, so only thresholds and means are sent.  A leaf above
 ``block_rows`` is compared block against block in tasks of their own.
 
 Defined cases: vectors that are null, empty, zero, or hold null or non-finite
@@ -30,37 +31,68 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from judicata.llm.common import materialise
-from judicata.llm.components import components
+from judicata.llm.wordhash import mix
+from judicata.operators.components import components
 
 THRESHOLD = 0.93
 
 
-class Tree:
-    """Splits of one tree as a heap: direction and threshold of every inner node."""
-
-    def __init__(self, sample: np.ndarray, depth: int, rng: np.random.Generator, least: int):
-        self.depth, dim = depth, sample.shape[1]
-        self.directions = np.zeros((1 << depth, dim))
-        self.thresholds = np.zeros(1 << depth)
-        held = {1: sample}
-        for node in range(1, 1 << depth):
-            x = held.pop(node)
-            g = rng.standard_normal(dim)
-            self.directions[node] = g / np.linalg.norm(g)
-            p = x @ self.directions[node]
-            self.thresholds[node] = t = float(np.median(p)) if len(p) else 0.0
-            left, right = x[p < t], x[p >= t]
-            held[2 * node] = left if len(left) >= least else x
-            held[2 * node + 1] = right if len(right) >= least else x
-
-    def leaves(self, x: np.ndarray, spill: float) -> tuple[np.ndarray, np.ndarray]:
-        """(row, leaf) pairs; a row within ``spill`` of a split takes both sides."""
-        rows, nodes = np.arange(len(x)), np.ones(len(x), dtype=np.int64)
-        for _ in range(self.depth):
-            gap = np.einsum("ij,ij->i", x[rows], self.directions[nodes]) - self.thresholds[nodes]
-            low, high = gap < spill, gap >= -spill
-            rows, nodes = np.concatenate((rows[low], rows[high])), np.concatenate((2 * nodes[low], 2 * nodes[high] + 1))
-        return rows, nodes
+#: Bytes of the sample that the trees are fitted on, at most, and rows a fitted node has at least.
+SAMPLE_BYTES = 64 << 20
+LEAST = 24
+
+
+def directions(seed: int, tree: int, nodes: np.ndarray, dim: int) -> np.ndarray:
+    """A unit vector for every node of a tree, always the same one: nothing of it is stored or sent."""
+    key = mix(nodes.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64((seed * 1000 + tree) % (1 << 63)))
+    counter = np.arange(1, 2 * dim + 1, dtype=np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)
+    u = ((mix(key[:, None] + counter[None, :]) >> np.uint64(11)).astype(np.float64) + 0.5) / (1 << 53)
+    g = np.sqrt(-2 * np.log(u[:, :dim])) * np.cos(2 * np.pi * u[:, dim:])
+    return g / np.linalg.norm(g, axis=1, keepdims=True)
+
+
+def _gaps(x: np.ndarray, nodes: np.ndarray, level: int, forest: dict, tree: int) -> np.ndarray:
+    """Signed distance of each row to the split of its node."""
+    at, back = np.unique(nodes, return_inverse=True)
+    d = directions(forest["seed"], tree, at, x.shape[1])
+    if level < forest["fitted"]:
+        offset = forest["thresholds"][tree, at]
+    else:                                   # below the fitted levels a split goes through the middle of the last fitted node
+        middle = forest["centres"][tree, (at >> (level - forest["fitted"])) - (1 << forest["fitted"])]
+        offset = np.einsum("ij,ij->i", middle, d)
+    return np.einsum("ij,ij->i", x, d[back]) - offset[back]
+
+
+def leaves(x: np.ndarray, forest: dict, tree: int, spill: float) -> tuple[np.ndarray, np.ndarray]:
+    """(row, leaf) pairs of one tree; a row within ``spill`` of a split takes both sides."""
+    rows, nodes = np.arange(len(x)), np.ones(len(x), dtype=np.int64)
+    for level in range(forest["depth"]):
+        gap = _gaps(x[rows], nodes, level, forest, tree)
+        low, high = gap < spill, gap >= -spill
+        rows, nodes = np.concatenate((rows[low], rows[high])), np.concatenate((2 * nodes[low], 2 * nodes[high] + 1))
+    return rows, nodes
+
+
+def _fit(sample: np.ndarray, n_trees: int, depth: int, seed: int) -> dict:
+    """Plain arrays of a forest: the thresholds of the levels that the sample
+    resolves, and the mean of every node below them if there are deeper levels."""
+    n, dim = sample.shape
+    fitted = min(depth, max(0, int(math.log2(max(1, n / LEAST)))))
+    forest = {"seed": seed, "depth": depth, "fitted": fitted, "thresholds": np.zeros((n_trees, 1 << fitted)),
+              "centres": np.zeros((n_trees, (1 << fitted) if depth > fitted else 0, dim))}
+    for tree in range(n_trees):
+        nodes = np.ones(n, dtype=np.int64)
+        for level in range(fitted):
+            p = _gaps(sample, nodes, level, forest, tree)           # thresholds of this level are still 0
+            order = np.lexsort((p, nodes))
+            at, first, size = np.unique(nodes[order], return_index=True, return_counts=True)
+            forest["thresholds"][tree, at] = p[order][first + size // 2]
+            nodes = 2 * nodes + (p >= forest["thresholds"][tree, nodes])
+        if depth > fitted:
+            inner = nodes - (1 << fitted)
+            np.add.at(forest["centres"][tree], inner, sample)
+            forest["centres"][tree] /= np.maximum(1, np.bincount(inner, minlength=1 << fitted))[:, None]
+    return forest
 
 
 def unit_rows(blobs: list[bytes]) -> np.ndarray:
@@ -87,15 +119,15 @@ def _valid(vectors: DataFrame, id_col: str, vec_col: str, label_col: str) -> Dat
             .mapInArrow(run, "vec long, label string, emb binary"))
 
 
-def fit_forest(classes: DataFrame, n_trees: int, depth: int, dim_bytes: int, max_sample: int, seed: int) -> list[Tree]:
-    """Trees over vectors of one length, from the classes with the smallest id hash."""
-    n = classes.where(F.octet_length("emb") == dim_bytes).count()
-    share = min(1.0, max_sample / max(1, n))
-    rows = (classes.where((F.octet_length("emb") == dim_bytes) & (F.pmod(F.xxhash64(F.lit(seed), "cid"), F.lit(1_000_000)) < int(share * 1_000_000)))
-            .select("cid", "emb").collect())         # about max_sample rows by construction
+def fit_forest(classes: DataFrame, n_trees: int, depth: int, dim_bytes: int, max_sample: int, seed: int) -> dict:
+    """A forest for vectors of one length, from the classes with the smallest id hash."""
+    same = classes.where(F.octet_length("emb") == dim_bytes)
+    share = min(1.0, min(max_sample, SAMPLE_BYTES // dim_bytes) / max(1, same.count()))
+    rows = (same.where(F.pmod(F.xxhash64(F.lit(seed), "cid"), F.lit(1_000_000)) < int(share * 1_000_000))
+            .select("cid", "emb").collect())         # about max_sample rows and SAMPLE_BYTES by construction
     rows.sort(key=lambda r: r["cid"])
     sample = unit_rows([bytes(r["emb"]) for r in rows]) if rows else np.zeros((0, dim_bytes // 8))
-    return [Tree(sample, depth, np.random.default_rng([seed, t]), least=16) for t in range(n_trees)]
+    return _fit(sample, n_trees, depth, seed)
 
 
 def compare(x: np.ndarray, y: np.ndarray, sig_x: np.ndarray, sig_y: np.ndarray, leaf: int, threshold: float,
@@ -138,9 +170,10 @@ def linked_classes(classes: DataFrame, threshold: float, n_trees: int, leaf_rows
     """(cid, root, links): what every leaf found of a class."""
     sizes = classes.groupBy(F.octet_length("emb").alias("bytes"), "label").agg(F.count("*").alias("n"))
     sizes = sizes.groupBy("bytes").agg(F.max("n").alias("n")).collect()         # a row per vector length
-    depth = {r["bytes"]: min(20, max(0, math.ceil(math.log2(max(1.0, r["n"] / leaf_rows))))) for r in sizes}
+    depth = {r["bytes"]: min(38, max(0, math.ceil(math.log2(max(1.0, r["n"] / leaf_rows))))) for r in sizes}
     forest = {b: fit_forest(classes, n_trees, d, b, max_sample, seed) for b, d in depth.items()}
-    handle = classes.sparkSession.sparkContext.broadcast(forest)     # bounded by depth 20 at most, a direction a node
+    # numbers and arrays only, as a class would be looked up in the workers; of n_trees / LEAST times SAMPLE_BYTES at most
+    handle = classes.sparkSession.sparkContext.broadcast(forest)
     spill = 0.5 * math.sqrt(2 - 2 * threshold)
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -150,22 +183,23 @@ def linked_classes(classes: DataFrame, threshold: float, n_trees: int, leaf_rows
             for size in {len(e) for e in embs}:
                 at = [i for i, e in enumerate(embs) if len(e) == size]
                 x = unit_rows([embs[i] for i in at])
-                for t, tree in enumerate(handle.value[size]):
-                    for r, node in zip(*tree.leaves(x, spill / math.sqrt(x.shape[1]))):
-                        sigs[at[r]].append((t * (1 << 21) + int(node)) * 100_000 + size % 100_000)
+                for t in range(n_trees):
+                    for r, node in zip(*leaves(x, handle.value[size], t, spill / math.sqrt(x.shape[1]))):
+                        sigs[at[r]].append(t << 40 | int(node))
             yield pa.record_batch([b.column("cid"), b.column("label"), b.column("n"), b.column("emb"),
                                    pa.array([sorted(s) for s in sigs], pa.list_(pa.int64()))],
                                   names=["cid", "label", "n", "emb", "sig"])
 
     routed = materialise(classes.select("cid", "label", "n", "emb")
                          .mapInArrow(route, "cid long, label string, n long, emb binary, sig array<long>"))
-    rows = routed.select("cid", "label", "n", "emb", "sig", F.explode("sig").alias("leaf"))
-    counts = materialise(rows.groupBy("label", "leaf").agg(F.ceil(F.count("*") / block_rows).cast("int").alias("nb")).where("nb > 1"))
-    big = rows.join(counts, ["label", "leaf"], "left").withColumn("nb", F.coalesce("nb", F.lit(1)))
+    rows = routed.select("cid", "label", "n", "emb", "sig", F.octet_length("emb").alias("size"), F.explode("sig").alias("leaf"))
+    key = ["label", "size", "leaf"]
+    counts = materialise(rows.groupBy(*key).agg(F.ceil(F.count("*") / block_rows).cast("int").alias("nb")).where("nb > 1"))
+    big = rows.join(counts, key, "left").withColumn("nb", F.coalesce("nb", F.lit(1)))
     big = big.withColumn("mine", F.pmod(F.xxhash64(F.lit("block"), "cid"), F.col("nb")).cast("int"))
     tasks = F.transform(F.sequence(F.lit(0), F.col("nb") - 1),
                         lambda k: F.struct(F.least(k, F.col("mine")).alias("bi"), F.greatest(k, F.col("mine")).alias("bj")))
-    big = big.withColumn("task", F.explode(tasks)).select("label", "leaf", "task.bi", "task.bj", "mine", "cid", "n", "emb", "sig")
+    big = big.withColumn("task", F.explode(tasks)).select(*key, "task.bi", "task.bj", "mine", "cid", "n", "emb", "sig")
 
     def leaf_task(table: pa.Table) -> pa.Table:
         leaf, bi, bj = (table.column(c)[0].as_py() for c in ("leaf", "bi", "bj"))
@@ -189,7 +223,7 @@ def linked_classes(classes: DataFrame, threshold: float, n_trees: int, leaf_rows
         hit = links > 0
         return pa.table({"cid": pa.array(cid[hit]), "root": pa.array(root[hit]), "links": pa.array(links[hit].astype(np.int64))})
 
-    return big.groupBy("label", "leaf", "bi", "bj").applyInArrow(leaf_task, "cid long, root long, links long")
+    return big.groupBy(*key, "bi", "bj").applyInArrow(leaf_task, "cid long, root long, links long")
 
 
 def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", label_col: str = "label",

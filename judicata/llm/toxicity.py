@@ -3,8 +3,9 @@
 Features of a text: densities of a fixed seed lexicon and of a lexicon learned
 from labelled texts (words and word beginnings that occur mostly in texts
 labelled toxic), the share of lexicon words near a second-person pronoun,
-capitals, punctuation and obfuscation (letters mixed with digits or symbols,
-and lexicon words after undoing it).  Language, source and ids are no inputs.
+capitals and punctuation (capitals as a share of the characters that are no
+white space, in texts of every length) and obfuscation (letters mixed with
+digits or symbols, and lexicon words after undoing it).  Language, source and ids are no inputs.
 
 The lexicon is learned in two halves: a labelled text is described by the
 lexicon of the other half, so the trees see the precision that unseen texts
@@ -15,7 +16,9 @@ with the smallest id hash; every text is scored whole.
 
 Defined cases: null and empty texts get a score as a text without words;
 labels that are null or belong to no text are ignored; several labels of one id
-count as toxic if one is; if fewer than ``MIN_CLASS`` texts of a class are
+count as toxic if one is; rows that repeat are scored one by one; columns of
+any name may be kept, those of the features included; an empty table gives no
+rows; long texts take time in proportion to their words; if fewer than ``MIN_CLASS`` texts of a class are
 labelled, the score is a fixed rising function of the seed lexicon's density.
 """
 
@@ -33,6 +36,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from judicata.llm.common import materialise
 
@@ -46,7 +50,7 @@ YOU = frozenset("you your yours yourself u ur du dich dir dein deine ihr euch si
 LEET = str.maketrans("0134578@$!|", "oieastbasil")
 PREFIXES = (4, 5, 6)
 EDGE = ".,;:!?\"'()[]{}«»¡¿-–…"
-MIN_CLASS = 5
+MIN_CLASS = 20
 NEAR = 5
 FEATURES = ("log_words", "seed", "learned", "learned_prefix", "hits", "near_you", "you", "capitals", "caps_words",
             "punctuation", "exclamations", "mixed", "undone")
@@ -76,36 +80,33 @@ def describe(text: str, lexicon: frozenset[str]) -> list[float]:
             seed += s
             prefix += p
     you = np.array([i for i, w in enumerate(low) if w in YOU] if hits else [], dtype=np.int64)
-    near = sum(bool(len(you)) and int(np.abs(you - i).min()) <= NEAR for i in hits)
-    letters = max(1, sum(map(str.isalpha, text)) if len(text) < 200 else len(text) - text.count(" "))
+    at = np.array(hits, dtype=np.int64)
+    near = int((np.searchsorted(you, at + NEAR, side="right") > np.searchsorted(you, at - NEAR)).sum())
+    visible = max(1, sum(map(len, raw)))
     upper = len(text) - len(text.translate(_NO_CAPS))
     mixed = [w for w in raw if not w.isalpha() and MIXED.search(w)]
     undone = 0
     for w in mixed:
         v = w.lower().translate(LEET).replace("*", "").strip(EDGE)
         undone += v in SEED or v in lexicon
-    return [float(np.log1p(len(raw))), seed / n, (len(hits) - seed) / n, prefix / n, float(min(len(hits), 20)), near / n,
-            len(you) / n, upper / letters, sum(1 for w in raw if len(w) > 2 and w.isupper()) / n,
-            sum(map(text.count, ".,;:!?")) / n, text.count("!") / n, len(mixed) / n, float(min(undone, 20))]
+    return [float(np.log1p(len(raw))), seed / n, (len(hits) - seed) / n, prefix / n, float(np.log1p(len(hits))), near / n,
+            len(you) / n, upper / visible, sum(1 for w in raw if len(w) > 2 and w.isupper()) / n,
+            sum(map(text.count, ".,;:!?")) / n, text.count("!") / n, len(mixed) / n, float(np.log1p(undone))]
 
 
 _NO_CAPS = {c: None for c in range(ord("A"), ord("Z") + 1)} | {ord(c): None for c in "ÀÁÂÄÇÈÉÊËÌÍÎÏÑÒÓÔÖÙÚÛÜ"}
 
 
-def features(rows: DataFrame, keep: list[str], lexicons: dict[int, frozenset[str]]) -> DataFrame:
-    """``keep`` and the features of ``_scored_text``; column ``half`` picks the lexicon (-1: all)."""
-    n_keep = len(keep)
-
+def features(rows: DataFrame, lexicons: dict[int, frozenset[str]]) -> DataFrame:
+    """``_keep`` and the features of ``_scored_text``; column ``_half`` picks the lexicon (-1: all)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            half = b.column(n_keep + 1).to_pylist()
-            x = np.array([describe(t.as_py() or "", lexicons[h]) for t, h in zip(b.column(n_keep), half)]).reshape(-1, len(FEATURES))
-            yield pa.record_batch([*[b.column(i) for i in range(n_keep)], *[pa.array(c) for c in np.ascontiguousarray(x.T)]],
-                                  names=[*keep, *FEATURES])
+            x = np.array([describe(t.as_py() or "", lexicons[h]) for t, h in zip(b.column(1), b.column(2).to_pylist())])
+            yield pa.record_batch([b.column(0), *[pa.array(c) for c in np.ascontiguousarray(x.reshape(-1, len(FEATURES)).T)]],
+                                  names=["_keep", *FEATURES])
 
-    schema = rows.select(*keep).schema
-    out = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in schema), *(f"{f} double" for f in FEATURES)])
-    return rows.select(*keep, "_scored_text", "half").mapInArrow(run, out)
+    out = T.StructType([rows.schema["_keep"], *[T.StructField(f, T.DoubleType()) for f in FEATURES]])
+    return rows.select("_keep", "_scored_text", "_half").mapInArrow(run, out)
 
 
 def learn_lexicon(sample: DataFrame, min_docs: int, min_ratio: float, most: int) -> dict[int, frozenset[str]]:
@@ -150,15 +151,18 @@ class ToxicityModel:
 
     def score(self, docs: DataFrame, keep: list[str], text_col: str = "text", threshold: float = 0.3) -> DataFrame:
         """``keep`` plus score and predicted for every row."""
-        rows = docs.select(*keep, F.col(text_col).alias("_scored_text"), F.lit(-1).alias("half"))
-        df = features(rows, keep, self.lexicons)
+        # the caller's columns travel in a struct, so that no name of theirs can clash with one of a feature
+        rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("_keep"), F.col(text_col).alias("_scored_text"),
+                           F.lit(-1).alias("_half"))
+        df = features(rows, self.lexicons)
         if self.trees is None:
             s = 1 - F.exp(-20.0 * F.col("seed"))
         else:
             df = self.isotonic.transform(self._raw(df))
             s = F.col("calibrated")
         s = F.greatest(F.lit(0.0), F.least(F.lit(1.0), s))
-        return df.select(*keep, s.alias("score")).withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+        return (df.select("_keep", s.alias("score"))
+                .select(*[F.col(f"_keep.`{c}`").alias(c) for c in keep], "score", (F.col("score") >= threshold).cast("int").alias("predicted")))
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_sample: int = 20_000,
@@ -179,12 +183,14 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
                       F.pmod(F.shiftright("u", 24), F.lit(4)).alias("quarter")))
     sample = materialise(sample)
     sizes = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    if min(sizes.get(0, 0), sizes.get(1, 0)) < 4 * MIN_CLASS:
+    if min(sizes.get(0, 0), sizes.get(1, 0)) < MIN_CLASS:
         return ToxicityModel({-1: frozenset()}, None, None)
     lexicons = learn_lexicon(sample, min_docs, min_ratio, max_terms)
     crossed = {0: lexicons[1], 1: lexicons[0]}
     # a bounded table, ordered and in one file, so that a rerun fits the same trees
-    x = materialise(features(sample.withColumnRenamed("text", "_scored_text"), [id_col, "toxic", "quarter"], crossed).orderBy(id_col).coalesce(1))
+    rows = sample.select(F.struct(F.col(id_col).alias("id"), "toxic", "quarter").alias("_keep"), F.col("text").alias("_scored_text"),
+                         F.col("half").alias("_half"))
+    x = materialise(features(rows, crossed).orderBy("_keep.id").coalesce(1).select("_keep.toxic", "_keep.quarter", *FEATURES))
     model = ToxicityModel(lexicons, None, None)
     train = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(x.where("quarter <> 0"))
     model.trees = GBTClassifier(labelCol="toxic", featuresCol="features", maxIter=rounds, maxDepth=depth, stepSize=0.3,

@@ -2,14 +2,15 @@
 
 import hashlib
 import random
+import time
 import zlib
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from judicata.llm import (chat, components, embeddings, line_dedup, mixing, ngram_join, packing, repetition, sharding,
-                          substring_dedup)
+from judicata.llm import chat, embeddings, line_dedup, mixing, ngram_join, packing, repetition, sharding, substring_dedup, toxicity
+from judicata.operators import components
 
 
 def texts(seed=1, n=60):
@@ -303,3 +304,45 @@ def test_packing(spark, docs):
         assert at <= 64
     assert packing.default_encoder()("a <|endoftext|> b").tolist() == tok.encode("a <|endoftext|> b", add_special_tokens=False).ids
     assert packing.pack(empty(spark)).count() == 0
+
+
+def test_toxicity_features_have_one_formula_and_linear_time():
+    text = "You are NOT a moron, you IDIOT! "
+    short, long = (toxicity.describe(text * k, frozenset()) for k in (5, 9))       # on both sides of 200 characters
+    for name in ("seed", "near_you", "you", "capitals", "caps_words", "punctuation"):
+        k = toxicity.FEATURES.index(name)
+        assert short[k] == pytest.approx(long[k])
+    low = "a b idiot c you d e f g moron h i j k l".split()
+    hits, you = [2, 9], [4]
+    got = toxicity.describe(" ".join(low), frozenset())[toxicity.FEATURES.index("near_you")]
+    assert got == sum(any(abs(h - y) <= toxicity.NEAR for y in you) for h in hits) / len(low)
+    began = time.time()
+    toxicity.describe("you idiot " * 500_000, frozenset())
+    assert time.time() - began < 30
+
+
+def test_toxicity_keeps_columns_of_any_name(spark):
+    docs = spark.createDataFrame([(1, "you idiot", 7, "x"), (2, None, 8, "y")], "doc_id long, text string, seed long, `a.b` string")
+    labels = spark.createDataFrame([], "doc_id long, toxic int")
+    out = toxicity.fit(docs, labels).score(docs, ["doc_id", "seed", "a.b"])
+    assert out.columns == ["doc_id", "seed", "a.b", "score", "predicted"]
+    assert sorted((r[0], r[1], r[2]) for r in out.collect()) == [(1, 7, "x"), (2, 8, "y")]
+
+
+def test_forest_below_its_fitted_levels():
+    r = np.random.default_rng(1)
+    x = r.standard_normal((3000, 8))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    forest = embeddings._fit(x[:200], 2, 9, 5)
+    assert forest["fitted"] == 3 and forest["centres"].shape == (2, 8, 8)
+    rows, nodes = embeddings.leaves(x, forest, 1, 0.0)
+    assert len(rows) >= len(x) and np.bincount(nodes).max() < 150 and (nodes >= 512).all()
+
+
+def test_pipeline_keeps_different_texts_of_one_id(spark, monkeypatch):
+    import corpus_pipeline
+    a, b = " ".join("a%d" % i for i in range(40)), " ".join("b%d" % i for i in range(40))
+    rows = [(1, a, "en", "s", 5), (1, b, "en", "s", 5), (1, a, "de", "s", 5), (2, a + " x", "en", "t", 6), (None, a, "en", "s", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = corpus_pipeline.drop_near_duplicates(spark, docs, "").collect()
+    assert sorted((r.doc_id or 0, r.text, r.lang) for r in got) == sorted([(1, a, "de"), (1, b, "en"), (0, a, "en")])
