@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from judicata.llm import chat, embeddings, line_dedup, mixing, ngram_join, packing, repetition, sharding, substring_dedup, toxicity
+from judicata.llm import (chat, embeddings, hard_negatives, katz, line_dedup, mixing, ngram_join, packing, repetition,
+                          sharding, structure_repair, substring_dedup, toxicity)
 from judicata.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -179,3 +180,150 @@ def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir, "doc_id", "text"))
+
+
+def _state(of: str, cost: str, edit: str, turn: str | None = None) -> str:
+    """SQL of a state of the repair's recursion: cost, edits and turns so far."""
+    turns = f"list_append({of}.t, {turn})" if turn else f"{of}.t"
+    return f"{{'c': {of}.c + {cost}, 'a': {of}.a || '{edit}', 't': {turns}}}"
+
+
+def _least(*states: str) -> str:
+    return f"list_sort([{', '.join(states)}])[1]"
+
+
+def _closing(states: str) -> str:
+    """Insertions before the next turn."""
+    user = _least("u", *[_state(x, "3", "I", "'user:'") for x in ("z", "s", "a")])
+    return (f"SELECT conv_id, i, z, s, u, {_least('a', _state('u', '3', 'I', chr(39) + 'assistant:' + chr(39)))} AS a "
+            f"FROM (SELECT conv_id, i, z, s, {user} AS u, a FROM ({states}))")
+
+
+_FAR = "{'c': 1000000, 'a': '', 't': []::VARCHAR[]}"
+_KEEP, _REROLE = "role || ':' || text", "':' || text"
+_STEP = ", ".join([
+    _state("z", "4", "D") + " AS z",
+    _least(_state("s", "4", "D"), f"CASE WHEN NOT gone AND ini = 's' THEN {_state('z', 'more', 'K', _KEEP)} ELSE {_FAR} END") + " AS s",
+    _least(_state("u", "4", "D"), *[f"CASE WHEN gone THEN {_FAR} WHEN ini = 'u' THEN {_state(x, 'more', 'K', _KEEP)} "
+                                    f"ELSE {_state(x, '3 + more', 'R', chr(39) + 'user' + chr(39) + ' || ' + _REROLE)} END"
+                                    for x in ("z", "s", "a")]) + " AS u",
+    _least(_state("a", "4", "D"), f"CASE WHEN gone THEN {_FAR} WHEN ini = 'a' THEN {_state('u', 'more', 'K', _KEEP)} "
+                                  f"ELSE {_state('u', '3 + more', 'R', chr(39) + 'assistant' + chr(39) + ' || ' + _REROLE)} END") + " AS a"])
+
+
+@query(rf"""
+WITH RECURSIVE tab AS (SELECT list_transform(range(256), lambda c: list_reduce([c, 0, 0, 0, 0, 0, 0, 0, 0],
+           lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))) AS tb),
+h AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+      xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(coalesce(conv_id::VARCHAR, ' ') || ':' ||
+          coalesce(turn::VARCHAR, ' '), ''), lambda ch: ascii(ch)::BIGINT)),
+          lambda x, y: xor(x >> 8, tb[(xor(x, y) & 255) + 1])), 4294967295) % 20 AS act FROM conversations, tab),
+d AS (SELECT conv_id, turn, CASE act WHEN 4 THEN 'user' ELSE role END AS role,
+      CASE act WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+      unnest(CASE act WHEN 0 THEN []::INT[] WHEN 3 THEN [1, 2] ELSE [1] END) AS copy FROM h),
+n AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i FROM d),
+f AS (SELECT *, coalesce(nullif(left(role, 1), ''), ' ') AS ini, NOT regexp_matches(text, '[^ 	-
+]') AS blank,
+      row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again,
+      NOT regexp_matches(text, '[.!?][ 	-
+]*$') AS cut FROM n),
+r AS (SELECT *, blank OR again AS gone, CASE WHEN cut THEN 3 ELSE 0 END AS more,
+      coalesce(lag(ini) OVER (PARTITION BY conv_id ORDER BY i) || ini NOT IN ('su', 'ua', 'au'), false) AS odd FROM f),
+m AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps, sum(blank::INT)::BIGINT AS blank,
+      sum((again AND NOT blank)::INT)::BIGINT AS duplicate, sum((cut AND NOT gone)::INT)::BIGINT AS truncated,
+      sum(odd::INT)::BIGINT AS illegal, count(*) AS n FROM r GROUP BY conv_id),
+dp AS (
+  {_closing(f"SELECT DISTINCT conv_id, 0::BIGINT AS i, {{'c': 0, 'a': '', 't': []::VARCHAR[]}} AS z, {_FAR} AS s, {_FAR} AS u, {_FAR} AS a FROM conversations")}
+  UNION ALL
+  {_closing(f"SELECT conv_id, i, {_STEP} FROM (SELECT dp.conv_id, r.i, z, s, u, a, role, text, ini, gone, more FROM dp JOIN r ON dp.conv_id IS NOT DISTINCT FROM r.conv_id AND r.i = dp.i + 1)")}
+),
+e AS (SELECT conv_id, {_least('z', 'a')} AS best FROM dp QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY i DESC) = 1)
+SELECT e.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, best.c::BIGINT AS cost, best.a AS audit,
+       sha256(array_to_string(best.t, chr(10))) AS repaired_sha256
+FROM e LEFT JOIN m ON e.conv_id IS NOT DISTINCT FROM m.conv_id
+""")
+def op11_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spark.read.parquet(f"{sf_dir.rstrip('/')}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    return structure_repair.summary(structure_repair.repair(damaged(rows))).withColumnRenamed("conv", "conv_id")
+
+
+def damaged(rows: DataFrame) -> DataFrame:
+    """The turns that op11 repairs: (conv, turn, role, text, n), damaged by the checksum of conversation and turn."""
+    blank = F.lit(" ")
+    key = F.concat(F.coalesce(F.col("conv_id").cast("string"), blank), F.lit(":"), F.coalesce(F.col("turn").cast("string"), blank))
+    act = F.crc32(key.cast("binary")) % 20
+    role, text = F.coalesce("role", blank), F.coalesce("text", blank)
+    empty = F.lit("")
+    return rows.select(
+        F.col("conv_id").alias("conv"), F.when(act != 0, F.col("turn")).alias("turn"),
+        F.when(act == 0, empty).when(act == 4, F.lit("user")).otherwise(role).alias("role"),
+        F.when(act.isin(0, 1), empty).when(act == 2, F.translate(text, ".!?", "")).otherwise(text).alias("text"),
+        F.when(act == 0, 0).when(act == 3, 2).otherwise(1).alias("n"))
+
+
+def _discounts(counts: str) -> str:
+    """SQL of the Good-Turing ratios from a list of counts of counts: of the most counts for which they are usable."""
+    ratios = "list_transform(range(1, m + 1), lambda r: ((r + 1) * n[r + 1] / (r * n[r]) - (m + 1) * n[m + 1] / n[1]) / (1 - (m + 1) * n[m + 1] / n[1]))"
+    return (f"(SELECT arg_max(ds, m) FROM (SELECT m, {ratios} AS ds FROM (SELECT unnest(range(1, 6)) AS m, n FROM ({counts})) "
+            "WHERE list_min(n[1:m + 1]) > 0 AND (m + 1) * n[m + 1] <> n[1]) WHERE list_min(ds) > 0 AND list_max(ds) < 1)")
+
+
+def _counts(table: str) -> str:
+    return f"SELECT [{', '.join(f'count(*) FILTER (c = {r})::DOUBLE' for r in range(1, 7))}] AS n FROM {table}"
+
+
+_D = "CASE WHEN {0} IS NULL THEN (c - 0.5) / c WHEN c <= len({0}) THEN {0}[c] ELSE 1 END"
+
+
+@query(rf"""
+WITH tab AS (SELECT list_transform(range(256), lambda c: list_reduce([c, 0, 0, 0, 0, 0, 0, 0, 0],
+           lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))) AS tb),
+docs AS (SELECT row_number() OVER () AS k, doc_id, coalesce(xor(list_reduce(list_prepend(4294967295::BIGINT,
+             list_transform(string_split(doc_id::VARCHAR, ''), lambda ch: ascii(ch)::BIGINT)),
+             lambda x, y: xor(x >> 8, tb[(xor(x, y) & 255) + 1])), 4294967295) % 7 = 2, false) AS held_out,
+         list_append(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                        '[^\x20\x09-\x0D]+'), ' ') AS ws FROM documents, tab),
+t AS (SELECT k, held_out, unnest(ws) AS w, unnest(list_prepend(' ', ws[:-2])) AS h FROM docs),
+u AS (SELECT w, count(*) AS c FROM t WHERE NOT held_out GROUP BY w),
+b AS (SELECT h, w, count(*) AS c FROM t WHERE NOT held_out GROUP BY h, w),
+ds AS (SELECT {_discounts(_counts("u"))} AS d1, {_discounts(_counts("b"))} AS d2),
+ud AS (SELECT w, c, {_D.format("d1")} AS d FROM u, ds),
+un AS (SELECT coalesce(sum(c), 0) AS n, count(*) AS v, coalesce(sum((1 - d) * c), 0) AS l FROM ud),
+up AS (SELECT w, c, d * c / (n + (l = 0)::INT) AS p FROM ud, un),
+bd AS (SELECT h, w, c, {_D.format("d2")} AS d FROM b, ds),
+bh AS (SELECT h, sum(bd.c) AS n, sum((1 - d) * bd.c) AS l, sum(p) AS s FROM bd JOIN up USING (w) GROUP BY h),
+x AS (SELECT k, u.c AS c, un.n AS n, un.v AS v,
+      log10(CASE WHEN bd.c > 0 THEN bd.d * bd.c / (bh.n + (bh.l = 0)::INT)
+                 ELSE coalesce((bh.l + (bh.l = 0)::INT) / (bh.n + (bh.l = 0)::INT) / (1 - bh.s), 1)
+                      * coalesce(up.p, (un.l + (un.l = 0)::INT) / (un.n + (un.l = 0)::INT)) END) AS lp
+      FROM t CROSS JOIN un LEFT JOIN u ON t.w = u.w LEFT JOIN up ON t.w = up.w
+      LEFT JOIN bd ON t.h = bd.h AND t.w = bd.w LEFT JOIN bh ON t.h = bh.h),
+y AS (SELECT k, count(*) AS n_tokens, count(c) AS n_known, any_value(n)::BIGINT AS train_tokens,
+      sum(log10((coalesce(c, 0) + 1) / (n + v + 1))) AS base_score, sum(lp) AS score FROM x GROUP BY k)
+SELECT doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score FROM y JOIN docs USING (k)
+""")
+def op12_katz_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2, F.lit(False))
+    model = katz.fit(documents(spark, sf_dir, "doc_id", "text"), held)
+    return model.score().select(F.col("id").alias("doc_id"), "held_out", "n_tokens", "n_known",
+                                F.lit(model.levels[0].total).cast("long").alias("train_tokens"), "base_score", "score")
+
+
+@query(r"""
+WITH v AS (SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS lab,
+           list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e
+           FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.id AS a, b.id AS b, a.lab = b.lab AS same, list_inner_product(a.e, b.e)::BIGINT AS score
+      FROM v a JOIN v b ON a.id <> b.id WHERE a.id % 100 = 0),
+p AS (SELECT * FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, b) <= 5)
+SELECT p.a AS anchor_id, p.b AS positive_id, row_number() OVER (PARTITION BY p.a, p.b ORDER BY n.score DESC, n.b)::INT AS rank,
+       n.b AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM p JOIN s n ON p.a = n.a AND NOT n.same AND 80 * p.score <= 100 * n.score AND 100 * n.score <= 100 * p.score
+QUALIFY row_number() OVER (PARTITION BY p.a, p.b ORDER BY n.score DESC, n.b) <= 5
+""")
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir.rstrip('/')}/embeddings.parquet")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(vectors.select("vec_id", label.alias("label"), "embedding"), F.col("vec_id") % 100 == 0)
