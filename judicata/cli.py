@@ -25,8 +25,9 @@ from judicata.catalog import run_jobs
 from judicata.operators.clean import YEAR_RANGES
 from judicata.session import get_session
 from judicata.sinks.manifest import manifest_exists, replace_manifest, upsert
+from judicata.sinks.writers import contract_document, presented, write_document
 from judicata.sources.csv import read_csv_smart
-from judicata.sources.sheet import find_header_row, sheet_to_long
+from judicata.sources.sheet import sheets_to_long
 from judicata.sources.text import read_latin1_lines, read_zip_lines
 from judicata.sources.xlsx import read_xlsx_rows
 
@@ -47,12 +48,15 @@ def xlsx_frame(spark: SparkSession, path: str) -> DataFrame:
     return body.select(*[F.element_at("cells", i + 1).alias((h or f"_c{i}").strip()) for i, h in enumerate(header)])
 
 
-def _wide_sheet(spark: SparkSession, path: str) -> DataFrame:
-    """First sheet of one workbook as (distrito, anio, valor); no header row is an error, never no rows."""
-    rows = read_xlsx_rows(spark, path, first_sheet=True)
-    if spark.range(1).select(find_header_row(rows)).first()[0] is None:
-        raise ValueError(f"{path}: no header row with 'Distrito Fiscal'")
-    return sheet_to_long(rows)
+def wide_sheets(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """First sheets of all workbooks as (distrito, anio, valor) in one plan; a sheet without a header row is an error, never no rows."""
+    rows = reduce(DataFrame.unionByName, [read_xlsx_rows(spark, p, first_sheet=True).withColumn("path", F.lit(p)).withColumn("sheet", F.lit(0))
+                                          for p in paths])
+    long, errors = sheets_to_long(rows)
+    bad = errors.limit(20).collect()
+    if bad:
+        raise ValueError("; ".join(f"{r.path}: {r.error}" for r in bad))
+    return long.drop("path", "sheet")
 
 
 def _year_from_path(col):
@@ -80,7 +84,7 @@ def build(spark: SparkSession, job: str, paths: list[str]) -> dict[str, DataFram
     if job == "constitutional":                  # paths: filed.xlsx, published.xlsx
         return J.constitutional_court(xlsx_frame(spark, paths[0]), xlsx_frame(spark, paths[1]))
     if job == "trafficking":
-        return J.trafficking_sheet(reduce(DataFrame.unionByName, [_wide_sheet(spark, p) for p in paths]))
+        return J.trafficking_sheet(wide_sheets(spark, paths))
     if job in ("violence", "femicide", "attempts"):
         return J.violence_cases(_csv(spark, paths), categories={"por_tipo": J.VIOLENCE_TYPES,
                                                                 "por_vinculo": J.RELATIONS,
@@ -93,7 +97,7 @@ def build(spark: SparkSession, job: str, paths: list[str]) -> dict[str, DataFram
             z = read_zip_lines(spark, zips, include=r"CAP.?200", exclude=r"muestra|diccionario|dicc")
             parts.append(z.where(F.col("line_no") > 0).select(_year_from_path(F.col("zip_path")).alias("anio"), "line"))
         if texts:
-            t = read_latin1_lines(spark, texts)
+            t = read_latin1_lines(spark, texts, skip_header=True)
             parts.append(t.select(_year_from_path(F.col("_source_file")).alias("anio"), "line"))
         lines = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
         return J.police_lines(lines)
@@ -104,23 +108,18 @@ def build(spark: SparkSession, job: str, paths: list[str]) -> dict[str, DataFram
 
 
 def write_outputs(name: str, outputs: dict[str, DataFrame], out: str) -> DataFrame:
-    """Parquet per part, plus the contract JSON document; returns the tidy (or main) frame."""
+    """Parquet per part, plus the contract JSON document in part files; returns the tidy (or main) frame."""
     for part, df in outputs.items():
         w = df.write.mode("overwrite")
         if part == "tidy" and "anio" in df.columns:
             w = w.option("partitionOverwriteMode", "dynamic").partitionBy("anio")
         w.parquet(os.path.join(out, name, part))
     spark = next(iter(outputs.values())).sparkSession
-    fields = []
-    for part, df in outputs.items():
-        if part == "tidy":
-            continue
-        small = spark.read.parquet(os.path.join(out, name, part))       # every row is part of the contract
-        arr = small.select(F.collect_list(F.struct(*small.columns))).scalar()      # one scalar subquery per array
-        fields.append(arr.alias(part) if part != "meta"
-                      else F.element_at(arr, 1).alias("_meta"))
-    spark.range(1).select(F.to_json(F.struct(*fields)).alias("value")).coalesce(1).write.mode("overwrite").text(
-        os.path.join(out, f"{name}.json"))
+    written = {part: spark.read.parquet(os.path.join(out, name, part)) for part in outputs if part != "tidy"}
+    meta = written.pop("meta", None)
+    doc = contract_document(meta if meta is not None else {"id": name}, {part: presented(df) for part, df in written.items()} or
+                            {"filas": spark.createDataFrame([], "id string")})
+    write_document(doc, os.path.join(out, f"{name}.json"))
     return spark.read.parquet(os.path.join(out, name, "tidy" if "tidy" in outputs else next(iter(outputs))))
 
 

@@ -75,5 +75,5 @@ def newest_first(arr) -> Column:
 
 
 def current_of(arr) -> Column:
-    """Current element of a history = its last element (WIN-4)."""
-    return F.element_at(_c(arr), -1)
+    """Current element of a history = its last element (WIN-4); null where there is none."""
+    return F.try_element_at(_c(arr), F.lit(-1))

@@ -283,7 +283,8 @@ def violence_cases(raw: DataFrame, total_needles=(("CASOS ATENDIDOS", "TOTAL"),
                        "total_n": F.coalesce(tolerant_number_commas(F.col(f"`{tcol}`")), F.lit(0.0))})
     bad = C.bad_row_mask(["total_n"], "anio", *years)
     valid = x.where(~bad)
-    fcols = [c for c in (C.find_col(d.columns, "FECHA", "REPORTE"), C.find_col(d.columns, "FECHA", "ENVIO")) if c]
+    fcols = [c for c in (C.find_col(d.columns, "FECHA", "REPORTE"), C.find_col(d.columns, "FECHA", "ENVIO"),
+                           C.find_col(d.columns, "FECHA")) if c][:1]
     fcorte = (valid.select(F.date_format(F.max(first_parsing_column(valid, fcols)), "yyyy-MM-dd")).scalar()
               if fcols else None)
     out = {"por_anio": valid.groupBy("anio").agg(F.sum("total_n").cast("bigint").alias("cantidad")),
@@ -351,15 +352,16 @@ def crimes_by_department(raw: DataFrame, official: DataFrame, years=C.YEAR_RANGE
 
 
 # ------------------------------------------------------------------ JOB-14 features
-def delay_model_features(micro: DataFrame) -> DataFrame:
+def delay_model_features(micro: DataFrame, key: tuple[str, ...] = ()) -> DataFrame:
     """ML-1 features from case microdata: coalesced subject, province, entry
-    type and court type (first-hit classifier), month of AAAAMM; target 1..998."""
+    type and court type (first-hit classifier), month of AAAAMM; target 1..998.
+    ``key`` columns are kept, for the split."""
     from judicata.functions.classify import court_type, first_non_null_upper
     from judicata.functions.dates import month_of_yyyymm
     d = C.drop_private(micro)
     col = lambda *names: [F.col(n) for n in names if n in d.columns] or [F.lit(None).cast("string")]
     x = d.select(
-        F.coalesce(*[tolerant_number(c) for c in col("dias", "DIAS")]).alias("dias"),
+        *key, F.coalesce(*[tolerant_number(c) for c in col("dias", "DIAS")]).alias("dias"),
         first_non_null_upper(*col("MATERIA", "GENERICO", "materia")).alias("materia_f"),
         first_non_null_upper(*col("PROVINCIA"), width=None).alias("provincia_f"),
         first_non_null_upper(*col("TIPO_INGRESO"), width=None).alias("tipo_ingreso_f"),

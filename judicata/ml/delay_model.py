@@ -10,6 +10,8 @@ computed on the hold-out rows only.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml import Pipeline
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
@@ -17,6 +19,9 @@ from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from judicata.operators.ranks import exact_quantiles
+from judicata.session import materialise
+
 OTHER = "OTROS"
 # The source model's hyper-parameters, and its automatic
 # early stopping (on above 10,000 training rows, 10 % held out for validation).
@@ -25,9 +30,14 @@ VALIDATION_PCT = 10
 VALIDATION_TOL = 1e-7
 
 
+def key_percent(key_cols, seed: int = 42):
+    """0..99 from the first 8 hex digits of an MD5 over seed and key, which other engines can compute too."""
+    key = F.concat_ws("|", F.lit(str(seed)), *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in key_cols])
+    return F.conv(F.substring(F.md5(key.cast("binary")), 1, 8), 16, 10).cast("long") % 100
+
+
 def split(df: DataFrame, key_cols, test_pct: int = 20, seed: int = 42):
-    h = F.pmod(F.xxhash64(F.lit(seed), *[F.col(c) for c in key_cols]), F.lit(100))
-    x = df.withColumn("_h", h)
+    x = df.withColumn("_h", key_percent(key_cols, seed))
     return x.where(F.col("_h") >= test_pct).drop("_h"), x.where(F.col("_h") < test_pct).drop("_h")
 
 
@@ -84,31 +94,42 @@ def fit_and_score(df: DataFrame, key_cols, cat_cols, num_cols, target: str, earl
     model = build_pipeline(cat_cols, num_cols, target, validation_col=vcol, **gbt).fit(train)
     if vcol:
         train = train.drop(vcol)      # n_train and the baseline median cover the whole training split
-    pred = model.transform(test)
+    # the medians read the predictions more than once
+    pred = materialise(model.transform(test).select(*test.columns, "prediction"))
     return model, pred, metrics(train, pred, target)
 
 
-# Continuous quantiles (errors, predictions) use a bounded-memory sketch with this
-# accuracy (rank error about 1/ACCURACY); integer targets use exact histograms.
-ACCURACY = 100_000
+def exact_median(df: DataFrame, value) -> float | None:
+    """Exact median of a column or expression."""
+    row = exact_quantiles(df, [], value, (0.5,), ("median",)).first()
+    return row.median if row else None
 
 
-def exact_median_int(df: DataFrame, col: str):
-    """Exact median of an integer-valued column as a scalar subquery, through a
-    (value -> count) histogram, so memory is bounded by distinct values."""
-    h = df.groupBy(F.col(col).cast("long").alias("_v")).agg(F.count(F.lit(1)).alias("_w"))
-    return h.select(F.percentile("_v", F.lit(0.5), F.col("_w")).cast("double")).scalar()
+def split_report(train: DataFrame, test: DataFrame, cat_cols, target: str) -> DataFrame:
+    """(medida, columna, nivel, valor): sizes of the split, the training median, the error
+    of predicting it for every held-out row, and the levels that each category keeps (ML-2, ML-3, ML-5)."""
+    median = exact_median(train, target)
+    levels = cap_categories(train, cat_cols)
+    rows = [train.agg(F.lit("n_train").alias("medida"), F.count(F.lit(1)).cast("double").alias("valor")),
+            test.agg(F.lit("n_test").alias("medida"), F.count(F.lit(1)).cast("double").alias("valor")),
+            test.agg(F.lit("baseline_mae").alias("medida"), F.avg(F.abs(F.col(target) - F.lit(median).cast("double"))).alias("valor")),
+            test.agg(F.lit("mediana").alias("medida"), F.lit(median).cast("double").alias("valor"))]
+    rows = [r.select("medida", F.lit(None).cast("string").alias("columna"), F.lit(None).cast("string").alias("nivel"), "valor") for r in rows]
+    rows += [kept.select(F.lit("nivel").alias("medida"), F.lit(c).alias("columna"), F.col(c).alias("nivel"), F.lit(None).cast("double").alias("valor"))
+             for c, kept in levels.items()]
+    return reduce(DataFrame.unionByName, rows)
 
 
 def metrics(train: DataFrame, pred: DataFrame, target: str) -> DataFrame:
     """MAE, median absolute error, R², MAE of the training median, lift (ML-5, IND-17)."""
     y, p = F.col(target).cast("double"), F.col("prediction")
-    med_train = exact_median_int(train, target)
+    med_train = F.lit(exact_median(train, target)).cast("double")
+    med_error = F.lit(exact_median(pred, F.abs(y - p))).cast("double")
     ev = RegressionEvaluator(labelCol=target, predictionCol="prediction")
     mae = ev.evaluate(pred, {ev.metricName: "mae"})
     r2 = ev.evaluate(pred, {ev.metricName: "r2"})
     m = pred.agg(F.count(F.lit(1)).alias("n_test"),
-                 F.percentile_approx(F.abs(y - p), 0.5, ACCURACY).cast("double").alias("medae"),
+                 F.max(med_error).alias("medae"),
                  F.avg(F.abs(y - med_train)).alias("baseline_mae"))
     n_train = train.select(F.count(F.lit(1))).scalar()
     return (m.withColumn("n_train", n_train).withColumn("mae", F.lit(mae)).withColumn("r2", F.lit(r2))
@@ -118,11 +139,8 @@ def metrics(train: DataFrame, pred: DataFrame, target: str) -> DataFrame:
 
 def median_by_group(pred: DataFrame, group: str, target: str) -> DataFrame:
     """Real vs predicted median per process type over hold-out rows (ML-6, TRAP-8)."""
-    real = (pred.groupBy(group, F.col(target).cast("long").alias("_v")).agg(F.count(F.lit(1)).alias("_w"))
-            .groupBy(group).agg(F.sum("_w").alias("n"),
-                                F.percentile("_v", F.lit(0.5), F.col("_w")).cast("double").alias("real_mediana")))
-    predm = pred.groupBy(group).agg(F.percentile_approx("prediction", 0.5, ACCURACY).cast("double").alias("pred_mediana"))
-    return real.join(predm, group)
+    real = exact_quantiles(pred, group, target, (0.5,), ("real_mediana",))
+    return real.join(exact_quantiles(pred, group, "prediction", (0.5,), ("pred_mediana",)).drop("n"), group)
 
 
 def score_with_fallback(model, rows: DataFrame, fallback: DataFrame, group: str) -> DataFrame:

@@ -49,3 +49,36 @@ def resolve_identities(df: DataFrame, id_col: str, name_col: str, max_dist: int
     person = owner.groupBy("root").agg(F.min("least").alias("cluster_id"))
     named = owner.join(person, "root").select("clave", "cluster_id")
     return x.join(named, "clave", "left").select("id", F.coalesce("cluster_id", "id").alias("cluster_id"))
+
+
+def match_names(left: DataFrame, right: DataFrame, code: str, name: str, max_dist: int = 2) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """One-to-one crosswalk of two codings by name (JN-15): (pairs, only left, only right).
+
+    ``pairs`` are (left_code, right_code, distance).  Candidates are names within ``max_dist``
+    edits, found by their shared deletion strings.  In every round each code is joined to its nearest
+    candidate (ties to the smaller codes), and codes that choose each other are matched and
+    leave; the rounds end when no candidates are left, as each matches at least the nearest pair of all.
+    A code without a partner, e.g. one side of a split territory, is left over."""
+    def keyed(df: DataFrame, side: str) -> DataFrame:
+        return df.select(F.col(code).alias(side), letters_key(F.col(name)).alias(f"{side}_key")).where(f"{side}_key IS NOT NULL")
+
+    a, b = keyed(left, "left_code"), keyed(right, "right_code")
+    va = a.select("left_code", "left_code_key", F.explode(_deletions(F.col("left_code_key"), max_dist)).alias("v"))
+    vb = b.select("right_code", "right_code_key", F.explode(_deletions(F.col("right_code_key"), max_dist)).alias("v"))
+    distance = F.levenshtein("left_code_key", "right_code_key")
+    open_pairs = materialise(va.join(vb, "v").select("left_code", "right_code", distance.alias("distance")).distinct()
+                             .where(F.col("distance") <= max_dist))
+    pairs = None
+    while not open_pairs.isEmpty():
+        best = F.min(F.struct("distance", "left_code", "right_code"))
+        near_l = open_pairs.groupBy("left_code").agg(best.alias("b")).select("b.*")
+        near_r = open_pairs.groupBy("right_code").agg(best.alias("b")).select("b.*")
+        made = materialise(near_l.join(near_r, ["left_code", "right_code", "distance"]).select("left_code", "right_code", "distance"))
+        pairs = made if pairs is None else pairs.unionByName(made)
+        open_pairs = materialise(open_pairs.join(made.select("left_code"), "left_code", "left_anti")
+                                 .join(made.select("right_code"), "right_code", "left_anti"))
+    if pairs is None:
+        pairs = open_pairs
+    only_left = left.join(pairs.select(F.col("left_code").alias(code)), code, "left_anti").select(code, name)
+    only_right = right.join(pairs.select(F.col("right_code").alias(code)), code, "left_anti").select(code, name)
+    return pairs.select("left_code", "right_code", "distance"), only_left, only_right

@@ -156,6 +156,16 @@ def interval_audit(intervals: DataFrame, key, start: str, end: str, tie: str, bu
         F.count_if(F.col("_next").isNotNull() & (F.col(end) < F.col("_next"))).alias("n_gaps"))
 
 
+def current_mismatch(intervals: DataFrame, dimension: DataFrame, key: str, start: str, end: str, value: str, current: str) -> DataFrame:
+    """Consistency of histories with the current assignment of the dimension (JN-11): (key, value
+    of the latest open interval, current value, agrees) for every key of either; where there is no
+    open interval, or none in the dimension, the value is null."""
+    opened = (intervals.where(F.col(end).isNull()).groupBy(key)
+              .agg(F.max(F.struct(F.col(start).alias("s"), F.col(value).alias("v"))).alias("_o")).select(key, F.col("_o.v").alias("vigente")))
+    return (opened.join(dimension.select(key, F.col(current).alias("actual")), key, "full")
+            .withColumn("coincide", F.col("vigente").eqNullSafe(F.col("actual"))))
+
+
 def dictionary_lookup(df: DataFrame, col: str, dictionary: DataFrame, key: str, value: str, out: str,
                       default: str | None = None) -> DataFrame:
     """Standardise a coded column through a dictionary (crime type -> security

@@ -187,3 +187,28 @@ def seasonal_index(df: DataFrame, key, month: str, value: str) -> DataFrame:
     overall = df.groupBy(*key).agg(F.avg(F.col(value).cast("double")).alias("avg_all"))
     return per_month.join(overall, on=key, how="inner").withColumn(
         "indice", F.try_divide(F.col("avg_month"), F.col("avg_all")))
+
+
+def deseasonalise(df: DataFrame, key, period: str, value: str, season: int = 12) -> DataFrame:
+    """Series adjusted for the season (WIN-12): trend, seasonal index and adjusted value of every period.
+
+    ``period`` numbers the periods without gaps (e.g. year * 12 + month), one row per key and
+    period; periods may be missing.  The trend is the centred moving average over one
+    season, its two outer periods counting half, over the periods that are there.  The
+    index of a period of the season is the mean of value / trend, scaled to a mean of 1 over the
+    season's periods; the adjusted value is the value over the index."""
+    key = _cols(key)
+    w = Window.partitionBy(*key).orderBy(period)
+    half = season // 2
+    v = F.col(value).cast("double")
+
+    def span(a, b, agg):
+        return F.coalesce(agg.over(w.rangeBetween(a, b)), F.lit(0.0))
+
+    total = span(-half + 1, half - 1, F.sum(v)) + 0.5 * (span(-half, -half, F.sum(v)) + span(half, half, F.sum(v)))
+    weight = span(-half + 1, half - 1, F.count(v)) + 0.5 * (span(-half, -half, F.count(v)) + span(half, half, F.count(v)))
+    x = df.withColumn("tendencia", F.try_divide(total, weight)).withColumn("_season", F.col(period) % season)
+    raw = x.groupBy(*key, "_season").agg(F.avg(F.try_divide(v, F.col("tendencia"))).alias("_raw"))
+    level = raw.groupBy(*key).agg(F.avg("_raw").alias("_level"))
+    out = x.join(raw, [*key, "_season"]).join(level, key).withColumn("indice", F.try_divide(F.col("_raw"), F.col("_level")))
+    return out.withColumn("ajustado", F.try_divide(v, F.col("indice"))).drop("_raw", "_level", "_season")

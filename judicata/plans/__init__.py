@@ -26,6 +26,6 @@ def register(name: str, sql: str | None = None):
 
 def load_all():
     from judicata.plans import (  # noqa: F401
-        courts, delay, events_q, jobs_q, model_q, quality, series_q, territory, text_q,
+        courts, delay, events_q, family_q, ingest_q, jobs_q, model_q, quality, series_q, territory, text_q,
     )
     return QUERIES, ORACLE

@@ -3,10 +3,14 @@ run log (SNK-5), CSV export (SNK-7), versioned snapshots (SNK-8), map output."""
 
 from __future__ import annotations
 
+import json
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from judicata.functions.provenance import with_provenance
+from judicata.session import materialise
 
 
 def write_tidy(df: DataFrame, path: str, fuente: str, fecha_corte, granularidad: str,
@@ -22,24 +26,61 @@ def write_tidy(df: DataFrame, path: str, fuente: str, fecha_corte, granularidad:
     w.parquet(path)
 
 
-def contract_document(meta: dict, arrays: dict[str, DataFrame]) -> DataFrame:
-    """One-row DataFrame holding ``{"_meta": {...}, name: [records...], ...}`` as JSON text.
-
-    The arrays are gold aggregates (small by construction); each is folded
-    with ``collect_list(struct(*))`` on the executors, never on the driver."""
-    spark = next(iter(arrays.values())).sparkSession
-    parts = [F.struct(*[F.lit(v).alias(k) for k, v in meta.items()]).alias("_meta")]
-    for name, df in arrays.items():       # each array is one scalar subquery: no joins between one-row frames
-        parts.append(df.select(F.collect_list(F.struct(*df.columns))).scalar().alias(name))
-    return spark.range(1).select(F.to_json(F.struct(*parts)).alias("value"))
+#: Records that one part file of a document holds, about.
+PART_RECORDS = 200_000
 
 
-def write_document(doc: DataFrame, path: str) -> None:
-    doc.coalesce(1).write.mode("overwrite").text(path)
+def contract_document(meta: dict | DataFrame, arrays: dict[str, DataFrame]) -> DataFrame:
+    """(section, seq, value): the lines of a JSON document ``{"_meta": {...}, name: [records...], ...}``.
 
-
-def load_table(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
-    """Create-or-replace a catalog table and return its row count as a DataFrame (SNK-4)."""
+    Every record is a line of its own and its order is that of its frame, so a document of
+    any size is written in parts (:func:`write_document`) and no task or row holds an array."""
+    spark = next(iter(arrays.values())).sparkSession
+    if isinstance(meta, dict):
+        head = spark.range(1).select(F.to_json(F.struct(*[F.lit(v).alias(k) for k, v in meta.items()])).alias("j"))
+    else:
+        head = meta.limit(1).select(F.to_json(F.struct(*meta.columns)).alias("j"))
+    lines = [head.select(F.lit(0).alias("section"), F.lit(0).cast("long").alias("seq"), F.concat(F.lit('{"_meta": '), "j").alias("value"))]
+    ends = []
+    for i, (name, df) in enumerate(arrays.items(), start=1):
+        ends += [(i, -1, f', {json.dumps(name, ensure_ascii=False)}: ['), (i, 2 ** 63 - 1, "]")]
+        rows = df.select(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])).alias("j"))
+        lines.append(rows.select(F.lit(i).alias("section"), F.monotonically_increasing_id().alias("seq"), F.col("j").alias("value")))
+    ends.append((len(arrays) + 1, 0, "}"))
+    body = materialise(reduce(DataFrame.unionByName, lines))
+    first = body.groupBy("section").agg(F.min("seq").alias("first"))                 # a row a section
+    comma = F.when((F.col("section") > 0) & (F.col("seq") > F.col("first")), F.lit(",")).otherwise(F.lit(""))
+    body = body.join(F.broadcast(first), "section").select("section", "seq", F.concat(comma, "value").alias("value"))
+    return body.unionByName(spark.createDataFrame(ends, "section int, seq long, value string"))
+
+
+def write_document(doc: DataFrame, path: str) -> DataFrame:
+    """Part files that make the JSON document when read one after the other, and their index:
+    (part, lines), also written beside them as ``path.index``."""
+    parts = max(1, -(-doc.count() // PART_RECORDS))
+    ordered = doc.repartitionByRange(parts, "section", "seq").sortWithinPartitions("section", "seq").select("value")
+    ordered.write.mode("overwrite").text(path)
+    index = doc.sparkSession.read.text(path).groupBy(F.col("_metadata.file_name").alias("part")).agg(F.count(F.lit(1)).alias("lines"))
+    index.orderBy("part").coalesce(1).write.mode("overwrite").json(f"{path.rstrip('/')}.index")
+    return doc.sparkSession.read.schema("part string, lines long").json(f"{path.rstrip('/')}.index").orderBy("part")
+
+
+def document_text(spark: SparkSession, path: str) -> str:
+    """A written document as one text, for small ones."""
+    lines = spark.read.text(path).select(F.col("_metadata.file_name").alias("part"), F.monotonically_increasing_id().alias("n"), "value")
+    return "\n".join(r.value for r in lines.orderBy("part", "n").collect())
+
+
+def load_table(spark: SparkSession, df: DataFrame | str, name: str) -> DataFrame:
+    """Create-or-replace a catalog table and return its row count as a DataFrame (SNK-4).
+
+    ``df`` may be the path of a Parquet dataset; where there is none, the table is left as it is
+    and its count is null."""
+    if isinstance(df, str):
+        at = spark._jvm.org.apache.hadoop.fs.Path(df)
+        if not at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at):
+            return spark.createDataFrame([(name, None)], "tabla string, n long")
+        df = spark.read.parquet(df)
     df.write.mode("overwrite").saveAsTable(name)
     return spark.table(name).agg(F.lit(name).alias("tabla"), F.count(F.lit(1)).alias("n"))
 
@@ -50,6 +91,12 @@ def run_log(spark: SparkSession, run_id: str, entries: list[tuple[str, str, floa
                                  "run string, dataset string, metric string, value double")
 
 
+def append_run_log(spark: SparkSession, path: str, run_id: str, entries: list[tuple[str, str, float]]) -> DataFrame:
+    """Add a run's rows to the log at ``path``, once a run, and return the whole log (SNK-5)."""
+    run_log(spark, run_id, entries).drop("run").write.mode("overwrite").parquet(f"{path.rstrip('/')}/run={run_id}")
+    return spark.read.parquet(path).select(F.col("run").cast("string").alias("run"), "dataset", "metric", "value")
+
+
 def export_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 
@@ -77,6 +124,11 @@ def to_year_map(long: DataFrame, year: str, key: str, value: str) -> DataFrame:
 PRESENTATION = {"clearance": 1, "congestion": 2, "ratio": 3}
 
 
+def presented(df: DataFrame) -> DataFrame:
+    """Columns of a measure family rounded as documents show them; percentages below are never computed from these."""
+    return present(df, {c: PRESENTATION[c] for c in df.columns if c in PRESENTATION})
+
+
 def present(df: DataFrame, decimals: dict[str, int], truncate: tuple[str, ...] = ()) -> DataFrame:
     """Gold-layer rounding only (PRJ-24): HALF_UP ``round`` for the given columns,
     truncation toward zero for counts/money; compute layers stay unrounded."""

@@ -56,6 +56,36 @@ def sheet_to_long(rows: DataFrame, first_cell: str = "distrito fiscal", label: s
     return x.where(~lab.isin(*totals))
 
 
+# Years a wide sheet may have columns for.
+SHEET_YEARS = (1990, 2026)
+
+
+def sheets_to_long(rows: DataFrame, keys=("path", "sheet"), first_cell: str = "distrito fiscal", label: str = "distrito",
+                   years=SHEET_YEARS, totals=("NACIONAL", "", "NAN")) -> tuple[DataFrame, DataFrame]:
+    """Many wide sheets in one plan: (long, errors).
+
+    ``rows``: keys, row_idx, cells of any number of sheets.  The header of each
+    sheet is its first row with the label cell, wherever it stands; it is one
+    aggregate per sheet, joined back to the sheet's rows by its keys.  ``long``: keys,
+    label, anio, valor as in :func:`sheet_to_long`; ``errors``: keys and error of the sheets
+    without a header, which give no rows."""
+    keys = list(keys)
+    is_header = F.array_contains(_plain("cells"), first_cell)
+    headers = rows.groupBy(*keys).agg(F.min(F.when(is_header, F.struct("row_idx", "cells"))).alias("_h"))
+    errors = headers.where("_h IS NULL").select(*keys, F.lit(f"no header row with {first_cell!r}").alias("error"))
+    found = headers.where("_h IS NOT NULL").select(*keys, F.col("_h.row_idx").alias("_top"), F.col("_h.cells").alias("_names"))
+    at = F.array_position(_plain("_names"), first_cell).cast("int")
+    body = rows.join(found, keys).where(F.col("row_idx") > F.col("_top"))
+    cells = F.arrays_zip(F.col("_names").alias("k"), F.col("cells").alias("v"))
+    x = body.select(*keys, F.trim(F.get("cells", at - 1)).alias(label), at.alias("_at"), F.posexplode(cells).alias("_pos", "_kv"))
+    year = F.trim("_kv.k")
+    anio = F.when(year.rlike(r"^\d{4}(\.0)?$"), F.substring(year, 1, 4).cast("int"))
+    valor = F.trim("_kv.v").try_cast("double")
+    x = x.where(F.col("_pos") >= F.col("_at")).select(*keys, label, anio.alias("anio"), valor.alias("valor"))
+    x = x.where(F.col("anio").between(*years) & (F.col("valor") >= 0))
+    return x.where(~F.upper(F.coalesce(F.col(label), F.lit(""))).isin(*totals)), errors
+
+
 def _norm(h: Column) -> Column:
     return F.lower(F.trim(F.regexp_replace(h, r"\s+", " ")))
 

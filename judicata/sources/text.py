@@ -12,13 +12,20 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def read_latin1_lines(spark: SparkSession, paths, header_prefix: str | None = None) -> DataFrame:
+def read_latin1_lines(spark: SparkSession, paths, header_prefix: str | None = None, skip_header: bool = False) -> DataFrame:
     """Byte lines decoded as ISO-8859-1; only ``\\n`` ends a line (a ``\\r`` inside
     a record stays in the line).  The text source keeps the raw bytes, which are
-    re-decoded as Latin-1; the header line is dropped by its content."""
+    re-decoded as Latin-1; the header line is dropped by its content, or with
+    ``skip_header`` by its place: it is the first line of the split that begins a file."""
     df = spark.read.option("lineSep", "\n").text(paths)
     line = F.decode(F.col("value").cast("binary"), "ISO-8859-1")
-    out = df.select(line.alias("line"), F.col("_metadata.file_path").alias("_source_file"))
+    cols = [line.alias("line"), F.col("_metadata.file_path").alias("_source_file")]
+    out = df.select(*cols)
+    if skip_header:
+        placed = df.select(*cols, F.col("_metadata.file_block_start").alias("_start"), F.monotonically_increasing_id().alias("_n"))
+        first = placed.where("_start = 0").groupBy(F.col("_source_file").alias("_file")).agg(F.min("_n").alias("_first"))    # a row a file
+        kept = placed.join(first, F.col("_source_file") == F.col("_file"), "left")
+        out = kept.where((F.col("_start") != 0) | (F.col("_n") != F.col("_first"))).select("line", "_source_file")
     if header_prefix is not None:
         out = out.where(~F.col("line").startswith(header_prefix))
     return out

@@ -6,22 +6,28 @@ Rule, per key and in event-time order:
   ``window`` old still counts); if ``max_hits`` remain -> reject ("ventana");
   otherwise accept and count it.  Rejected events use no quota.
 
-The rule is a sequential state machine per key, so one key is necessarily
-processed in order by one task.  Neither twin ever holds a key's events in
-memory: the batch twin streams each partition's sorted rows through
-``mapInPandas`` batch by batch, and the stream twin keeps only O(max_hits)
-state per key in Spark's fault-tolerant state store.
+The rule is a sequential state machine per key.  :func:`limit_batch_by_day` runs
+days, and chunks of very busy days, in parallel from guessed states and mends the
+wrong guesses; :func:`limit_batch` is its plain twin, a key in one task.  No twin
+holds a key's events in memory: the batch twins stream each partition's sorted rows
+batch by batch, the stream twins keep only O(max_hits) state per key in Spark's
+fault-tolerant state store.
 """
 
 from __future__ import annotations
 
 from collections import deque
+from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from judicata.session import materialise
+
 DAY_MICROS = 86_400 * 1_000_000
 
 OUT_SCHEMA = T.StructType([
@@ -223,103 +229,143 @@ def limit_stream_tws(events: DataFrame, key: str = "user_id", ts: str = "ts", ti
 
 # ---------------------------------------------------------------- day-parallel batch twin
 
-SPLIT_SCHEMA = T.StructType([
-    T.StructField("kind", T.StringType()),                     # "e": decision row, "c": carry row
-    T.StructField("event_id", T.LongType()), T.StructField("user_id", T.LongType()),
-    T.StructField("day", T.LongType()), T.StructField("t", T.LongType()),
-    T.StructField("aceptado", T.BooleanType()), T.StructField("motivo", T.StringType()),
-    T.StructField("carry_out", T.ArrayType(T.LongType())),
-])
-
-
-def _run_days(ev: DataFrame, window: int, max_hits: int, day_max: int) -> DataFrame:
-    """Process (key, day) groups, each in event-time order, starting from its
-    ``carry_in`` (accepted hits of the previous day still inside the window).
-    Emits one decision row per event and one carry row per group."""
-    x = ev.repartition("user_id", "day").sortWithinPartitions("user_id", "day", "t", "event_id")
-
-    def run(batches):
-        cur, st = None, None
-
-        def carry_row(k, d, s):
-            lo = (d + 1) * DAY_MICROS - window
-            return {"kind": "c", "event_id": None, "user_id": k, "day": d, "t": None, "aceptado": None,
-                    "motivo": None, "carry_out": [int(h) for h in s.hits if h >= lo]}
-
-        for pdf in batches:
-            rows = []
-            for eid, k, d, tt, cin in zip(pdf["event_id"], pdf["user_id"], pdf["day"], pdf["t"], pdf["carry_in"]):
-                k, d = int(k), int(d)
-                if (k, d) != cur:
-                    if cur is not None:
-                        rows.append(carry_row(cur[0], cur[1], st))
-                    cur = (k, d)
-                    hits = [] if cin is None else [int(h) for h in cin]
-                    st = _KeyState(d, 0, hits, None)
-                a, m = st.step(int(tt), window, max_hits, day_max)
-                rows.append({"kind": "e", "event_id": int(eid), "user_id": k, "day": d, "t": int(tt),
-                             "aceptado": a, "motivo": m, "carry_out": None})
-            if rows:
-                yield pd.DataFrame(rows, columns=SPLIT_SCHEMA.names)
-        if cur is not None:
-            yield pd.DataFrame([carry_row(cur[0], cur[1], st)], columns=SPLIT_SCHEMA.names)
-
-    return x.mapInPandas(run, SPLIT_SCHEMA)
-
-
-def limit_batch_by_day(events: DataFrame, key: str = "user_id", t: str = "t", tie: str = "event_id",
-                       window_s: int = 60, max_hits: int = 20, day_max: int = 40) -> DataFrame:
-    """Exact limiter decisions with (key, day) groups processed in parallel.
-
-    The daily cap resets every day and the window (shorter than a day) is the
-    only state crossing midnight: at most ``max_hits`` accepted timestamps.  So
-    a key with a third of all events is split into one sequential group per day.
-    Round 0 processes every group with an empty carry-in; then, repeatedly, the
-    groups whose carry-in (the previous day's carry-out) changed are processed
-    again with the new carry-in, until nothing changes.  Round r fixes at least
-    the first r days of every key, so the loop ends within the number of days
-    and its result equals the sequential rule.  In practice the number of rounds
-    is the longest chain of consecutive days of one key linked by accepted hits
-    within ``window`` before midnight and events within ``window`` after it; each
-    round touches only the groups whose carry changed.  Each round's carry tables are
-    checkpointed to the shared checkpoint folder, cutting lineage; round 0's
-    output stays cached (memory and disk) for the returned plan, release it with
-    ``spark.catalog.clearCache()`` after writing the result."""
+OK, WINDOW, DAY = range(3)
+REASONS = ["ok", "ventana", "dia"]
+GROUP = ["user_id", "day", "chunk"]
+RUN_SCHEMA = ("user_id long, day long, chunk int, event_id long, t long, motivo int, count int, hits array<long>, "
+              "from_count int, from_hits array<long>")
+STATE = ["count", "hits", "from_count", "from_hits"]
+
+
+def decide(t: np.ndarray, count: int, hits: deque, window: int, max_hits: int, day_max: int) -> tuple[np.ndarray, int]:
+    """Decisions of one group's next events in time order; ``hits`` is moved on.
+
+    At most ``day_max`` events are accepted, and while the window is full all events up
+    to its end are rejected at once, so the work is a few searches, not a step an event."""
+    out = np.full(len(t), DAY, dtype=np.int32)
+    i = 0
+    while i < len(t) and count < day_max:
+        while hits and t[i] - hits[0] > window:
+            hits.popleft()
+        if len(hits) >= max_hits:
+            j = int(np.searchsorted(t, hits[0] + window, side="right")) if hits else len(t)
+            out[i:j] = WINDOW
+            i = j
+        else:
+            out[i] = OK
+            hits.append(int(t[i]))
+            count += 1
+            i += 1
+    return out, count
+
+
+def _run_groups(ev: DataFrame, window: int, max_hits: int, day_max: int) -> DataFrame:
+    """Run (key, day, chunk) groups in time order from their ``from_count`` and ``from_hits``:
+    a row an event, and a row a group (event_id null) with its end state."""
+    x = ev.repartition(*[F.col(c) for c in GROUP]).sortWithinPartitions(*GROUP, "t", "event_id")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, count, hits, begin = None, 0, deque(), (0, [])
+
+        def state() -> pa.RecordBatch:
+            none = pa.nulls(1, pa.int64())
+            return pa.record_batch([pa.array([at[0]], pa.int64()), pa.array([at[1]], pa.int64()), pa.array([at[2]], pa.int32()), none, none,
+                                    pa.nulls(1, pa.int32()), pa.array([count], pa.int32()), pa.array([list(hits)], pa.list_(pa.int64())),
+                                    pa.array([begin[0]], pa.int32()), pa.array([begin[1]], pa.list_(pa.int64()))], names=names)
+
+        for b in batches:
+            key = [b.column(c).to_numpy() for c in GROUP]
+            t = b.column("t").to_numpy()
+            new = np.flatnonzero((key[0][1:] != key[0][:-1]) | (key[1][1:] != key[1][:-1]) | (key[2][1:] != key[2][:-1])) + 1
+            edges = [0, *new.tolist(), b.num_rows] if b.num_rows else []
+            why = np.zeros(b.num_rows, dtype=np.int32)
+            for lo, hi in zip(edges, edges[1:]):
+                here = tuple(int(k[lo]) for k in key)
+                if here != at:
+                    if at is not None:
+                        yield state()
+                    begin = (b.column("from_count")[lo].as_py(), b.column("from_hits")[lo].as_py())
+                    at, count, hits = here, begin[0], deque(begin[1])
+                why[lo:hi], count = decide(t[lo:hi], count, hits, window, max_hits, day_max)
+            none, lists = pa.nulls(b.num_rows, pa.int32()), pa.nulls(b.num_rows, pa.list_(pa.int64()))
+            yield pa.record_batch([*[b.column(c) for c in GROUP], b.column("event_id"), b.column("t"), pa.array(why), none, lists, none, lists], names=names)
+        if at is not None:
+            yield state()
+
+    names = [f.split()[0] for f in RUN_SCHEMA.split(", ")]
+    return x.select(*GROUP, "event_id", "t", "from_count", "from_hits").mapInArrow(run, RUN_SCHEMA)
+
+
+def _chunked(src: DataFrame, hot_events: int, pieces: int) -> tuple[DataFrame, DataFrame]:
+    """(events with their chunk, days by key that are cut): a day of one key with more than
+    ``hot_events`` events is cut at times that leave about equally many between them."""
+    cuts = [i / pieces for i in range(1, pieces)]
+    hot = materialise(src.groupBy("user_id", "day").agg(F.count(F.lit(1)).alias("n"), F.min("t").alias("least"),
+                                                        F.percentile_approx("t", cuts, 100 * pieces).alias("cuts"))
+                      .where(F.col("n") > hot_events).select("user_id", "day", F.filter(F.array_distinct("cuts"), lambda c: c > F.col("least")).alias("cuts")))
+    chunk = F.when(F.col("cuts").isNull(), 0).otherwise(F.size(F.filter("cuts", lambda c: c <= F.col("t"))))
+    return src.join(hot, ["user_id", "day"], "left").select("event_id", "user_id", "day", "t", chunk.cast("int").alias("chunk")), hot
+
+
+def limit_batch_by_day(events: DataFrame, key: str = "user_id", t: str = "t", tie: str = "event_id", window_s: int = 60, max_hits: int = 20,
+                       day_max: int = 40, hot_events: int = 1_000_000, pieces: int = 64) -> DataFrame:
+    """Exact limiter decisions with (key, day, chunk) groups processed in parallel.
+
+    Only two things cross groups: over midnight the accepted hits inside the window
+    (shorter than a day), and within a day also the number accepted so far.  A day of one key
+    with more than ``hot_events`` events is cut into up to ``pieces`` chunks, so that a key
+    or a key-day with a third of all events is spread over many tasks (events of one
+    microsecond stay together).
+
+    Every group first runs from nothing.  Then each is told where it truly starts: the
+    hits its predecessor ended with, and how many the chunks before it accepted, a
+    running sum over the day.  It is run again only if that changes a decision: if the
+    hits differ, or the cap binds in one of the two runs.  The loop ends when no group is; a
+    round fixes at least one more group of every chain, so the result equals the
+    sequential rule, and rounds are few, as a chunk longer than the window ends alike
+    whatever it starts from.  Each round's rows are written to the shared folder, and a
+    group's decisions are those of its last run.  The rounds run while the plan is built."""
     if window_s >= 86_400:
         raise ValueError("the window must be shorter than a day")
-    from judicata.session import cut_lineage
-
     window = window_s * 1_000_000
-    src = events.select(F.col(tie).cast("long").alias("event_id"), F.col(key).cast("long").alias("user_id"),
-                        F.col(t).cast("long").alias("t"))
-    src = src.withColumn("day", F.floor(F.col("t") / F.lit(DAY_MICROS)).cast("long"))
-    groups = src.select("user_id", "day").distinct()
-    empty = F.array().cast("array<bigint>")
-
-    # round 0 has a short lineage (scan -> one pass): a disk-backed cache suffices, lost blocks are
-    # recomputed from the scan; only the iterated carry tables (growing lineage) are checkpointed
-    from pyspark import StorageLevel
-    out0 = _run_days(src.withColumn("carry_in", F.lit(None).cast("array<bigint>")), window, max_hits, day_max) \
-        .persist(StorageLevel.MEMORY_AND_DISK)
-    carry_outs = out0.where(F.col("kind") == "c").select("user_id", "day", "carry_out")
-    known = groups.limit(0).withColumn("carry_in", empty)                     # current non-default carry-ins
-    while True:          # ends: a change moves on to the next day in every round
-        proposed = (carry_outs.select("user_id", (F.col("day") + 1).alias("day"), F.col("carry_out").alias("carry_in"))
-                    .join(groups, ["user_id", "day"], "left_semi"))
-        cmp = proposed.join(known.withColumnRenamed("carry_in", "_old"), ["user_id", "day"], "left")
-        # one round's change set: short lineage over checkpointed inputs, cached for its two uses
-        changed = (cmp.where(F.coalesce(F.col("_old"), empty) != F.col("carry_in"))
-                   .select("user_id", "day", "carry_in").persist())
+    src = events.select(F.col(tie).cast("long").alias("event_id"), F.col(key).cast("long").alias("user_id"), F.col(t).cast("long").alias("t"))
+    src, _ = _chunked(src.withColumn("day", F.floor(F.col("t") / F.lit(DAY_MICROS)).cast("long")), hot_events, pieces)
+
+    nothing = F.array().cast("array<bigint>")
+    runs = [materialise(_run_groups(src.withColumn("from_count", F.lit(0)).withColumn("from_hits", nothing), window, max_hits, day_max))]
+    states = runs[0].where("event_id IS NULL").select(*GROUP, *STATE)
+    known = None                                            # groups that ran again, and in which round
+    chunks = Window.partitionBy("user_id", "day").orderBy("chunk")         # a row a chunk
+    while True:
+        taken = F.col("count") - F.col("from_count")
+        x = states.withColumn("before", F.coalesce(F.sum(taken).over(chunks.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+        x = x.withColumn("prior", F.lag("hits").over(chunks))
+        # of the last chunk that could accept anything, the hits inside the window at midnight
+        eve = (x.where(F.col("before") < day_max).groupBy("user_id", "day").agg(F.max_by("hits", "chunk").alias("all"))
+               .select("user_id", (F.col("day") + 1).alias("next_day"), ((F.col("day") + 1) * DAY_MICROS - window).alias("edge"), "all")
+               .select("user_id", F.col("next_day").alias("day"), F.filter("all", lambda h: h >= F.col("edge")).alias("eve")))
+        x = x.join(eve, ["user_id", "day"], "left")
+        capped = F.col("before") >= day_max
+        true_hits = F.when(capped, nothing).when(F.col("chunk") == 0, F.coalesce("eve", nothing)).otherwise(F.col("prior"))
+        true_count = F.least("before", F.lit(day_max)).cast("int")
+        x = x.withColumn("true_count", true_count).withColumn("true_hits", true_hits)
+        free = (F.col("count") < day_max) & (F.col("true_count") + taken < day_max)         # the cap binds in neither run
+        same = (F.col("from_hits") == F.col("true_hits")) & (free | (F.col("from_count") == F.col("true_count")))
+        changed = materialise(x.where(~same).select(*GROUP, F.col("true_count").alias("from_count"), F.col("true_hits").alias("from_hits")))
         if changed.isEmpty():
             break
-        known = cut_lineage(known.join(changed.select("user_id", "day"), ["user_id", "day"], "left_anti")
-                            .unionByName(changed))
-        redo = src.join(changed, ["user_id", "day"], "inner")
-        carry_outs = cut_lineage(_run_days(redo, window, max_hits, day_max)
-                                 .where(F.col("kind") == "c").select("user_id", "day", "carry_out"))
-        changed.unpersist()                  # its successors are checkpointed
-    redo_keys = known.where(F.size("carry_in") > 0)
-    final = _run_days(src.join(redo_keys, ["user_id", "day"], "inner"), window, max_hits, day_max)
-    keep0 = out0.where(F.col("kind") == "e").join(redo_keys.select("user_id", "day"), ["user_id", "day"], "left_anti")
-    cols = ["event_id", "user_id", "t", "aceptado", "motivo"]
-    return keep0.select(*cols).unionByName(final.where(F.col("kind") == "e").select(*cols))
+        runs.append(materialise(_run_groups(src.join(changed, GROUP), window, max_hits, day_max)))
+        fresh = runs[-1].where("event_id IS NULL").select(*GROUP, *STATE)
+        states = materialise(states.join(fresh.select(*GROUP), GROUP, "left_anti").unionByName(fresh))
+        again = changed.select(*GROUP, F.lit(len(runs) - 1).alias("round"))
+        known = materialise(again if known is None else known.join(again.select(*GROUP), GROUP, "left_anti").unionByName(again))
+    reason = F.element_at(F.array(*[F.lit(r) for r in REASONS]), F.col("motivo") + 1)
+    out = None
+    for i, rows in enumerate(runs):
+        rows = rows.where("event_id IS NOT NULL")
+        if known is not None:
+            last = known.select(*GROUP) if i == 0 else known.where(F.col("round") == i).select(*GROUP)
+            rows = rows.join(last, GROUP, "left_anti" if i == 0 else "left_semi")
+        rows = rows.select("event_id", "user_id", "t", (F.col("motivo") == OK).alias("aceptado"), reason.alias("motivo"))
+        out = rows if out is None else out.unionByName(rows)
+    return out

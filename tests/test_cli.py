@@ -4,6 +4,7 @@ import json
 import os
 
 from judicata import cli
+from judicata.sinks import document_text
 from tests.test_sources import _xlsx_bytes
 
 
@@ -26,9 +27,9 @@ def test_cli_jobs_and_manifest(spark, tmp_path):
     assert rows["court_workload"].n_registros == 2 and rows["court_workload"].error is None
     assert rows["trafficking"].error is None and rows["constitutional"].error is None
     assert rows["reports"].n_registros is None and rows["reports"].error
-    doc = json.loads(spark.read.text(os.path.join(out, "court_workload.json")).first()[0])
+    doc = json.loads(document_text(spark, os.path.join(out, "court_workload.json")))
     assert doc["_meta"]["fecha_corte"] == "2024-02" and doc["nacional"][0]["ingresos"] == 35
-    tc = json.loads(spark.read.text(os.path.join(out, "constitutional.json")).first()[0])
+    tc = json.loads(document_text(spark, os.path.join(out, "constitutional.json")))
     assert tc["por_anio"] == [{"anio": 2020, "ingresados": 1, "publicados": 1}]
     # a second run upserts: the failed job is replaced when it succeeds
     (tmp_path / "missing").mkdir()
@@ -55,11 +56,11 @@ def test_cli_text_and_microdata_jobs(spark, tmp_path):
                   f"crimes_by_department={tmp_path}/del.csv,{tmp_path}/deps.txt"], spark=spark)
     rows = {r.id: r for r in m.collect()}
     assert all(r.error is None for r in rows.values()), rows
-    pol = json.loads(spark.read.text(os.path.join(out, "police.json")).first()[0])
+    pol = json.loads(document_text(spark, os.path.join(out, "police.json")))
     assert pol["por_anio"] == [{"anio": 2016, "lineas": 2, "con_generico": 2, "sin_clasificar": 1, "perdida": 0.0}]
     assert pol["top_tipos"] == [{"tipo": "DELITOS CONTRA LA FE PUBLICA", "cantidad": 1}]
     cd = spark.read.parquet(os.path.join(out, "case_delay", "tidy"))
     assert "DNI" not in cd.columns and cd.count() == 1
-    dep = json.loads(spark.read.text(os.path.join(out, "crimes_by_department.json")).first()[0])
+    dep = json.loads(document_text(spark, os.path.join(out, "crimes_by_department.json")))
     assert dep["por_anio_departamento"] == [{"anio": 2020, "departamento": "ANCASH", "cantidad": 5}]
     assert dep["descartados"] == [{"departamento": "#N/D"}]

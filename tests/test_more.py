@@ -107,7 +107,7 @@ def test_indicator_formulas(spark):
 
 def test_snapshot_stream(spark, tmp_path):
     # covers: STR-3 SRC-11 SNK-3
-    from judicata.streaming.snapshots import start_snapshot_stream
+    from judicata.streaming.snapshots import read_current, read_manifest, start_snapshot_stream
     schema = "dataset string, snapshot string, anio int, casos long"
     src = tmp_path / "in"
     spark.createDataFrame([("casos", "2025-06", 2024, 10), ("casos", "2025-12", 2024, 12), ("fem", "2025-01", 2024, 3)],
@@ -115,22 +115,52 @@ def test_snapshot_stream(spark, tmp_path):
     q = start_snapshot_stream(spark, str(src), schema, str(tmp_path / "out"), str(tmp_path / "manifest"),
                               str(tmp_path / "ckpt"))
     q.awaitTermination(300)
-    out = spark.read.parquet(str(tmp_path / "out"))
+    state = (str(tmp_path / "out"), str(tmp_path / "manifest"))
+    out = read_current(spark, *state, schema)
     assert {(r.dataset, r.snapshot) for r in out.collect()} == {("casos", "2025-12"), ("fem", "2025-01")}
-    man = {r.id: r.n_registros for r in spark.read.parquet(str(tmp_path / "manifest")).collect()}
+    man = {r.id: r.n_registros for r in read_manifest(spark, state[1]).collect()}
     assert man == {"casos": 1, "fem": 1}
     # an older snapshot that arrives late replaces nothing, a newer one does
     spark.createDataFrame([("casos", "2025-03", 2024, 7), ("fem", "2025-02", 2024, 4)],
                           schema).coalesce(1).write.parquet(str(src / "batch2"))
-    start_snapshot_stream(spark, str(src), schema, str(tmp_path / "out"), str(tmp_path / "manifest"),
-                          str(tmp_path / "ckpt")).awaitTermination(300)
-    spark.catalog.refreshByPath(str(tmp_path / "out"))
-    out = spark.read.parquet(str(tmp_path / "out"))
+    start_snapshot_stream(spark, str(src), schema, *state, str(tmp_path / "ckpt")).awaitTermination(300)
+    out = read_current(spark, *state, schema)
     assert {(r.dataset, r.snapshot) for r in out.collect()} == {("casos", "2025-12"), ("fem", "2025-02")}
-    man = {r.id: r.fecha_corte for r in spark.read.parquet(str(tmp_path / "manifest")).collect()}
+    man = {r.id: r.fecha_corte for r in read_manifest(spark, state[1]).collect()}
     assert man == {"casos": "2025-12", "fem": "2025-02"}
 
 
+def test_snapshot_commit_is_one_step(spark, tmp_path):
+    # covers: STR-3
+    import pytest
+    from judicata.streaming import snapshots as SN
+    schema = "dataset string, snapshot string, casos long"
+    at, man = str(tmp_path / "out"), str(tmp_path / "manifest")
+    frames = [spark.createDataFrame(rows, schema) for rows in (
+        [("a", "2025-01", 1), ("a", "2025-01", 2), ("b", "2025-01", 3)], [("a", "2025-02", 4), ("c", "2025-01", 5)], [("b", "2024-01", 9)])]
+
+    def state():
+        return (sorted(tuple(r) for r in SN.read_current(spark, at, man, schema).select("dataset", "snapshot", "casos").collect()),
+                sorted(tuple(r) for r in SN.read_manifest(spark, man).collect()))
+
+    def crash():
+        raise RuntimeError("lost between slices and manifest")
+
+    assert state() == ([], []) and SN.apply_snapshot_batch(frames[0], at, man, 0)
+    before = state()
+    with pytest.raises(RuntimeError):
+        SN.apply_snapshot_batch(frames[1], at, man, 1, between=crash)
+    assert state() == before                                    # new slices are there, nobody sees them
+    (tmp_path / "manifest" / "batch=1").mkdir()                 # and a manifest that was begun does not count
+    assert state() == before
+    assert SN.apply_snapshot_batch(frames[1], at, man, 1)
+    after = state()
+    assert after[0] == [("a", "2025-02", 4), ("b", "2025-01", 3), ("c", "2025-01", 5)]
+    assert not SN.apply_snapshot_batch(frames[1], at, man, 1) and state() == after      # replay of a committed batch
+    assert SN.apply_snapshot_batch(frames[2], at, man, 2) and state() == after          # a late older snapshot
+    assert SN.drop_superseded(spark, at, man, keep_versions=1) == [0, 1] and state() == after
+
+
 def test_risk_and_appeal_models(spark):
     # covers: ML-8 ML-10
     from judicata.ml import delay_model as DM

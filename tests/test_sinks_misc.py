@@ -30,7 +30,7 @@ def test_tidy_roundtrip_and_latest_snapshot(spark, tmp_path):
 def test_contract_document(spark):
     # covers: SNK-2
     a = spark.createDataFrame([("LIMA", 3), ("PIURA", 1)], "d string, n int")
-    doc = json.loads(sinks.contract_document({"fuente": "x", "granularidad": "agregado"}, {"por_dep": a}).first()[0])
+    doc = json.loads("".join(r.value for r in sinks.contract_document({"fuente": "x", "granularidad": "agregado"}, {"por_dep": a}).orderBy("section", "seq").collect()))
     assert doc["_meta"]["fuente"] == "x" and sorted(r["d"] for r in doc["por_dep"]) == ["LIMA", "PIURA"]
 
 
@@ -51,8 +51,8 @@ def test_small_helpers(spark):
     # covers: FLT-16 WIN-6 WIN-4 PRJ-27
     df = spark.createDataFrame([("X86", ["a", "b", "c"]), ("Y10", ["z"]), ("x99", [])], "code string, h array<string>")
     assert [r[0] for r in df.select(code_in_range("code", "X85", "Y09")).collect()] == [True, False, True]
-    r = df.select(newest_first("h").alias("n"), current_of("h").alias("c"), label("CSJ ", F.col("code")).alias("l")).first()
-    assert r.n == ["c", "b", "a"] and r.c == "c" and r.l == "CSJ X86"
+    rows = df.select(newest_first("h").alias("n"), current_of("h").alias("c"), label("CSJ ", F.col("code")).alias("l")).collect()
+    assert rows[0].n == ["c", "b", "a"] and rows[0].l == "CSJ X86" and [r.c for r in rows] == ["c", "z", None]
 
 
 def test_sort_and_count(spark):
@@ -154,4 +154,42 @@ def test_small_api_helpers(spark, tmp_path):
     assert sorted(r.id for r in spark.read.parquet(p1).collect()) == ["a", "b"]
     doc = contract_document({"fuente": "x"}, {"filas": spark.range(2)})
     write_document(doc, str(tmp_path / "doc"))
-    assert json.loads(spark.read.text(str(tmp_path / "doc")).first()[0])["filas"] == [{"id": 0}, {"id": 1}]
+    assert json.loads(sinks.document_text(spark, str(tmp_path / "doc")))["filas"] == [{"id": 0}, {"id": 1}]
+
+
+def test_document_in_parts(spark, tmp_path, monkeypatch):
+    # covers: SNK-2
+    from judicata.sinks import writers
+    monkeypatch.setattr(writers, "PART_RECORDS", 1000)
+    big = spark.range(7000).select(F.col("id").alias("n"), F.lit('a "b"\n').alias("t")).repartition(5).orderBy(F.desc("n"))
+    index = writers.write_document(writers.contract_document({"fuente": "é"}, {"filas": big, "nada": big.where("n < 0"), "uno": spark.range(1)}),
+                                   str(tmp_path / "doc"))
+    doc = json.loads(sinks.document_text(spark, str(tmp_path / "doc")))
+    assert [r["n"] for r in doc["filas"]] == list(range(6999, -1, -1)) and doc["nada"] == [] and doc["uno"] == [{"id": 0}]
+    parts = index.collect()
+    assert len(parts) == 8 and sum(p.lines for p in parts) == 7010 - 1 and max(p.lines for p in parts) < 2500
+
+
+def test_missing_dataset_and_appended_log(spark, tmp_path):
+    # covers: SNK-4 SNK-5
+    assert sinks.load_table(spark, str(tmp_path / "none"), "t_none").first().n is None
+    spark.range(4).write.parquet(str(tmp_path / "some"))
+    assert sinks.load_table(spark, str(tmp_path / "some"), "t_some").first().n == 4
+    for run in ("r1", "r2", "r2"):
+        log = sinks.append_run_log(spark, str(tmp_path / "log"), run, [("casos", "n", 3.0)])
+    assert sorted(tuple(r) for r in log.collect()) == [("r1", "casos", "n", 3.0), ("r2", "casos", "n", 3.0)]
+
+
+def test_text_dump_header_by_place(spark, tmp_path):
+    # covers: SRC-6
+    from judicata.sources.text import read_latin1_lines
+    (tmp_path / "a.txt").write_bytes(b"h\n" + b"x\n" * 3000)
+    (tmp_path / "b.txt").write_bytes(b"x\nh\n")
+    assert read_latin1_lines(spark, str(tmp_path / "*.txt"), skip_header=True).count() == 3001
+
+
+def test_cutoff_falls_back_to_any_date_column(spark):
+    # covers: PRJ-5 JOB-10
+    from judicata import jobs as J
+    raw = spark.createDataFrame([("2020", "LIMA", "5", "03/02/2021"), ("2021", "PIURA", "1", "junk")], "`AÑO` string, DEPARTAMENTO string, `CASOS TOTAL` string, FECHA string")
+    assert J.violence_cases(raw)["meta"].first().fecha_corte == "2021-02-03"

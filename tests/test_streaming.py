@@ -2,6 +2,8 @@
 
 import os
 
+import random
+
 import pytest
 
 from pyspark.sql import functions as F
@@ -103,3 +105,18 @@ def test_limiter_by_day_equals_loop(spark):
     e = spark.read.parquet("/root/testdata/sf0.001/events.parquet").select("event_id", "user_id", micros("ts").alias("t"))
     got = {r.event_id: (r.aceptado, r.motivo) for r in limit_batch_by_day(e, window_s=3600, max_hits=2, day_max=4).collect()}
     assert got == brute_force([tuple(r) for r in e.collect()], 3600, 2, 4)
+
+
+@pytest.mark.parametrize("hot,pieces", [(10, 6), (10**6, 4)])
+def test_limiter_splits_a_hot_day(spark, hot, pieces):
+    # covers: STR-1
+    from judicata.streaming.limiter import DAY_MICROS, limit_batch_by_day
+    r = random.Random(3)
+    rows = [(i, r.choice([1, 1, 1, 1, 2, 3]), int(r.choice([0, 0, 0, 1, 2]) * DAY_MICROS + r.uniform(0.3, 1.0) ** 2 * DAY_MICROS)) for i in range(1500)]
+    rows += [(2000 + i, 4, 5 * DAY_MICROS - 30 * 10**6 + i * 10**6) for i in range(60)]              # around midnight
+    rows += [(3000 + i, 5, 7 * DAY_MICROS) for i in range(50)]                                       # one moment
+    df = spark.createDataFrame(rows, "event_id long, user_id long, t long").repartition(5)
+    for w, mh, dm in [(3600, 2, 6), (40_000, 3, 9), (10, 1, 1000)]:
+        want = brute_force(rows, w, mh, dm)
+        got = {x.event_id: (x.aceptado, x.motivo) for x in limit_batch_by_day(df, window_s=w, max_hits=mh, day_max=dm, hot_events=hot, pieces=pieces).collect()}
+        assert got == want, (w, mh, dm)

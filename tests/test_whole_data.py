@@ -8,13 +8,14 @@ from judicata import cli
 from judicata import jobs as J
 from judicata.functions.text import recover_tail
 from judicata.operators.clean import find_col
+from judicata.sinks import document_text
 
 
 def test_contract_document_keeps_long_arrays(spark, tmp_path):
     # covers: SNK-2
     big = spark.range(10_001).withColumnRenamed("id", "n")
     cli.write_outputs("d", {"filas": big, "meta": spark.range(1)}, str(tmp_path))
-    doc = json.loads(spark.read.text(str(tmp_path / "d.json")).first()[0])
+    doc = json.loads(document_text(spark, str(tmp_path / "d.json")))
     assert len(doc["filas"]) == 10_001 and doc["_meta"] == {"id": 0}
 
 
