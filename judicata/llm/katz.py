@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 from judicata.llm.common import materialise, n_partitions
 from judicata.llm.wordhash import Words, mix
 
-BLOCK_TOKENS = 4 << 20
+BLOCK_TOKENS = 2 << 20
 #: Texts are hashed in pieces of about this many bytes, cut at white space.
 PIECE_BYTES = 2 << 20
 #: N-grams a partition of a table receives, about; tokens above which a history is spread; most histories that are.
@@ -220,9 +220,9 @@ class Block:
         self.held, self.whole = (np.frombuffer(row[c], dtype=np.uint8).astype(bool) for c in ("held", "whole"))
         self.handed = np.frombuffer(row["handed"], dtype=np.uint8)
         self.length = unpack(row["length"])
-        self.word = unpack(row["tokens"])
+        self.word = unpack(row["tokens"]).astype(np.int32)
         self.words = np.frombuffer(row["words"], dtype="<u8")
-        self.part = np.repeat(np.arange(len(self.length)), self.length)
+        self.part = np.repeat(np.arange(len(self.length), dtype=np.int32), self.length)
         self.first = np.cumsum(self.length) - self.length
 
     def own(self) -> np.ndarray:
