@@ -9,11 +9,13 @@ collects.  Write them with :mod:`judicata.sinks` and run several with
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from judicata.functions import metrics as M
-from judicata.functions.dates import cutoff_agg, first_parsing_column, month_number, yyyymmdd
+from judicata.functions.dates import cutoff_agg, first_parsing_column, month_number, parse_with, yyyymmdd
 from judicata.functions.numbers import filled, tolerant_number, tolerant_number_commas
 from judicata.functions.provenance import coverage_text, with_provenance
 from judicata.functions.text import fold_accents, merge_territory, recover_tail, text_key
@@ -37,6 +39,15 @@ def _meta(df: DataFrame, fuente: str, granularidad: str, fecha_corte: Column | N
     return df.agg(*aggs)
 
 
+def _meta_latest(df: DataFrame, fuente: str, granularidad: str, column: str, by: list[str]) -> DataFrame:
+    """:func:`_meta` with the cut-off of the latest period's ``column``, from one aggregate: a row a
+    period holds its cut-off, and the latest period with all of ``by`` known gives its own."""
+    periods = df.groupBy(*by).agg(cutoff_agg(column).alias("_corte"))
+    known = F.when(reduce(lambda a, b: a & b, [F.col(b).isNotNull() for b in by]), F.struct(*by))
+    return periods.agg(F.lit(fuente).alias("fuente"), coverage_text(F.min("anio"), F.max("anio"), "Nacional").alias("cobertura"),
+                       F.lit(granularidad).alias("granularidad"), F.max_by("_corte", known).alias("fecha_corte"))
+
+
 def _audit(raw: DataFrame, valid_mask: Column, rules: dict[str, Column]) -> DataFrame:
     r = dict(rules)
     r["descartadas"] = valid_mask
@@ -110,8 +121,8 @@ def prosecutor_headcount(raw: DataFrame, years=C.YEAR_RANGES["workload"],
         "por_anio": snap.groupBy("anio").agg(F.sum("total_n").cast("bigint").alias("total")),
         "total_reciente": latest.agg(F.sum("total_n").cast("bigint").alias("total_fiscales")),
         "audit": _audit(x, bad, {}),
-        "meta": _meta(valid, fuente, "agregado",
-                      latest.select(cutoff_agg("fecha_corte")).scalar() if "fecha_corte" in raw.columns else None),
+        "meta": _meta_latest(valid, fuente, "agregado", "fecha_corte", ["anio", "mes"] if "mes" in raw.columns else ["anio"])
+                if "fecha_corte" in raw.columns else _meta(valid, fuente, "agregado"),
     }
     if dims:
         keyed = latest.withColumns({d: text_key(F.col(d)) for d in dims})
@@ -135,15 +146,20 @@ def flow_by_year(raw: DataFrame, years=C.YEAR_RANGES["workload"], top: int = 15,
     latest = C.latest_only(valid, "anio")
     if cutoff == "fecha_corte" and "fecha_corte" in raw.columns:
         fcorte = latest.select(cutoff_agg("fecha_corte")).scalar()
+        meta = _meta_latest(valid, fuente, "agregado", "fecha_corte", ["anio"])
     else:
-        fc = first_parsing_column(valid, ["fecha_descarga", "Fecha_descarga", "fecha_publicacion", "fecha_corte"])
-        fcorte = valid.select(F.date_format(F.max(fc), "yyyy-MM-dd")).scalar()
+        # the first column in which any date parses: its latest date, from one aggregate
+        lower = {c.strip().lower(): c for c in valid.columns}
+        dates = [lower[c] for c in ("fecha_descarga", "fecha_publicacion", "fecha_corte") if c in lower]
+        cut = F.coalesce(*[F.max(parse_with(F.col(f"`{c}`"), "d/M/yyyy")) for c in dates], F.lit(None).cast("date"))
+        fcorte = valid.select(F.date_format(cut, "yyyy-MM-dd")).scalar()
+        meta = _meta(valid, fuente, "agregado", F.date_format(cut, "yyyy-MM-dd"))
     out = {
         "tidy": with_provenance(valid, fuente, fcorte, "agregado"),
         "por_anio": valid.groupBy("anio").agg(*sums).withColumn("clearance", M.clearance_pct("atendido", "ingresado")),
         "top_distrito": _top(valid, "distrito_fiscal", "ingresado_n", top) if "distrito_fiscal" in raw.columns else None,
         "audit": _audit(x, bad, {}),
-        "meta": _meta(valid, fuente, "agregado", fcorte),
+        "meta": meta,
     }
     for dim in ("materia", "distrito_fiscal"):
         if dim in raw.columns:

@@ -43,6 +43,20 @@ def conservation(rollups: dict[str, DataFrame], measure: str, reference: str) ->
     return out.withColumn("cuadra", F.col("total") == ref)
 
 
+def conservation_by(df: DataFrame, dims: list[str], measure: str, total: str = "nacional") -> DataFrame:
+    """:func:`conservation` of the rollups by each dimension and the grand total in one pass:
+    the finest totals are added up by grouping sets, and a row a rollup is compared with the grand total."""
+    fine = df.groupBy(*dims).agg(F.sum(measure).cast("bigint").alias("_v"))
+    sets = fine.groupingSets([[d] for d in dims] + [[]], *dims).agg(F.sum("_v").alias("_v"), F.grouping_id(*dims).alias("_g"))
+    name = F.lit(total)
+    for i, d in enumerate(dims):
+        name = F.when(F.col("_g") == ((1 << len(dims)) - 1) ^ (1 << (len(dims) - 1 - i)), F.lit(d)).otherwise(name)
+    rollups = sets.groupBy(name.alias("rollup")).agg(F.sum("_v").cast("bigint").alias("total"))
+    rows = rollups.agg(F.collect_list(F.struct("rollup", "total")).alias("_r"),
+                       F.max(F.when(F.col("rollup") == total, F.col("total"))).alias("_ref"))             # a row a dimension
+    return rows.select("_ref", F.inline("_r")).select("rollup", "total", (F.col("total") == F.col("_ref")).alias("cuadra"))
+
+
 def identity_violations(df: DataFrame, checks: dict[str, tuple]) -> DataFrame:
     """Arithmetic identities (AUD-2), e.g. ``{"ingresos": (sin + con, t + e)}``:
     rows where |lhs - rhs| > 0, per identity, in one pass."""

@@ -54,7 +54,9 @@ def union_shapes(parts: list[tuple[str, DataFrame, dict]], label: str = "etiquet
 def duplicate_feeds(totals: DataFrame, dataset: str, period: str, total: str) -> DataFrame:
     """Pairs of datasets reporting the identical total for the same period (SET-8).
 
-    Equi-join on (period, total) of a small per-dataset aggregate."""
-    a = totals.select(F.col(dataset).alias("dataset_a"), F.col(period).alias(period), F.col(total).alias(total))
-    b = totals.select(F.col(dataset).alias("dataset_b"), F.col(period).alias(period), F.col(total).alias(total))
-    return a.join(b, on=[period, total], how="inner").where(F.col("dataset_a") < F.col("dataset_b"))
+    ``totals`` is read once: the names with one total in a period, as many as there are datasets at
+    most, are brought together and paired."""
+    same = (totals.groupBy(period, total).agg(F.array_sort(F.collect_set(dataset)).alias("_d")).where(F.size("_d") > 1)
+            .select(period, total, "_d", F.posexplode("_d").alias("_i", "dataset_a")))
+    later = same.select(period, total, "dataset_a", F.explode(F.slice("_d", F.col("_i") + 2, F.size("_d"))).alias("dataset_b"))
+    return later

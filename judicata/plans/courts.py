@@ -42,14 +42,13 @@ def workload_national(spark, sf):
     """National KPIs (AGG-1) with the ingresos-weighted and plain mean court delay (AGG-13/14)."""
     # one pass over the cases: national totals are sums of the per-court flows
     per_court = cases(spark, sf).groupBy("corte").agg(*flow_aggs())
-    nat = with_indicators(per_court.agg(*flow_sums()))
     d = (case_lines(spark, sf).where(F.col("dias") >= 0)
          .groupBy("corte").agg(F.avg("dias").alias("demora")))
-    dw = d.join(per_court.select("corte", F.col("ingresos").alias("ing")), "corte")
-    # the delay figures are one scalar subquery attached to the one-row national frame (no join)
-    nat = WN.with_scalars(nat, "_w", source=dw, demora_ponderada=A.weighted_mean("demora", "ing"),
-                          demora_simple=F.avg("demora"))
-    return nat.select(*[c for c in nat.columns if c != "_w"], "_w.demora_ponderada", "_w.demora_simple")
+    x = per_court.join(d, "corte", "left")
+    weight = F.when(F.col("demora").isNotNull(), F.col("ingresos"))
+    nat = x.agg(*flow_sums(), A.weighted_mean(F.col("demora"), weight).alias("demora_ponderada"), F.avg("demora").alias("demora_simple"))
+    nat = with_indicators(nat)
+    return nat.select(*[c for c in nat.columns if not c.startswith("demora")], "demora_ponderada", "demora_simple")
 
 
 # ----------------------------------------------------------------- court_ranking
@@ -197,11 +196,7 @@ SELECT rollup, total, total = (SELECT COUNT(*) FROM cases) AS cuadra FROM t
 def conservation(spark, sf):
     """Rollups of one measure over different dimensions sum to the national total (AUD-3)."""
     c = cases(spark, sf)
-    roll = {"corte": c.groupBy("corte").agg(F.count(F.lit(1)).alias("ingresos")),
-            "especialidad": c.groupBy("especialidad").agg(F.count(F.lit(1)).alias("ingresos")),
-            "anio": c.groupBy("anio").agg(F.count(F.lit(1)).alias("ingresos")),
-            "nacional": c.agg(F.count(F.lit(1)).alias("ingresos"))}
-    return AU.conservation(roll, "ingresos", "nacional")
+    return AU.conservation_by(c.withColumn("uno", F.lit(1)), ["corte", "especialidad", "anio"], "uno")
 
 
 # ----------------------------------------------------------------- indicator_panel

@@ -183,14 +183,14 @@ def sorted_results(spark, sf):
 
 @register("timeline", sql="""
 WITH m AS (SELECT conv_id, turn, role, length(text) AS n FROM conversations)
-SELECT conv_id, list(role ORDER BY turn DESC) AS historia, first(role ORDER BY turn DESC) AS actual, count(*) AS n FROM m GROUP BY conv_id
+SELECT conv_id, string_agg(role, '>' ORDER BY turn DESC) AS historia, first(role ORDER BY turn DESC) AS actual, count(*) AS n FROM m GROUP BY conv_id
 """)
 def timeline(spark, sf):
     """Histories newest first and their current entry (WIN-6, WIN-4); a history is a bounded list of events by key."""
     from judicata.functions.text import current_of
     c = spark.read.parquet(f"{sf.rstrip('/')}/conversations.parquet").select("conv_id", "turn", "role")
     h = c.groupBy("conv_id").agg(F.transform(F.sort_array(F.collect_list(F.struct("turn", "role"))), lambda s: s["role"]).alias("h"), F.count(F.lit(1)).alias("n"))
-    return h.select("conv_id", newest_first("h").alias("historia"), current_of("h").alias("actual"), "n")
+    return h.select("conv_id", F.array_join(newest_first("h"), ">").alias("historia"), current_of("h").alias("actual"), "n")
 
 
 @register("assignment_current", sql="""

@@ -9,6 +9,7 @@ from judicata.ml import delay_model as DM
 from judicata.operators import windows as WN
 from judicata.plans import register
 from judicata.plans.common import CASE_LINES_SQL, CASES_SQL, case_lines, cases, flow_aggs
+from judicata.session import materialise
 from judicata.tables import Tables
 
 CAT = ["tipo", "especialidad", "corte", "l_returnflag", "l_linestatus"]
@@ -16,10 +17,8 @@ NUM = ["mes_anio"]
 
 
 def _fitted(spark, sf):
-    """(model, hold-out predictions, metrics), fitted once per session and scale factor."""
-    from judicata.tables import memo
-    return memo(spark, ("delay_model", sf),
-                lambda: DM.fit_and_score(_features(spark, sf), ["o_orderkey", "l_linenumber"], CAT, NUM, "dias"))
+    """(model, hold-out predictions, metrics); the features are written once for the passes of the fit."""
+    return DM.fit_and_score(materialise(_features(spark, sf)), ["o_orderkey", "l_linenumber"], CAT, NUM, "dias")
 
 
 @register("delay_model_metrics")
@@ -180,12 +179,12 @@ SELECT tipo, COUNT(*) AS n, COUNT(*) FILTER (WHERE dias > (SELECT p75 FROM q)) A
 FROM v GROUP BY tipo
 """)
 def risk_labels(spark, sf):
-    """Risk label = delay above the p75 of valid delays (ML-8): the threshold
-    is an exact percentile over the (days -> count) histogram."""
+    """Risk label = delay above the p75 of valid delays (ML-8): the threshold and the
+    counts come from one (type, days) histogram, written once."""
     v = case_lines(spark, sf).where(F.col("dias").between(1, 998)).select("tipo", "dias")
-    h = v.groupBy("dias").agg(F.count(F.lit(1)).alias("_w"))
-    x = WN.with_scalars(v, "_q", source=h, p75=F.percentile("dias", F.lit(0.75), F.col("_w")).cast("double"))
-    return x.groupBy("tipo").agg(F.count(F.lit(1)).alias("n"),
-                                 F.count_if(F.col("dias") > F.col("_q.p75")).alias("n_riesgo"),
-                                 F.first("_q.p75").alias("umbral")) \
-            .withColumn("proporcion_riesgo", F.col("n_riesgo").cast("double") / F.col("n").cast("double"))
+    h = materialise(v.groupBy("tipo", "dias").agg(F.count(F.lit(1)).alias("_w")))
+    x = WN.with_scalars(h, "_q", p75=F.percentile("dias", F.lit(0.75), F.col("_w")).cast("double"))
+    out = x.groupBy("tipo").agg(F.sum("_w").cast("bigint").alias("n"),
+                                F.coalesce(F.sum(F.when(F.col("dias") > F.col("_q.p75"), F.col("_w"))), F.lit(0)).cast("bigint").alias("n_riesgo"),
+                                F.first("_q.p75").alias("umbral"))
+    return out.withColumn("proporcion_riesgo", F.col("n_riesgo").cast("double") / F.col("n").cast("double"))

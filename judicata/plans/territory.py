@@ -61,8 +61,8 @@ FROM lab WHERE etiqueta IN (SELECT etiqueta FROM off) GROUP BY anio, etiqueta
 def dept_year_map(spark, sf):
     """Counts by year x department over geocoded labels only (AGG-3), long form;
     :func:`judicata.sinks.to_year_map` turns it into year -> department -> n."""
-    x = _labelled_orders(spark, sf).join(_official(spark, sf), "etiqueta", "left_semi")
-    return x.groupBy("anio", F.col("etiqueta").alias("departamento")).agg(F.count(F.lit(1)).alias("n"))
+    x = _labelled_orders(spark, sf).groupBy("anio", "etiqueta").agg(F.count(F.lit(1)).alias("n"))
+    return x.join(_official(spark, sf), "etiqueta", "left_semi").select("anio", F.col("etiqueta").alias("departamento"), "n")
 
 
 MERGE_PATTERN = r"^NATION_1[0-9]+$"
@@ -81,9 +81,10 @@ def top_departments(spark, sf):
     """Top 10 departments after merging label variants of one territory
     (PRJ-25, TOP-1).  Variants are merged before ranking (TRAP-4), so no
     department drops out of the top list because its volume was split."""
-    x = _labelled_orders(spark, sf).join(_official(spark, sf), "etiqueta", "left_semi")
-    m = x.select(merge_territory(F.col("etiqueta"), MERGE_PATTERN, MERGE_TO).alias("departamento"))
-    c = m.groupBy("departamento").agg(F.count(F.lit(1)).alias("n"))
+    # orders are counted by label, and the few labels matched and merged
+    x = _labelled_orders(spark, sf).groupBy("etiqueta").agg(F.count(F.lit(1)).alias("n")).join(_official(spark, sf), "etiqueta", "left_semi")
+    m = x.select(merge_territory(F.col("etiqueta"), MERGE_PATTERN, MERGE_TO).alias("departamento"), "n")
+    c = m.groupBy("departamento").agg(F.sum("n").alias("n"))
     top = T.top_k(c, [F.col("n").desc(), F.col("departamento").asc()], 10)     # TOP-1, TOP-6 order at the sink
     # the rank is computed over the (at most 10) rows that survived the top-k
     from pyspark.sql import Window

@@ -13,48 +13,27 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
-_SCANS: dict[tuple, DataFrame] = {}
-
-
-def memo(spark: SparkSession, key: tuple, build):
-    """Per-session memo of *plans* (lazy DataFrames), never of data: every
-    execution still reads and computes from the files.  It saves the driver-side
-    listing, footer reads and analysis when one query uses a frame twice."""
-    k = (id(spark._jsparkSession),) + key
-    df = _SCANS.get(k)
-    if df is None:
-        df = _SCANS[k] = build()
-    return df
-
-
-def refresh(spark: SparkSession | None = None) -> None:
-    """Forget memoised plans (all sessions, or one): needed in a long-running
-    session when tables receive new files, since a plan keeps its file listing."""
-    if spark is None:
-        _SCANS.clear()
-        return
-    sid = id(spark._jsparkSession)
-    for k in [k for k in _SCANS if k[0] == sid]:
-        del _SCANS[k]
-
-
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
     if name not in TABLES:
         raise KeyError(name)
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    df = memo(spark, ("scan", path), lambda: spark.read.parquet(path))
+    df = spark.read.parquet(path)
     return df.select(*columns) if columns else df
 
 
 class Tables:
-    """Small convenience wrapper: ``t = Tables(spark, sf); t.orders('o_orderkey')``."""
+    """Small convenience wrapper: ``t = Tables(spark, sf); t.orders('o_orderkey')``.  A
+    table that one wrapper reads twice is listed once."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self.sf_dir = spark, sf_dir
+        self.spark, self.sf_dir, self.scans = spark, sf_dir, {}
 
     def __getattr__(self, name: str):
         if name in TABLES:
-            return lambda *cols: table(self.spark, self.sf_dir, name, *cols)
+            if name not in self.scans:
+                self.scans[name] = table(self.spark, self.sf_dir, name)
+            scan = self.scans[name]
+            return lambda *cols: scan.select(*cols) if cols else scan
         raise AttributeError(name)
 
 
