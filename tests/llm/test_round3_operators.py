@@ -74,7 +74,7 @@ def conversations():
     return rows
 
 
-@pytest.mark.parametrize("chunk,partitions", [(4096, 3), (5, 7), (1, 2)])
+@pytest.mark.parametrize("chunk,partitions", [(4096, 3), (5, 7)])
 def test_structure_repair(spark, monkeypatch, chunk, partitions):
     monkeypatch.setattr(structure_repair, "CHUNK_TURNS", chunk)
     rows = conversations()
