@@ -71,37 +71,88 @@ def sorted_suffixes(text: np.ndarray, depth: int) -> tuple[np.ndarray, list[np.n
     return np.lexsort((np.arange(n), levels[-1][:n])), levels
 
 
+class Marks(BitRank):
+    """A bit vector whose first bit is set: the set bits around a place."""
+
+    def __init__(self, bits: np.ndarray):
+        super().__init__(bits)
+        self.n = len(bits)
+        held = np.flatnonzero(self.words)
+        #: the last word with a set bit up to each word, the first one from each word on
+        at = np.arange(len(self.words))
+        self.left = held[np.searchsorted(held, at, side="right") - 1]
+        self.right = np.append(held, len(self.words) - 1)[np.searchsorted(held, at)]     # the last word is padding
+
+    def at_or_before(self, i: np.ndarray) -> np.ndarray:
+        w = i >> 6
+        here = self.words[w] & (~np.uint64(0) >> (63 - (i & 63)).astype(np.uint64))
+        w = np.where(here == 0, self.left[np.maximum(w - 1, 0)], w)
+        x = np.where(here == 0, self.words[w], here)
+        for k in (1, 2, 4, 8, 16, 32):
+            x = x | (x >> np.uint64(k))
+        return (w << 6) + np.bitwise_count(x).astype(np.int64) - 1
+
+    def after(self, i: np.ndarray) -> np.ndarray:
+        """The first set bit past ``i``, or the length."""
+        j = i + 1
+        w = j >> 6
+        here = self.words[w] & (~np.uint64(0) << (j & 63).astype(np.uint64))
+        w = np.where(here == 0, self.right[np.minimum(w + 1, len(self.words) - 1)], w)
+        x = np.where(here == 0, self.words[w], here)
+        low = np.bitwise_count((x & (~x + np.uint64(1))) - np.uint64(1)).astype(np.int64)
+        return np.minimum((w << 6) + low, self.n)
+
+
 class FMIndex:
-    """Index of sequences of symbols >= 1; 0 ends every sequence.
+    """Compressed index of sequences of symbols >= 1; 0 ends every sequence, and
+    the largest symbol plus one stands for all that the index does not hold.
 
     Suffixes are ordered by ``threshold`` symbols or more, which makes every
-    interval of a pattern up to that length exact."""
+    interval of a pattern up to that length exact.  Kept are the last column as
+    a wavelet matrix, the symbol counts, and a bit per suffix that says where a
+    new prefix of ``threshold`` symbols starts; the suffix array goes once these
+    are built."""
 
     def __init__(self, text: np.ndarray, threshold: int):
-        self.threshold = threshold
-        self.suffix, levels = sorted_suffixes(text, threshold)
-        n = len(text)
-        bwt = text[self.suffix - 1]             # the text ends with 0, so place -1 is a separator
-        bits = max(1, int(text.max()).bit_length())
-        self.wavelet = WaveletMatrix(bwt, bits)
+        self.threshold, self.n = threshold, len(text)
+        suffix, levels = sorted_suffixes(text, threshold)
+        n = self.n
+        bits = (int(text.max()) + 1).bit_length()
+        # the text ends with 0, so place -1 is a separator
+        self.wavelet = WaveletMatrix(text[suffix - 1], bits)
         self.less = np.concatenate(([0], np.cumsum(np.bincount(text, minlength=1 << bits))))
         # where neighbouring suffixes differ within the first ``threshold`` symbols
-        a, b = self.suffix[:-1], self.suffix[1:]
+        a, b = suffix[:-1], suffix[1:]
         same, done = np.ones(n - 1, dtype=bool), 0
         for level in range(len(levels) - 1, -1, -1):
             if done + (1 << level) <= threshold:
                 r = levels[level]
                 same &= r[np.minimum(a + done, n)] == r[np.minimum(b + done, n)]
                 done += 1 << level
-        cut = np.concatenate(([True], ~same))
-        self.group = np.cumsum(cut) - 1
-        self.group_start = np.append(np.flatnonzero(cut), n)
+        self.heads = Marks(np.concatenate(([True], ~same)))
 
     def step(self, symbol: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Backward search by one symbol."""
         base = self.less[symbol]
         return base + self.wavelet.rank(symbol, lo), base + self.wavelet.rank(symbol, hi)
 
+    def find(self, flat: np.ndarray, start: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Intervals of the patterns ``flat[start:start + length]``, empty where they do not occur."""
+        lo, hi = np.zeros(len(start), dtype=np.int64), np.full(len(start), self.n, dtype=np.int64)
+        for back in range(1, int(length.max(initial=0)) + 1):
+            k = np.flatnonzero((length >= back) & (lo < hi))
+            lo[k], hi[k] = self.step(flat[start[k] + length[k] - back], lo[k], hi[k])
+        return lo, hi
+
+    def longest(self, flat: np.ndarray, start: np.ndarray, most: np.ndarray) -> np.ndarray:
+        """Length of the longest prefix of ``flat[start:start + most]`` that occurs."""
+        least, most = np.zeros_like(most), most.copy()
+        while (least < most).any():
+            middle = (least + most + 1) >> 1
+            lo, hi = self.find(flat, start, middle)
+            least, most = np.where(lo < hi, middle, least), np.where(lo < hi, most, middle - 1)
+        return least
+
     def matches(self, flat: np.ndarray, ends: np.ndarray, lengths: np.ndarray):
         """Matching statistics of streamed sequences, bounded by the threshold.
 
@@ -109,22 +160,25 @@ class FMIndex:
         of each.  Yields (sequences, places from the end, lo, hi): suffixes that
         match ``threshold`` symbols from that place on, with their interval.
         A match that grows past the threshold falls back to the enclosing
-        interval of exactly that length; one that fails starts anew."""
+        interval of exactly that length, one that ends to its longest prefix."""
         at = np.arange(len(ends))
-        lo, hi = np.zeros(len(ends), dtype=np.int64), np.full(len(ends), len(self.suffix), dtype=np.int64)
+        lo, hi = np.zeros(len(ends), dtype=np.int64), np.full(len(ends), self.n, dtype=np.int64)
         size = np.zeros(len(ends), dtype=np.int64)
         for back in range(1, int(lengths.max(initial=0)) + 1):
             live = lengths[at] >= back
             at, lo, hi, size = at[live], lo[live], hi[live], size[live]
-            lo, hi = self.step(flat[ends[at] - back], lo, hi)
+            here = ends[at] - back
+            lo, hi = self.step(flat[here], lo, hi)
             size += 1
-            lost = lo >= hi
-            if lost.any():
-                lo, hi, size = np.where(lost, 0, lo), np.where(lost, len(self.suffix), hi), np.where(lost, 0, size)
+            lost = np.flatnonzero(lo >= hi)
+            if len(lost):
+                size[lost] = self.longest(flat, here[lost], size[lost] - 1)
+                lo[lost], hi[lost] = self.find(flat, here[lost], size[lost])
+            grown = np.flatnonzero(size > self.threshold)
+            if len(grown):
+                inner = lo[grown]
+                lo[grown], hi[grown] = self.heads.at_or_before(inner), self.heads.after(inner)
+                size[grown] = self.threshold
             over = size >= self.threshold
-            g = self.group[np.minimum(lo, len(self.suffix) - 1)]
-            grown = size > self.threshold
-            lo, hi = np.where(grown, self.group_start[g], lo), np.where(grown, self.group_start[g + 1], hi)
-            size = np.minimum(size, self.threshold)
             if over.any():
                 yield at[over], back, lo[over], hi[over]

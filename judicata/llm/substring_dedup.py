@@ -13,9 +13,10 @@ belongs to its anchor, the gram with the smallest hash among those inside it.
    of its anchors.  The most frequent anchors are split: their windows are sent
    one by one by their own hash, so a passage of a third of all documents is
    spread and still compared exactly.
-3. Each shard builds a compressed FM-index of its distinct segments and streams
-   the segments through backward search over the wavelet matrix; intervals of
-   windows at the threshold give all places of a window and so the earliest.
+3. Each shard builds a compressed FM-index of its distinct segments (wavelet
+   matrix, symbol counts, a bit per suffix) and streams the segments through
+   backward search; equal windows report the same interval at the threshold, and
+   the smallest place that reports it is the earliest.
 4. A document loses the words of its repeated windows that are not the earliest.
 
 Words are compared as words in the shards; hashes only route.
@@ -44,6 +45,8 @@ CHUNK_BYTES = 1 << 20
 #: Anchors above this count may be split by window; at most HOT_ANCHORS of them, the most frequent ones.
 HOT_COUNT, HOT_ANCHORS = 20_000, 10_000
 SHARD_WORDS = 300_000
+#: One task holds the anchors of one bucket at a time; this much text gives about 2 million anchors (50 MB).
+BUCKET_BYTES = 64 << 20
 
 
 def windows(w: Words, width: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -234,7 +237,13 @@ def _segments(joined: DataFrame, width: int, gram: int, hot: frozenset[int]) ->
 
 def earliest_windows(segments: list[tuple[bytes, int, int, int]], width: int):
     """(id, txt, window starts) of the windows that occur first, by an FM-index
-    of distinct segments (words, id, txt, start)."""
+    of distinct segments (words, id, txt, start).
+
+    The index holds the segments in order of their places, and windows of one
+    text lie in one segment each, so places of the index are in order too.  The
+    segments are streamed against the index; equal windows report the same
+    interval, and the smallest place that reports an interval is the earliest."""
+    segments = sorted(segments, key=lambda s: s[1:])
     lists = [s[0].split() for s in segments]
     number = {w: i + 1 for i, w in enumerate(dict.fromkeys(x for words in lists for x in words))}
     sizes = np.array([len(x) for x in lists], dtype=np.int64)
@@ -243,31 +252,24 @@ def earliest_windows(segments: list[tuple[bytes, int, int, int]], width: int):
     inside = np.ones(len(flat), dtype=bool)
     inside[ends] = False
     flat[inside] = np.fromiter((number[x] for words in lists for x in words), dtype=np.int64, count=int(sizes.sum()))
+    del lists, number, inside
     index = FMIndex(flat, width)
-    seg = np.repeat(np.arange(len(lists)), sizes + 1)
-    offset = np.arange(len(flat)) - (ends - sizes)[seg]
-    ids, txts, starts = (np.array([s[k] for s in segments], dtype=np.int64) for k in (1, 2, 3))
-    # order of all places of the shard; places that start no window come last
-    order = np.lexsort((starts[seg] + offset, txts[seg], ids[seg]))
-    turn = np.empty(len(flat), dtype=np.int64)
-    turn[order] = np.arange(len(flat))
-    turn[offset > sizes[seg] - width] = len(flat)
-    earliest = np.minimum.reduceat(turn[index.suffix], index.group_start[:-1])
-    found_seg, found_off = [], []
+    interval, place = [], []
     for who, back, lo, _hi in index.matches(flat, ends, sizes):
-        at = ends[who] - back
-        first = turn[at] == earliest[index.group[lo]]
-        found_seg.append(who[first])
-        found_off.append((sizes[who] - back)[first])
-    if not found_seg:
+        interval.append(lo)
+        place.append(ends[who] - back)
+    if not place:
         return
-    s, o = np.concatenate(found_seg), np.concatenate(found_off)
-    by = np.lexsort((o, s))
-    s, o = s[by], o[by]
-    cut = np.flatnonzero(np.concatenate(([True], s[1:] != s[:-1])))[:len(s)]
-    for a, z in zip(cut, np.append(cut[1:], len(s))):
-        k = int(s[a])
-        yield int(ids[k]), int(txts[k]), (o[a:z] + starts[k]).tolist()
+    lo, at = np.concatenate(interval), np.concatenate(place)
+    order = np.lexsort((at, lo))
+    at, lo = at[order], lo[order]
+    at = np.sort(at[np.concatenate(([True], lo[1:] != lo[:-1]))])
+    seg = np.searchsorted(ends, at)
+    offset = at - (ends - sizes)[seg]
+    cut = np.flatnonzero(np.concatenate(([True], seg[1:] != seg[:-1])))
+    for a, z in zip(cut, np.append(cut[1:], len(seg))):
+        _, i, txt, start = segments[seg[a]]
+        yield i, txt, (offset[a:z] + start).tolist()
 
 
 def _search(segments: DataFrame, width: int, shard_words: int) -> DataFrame:
@@ -331,11 +333,13 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     documents with candidates: id, n_words, n_removed, kept_text)."""
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("txt"), F.col(text_col).alias("text"))
     usable = rows.where(F.col("id").isNotNull() & F.col("text").isNotNull())
-    repeated = materialise(_repeated(_blocks(usable, width, gram, 4 * n_partitions(docs.sparkSession))))
+    size = usable.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
+    buckets = min(max(4 * n_partitions(docs.sparkSession), -(-size // BUCKET_BYTES)), 1 << 24)
+    repeated = materialise(_repeated(_blocks(usable, width, gram, buckets)))
     hot = frozenset(r["hot"] for r in repeated.where("hot IS NOT NULL").orderBy(F.desc("n"), "hot").limit(HOT_ANCHORS).collect())
     places = (repeated.where("id IS NOT NULL").groupBy("id", "txt")
               .agg(F.array_distinct(F.flatten(F.collect_list("places"))).alias("places")))
-    stage2 = materialise(_segments(rows.join(places.hint("shuffle_hash"), ["id", "txt"], "left"), width, gram, hot))
+    stage2 = materialise(_segments(rows.join(places, ["id", "txt"], "left"), width, gram, hot))
     first = (_search(stage2.where("kind = 2"), width, shard_words)
              .groupBy("id", "txt").agg(F.flatten(F.collect_list("first")).alias("first")))
     pending = stage2.where("kind = 1").select("id", "txt", "text", "cand").join(first, ["id", "txt"], "left")
