@@ -26,11 +26,13 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_common_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that many documents share stay in one of them; n_chars follows the text."""
-    out = lines.line_dedup(docs, out="_kept", n_lines="_lines", n_dropped="_dropped")
-    out = out.withColumn("text", F.col("_kept"))
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("_dropped") > 0, F.char_length("text").cast("long")).otherwise(F.col("n_chars")))
-    return out.select(*docs.columns)
+    rest = [c for c in docs.columns if c != "text"]
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in rest]).alias("_row"), "doc_id", "text")
+    out = lines.line_dedup(rows, out="_kept", n_lines="_lines", n_dropped="_dropped")
+    new = {c: F.col(f"_row.`{c}`") for c in rest} | {"text": F.col("_kept")}
+    if "n_chars" in new:
+        new["n_chars"] = F.when(F.col("_dropped") > 0, F.char_length("_kept").cast("long")).otherwise(new["n_chars"])
+    return out.select(*[new[c].alias(c) for c in docs.columns])
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,11 +41,12 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     An id may repeat: all different texts under a kept id stay, a text that
     repeats under its id stays once, with the least values of the other columns.
     Rows without an id stay."""
-    kept = ngram_join.ngram_jaccard_join(docs).where("id = component_id").select("id")
-    known = docs.join(materialise(kept), docs["doc_id"] == F.col("id"), "left_semi")
+    kept = materialise(ngram_join.ngram_jaccard_join(docs).where("id = component_id").select("id"))
+    known = docs.join(kept, docs["doc_id"] == kept["id"], "left_semi")
     rest = [c for c in docs.columns if c not in ("doc_id", "text")]
-    least = known.groupBy("doc_id", "text").agg(F.min(F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`") for c in rest])).alias("_rest"))
-    once = least.select(*[F.col(f"_rest.`{c}`").alias(c) if c in rest else F.col(c) for c in docs.columns])
+    inner = [F.struct(*[F.col(f"`{c}`") for c in rest]).alias("inner")] if rest else []
+    least = known.groupBy("doc_id", "text").agg(F.min(F.struct(F.lit(0).alias("any"), *inner)).alias("_rest"))
+    once = least.select(*[F.col(f"_rest.inner.`{c}`").alias(c) if c in rest else F.col(c) for c in docs.columns])
     return once.unionByName(docs.where("doc_id IS NULL"))
 
 

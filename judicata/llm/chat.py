@@ -92,8 +92,10 @@ def parents(originals: DataFrame) -> DataFrame:
 def reply_ordered(messages: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", text_col: str = "text",
                   min_chars: int = 8) -> DataFrame:
     """The input's rows and columns, the text without quotes, plus parent_turn,
-    n_quoted (quoted lines) and position (gapless from 0 in the conversation)."""
-    rest = F.struct(*[F.col(f"`{c}`") for c in messages.columns if c != text_col])
+    n_quoted (quoted lines) and position (gapless from 0 in the conversation).
+    Columns of the input with one of these three names give way."""
+    through = [c for c in messages.columns if c not in ("parent_turn", "n_quoted", "position")]
+    rest = F.struct(*[F.col(f"`{c}`") for c in through if c != text_col])
     msgs = materialise(messages.select(
         F.col(conv_col).alias("conv"), F.col(turn_col).cast("long").alias("turn"), rest.alias("rest"),
         F.col(text_col).isNull().alias("none"), F.split(F.coalesce(F.col(text_col), F.lit("")), "\n", -1).alias("lines"),
@@ -118,5 +120,5 @@ def reply_ordered(messages: DataFrame, conv_col: str = "conv_id", turn_col: str
             .agg(F.count("*").alias("n"), F.min("gid").alias("first"))
             .withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0))))
     m = m.join(runs, m["conv"].eqNullSafe(runs["_conv"]) & (m["part"] == runs["_part"]))
-    return m.select(*[F.col(f"rest.`{c}`").alias(c) if c != text_col else F.col("own_text").alias(c) for c in messages.columns],
+    return m.select(*[F.col(f"rest.`{c}`").alias(c) if c != text_col else F.col("own_text").alias(c) for c in through],
                     "parent_turn", "n_quoted", (F.col("before") + F.col("gid") - F.col("first")).alias("position"))

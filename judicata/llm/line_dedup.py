@@ -9,7 +9,9 @@ Defined cases: a null or empty text is one empty line; a line whose key is
 shorter than ``min_chars`` code points is always kept; rows without a document
 id keep all lines and count for nothing; rows that repeat a document id count
 as one document, each keeps or loses its own lines; every other column of the
-input passes through, whatever its name.
+input passes through, whatever its name, but for those named like the three new
+columns, which give way; an empty table gives no rows; the lines of a very long
+text travel one by one.
 """
 
 from __future__ import annotations
@@ -51,7 +53,8 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     The lines travel as an array, so that a kept position is looked up in
     constant time; the set of kept positions is a hash difference."""
     drops = dropped_lines(docs, id_col, text_col, min_chars, min_docs)
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text_col]).alias("rest"),
+    through = [c for c in docs.columns if c not in (text_col, out, n_lines, n_dropped)]
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in through]).alias("rest"),
                        F.col(text_col).isNull().alias("was_null"), F.xxhash64(text_col).alias("txt"),
                        F.split(F.coalesce(text_col, F.lit("")), "\n", -1).alias("lines"))
     rows = rows.withColumn("doc", F.col(f"rest.{id_col}"))
@@ -59,7 +62,7 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     kept = F.transform(F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("drop")),
                        lambda i: F.get(F.col("lines"), i))
     kept = F.array_join(F.when(F.col("drop").isNull(), F.col("lines")).otherwise(kept), "\n")
-    return j.select(*[F.col(f"rest.`{c}`").alias(c) for c in docs.columns if c != text_col],
-                    F.when(~F.col("was_null") | F.col("drop").isNotNull(), kept).alias(out),
-                    F.size("lines").cast("long").alias(n_lines),
-                    F.coalesce(F.size("drop"), F.lit(0)).cast("long").alias(n_dropped))
+    new = j.select("rest", F.when(~F.col("was_null") | F.col("drop").isNotNull(), kept).alias("text"),
+                   F.size("lines").cast("long").alias("all"), F.coalesce(F.size("drop"), F.lit(0)).cast("long").alias("gone"))
+    return new.select(*[F.col(f"rest.`{c}`").alias(c) for c in through],
+                      F.col("text").alias(out), F.col("all").alias(n_lines), F.col("gone").alias(n_dropped))

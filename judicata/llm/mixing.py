@@ -12,7 +12,10 @@ The driver holds one row per pattern and per source, no documents.
 
 Defined cases: a null text has no words; a null source is a source, last in
 order; a document without sources (empty pattern) is never taken; sources
-without words have target 0; rows that repeat are documents of their own.
+without words have target 0; rows that repeat are documents of their own; an
+empty table gives no documents and no sources; columns of any name pass through,
+but for those named like the two new ones, which give way; of a very long text
+only the number of words counts.
 """
 
 from __future__ import annotations
@@ -107,9 +110,11 @@ def mix(docs: DataFrame, pattern: Column, size: Column, id_col: str = "doc_id",
 
     ``weights`` repeat over the sources in code-point order, null last."""
     spark = docs.sparkSession
-    rows = (docs.withColumn(size_col, size.cast("long")).withColumn("_pattern", F.array_sort(F.array_distinct(pattern)))
+    through = [c for c in docs.columns if c not in (copies_col, size_col)]
+    rows = (docs.select(F.struct(*[F.col(f"`{c}`") for c in through]).alias("_row"), F.col(f"`{id_col}`").alias("_id"),
+                        size.cast("long").alias("_size"), F.array_sort(F.array_distinct(pattern)).alias("_pattern"))
             .withColumn("_key", F.to_json(F.struct("_pattern"))))
-    stats = rows.groupBy("_key").agg(F.first("_pattern").alias("p"), F.sum(size_col).alias("words")).collect()
+    stats = rows.groupBy("_key").agg(F.first("_pattern").alias("p"), F.sum("_size").alias("words")).collect()
     stats = sorted(((r["_key"], r["p"] or [], r["words"] or 0) for r in stats), key=lambda r: r[0])
     sizes: dict = {}
     for _, members, words in stats:
@@ -130,23 +135,22 @@ def mix(docs: DataFrame, pattern: Column, size: Column, id_col: str = "doc_id",
         whole.append((key, base, max(0.0, t - base * n) if base < most else 0.0))
     routes = spark.createDataFrame(whole, "_key string, _base int, _rest double")
     # the driver made this table: one row per pattern
-    rows = (rows.withColumn("_u", F.xxhash64(F.lit(seed), F.col(id_col)))
+    rows = (rows.withColumn("_u", F.xxhash64(F.lit(seed), F.col("_id")))
             .withColumn("_b", F.pmod(F.shiftright("_u", 20), F.lit(BUCKETS)))
             .join(F.broadcast(routes), "_key", "left"))
     part = rows.where(F.col("_rest") > 0)
     upto = Window.partitionBy("_key").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    cuts = (part.groupBy("_key", "_b", "_rest").agg(F.sum(size_col).alias("_n"))
+    cuts = (part.groupBy("_key", "_b", "_rest").agg(F.sum("_size").alias("_n"))
             .withColumn("_before", F.coalesce(F.sum("_n").over(upto), F.lit(0)))
             .where((F.col("_before") <= F.col("_rest")) & (F.col("_rest") < F.col("_before") + F.col("_n")))
             .groupBy("_key").agg(F.max("_b").alias("_cut"), F.max("_before").alias("_at")))
     rows = rows.join(F.broadcast(cuts), "_key", "left")           # at most one row per pattern
     in_cut = F.col("_b") == F.col("_cut")
     # rows outside the cut bucket get a group of their own bucket each, so no window holds more than a bucket
-    run = Window.partitionBy("_key", "_b").orderBy("_u", id_col, size_col).rowsBetween(Window.unboundedPreceding, -1)
-    ran = F.coalesce(F.sum(size_col).over(run), F.lit(0))
+    run = Window.partitionBy("_key", "_b").orderBy("_u", "_id", "_size").rowsBetween(Window.unboundedPreceding, -1)
+    ran = F.coalesce(F.sum("_size").over(run), F.lit(0))
     rows = rows.withColumn("_more", F.when(F.col("_rest") <= 0, False)
                            .when(F.col("_cut").isNull() | (F.col("_b") < F.col("_cut")), True)
-                           .when(in_cut, F.col("_at") + ran + F.col(size_col) / 2 <= F.col("_rest")).otherwise(False))
+                           .when(in_cut, F.col("_at") + ran + F.col("_size") / 2 <= F.col("_rest")).otherwise(False))
     copies = (F.coalesce(F.col("_base"), F.lit(0)) + F.coalesce(F.col("_more"), F.lit(False)).cast("int")).cast("int")
-    return (rows.withColumn(copies_col, copies)
-            .drop("_pattern", "_key", "_u", "_b", "_base", "_rest", "_cut", "_at", "_more"), sources)
+    return rows.select(*[F.col(f"_row.`{c}`").alias(c) for c in through], F.col("_size").alias(size_col), copies.alias(copies_col)), sources

@@ -28,7 +28,9 @@ pair of sets, classes are told apart by 64 bits of a digest of the set.
 
 Defined cases: fewer than n words are one n-gram of all words; null or blank
 texts have an empty set and link with nothing; rows without an id link with
-nothing and have no component; rows that repeat an id are one document.
+nothing and have no component; rows that repeat an id are one document; an empty
+table gives no rows; other columns play no part, whatever their names; a very long
+text is one set, held whole by one task.
 """
 
 from __future__ import annotations

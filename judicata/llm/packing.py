@@ -10,7 +10,8 @@ from its rank among the pieces of its length.  The result is that of one
 best-fit decreasing pass over all pieces of the corpus.
 
 Defined cases: a null or empty text is its end token alone; repeated rows are
-packed as often as they are there; an empty table gives no rows.
+packed as often as they are there; an empty table gives no rows; other columns
+play no part, whatever their names; a very long text is cut into pieces.
 """
 
 from __future__ import annotations

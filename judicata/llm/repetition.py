@@ -9,7 +9,9 @@ start of a maximal repeated substring; the union of these spans gives the
 covered fraction, the maximum the longest repeat.
 
 Defined cases: a null or empty text has no words, fails the base rules
-(fewer than ``min_words``) and is not kept; repeated rows are judged alike.
+(fewer than ``min_words``) and is not kept; repeated rows are judged alike; an
+empty table gives no rows; other columns play no part, whatever their names; a very
+long text is a batch of its own.
 """
 
 from __future__ import annotations

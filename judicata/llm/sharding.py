@@ -8,7 +8,8 @@ its weight's share of all, and no record moves between old shards.
 
 Defined cases: a null key is a key like any other; rows that repeat a key go to
 the same shard and get different slots; a null text has size ``overhead`` and
-the CRC of no bytes; an empty table gives no rows.
+the CRC of no bytes; an empty table gives no rows; other columns play no part,
+whatever their names.
 """
 
 from __future__ import annotations

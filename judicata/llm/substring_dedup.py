@@ -24,7 +24,8 @@ Words are compared as words in the shards; hashes only route.
 Defined cases: a null or empty text has no words and keeps the empty string;
 rows without an id keep all words and count for nothing; equal rows are one
 document and get equal results; different texts under one id are ordered by
-their text hash; every other column is left to the caller's join by id.
+their text hash; every other column is left to the caller's join by id, whatever
+its name; an empty table gives no rows; a very long text is one chunk of one task.
 """
 
 from __future__ import annotations
