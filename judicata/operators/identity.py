@@ -19,6 +19,9 @@ from judicata.functions.text import letters_key
 from judicata.operators.components import components
 from judicata.session import materialise
 
+#: Names whose shortened strings one task makes.
+NAMES_A_TASK = 20_000
+
 
 def _deletions(key: Column, max_dist: int) -> Column:
     """Hashes of the key and of all that is left of it after up to ``max_dist`` deleted letters."""
@@ -33,17 +36,27 @@ def _deletions(key: Column, max_dist: int) -> Column:
     return F.transform(F.concat(*levels), lambda v: F.xxhash64(v))
 
 
+def _shared(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Rows of the two sides that hold the same shortened string.
+
+    A plan's estimate of a side is the size of its names, of which it has hundreds of
+    strings each, so the join is told to sort both sides and send neither through the driver."""
+    return left.hint("merge").join(right.hint("merge"), "v")
+
+
 def resolve_identities(df: DataFrame, id_col: str, name_col: str, max_dist: int = 2) -> DataFrame:
     """(id, cluster_id): records whose names are linked by steps of at most
     ``max_dist`` edits share the smallest id among them."""
     x = df.select(F.col(id_col).alias("id"), letters_key(F.col(name_col)).alias("clave"))
     nodes = materialise(x.where("clave IS NOT NULL").groupBy("clave").agg(F.min("id").alias("least"))
                         .select(F.xxhash64("clave").alias("node"), "clave", "least"))
-    left = nodes.select("node", F.explode(_deletions(F.col("clave"), max_dist)).alias("v"))
-    pairs = (left.select(F.col("node").alias("a"), "v").join(left.select(F.col("node").alias("b"), "v"), "v")
+    tasks = max(df.sparkSession.sparkContext.defaultParallelism, -(-nodes.count() // NAMES_A_TASK))
+    left = nodes.repartition(tasks, "node").select("node", F.explode(_deletions(F.col("clave"), max_dist)).alias("v"))
+    pairs = (_shared(left.select(F.col("node").alias("a"), "v"), left.select(F.col("node").alias("b"), "v"))
              .where("a < b").select("a", "b").distinct())
-    near = (pairs.join(nodes.select(F.col("node").alias("a"), F.col("clave").alias("ka")), "a")
-            .join(nodes.select(F.col("node").alias("b"), F.col("clave").alias("kb")), "b")
+    # files of names are a fraction of the names' size in memory, so these are not left to the estimate either
+    near = (pairs.join(nodes.select(F.col("node").alias("a"), F.col("clave").alias("ka")).hint("merge"), "a")
+            .join(nodes.select(F.col("node").alias("b"), F.col("clave").alias("kb")).hint("merge"), "b")
             .where(F.levenshtein("ka", "kb") <= max_dist).select("a", "b"))
     owner = nodes.join(components(near), "node", "left").withColumn("root", F.coalesce("component", "node"))
     person = owner.groupBy("root").agg(F.min("least").alias("cluster_id"))
@@ -66,7 +79,7 @@ def match_names(left: DataFrame, right: DataFrame, code: str, name: str, max_dis
     va = a.select("left_code", "left_code_key", F.explode(_deletions(F.col("left_code_key"), max_dist)).alias("v"))
     vb = b.select("right_code", "right_code_key", F.explode(_deletions(F.col("right_code_key"), max_dist)).alias("v"))
     distance = F.levenshtein("left_code_key", "right_code_key")
-    open_pairs = materialise(va.join(vb, "v").select("left_code", "right_code", distance.alias("distance")).distinct()
+    open_pairs = materialise(_shared(va, vb).select("left_code", "right_code", distance.alias("distance")).distinct()
                              .where(F.col("distance") <= max_dist))
     pairs = None
     while not open_pairs.isEmpty():

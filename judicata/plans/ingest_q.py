@@ -12,7 +12,7 @@ from judicata.plans.common import dim
 from judicata.session import materialise
 from judicata.sources.records import assemble_records, decode_lines, parse_records
 from judicata.sources.sheet import sheets_to_long
-from judicata.tables import Tables
+from judicata.tables import Tables, balance
 
 
 @register("csv_records", sql=r"""
@@ -64,7 +64,7 @@ SELECT a AS id, min(b) AS cluster_id FROM r GROUP BY a
 def identity_clusters(spark, sf):
     """People by name within two edits, chains included, over customers whose names repeat
     others' with replaced, lost and added letters, accents and case (SET-7)."""
-    c = Tables(spark, sf).customer("c_custkey")
+    c = balance(Tables(spark, sf).customer("c_custkey"))
     return resolve_identities(c.select("c_custkey", F.expr(_NAME).alias("nombre")), "c_custkey", "nombre")
 
 

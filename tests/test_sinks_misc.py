@@ -192,3 +192,19 @@ def test_cutoff_falls_back_to_any_date_column(spark):
     from judicata import jobs as J
     raw = spark.createDataFrame([("2020", "LIMA", "5", "03/02/2021"), ("2021", "PIURA", "1", "junk")], "`AÑO` string, DEPARTAMENTO string, `CASOS TOTAL` string, FECHA string")
     assert J.violence_cases(raw)["meta"].first().fecha_corte == "2021-02-03"
+
+
+def test_identity_resolution_sends_no_shortened_strings_through_the_driver(spark):
+    # covers: SET-7; a name of 20 letters has 211 of them, a plan's estimate sees the name's bytes only
+    rows = [(i, "".join(chr(65 + (i * p + p // 7) % 26) for p in range(3, 99, 5)) + chr(65 + i // 26 % 26) * 3 + chr(65 + i // 676) * 3) for i in range(1500)]
+    df = spark.createDataFrame([*rows, (5000, rows[7][1][:-1])], "id long, nombre string")
+    conf = {"spark.sql.autoBroadcastJoinThreshold": str(10 << 20), "spark.sql.maxBroadcastTableSize": str(4 << 20)}
+    old = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        got = {r.id: r.cluster_id for r in resolve_identities(df, "id", "nombre").collect()}
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert got == {i: i for i in range(1500)} | {5000: 7}
