@@ -16,6 +16,7 @@ fault-tolerant state store.
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections import deque
 from collections.abc import Iterator
 
@@ -237,60 +238,71 @@ RUN_SCHEMA = ("user_id long, day long, chunk int, event_id long, t long, motivo
 STATE = ["count", "hits", "from_count", "from_hits"]
 
 
-def decide(t: np.ndarray, count: int, hits: deque, window: int, max_hits: int, day_max: int) -> tuple[np.ndarray, int]:
-    """Decisions of one group's next events in time order; ``hits`` is moved on.
+def decide(t: list[int], lo: int, hi: int, why: list[int], count: int, hits: deque, window: int, max_hits: int, day_max: int) -> int:
+    """Decisions of one group's next events ``t[lo:hi]`` in time order, into ``why``, which holds
+    ``DAY``; ``hits`` is moved on, and the number accepted is returned.
 
     At most ``day_max`` events are accepted, and while the window is full all events up
     to its end are rejected at once, so the work is a few searches, not a step an event."""
-    out = np.full(len(t), DAY, dtype=np.int32)
-    i = 0
-    while i < len(t) and count < day_max:
+    i = lo
+    while i < hi and count < day_max:
         while hits and t[i] - hits[0] > window:
             hits.popleft()
         if len(hits) >= max_hits:
-            j = int(np.searchsorted(t, hits[0] + window, side="right")) if hits else len(t)
-            out[i:j] = WINDOW
+            j = bisect_right(t, hits[0] + window, i, hi) if hits else hi
+            why[i:j] = [WINDOW] * (j - i)
             i = j
         else:
-            out[i] = OK
-            hits.append(int(t[i]))
+            why[i] = OK
+            hits.append(t[i])
             count += 1
             i += 1
-    return out, count
+    return count
 
 
 def _run_groups(ev: DataFrame, window: int, max_hits: int, day_max: int) -> DataFrame:
     """Run (key, day, chunk) groups in time order from their ``from_count`` and ``from_hits``:
-    a row an event, and a row a group (event_id null) with its end state."""
+    a row an event, and a row a group (event_id null) with its end state.
+
+    Most groups are a few events, so the end states of a batch's groups leave in one batch."""
     x = ev.repartition(*[F.col(c) for c in GROUP]).sortWithinPartitions(*GROUP, "t", "event_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, count, hits, begin = None, 0, deque(), (0, [])
+        at, count, hits, begin, ended = None, 0, deque(), (0, []), []
 
-        def state() -> pa.RecordBatch:
-            none = pa.nulls(1, pa.int64())
-            return pa.record_batch([pa.array([at[0]], pa.int64()), pa.array([at[1]], pa.int64()), pa.array([at[2]], pa.int32()), none, none,
-                                    pa.nulls(1, pa.int32()), pa.array([count], pa.int32()), pa.array([list(hits)], pa.list_(pa.int64())),
-                                    pa.array([begin[0]], pa.int32()), pa.array([begin[1]], pa.list_(pa.int64()))], names=names)
+        def states() -> pa.RecordBatch:
+            *group, counts, ends, from_count, from_hits = zip(*ended)
+            none = pa.nulls(len(ended), pa.int64())
+            return pa.record_batch([*[pa.array(v, k) for v, k in zip(group, (pa.int64(), pa.int64(), pa.int32()))], none, none,
+                                    pa.nulls(len(ended), pa.int32()), pa.array(counts, pa.int32()), pa.array(ends, pa.list_(pa.int64())),
+                                    pa.array(from_count, pa.int32()), pa.array(from_hits, pa.list_(pa.int64()))], names=names)
 
         for b in batches:
+            if not b.num_rows:
+                continue
             key = [b.column(c).to_numpy() for c in GROUP]
-            t = b.column("t").to_numpy()
+            t = b.column("t").to_pylist()
             new = np.flatnonzero((key[0][1:] != key[0][:-1]) | (key[1][1:] != key[1][:-1]) | (key[2][1:] != key[2][:-1])) + 1
-            edges = [0, *new.tolist(), b.num_rows] if b.num_rows else []
-            why = np.zeros(b.num_rows, dtype=np.int32)
-            for lo, hi in zip(edges, edges[1:]):
-                here = tuple(int(k[lo]) for k in key)
+            edges = [0, *new.tolist(), b.num_rows]
+            first = pa.array(edges[:-1], pa.int64())
+            heads = zip(zip(*[k[edges[:-1]].tolist() for k in key]), b.column("from_count").take(first).to_pylist(),
+                        b.column("from_hits").take(first).to_pylist())
+            why = [DAY] * b.num_rows
+            for lo, hi, (here, from_count, from_hits) in zip(edges, edges[1:], heads):
                 if here != at:
                     if at is not None:
-                        yield state()
-                    begin = (b.column("from_count")[lo].as_py(), b.column("from_hits")[lo].as_py())
-                    at, count, hits = here, begin[0], deque(begin[1])
-                why[lo:hi], count = decide(t[lo:hi], count, hits, window, max_hits, day_max)
+                        ended.append((*at, count, list(hits), *begin))
+                    at, count, hits, begin = here, from_count, deque(from_hits), (from_count, from_hits)
+                count = decide(t, lo, hi, why, count, hits, window, max_hits, day_max)
             none, lists = pa.nulls(b.num_rows, pa.int32()), pa.nulls(b.num_rows, pa.list_(pa.int64()))
-            yield pa.record_batch([*[b.column(c) for c in GROUP], b.column("event_id"), b.column("t"), pa.array(why), none, lists, none, lists], names=names)
+            yield pa.record_batch([*[b.column(c) for c in GROUP], b.column("event_id"), b.column("t"), pa.array(why, pa.int32()), none, lists, none, lists],
+                                  names=names)
+            if ended:
+                yield states()
+                ended.clear()
         if at is not None:
-            yield state()
+            ended.append((*at, count, list(hits), *begin))
+            yield states()
 
     names = [f.split()[0] for f in RUN_SCHEMA.split(", ")]
     return x.select(*GROUP, "event_id", "t", "from_count", "from_hits").mapInArrow(run, RUN_SCHEMA)
@@ -300,9 +312,12 @@ def _chunked(src: DataFrame, hot_events: int, pieces: int) -> tuple[DataFrame, D
     """(events with their chunk, days by key that are cut): a day of one key with more than
     ``hot_events`` events is cut at times that leave about equally many between them."""
     cuts = [i / pieces for i in range(1, pieces)]
-    hot = materialise(src.groupBy("user_id", "day").agg(F.count(F.lit(1)).alias("n"), F.min("t").alias("least"),
-                                                        F.percentile_approx("t", cuts, 100 * pieces).alias("cuts"))
-                      .where(F.col("n") > hot_events).select("user_id", "day", F.filter(F.array_distinct("cuts"), lambda c: c > F.col("least")).alias("cuts")))
+    # counted first: a sketch of times for every day of every key costs more than the days that need one
+    many = materialise(src.groupBy("user_id", "day").agg(F.count(F.lit(1)).alias("n"), F.min("t").alias("least"))
+                       .where(F.col("n") > hot_events).select("user_id", "day", "least"))
+    hot = materialise(src.join(many, ["user_id", "day"]).groupBy("user_id", "day")
+                      .agg(F.min("least").alias("least"), F.percentile_approx("t", cuts, 100 * pieces).alias("cuts"))
+                      .select("user_id", "day", F.filter(F.array_distinct("cuts"), lambda c: c > F.col("least")).alias("cuts")))
     chunk = F.when(F.col("cuts").isNull(), 0).otherwise(F.size(F.filter("cuts", lambda c: c <= F.col("t"))))
     return src.join(hot, ["user_id", "day"], "left").select("event_id", "user_id", "day", "t", chunk.cast("int").alias("chunk")), hot
 

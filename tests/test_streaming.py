@@ -120,3 +120,31 @@ def test_limiter_splits_a_hot_day(spark, hot, pieces):
         want = brute_force(rows, w, mh, dm)
         got = {x.event_id: (x.aceptado, x.motivo) for x in limit_batch_by_day(df, window_s=w, max_hits=mh, day_max=dm, hot_events=hot, pieces=pieces).collect()}
         assert got == want, (w, mh, dm)
+
+
+def test_limiter_end_states_leave_in_batches(spark):
+    # covers: STR-1; a batch of 2,000 short days made 2,000 batches of one row beside it
+    import pyarrow as pa
+
+    from judicata.streaming.limiter import REASONS, _run_groups
+
+    class Held:
+        """In place of the events: gives the function that Spark would run over them."""
+        repartition = sortWithinPartitions = select = lambda self, *_: self
+        mapInArrow = lambda self, run, _: run      # noqa: E731
+
+    day = 86_400 * S
+    rows = [(u, d, i, (d * day) + k * 600 * S) for i, (u, d, k) in enumerate((u, d, k) for u in range(200) for d in range(10) for k in range(1 + (u + d) % 5))]
+    none = pa.array([[]] * len(rows), pa.list_(pa.int64()))
+    batch = pa.record_batch([*[pa.array([r[c] for r in rows], pa.int64()) for c in (0, 1)], pa.array([0] * len(rows), pa.int32()),
+                             *[pa.array([r[c] for r in rows], pa.int64()) for c in (2, 3)], pa.array([0] * len(rows), pa.int32()), none],
+                            names=["user_id", "day", "chunk", "event_id", "t", "from_count", "from_hits"])
+    run = _run_groups(Held(), 3600 * S, 2, 3)
+    for cuts in ([0, len(rows)], [0, 1, 2, 700, 701, len(rows)]):      # a group may go on in the next batch
+        out = list(run(batch.slice(a, b - a) for a, b in zip(cuts, cuts[1:])))
+        assert len(out) <= 2 * len(cuts)
+        out = [r for b in out for r in b.to_pylist()]
+        got = {r["event_id"]: REASONS[r["motivo"]] for r in out if r["event_id"] is not None}
+        assert got == {k: v[1] for k, v in brute_force([(r[2], r[0], r[3]) for r in rows], 3600, 2, 3).items()}
+        ends = {(r["user_id"], r["day"]): r for r in out if r["event_id"] is None}
+        assert len(ends) == 2000 and sum(r["count"] for r in ends.values()) == sum(v == "ok" for v in got.values())
