@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor
@@ -28,6 +28,8 @@ OTHER = "OTROS"
 GBT_PARAMS = {"maxIter": 400, "stepSize": 0.06, "maxDepth": 6}
 VALIDATION_PCT = 10
 VALIDATION_TOL = 1e-7
+#: Training rows of one task; boosting holds a few hundred bytes of a row, and every task reads its rows in every round.
+ROWS_A_TASK = 250_000
 
 
 def key_percent(key_cols, seed: int = 42):
@@ -73,6 +75,24 @@ def build_pipeline(cat_cols, num_cols, target: str, seed: int = 42, validation_c
     return Pipeline(stages=[*idx, ohe, asm, gbr])
 
 
+def fit_dealt(stages, train: DataFrame, key_cols) -> PipelineModel:
+    """Fit feature stages and, last, boosted trees whose rows are dealt by key over as many tasks as they need.
+
+    Files are split by their bytes, and a file holds a training row in a few: without this a
+    core gets one task, however many rows there are.  All rows are fitted, and each once."""
+    features = Pipeline(stages=stages[:-1]).fit(train)
+    trees = stages[-1]
+    x = features.transform(train)
+    rows = train.count()
+    if rows > ROWS_A_TASK:
+        own = [trees.getFeaturesCol(), trees.getLabelCol()]
+        if trees.isDefined(trees.validationIndicatorCol):
+            own.append(trees.getValidationIndicatorCol())
+        tasks = max(train.sparkSession.sparkContext.defaultParallelism, -(-rows // ROWS_A_TASK))
+        x = x.select(*own, *[c for c in key_cols if c not in own]).repartition(tasks, *[F.col(c) for c in key_cols])
+    return PipelineModel(stages=[*features.stages, trees.fit(x)])
+
+
 def fit_and_score(df: DataFrame, key_cols, cat_cols, num_cols, target: str, early_stopping: bool = True,
                   **gbt):
     """Returns (model, test predictions, one-row metrics DataFrame).
@@ -91,7 +111,7 @@ def fit_and_score(df: DataFrame, key_cols, cat_cols, num_cols, target: str, earl
         vcol = "_es_val"
         h = F.pmod(F.xxhash64(F.lit(7), *[F.col(c) for c in key_cols]), F.lit(100))
         train = train.withColumn(vcol, h < VALIDATION_PCT)
-    model = build_pipeline(cat_cols, num_cols, target, validation_col=vcol, **gbt).fit(train)
+    model = fit_dealt(build_pipeline(cat_cols, num_cols, target, validation_col=vcol, **gbt).getStages(), train, key_cols)
     if vcol:
         train = train.drop(vcol)      # n_train and the baseline median cover the whole training split
     # the medians read the predictions more than once
@@ -183,7 +203,7 @@ def risk_classifier(df: DataFrame, key_cols, cat_cols, num_cols, target: str, q:
         train = train.withColumn("_es_val", h < VALIDATION_PCT)
         params.update(validationIndicatorCol="_es_val", validationTol=VALIDATION_TOL)
     clf = GBTClassifier(featuresCol="features", labelCol="riesgo", seed=42, checkpointInterval=10, **params)
-    model = Pipeline(stages=[*stages, clf]).fit(train)
+    model = fit_dealt([*stages, clf], train, key_cols)
     pred = model.transform(test)
     auc = BinaryClassificationEvaluator(labelCol="riesgo", rawPredictionCol="rawPrediction").evaluate(pred)
     return model, pred, auc

@@ -79,3 +79,29 @@ def test_partition_count_independence(spark, name):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "8")
     assert da == db
+
+
+def test_delay_model_rows_are_dealt_over_tasks(spark, monkeypatch):
+    # covers: ML-4; boosting's rows per task do not follow from how many bytes a file holds of them
+    from pyspark.ml.regression import GBTRegressor
+    from pyspark.sql import functions as F
+
+    from judicata.ml import delay_model as DM
+    from judicata.plans.model_q import CAT, NUM, _features
+    from judicata.session import materialise
+    df = materialise(_features(spark, SF).coalesce(1))
+    seen, fit = [], GBTRegressor._fit
+
+    def spied(self, x):
+        seen.append(x.groupBy(F.spark_partition_id().alias("p")).count().agg(F.count("p").alias("tasks"), F.max("count").alias("most"), F.sum("count").alias("rows")).first())
+        return fit(self, x)
+
+    monkeypatch.setattr(GBTRegressor, "_fit", spied)
+    maes = []
+    for rows in (10_000_000, 100):
+        monkeypatch.setattr(DM, "ROWS_A_TASK", rows, raising=False)
+        m = DM.fit_and_score(df, ["o_orderkey", "l_linenumber"], CAT, NUM, "dias", maxIter=2)[2].first()
+        maes.append(m.mae)
+        assert seen[-1].rows == m.n_train
+    assert seen[0].tasks == 1 and seen[1].tasks >= seen[1].rows / 100 and seen[1].most < 200
+    assert maes[0] == pytest.approx(maes[1], rel=1e-9)
