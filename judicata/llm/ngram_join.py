@@ -47,7 +47,11 @@ from judicata.llm.common import materialise, n_partitions
 from judicata.operators.components import components
 from judicata.llm.wordhash import Words, in_chunks, mix
 
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18
+#: Zone entries that a task writes as one block for each bucket.
+BLOCK_ENTRIES = 500_000
+#: Entries of a bucket that are sorted at a time.
+SLICE_ENTRIES = 250_000
 #: Sets of at most this size show their whole set; a longer prefix than half again is free up to there.
 SHORT = 300
 #: Candidate classes up to this many are sent to all executors to pick their texts (about 16 bytes each).
@@ -151,9 +155,11 @@ def _zones(rows: DataFrame, n: int, percent: int, buckets: int) -> DataFrame:
                 cls.append(c)
                 sizes.append(len(s))
                 held += len(zone)
-                if held > 2_000_000 or len(cls) >= 60_000:
+                if len(seen) >= 60_000:
+                    seen.clear()
+                if held > BLOCK_ENTRIES or len(cls) >= 60_000:
                     yield emit(hs, refs, ranks, cls, sizes)
-                    hs, refs, ranks, cls, sizes, held, seen = [], [], [], [], [], 0, set()
+                    hs, refs, ranks, cls, sizes, held = [], [], [], [], [], 0
         if held:
             yield emit(hs, refs, ranks, cls, sizes)
 
@@ -164,14 +170,15 @@ def _shared(zones: DataFrame, hot: int, parts: int) -> DataFrame:
     """Entries of hashes found in several classes, as blocks by class bucket."""
     names, types = ["cb", "cls", "n", "h", "rank", "hot"], (pa.int32(), *[pa.binary()] * 5)
 
-    def bucket(part):
+    def found(part, keys, cut):
         hs, cs, ns, rs = [], [], [], []
-        for h, ref, rank, cls, n in part:
+        for (_, ref, rank, cls, n), key, s in zip(part, keys, cut):
             at = np.frombuffer(ref, "<u2")
-            hs.append(np.frombuffer(h, "<u8"))
+            rs.append(np.frombuffer(rank, "<u2" if len(rank) == 2 * len(at) else "<u4")[s].astype("<u4"))
+            at = at[s]
+            hs.append(key[s])
             cs.append(np.frombuffer(cls, "<i8")[at])
             ns.append(np.frombuffer(n, "<i8")[at])
-            rs.append(np.frombuffer(rank, "<u2" if len(rank) == 2 * len(at) else "<u4").astype("<u4"))
         h, c, n, r = (np.concatenate(x) for x in (hs, cs, ns, rs))
         order = np.argsort(h, kind="stable")
         start = np.flatnonzero(np.concatenate(([True], h[order][1:] != h[order][:-1])))
@@ -186,37 +193,64 @@ def _shared(zones: DataFrame, hot: int, parts: int) -> DataFrame:
         start = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1])))
         df = np.diff(np.append(start, len(h)))
         df = np.repeat(df, df)
+        many = df > 1
+        return (h[many], c[many], n[many], r[many], df[many] > hot) if many.any() else None
+
+    def emit(some):
+        h, c, n, r, over = (np.concatenate(x) for x in zip(*some))
         cb = c % parts
         order = np.lexsort((c, cb))
-        order = order[df[order] > 1]
-        if not len(order):
-            return None
-        h, c, n, r, df, cb = h[order], c[order], n[order], r[order], df[order], cb[order]
+        h, c, n, r, over, cb = h[order], c[order], n[order], r[order], over[order], cb[order]
         cut = np.flatnonzero(np.concatenate(([True], cb[1:] != cb[:-1])))
-        rows = [(int(cb[a]), c[a:z].tobytes(), n[a:z].tobytes(), h[a:z].tobytes(), r[a:z].tobytes(), (df[a:z] > hot).tobytes())
+        rows = [(int(cb[a]), c[a:z].tobytes(), n[a:z].tobytes(), h[a:z].tobytes(), r[a:z].tobytes(), over[a:z].tobytes())
                 for a, z in zip(cut, np.append(cut[1:], len(c)))]
         return pa.record_batch([pa.array(x, t) for x, t in zip(zip(*rows), types)], names=names)
 
-    return _by_key(zones.repartition(parts, "bucket").sortWithinPartitions("bucket"), bucket,
+    def bucket(part):
+        keys, some, held = [np.frombuffer(x[0], "<u8") for x in part], [], 0
+        for cut in _slices(keys, SLICE_ENTRIES):
+            got = found(part, keys, cut)
+            if got is None:
+                continue
+            some.append(got)
+            held += len(got[0])
+            if held > BLOCK_ENTRIES:
+                yield emit(some)
+                some, held = [], 0
+        if some:
+            yield emit(some)
+
+    return _by_key(zones.repartitionById(parts, "bucket").sortWithinPartitions("bucket"), bucket,
                    "cb int, cls binary, n binary, h binary, rank binary, hot binary")
 
 
+def _slices(keys: list[np.ndarray], most: int) -> Iterator[list[slice]]:
+    """Ranges of sorted blocks, one slice of every block, that hold about ``most``
+    entries together; equal keys are in one range, however many they are."""
+    some = np.sort(np.concatenate(keys)[::max(1, most // 64)])
+    cuts = np.unique(some[64::64])
+    at = [np.concatenate(([0], np.searchsorted(k, cuts), [len(k)])) for k in keys]
+    for x in range(len(cuts) + 1):
+        yield [slice(int(a[x]), int(a[x + 1])) for a in at]
+
+
 def _by_key(df: DataFrame, work, schema: str) -> DataFrame:
-    """``work`` on the rows of each value of the first column of a sorted frame."""
+    """``work`` on the rows of each value of the first column of a sorted frame;
+    binary values reach it as buffers of their batch, not as copies."""
+    def values(column):
+        return [x.as_buffer() for x in column] if pa.types.is_binary(column.type) else column.to_pylist()
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, part = None, []
         for b in batches:
-            for r in zip(*(b.column(k).to_pylist() for k in range(b.num_columns))):
+            for r in zip(*(values(b.column(k)) for k in range(b.num_columns))):
                 if r[0] != now and part:
-                    out = work(part)
+                    yield from work(part)
                     part = []
-                    if out is not None:
-                        yield out
                 now = r[0]
                 part.append(r[1:])
-        out = work(part) if part else None
-        if out is not None:
-            yield out
+        if part:
+            yield from work(part)
 
     return df.mapInArrow(run, schema)
 
@@ -227,8 +261,11 @@ def _prefixes(shared: DataFrame, percent: int, parts: int) -> DataFrame:
     names = ["token", "n", "cls", "shared"]
 
     def classes(part):
-        c, n, h, r, hot = (np.concatenate([np.frombuffer(x[k], d) for x in part])
-                           for k, d in enumerate(("<i8", "<i8", "<u8", "<u4", "?")))
+        blocks = [[np.frombuffer(x[k], d) for k, d in enumerate(("<i8", "<i8", "<u8", "<u4", "?"))] for x in part]
+        for cut in _slices([x[0] for x in blocks], SLICE_ENTRIES):
+            yield candidates(*(np.concatenate([x[k][s] for x, s in zip(blocks, cut)]) for k in range(5)))
+
+    def candidates(c, n, h, r, hot):
         order = np.lexsort((r, c))
         c, n, h, r, hot = c[order], n[order], h[order], r[order].astype(np.int64), hot[order]
         cut = np.flatnonzero(np.concatenate(([True], c[1:] != c[:-1])))
@@ -250,7 +287,7 @@ def _prefixes(shared: DataFrame, percent: int, parts: int) -> DataFrame:
         cols = (h.view(np.int64)[keep], n[keep], c[keep], shared[keep])
         return pa.record_batch([pa.array(x) for x in cols], names=names)
 
-    return _by_key(shared.repartition(parts, "cb").sortWithinPartitions("cb"), classes,
+    return _by_key(shared.repartitionById(parts, "cb").sortWithinPartitions("cb"), classes,
                    "token long, n long, cls long, shared long")
 
 
@@ -303,7 +340,7 @@ def _families(tokens: DataFrame, percent: int, parts: int) -> DataFrame:
                 for x in zip(gc.tolist(), gn.tolist(), gs.tolist()):
                     k = lead + x
                     found[k] = found.get(k, 0) + 1
-                if len(found) > 300_000:
+                if len(found) > 100_000:
                     yield out()
 
         for b in batches:
@@ -404,7 +441,7 @@ def _cross_links(blocks: DataFrame, sets: DataFrame, percent: int, parts: int) -
                         found.append((cls[k], cls[x]))
                         roots[roots == roots[x]] = roots[k]
             mark[grams[first[k]:first[k + 1]]] = False
-        return pa.record_batch([pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
+        yield pa.record_batch([pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
     flat = rows.select(F.concat_ws(":", "task.family", "task.bi", "task.bj").alias("task"), "right", "cls", "comp", "grams")
     return _by_key(flat.repartition(parts, "task").sortWithinPartitions("task"), work, "a long, b long")

@@ -18,7 +18,7 @@ _POWERS: dict[str, np.ndarray] = {}
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     if not _POWERS or len(_POWERS["up"]) < n:
-        size = max(n, 1 << 21)
+        size = max(n + (n >> 2), 1 << 18)
         for name, base in (("up", _BASE), ("down", _INVERSE)):
             p = np.full(size, base, dtype=np.uint64)
             p[0] = 1

@@ -3,9 +3,11 @@
 import hashlib
 import random
 import time
+import tracemalloc
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -175,6 +177,78 @@ def test_ngram_join_ids_that_hold_two_texts(spark):
     assert got == want
 
 
+class _Frame:
+    """Stands for a frame and hands out the function that mapInArrow gets."""
+
+    def __getattr__(self, name):
+        return lambda *a: a[0] if name == "mapInArrow" else self
+
+
+def _peak(work, batches):
+    """Rows of the result, and MB that Python held at most beyond its input."""
+    rows = []
+    tracemalloc.start()
+    for b in work(iter(batches)):
+        rows += b.to_pylist()
+    peak = tracemalloc.get_traced_memory()[1] / 1e6
+    tracemalloc.stop()
+    return rows, peak
+
+
+def test_ngram_join_sorts_a_bucket_in_slices():
+    """A full bucket: 1.2 million entries in blocks of several tasks, one hash of many classes among them."""
+    r, blocks, want = np.random.default_rng(8), [], {}
+    lone = r.permutation(1 << 22)[:1_190_000].astype(np.uint64) * np.uint64(1 << 20) + np.uint64(1 << 19)
+    lone[:100] = lone[100:200]                          # 100 hashes that two classes share
+    for t in range(6):
+        h = np.concatenate((lone[t::6], np.full(1500, 77, dtype=np.uint64)))
+        ref = (np.arange(len(h)) % 2000).astype("<u2")
+        order = np.lexsort((ref, h))
+        cls = np.arange(2000, dtype="<i8") + 2000 * t
+        blocks.append((0, h[order].tobytes(), ref[order].tobytes(), ref[order].tobytes(), cls.tobytes(), (cls + 5).tobytes()))
+        for x, k in zip(h.tolist(), cls[ref].tolist()):
+            want.setdefault(x, set()).add(k)
+    want = {x: k for x, k in want.items() if len(k) > 1}
+    zones = pa.record_batch([pa.array(c, k) for c, k in zip(zip(*blocks), (pa.int32(), *[pa.binary()] * 5))],
+                            names=["bucket", "h", "ref", "rank", "cls", "n"])
+    rows, peak = _peak(ngram_join._shared(_Frame(), 64, 3), [zones])
+    got = {}
+    for x in rows:
+        c, n = (np.frombuffer(x[k], "<i8") for k in ("cls", "n"))
+        assert (c % 3 == x["cb"]).all() and (n == c + 5).all() and (np.diff(c) >= 0).all()
+        assert (np.frombuffer(x["hot"], "?") == (np.frombuffer(x["h"], "<u8") == 77)).all()
+        for h, k in zip(np.frombuffer(x["h"], "<u8").tolist(), c.tolist()):
+            assert k not in got.setdefault(h, set())
+            got[h].add(k)
+    assert got == want and len(want[77]) == 9000
+    assert peak < 60
+
+
+def test_ngram_join_slices_keep_equal_keys_together():
+    r = np.random.default_rng(2)
+    keys = [np.sort(r.integers(0, 500, k)) for k in (0, 1, 3000, 7000, 40)] + [np.full(4000, 123)]
+    seen, sizes = [], []
+    for cut in ngram_join._slices(keys, 1000):
+        part = np.concatenate([k[s] for k, s in zip(keys, cut)])
+        sizes.append(len(part))
+        seen.append(set(part.tolist()))
+    assert sum(sizes) == sum(map(len, keys)) and sum(map(len, seen)) == len(set().union(*seen))
+    assert sorted(sizes)[-2] < 1500 and max(sizes) < 5500
+    assert list(ngram_join._slices([np.zeros(0, dtype=np.int64)], 10)) == [[slice(0, 0)]]
+
+
+def test_ngram_join_zones_in_bounded_memory():
+    """Texts of 12 MB in one batch leave as several blocks, a copied text once."""
+    r = np.random.default_rng(4)
+    texts = [" ".join(f"{x:x}" for x in r.integers(0, 1 << 30, 1500)) for _ in range(1000)]
+    batch = pa.record_batch([pa.array(texts + texts[:50])], names=["text"])
+    rows, peak = _peak(ngram_join._zones(_Frame(), 5, 75, 4), [batch])
+    p = ngram_join.prefix_length(1496, 75) + ngram_join.margin(1496, 75)
+    assert sum(len(x["h"]) // 8 for x in rows) == 1000 * p
+    assert len({c for x in rows for c in np.frombuffer(x["cls"], "<i8").tolist()}) == 1000
+    assert peak < 75
+
+
 def test_embeddings(spark):
     r = np.random.default_rng(3)
     base = r.standard_normal((40, 16))
